@@ -364,3 +364,251 @@ FROM silver GROUP BY payment_method"""
 )
 
 ORACLE_SQL = Q
+
+
+# ---------------------------------------------------------------- quality ---
+
+SILVER_COLUMN_LIST = [c.strip() for c in SILVER_COLS.split(",")]
+BRONZE_COLUMN_LIST = [
+    "order_id", "customer_id", "product_name", "category", "quantity", "unit_price", "order_date",
+    "region", "payment_method", "delivery_days", "is_returned",
+]
+STAR_REGIONS = "'AFRICA', 'AMERICA', 'ASIA', 'EUROPE', 'MIDDLE EAST'"
+STAR_PAYMENTS = "'1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED', '5-LOW'"
+
+
+def distinct_null(c: str) -> str:
+    return f"(COUNT(DISTINCT {c}) + COALESCE(MAX(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END), 0))"
+
+
+def _nulls(c: str) -> str:
+    return f"COUNT(*) FILTER (WHERE {c} IS NULL)"
+
+
+QUALITY_AGG = f""",
+qa AS (
+  SELECT COUNT(*) AS total,
+    {distinct_null('order_id')} AS keys,
+    {distinct_null('customer_id')} AS customers,
+    {', '.join(f"{_nulls(c)} AS nulls__{c}" for c in SILVER_COLUMN_LIST)},
+    COUNT(*) FILTER (WHERE order_amount < 0) AS neg_amount,
+    COUNT(*) FILTER (WHERE quantity < 1 OR quantity > 10) AS bad_qty,
+    COUNT(*) FILTER (WHERE 2 * ABS(cents - CAST(quantity AS BIGINT) * CAST(ROUND(unit_price * 100) AS BIGINT))
+                     > CAST(quantity AS BIGINT) + 1) AS mismatch,
+    COUNT(*) FILTER (WHERE region NOT IN ({STAR_REGIONS})) AS bad_region,
+    COUNT(*) FILTER (WHERE payment_method NOT IN ({STAR_PAYMENTS})) AS bad_payment,
+    MIN(order_date) AS min_date, MAX(order_date) AS max_date,
+    MIN(unit_price) AS min_price, MAX(unit_price) AS max_price,
+    COUNT(*) FILTER (WHERE unit_price < 0) AS low_price,
+    COUNT(*) FILTER (WHERE unit_price > 200000) AS high_price,
+    MIN(delivery_days) AS min_delivery, MAX(delivery_days) AS max_delivery,
+    COUNT(*) FILTER (WHERE delivery_days < 1) AS low_delivery,
+    COUNT(*) FILTER (WHERE delivery_days > 90) AS high_delivery,
+    MIN(order_amount) AS min_amount, MAX(order_amount) AS max_amount,
+    {AVG_AMOUNT} AS avg_amount,
+    {stddev_cents('cents')} AS stddev_amount,
+    {dollars('SUM(cents)')} AS sum_amount,
+    MIN(quantity) AS min_qty, MAX(quantity) AS max_qty,
+    {hu('SUM(quantity)', 'COUNT(quantity)', 2)} AS avg_qty,
+    {hu('SUM(delivery_days)', 'COUNT(delivery_days)', 2)} AS avg_delivery
+  FROM silver
+)"""
+
+
+def _qrow(dim, name, column, metric, viol="NULL", total="total", passed="NULL") -> str:
+    col = "CAST(NULL AS VARCHAR)" if column is None else f"'{column}'"
+    return (
+        f"SELECT '{dim}' AS dimension, '{name}' AS check_name, {col} AS column_name, "
+        f"CAST({metric} AS DOUBLE) AS metric_value, CAST({viol} AS BIGINT) AS violations, "
+        f"CAST({total} AS BIGINT) AS total, CAST({passed} AS BOOLEAN) AS passed FROM qa"
+    )
+
+
+def _counted(dim, name, column, viol) -> str:
+    return _qrow(dim, name, column, hu(viol, "total", 2, 100), viol, "total", f"{viol} = 0")
+
+
+_QROWS = [
+    _qrow("volume", "total_records", None, "total", "NULL", "total", "total > 0"),
+    _qrow("volume", "unique_orders", "order_id", "keys"),
+    _qrow("volume", "unique_customers", "customer_id", "customers"),
+    *[_counted("completeness", "null_count", c, f"nulls__{c}") for c in SILVER_COLUMN_LIST],
+    _counted("accuracy", "negative_amount", "order_amount", "neg_amount"),
+    _counted("accuracy", "quantity_out_of_range", "quantity", "bad_qty"),
+    _counted("accuracy", "amount_mismatch", "order_amount", "mismatch"),
+    _counted("consistency", "duplicate_key", "order_id", "(total - keys)"),
+    _counted("consistency", "invalid_region", "region", "bad_region"),
+    _counted("consistency", "invalid_payment_method", "payment_method", "bad_payment"),
+    _qrow("timeliness", "date_span_days", "order_date", "date_diff('day', min_date, max_date)"),
+    _qrow("timeliness", "data_freshness_days", "order_date", f"date_diff('day', max_date, {AS_OF})"),
+    _qrow("validity", "min_unit_price", "unit_price", "min_price", "low_price", "total", "low_price = 0"),
+    _qrow("validity", "max_unit_price", "unit_price", "max_price", "high_price", "total", "high_price = 0"),
+    _qrow("validity", "min_delivery_days", "delivery_days", "min_delivery", "low_delivery", "total", "low_delivery = 0"),
+    _qrow("validity", "max_delivery_days", "delivery_days", "max_delivery", "high_delivery", "total", "high_delivery = 0"),
+    *[
+        _qrow("statistics", name, column, src)
+        for name, column, src in (
+            ("min_amount", "order_amount", "min_amount"),
+            ("max_amount", "order_amount", "max_amount"),
+            ("avg_amount", "order_amount", "avg_amount"),
+            ("stddev_amount", "order_amount", "stddev_amount"),
+            ("total_revenue", "order_amount", "sum_amount"),
+            ("min_quantity", "quantity", "min_qty"),
+            ("max_quantity", "quantity", "max_qty"),
+            ("avg_quantity", "quantity", "avg_qty"),
+            ("min_delivery", "delivery_days", "min_delivery"),
+            ("max_delivery", "delivery_days", "max_delivery"),
+            ("avg_delivery", "delivery_days", "avg_delivery"),
+        )
+    ],
+]
+
+REPORT = QUALITY_AGG + ",\nreport AS (\n" + "\nUNION ALL\n".join(_QROWS) + "\n)"
+
+Q["quality_report"] = with_silver(REPORT + "\nSELECT * FROM report")
+
+Q["quality_metrics_row"] = with_silver(
+    REPORT
+    + f"""
+SELECT TIMESTAMP '2002-01-01 00:00:00' AS check_date,
+  CAST(MAX(CASE WHEN check_name = 'total_records' THEN metric_value END) AS BIGINT) AS total_records,
+  CAST(MAX(CASE WHEN check_name = 'unique_customers' THEN metric_value END) AS BIGINT) AS unique_customers,
+  MAX(CASE WHEN check_name = 'null_count' AND column_name = 'order_id' THEN violations END) AS null_count,
+  MAX(CASE WHEN check_name = 'duplicate_key' THEN violations END) AS duplicate_count,
+  CAST(MAX(CASE WHEN check_name = 'data_freshness_days' THEN metric_value END) AS BIGINT) AS data_freshness_days,
+  {hu('COUNT(*) FILTER (WHERE passed)', 'COUNT(passed)', 2, 100)} AS quality_score_pct
+FROM report"""
+)
+
+
+def _null_profile(source: str, cols: list[str]) -> str:
+    parts = [
+        f"SELECT '{c}' AS column_name, {_nulls(c)} AS null_count, COUNT(*) AS total_records, "
+        f"{hu(_nulls(c), 'COUNT(*)', 2, 100)} AS null_pct FROM {source}"
+        for c in cols
+    ]
+    return "\nUNION ALL\n".join(parts)
+
+
+Q["null_profile"] = with_silver(_null_profile("silver", SILVER_COLUMN_LIST))
+Q["bronze_null_profile"] = f"WITH {BRONZE}\n" + _null_profile("bronze", BRONZE_COLUMN_LIST)
+
+Q["duplicate_count"] = f"""WITH {BRONZE}
+SELECT COUNT(*) AS total_rows, {distinct_null('order_id')} AS distinct_keys,
+  COUNT(*) - {distinct_null('order_id')} AS duplicate_count
+FROM bronze"""
+
+
+def _profile(source: str, cols: list[str], negatives=(), ranges=()) -> str:
+    total_nulls = " + ".join(_nulls(c) for c in cols)
+    sel = [
+        "COUNT(*) AS record_count",
+        *[f"{distinct_null(c)} AS distinct_{c}" for c in ("order_id", "customer_id", "product_name", "category", "region")],
+        f"CAST({total_nulls} AS BIGINT) AS null_total",
+        *[f"{_nulls(c)} AS nulls__{c}" for c in cols],
+        "MIN(unit_price) AS min_unit_price",
+        "MAX(unit_price) AS max_unit_price",
+        f"{hu('SUM(CAST(ROUND(unit_price * 100) AS BIGINT))', 'COUNT(unit_price)', 2, 1, 2)} AS avg_unit_price",
+        "MIN(CAST(order_date AS DATE)) AS min_order_date",
+        "MAX(CAST(order_date AS DATE)) AS max_order_date",
+        *[f"COUNT(*) FILTER (WHERE {c} < 0) AS negative_{c}" for c in negatives],
+        *[f"COUNT(*) FILTER (WHERE {c} < {lo} OR {c} > {hi}) AS out_of_range_{c}" for c, lo, hi in ranges],
+        f"COUNT(*) - {distinct_null('order_id')} AS duplicate_order_id",
+    ]
+    return f"SELECT {', '.join(sel)} FROM {source}"
+
+
+Q["raw_profile"] = f"WITH {BRONZE}\n" + _profile("bronze", BRONZE_COLUMN_LIST)
+Q["clean_profile"] = with_silver(
+    _profile(
+        "silver",
+        SILVER_COLUMN_LIST,
+        negatives=("order_amount", "unit_price", "quantity"),
+        ranges=(("delivery_days", 0, 90), ("quantity", 1, 10)),
+    )
+)
+
+# -------------------------------------------------------------- dashboard ---
+
+Q["kpi_summary"] = with_silver(
+    f"""
+SELECT COUNT(DISTINCT customer_id) AS total_customers, COUNT(*) AS total_orders,
+  {dollars('SUM(cents)')} AS total_revenue, {AVG_AMOUNT} AS avg_order_value, {RATE} AS return_rate_pct
+FROM silver"""
+)
+Q["revenue_by_region"] = with_silver(f"SELECT region, {dollars('SUM(cents)')} AS total_revenue FROM silver GROUP BY region")
+Q["daily_revenue_trend"] = with_silver(
+    f"SELECT order_date, {dollars('SUM(cents)')} AS revenue FROM silver GROUP BY order_date"
+)
+Q["top_products"] = with_silver(
+    f""",
+pp AS ({PRODUCT_BODY})
+SELECT revenue_rank, product_name, category, total_revenue FROM pp WHERE revenue_rank <= 10"""
+)
+Q["category_distribution"] = with_silver(
+    f"""
+SELECT category, COUNT(*) AS orders, {dollars('SUM(cents)')} AS revenue,
+  {hu('SUM(cents)', 'SUM(SUM(cents)) OVER ()', 2, 100)} AS pct_of_total_revenue
+FROM silver GROUP BY category"""
+)
+Q["customer_segments"] = (
+    f"WITH {SILVER}{SEGMENTATION}\n"
+    "SELECT customer_segment, COUNT(*) AS customers, "
+    "CAST(SUM(CAST(ROUND(lifetime_value * 100) AS BIGINT)) AS DOUBLE) / 100.0 AS revenue "
+    "FROM segmentation GROUP BY customer_segment"
+)
+
+# ------------------------------------------------------- acceptance suite ---
+
+
+def _arow(test, check, actual, lower=None, upper=None, detail=None, source="") -> str:
+    lo = "NULL" if lower is None else str(lower)
+    hi = "NULL" if upper is None else str(upper)
+    det = "CAST(NULL AS VARCHAR)" if detail is None else f"'{detail}'"
+    a = f"CAST({actual} AS DOUBLE)"
+    cond = [f"{a} IS NOT NULL"]
+    if lower is not None:
+        cond.append(f"{a} >= {lo}")
+    if upper is not None:
+        cond.append(f"{a} <= {hi}")
+    return (
+        f"SELECT '{test}' AS test, '{check}' AS check_name, {det} AS detail, {a} AS actual, "
+        f"CAST({lo} AS DOUBLE) AS lower, CAST({hi} AS DOUBLE) AS upper, "
+        f"COALESCE({' AND '.join(cond)}, false) AS passed {source}"
+    )
+
+
+_COUNTS = {
+    "ecommerce_bronze": "(SELECT COUNT(*) FROM bronze)",
+    "ecommerce_silver": "(SELECT COUNT(*) FROM silver)",
+    "daily_sales_summary": "(SELECT COUNT(*) FROM (SELECT DISTINCT order_date, region, category FROM silver))",
+    "customer_metrics": "(SELECT COUNT(*) FROM (SELECT DISTINCT customer_id FROM silver))",
+    "product_performance": "(SELECT COUNT(*) FROM (SELECT DISTINCT product_name, category FROM silver))",
+    "regional_analysis": "(SELECT COUNT(*) FROM (SELECT DISTINCT region FROM silver))",
+    "customer_segmentation": "(SELECT COUNT(*) FROM (SELECT DISTINCT customer_id FROM silver))",
+    "delivery_performance": "(SELECT COUNT(*) FROM (SELECT DISTINCT region, delivery_type FROM silver))",
+    "category_trends": "(SELECT COUNT(*) FROM (SELECT DISTINCT order_month, category FROM silver))",
+}
+_TYPES = [
+    ("order_id", "string"), ("customer_id", "string"), ("product_name", "string"), ("category", "string"),
+    ("quantity", "int"), ("unit_price", "double"), ("order_amount", "double"), ("order_date", "date"),
+    ("region", "string"), ("payment_method", "string"),
+]
+_silver_nulls = " + ".join(_nulls(c) for c in SILVER_COLUMN_LIST)
+_AROWS = [
+    *[_arow("table_exists", t, n, 0) for t, n in _COUNTS.items()],
+    *[_arow("gold_non_empty", t, _COUNTS[t], 1) for t in ("daily_sales_summary", "customer_metrics", "product_performance")],
+    _arow("gold_row_count", "regional_analysis", _COUNTS["regional_analysis"], 5, 5),
+    _arow("row_count", "ecommerce_bronze", _COUNTS["ecommerce_bronze"], 1),
+    _arow("row_count", "ecommerce_silver", "COUNT(*)", 1, source="FROM silver"),
+    _arow("no_nulls", "ecommerce_silver", _silver_nulls, 0, 0, source="FROM silver"),
+    _arow("no_duplicates", "order_id", f"COUNT(*) - {distinct_null('order_id')}", 0, 0, source="FROM silver"),
+    _arow("value_range", "unit_price_min", "MIN(unit_price)", 0.0, source="FROM silver"),
+    _arow("value_range", "unit_price_max", "MAX(unit_price)", None, 200000.0, source="FROM silver"),
+    _arow("value_range", "quantity_min", "MIN(quantity)", 1, source="FROM silver"),
+    _arow("value_range", "quantity_max", "MAX(quantity)", None, 10, source="FROM silver"),
+    _arow("value_range", "delivery_days_min", "MIN(delivery_days)", 1, source="FROM silver"),
+    _arow("value_range", "delivery_days_max", "MAX(delivery_days)", None, 90, source="FROM silver"),
+    *[_arow("column_type", c, "1.0", 1, 1, detail=t) for c, t in _TYPES],
+]
+Q["acceptance_suite"] = with_silver("\nUNION ALL\n".join(_AROWS))
