@@ -10,6 +10,9 @@ from cartwheel.functions.money import (  # noqa: F401
     pct,
     to_double,
     sample_stddev_money,
+    half_up_ratio_sql,
+    money_avg_sql,
+    pct_sql,
 )
 from cartwheel.functions.dates import month_start, whole_months_between  # noqa: F401
 from cartwheel.functions.rules import (  # noqa: F401

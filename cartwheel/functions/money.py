@@ -3,9 +3,14 @@
 Money is summed as ``decimal(18,2)`` (sum type ``decimal(28,2)``), never as
 double, so a total does not depend on the order in which partial aggregates
 meet — the same result on 8 or 8,000 partitions.  Every rounded quotient
-(average, percentage, ratio) is computed as an integral half-up division on
-exact decimals: ``round(mult * num / den, scale)`` with ties away from zero,
-with no intermediate rounding.  Doubles appear only at the output edge.
+(average, percentage, ratio) is an integral half-up division on exact
+decimals: ``round(mult * num / den, scale)`` with ties away from zero and no
+intermediate rounding.  Doubles appear only at the output edge.
+
+The helpers take SQL expression text (column names, aggregate calls) and
+return one ``F.expr`` Column: the expression tree is parsed and built inside
+the JVM in a single call instead of one Py4J round trip per operator node.
+Column arguments are accepted too (built node by node).
 """
 
 from __future__ import annotations
@@ -17,61 +22,103 @@ from pyspark.sql import types as T
 MONEY = T.DecimalType(18, 2)
 _WIDE = T.DecimalType(38, 0)
 
+Expr = str | Column
 
-def _c(c: str | Column) -> Column:
-    return F.col(c) if isinstance(c, str) else c
 
+def _sql(e: Expr) -> str | None:
+    return e if isinstance(e, str) else None
 
-def money(c: str | Column) -> Column:
+
+def _col(e: Expr) -> Column:
+    return F.expr(e) if isinstance(e, str) else e
+
+
+def money_sql(c: str) -> str:
+    return f"CAST({c} AS DECIMAL(18,2))"
+
+
+def cents_sql(c: str) -> str:
+    return f"CAST(({c}) * 100 AS DECIMAL(38,0))"
+
+
+def money(c: Expr) -> Column:
     """A 2-dp money value as ``decimal(18,2)`` (a double is rounded half-up)."""
-    return _c(c).cast(MONEY)
+    return F.expr(money_sql(c)) if isinstance(c, str) else c.cast(MONEY)
 
 
-def cents(c: str | Column) -> Column:
+def cents(c: Expr) -> Column:
     """Money as an exact integral number of cents (``decimal(38,0)``)."""
-    return (money(c) * 100).cast(_WIDE)
+    return F.expr(cents_sql(c)) if isinstance(c, str) else (c * 100).cast(_WIDE)
 
 
-def money_sum(c: str | Column) -> Column:
+def money_sum(c: Expr) -> Column:
     """Exact sum of a money column (``decimal(28,2)``)."""
-    return F.sum(money(c))
+    return F.expr(f"SUM({money_sql(c)})") if isinstance(c, str) else F.sum(money(c))
 
 
-def to_double(c: str | Column) -> Column:
-    return _c(c).cast("double")
+def to_double(c: Expr) -> Column:
+    return F.expr(f"CAST({c} AS DOUBLE)") if isinstance(c, str) else c.cast("double")
 
 
-def _idiv(a: Column, b: Column) -> Column:
-    """Integral division (``a div b``) of non-negative exact numbers."""
-    return F.call_function("div", a, b)
+def half_up_ratio_sql(num: str, den: str, scale: int = 2, mult: int = 1) -> str:
+    k = mult * 10**scale
+    n = f"CAST(({num}) * {k} AS DECIMAL(38,0))"
+    d = f"CAST(({den}) AS DECIMAL(38,0))"
+    q = f"((abs({n}) * 2 + {d}) div ({d} * 2))"
+    return (
+        f"(CASE WHEN {d} != 0 THEN CAST(CASE WHEN {n} < 0 THEN -{q} ELSE {q} END AS DOUBLE)"
+        f" / CAST({10**scale} AS DOUBLE) END)"
+    )
 
 
-def half_up_ratio(num: Column, den: Column, scale: int = 2, mult: int = 1) -> Column:
+def half_up_ratio(num: Expr, den: Expr, scale: int = 2, mult: int = 1) -> Column:
     """``round(mult * num / den, scale)``, half away from zero, as double.
 
     ``num`` must be exact (integral, or decimal whose scale is at most
     ``scale`` + log10(``mult``)), ``den`` integral.  NULL when ``den`` is 0 or
     NULL — never an error, whatever the ANSI setting.
     """
+    if isinstance(num, str) and isinstance(den, str):
+        return F.expr(half_up_ratio_sql(num, den, scale, mult))
+    num, den = _col(num), _col(den)
     k = mult * 10**scale
     n = (num * k).cast(_WIDE)
     d = den.cast(_WIDE)
-    q = _idiv(F.abs(n) * 2 + d, d * 2)
+    q = F.call_function("div", F.abs(n) * 2 + d, d * 2)
     signed = F.when(n < 0, -q).otherwise(q)
     return F.when(d != 0, signed.cast("double") / float(10**scale))
 
 
-def money_avg(c: str | Column, scale: int = 2) -> Column:
+def money_avg_sql(c: str, scale: int = 2) -> str:
+    return half_up_ratio_sql(f"SUM({money_sql(c)})", f"COUNT({c})", scale)
+
+
+def money_avg(c: Expr, scale: int = 2) -> Column:
     """Exact mean of a money column, rounded half-up to ``scale`` places."""
-    return half_up_ratio(money_sum(c), F.count(_c(c)), scale)
+    if isinstance(c, str):
+        return F.expr(money_avg_sql(c, scale))
+    return half_up_ratio(money_sum(c), F.count(c), scale)
+
 
+def pct_sql(num: str, den: str, scale: int = 2) -> str:
+    return half_up_ratio_sql(num, den, scale, mult=100)
 
-def pct(num: Column, den: Column, scale: int = 2) -> Column:
+
+def pct(num: Expr, den: Expr, scale: int = 2) -> Column:
     """``round(num * 100 / den, scale)`` exactly; NULL for a zero denominator."""
     return half_up_ratio(num, den, scale, mult=100)
 
 
-def sample_stddev_money(c: str | Column, scale: int = 2) -> Column:
+def sample_stddev_money_sql(c: str, scale: int = 2) -> str:
+    x = cents_sql(c)
+    n = f"CAST(COUNT({c}) AS DECIMAL(38,0))"
+    return (
+        f"(CASE WHEN COUNT({c}) > 1 THEN round(sqrt(CAST({n} * SUM({x} * {x}) - SUM({x}) * SUM({x}) AS DOUBLE)"
+        f" / CAST({n} * ({n} - 1) AS DOUBLE)) / 100.0, {scale}) END)"
+    )
+
+
+def sample_stddev_money(c: str, scale: int = 2) -> Column:
     """Sample standard deviation of a money column, rounded to ``scale``.
 
     Variance is formed exactly in integer cents,
@@ -79,11 +126,4 @@ def sample_stddev_money(c: str | Column, scale: int = 2) -> Column:
     merge order; only the final square root is floating point.  NULL for
     fewer than two values (as ``stddev_samp``).
     """
-    x = cents(c)
-    n = F.count(x).cast(_WIDE)
-    s1 = F.sum(x)
-    s2 = F.sum(x * x)
-    num = (n * s2 - s1 * s1).cast("double")
-    den = (n * (n - 1)).cast("double")
-    sd = F.sqrt(num / den) / 100.0
-    return F.when(n > 1, F.round(sd, scale))
+    return F.expr(sample_stddev_money_sql(c, scale))

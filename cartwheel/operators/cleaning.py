@@ -28,6 +28,15 @@ def as_of_date(as_of: _dt.date | str | None) -> Column:
     return F.lit(as_of)
 
 
+def as_of_sql(as_of: _dt.date | str | None) -> str:
+    """SQL text of the processing clock (see :func:`as_of_date`)."""
+    if as_of is None:
+        return "current_date()"
+    if isinstance(as_of, str):
+        as_of = _dt.date.fromisoformat(as_of)
+    return f"DATE '{as_of.isoformat()}'"
+
+
 def dedup_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
     """Keep one row per key: the first by ``order`` (ascending, NULLs first).
 

@@ -5,13 +5,13 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartwheel.functions.dates import month_start, whole_months_between
-from cartwheel.functions.money import money_avg, money_sum, pct, sample_stddev_money, to_double
-from cartwheel.operators.cleaning import as_of_date
+from cartwheel.functions.money import money_avg_sql, money_sql, pct_sql, sample_stddev_money_sql
+from cartwheel.operators.cleaning import as_of_sql
 from cartwheel.operators.ranking import exact_ntile
+from cartwheel.operators.sales import exprs
 
 
 def customer_metrics(silver: DataFrame, as_of: _dt.date | str | None = None) -> DataFrame:
@@ -21,45 +21,36 @@ def customer_metrics(silver: DataFrame, as_of: _dt.date | str | None = None) ->
     fixed ``as_of`` gives reproducible recency.  Single-order customers get a
     NULL standard deviation and a tenure of 0.
     """
-    last = F.max("order_date")
-    first = F.min("order_date")
     return silver.groupBy("customer_id").agg(
-        F.count(F.lit(1)).alias("total_purchases"),
-        last.alias("last_purchase_date"),
-        F.datediff(as_of_date(as_of), last).alias("days_since_purchase"),
-        to_double(money_sum("order_amount")).alias("lifetime_value"),
-        money_avg("order_amount").alias("avg_order_value"),
-        sample_stddev_money("order_amount").alias("order_value_stddev"),
-        F.sum("quantity").alias("total_items"),
-        first.alias("first_purchase_date"),
-        F.datediff(last, first).alias("customer_tenure_days"),
-        pct(F.count_if(F.col("is_returned") == 1), F.count(F.lit(1))).alias("return_rate_pct"),
+        *exprs(
+            "count(1) AS total_purchases",
+            "max(order_date) AS last_purchase_date",
+            f"datediff({as_of_sql(as_of)}, max(order_date)) AS days_since_purchase",
+            f"CAST(sum({money_sql('order_amount')}) AS DOUBLE) AS lifetime_value",
+            f"{money_avg_sql('order_amount')} AS avg_order_value",
+            f"{sample_stddev_money_sql('order_amount')} AS order_value_stddev",
+            "sum(quantity) AS total_items",
+            "min(order_date) AS first_purchase_date",
+            "datediff(max(order_date), min(order_date)) AS customer_tenure_days",
+            f"{pct_sql('count_if(is_returned = 1)', 'count(1)')} AS return_rate_pct",
+        )
     )
 
 
 # Segment rules, checked in this order; the first match wins (fixed values).
-SEGMENT_RULES: Sequence[tuple[str, tuple[int | None, int | None, int | None], int | None]] = (
-    # name,        minimum (R, F, M),    maximum R
-    ("VIP", (4, 4, 4), None),
-    ("High Value", (3, 3, 3), None),
-    ("Loyal", (3, 3, None), None),
-    ("At Risk", (None, None, None), 2),
-    ("Big Spender", (None, None, 4), None),
+SEGMENT_RULES: Sequence[tuple[str, str]] = (
+    ("VIP", "recency_score >= 4 AND frequency_score >= 4 AND monetary_score >= 4"),
+    ("High Value", "recency_score >= 3 AND frequency_score >= 3 AND monetary_score >= 3"),
+    ("Loyal", "recency_score >= 3 AND frequency_score >= 3"),
+    ("At Risk", "recency_score <= 2"),
+    ("Big Spender", "monetary_score >= 4"),
 )
 DEFAULT_SEGMENT = "Standard"
 
 
-def customer_segment(r: Column, f: Column, m: Column) -> Column:
-    expr = None
-    for name, mins, r_max in SEGMENT_RULES:
-        cond = F.lit(True)
-        for col, lo in zip((r, f, m), mins):
-            if lo is not None:
-                cond = cond & (col >= lo)
-        if r_max is not None:
-            cond = cond & (r <= r_max)
-        expr = F.when(cond, name) if expr is None else expr.when(cond, name)
-    return expr.otherwise(DEFAULT_SEGMENT)
+def customer_segment_sql() -> str:
+    branches = " ".join(f"WHEN {cond} THEN '{name}'" for name, cond in SEGMENT_RULES)
+    return f"CASE {branches} ELSE '{DEFAULT_SEGMENT}' END"
 
 
 def rfm_segmentation(
@@ -81,14 +72,14 @@ def rfm_segmentation(
     scored = exact_ntile(base, n, [F.col("days_since_purchase").desc_nulls_last(), cid], "recency_score", **kw)
     scored = exact_ntile(scored, n, [F.col("total_purchases").asc_nulls_first(), cid], "frequency_score", **kw)
     scored = exact_ntile(scored, n, [F.col("lifetime_value").asc_nulls_first(), cid], "monetary_score", **kw)
-    r, f, m = F.col("recency_score"), F.col("frequency_score"), F.col("monetary_score")
-    return scored.select(
+    return scored.selectExpr(
         "customer_id",
         "recency_score",
         "frequency_score",
         "monetary_score",
-        F.concat(r.cast("string"), f.cast("string"), m.cast("string")).alias("rfm_segment"),
-        customer_segment(r, f, m).alias("customer_segment"),
+        "concat(CAST(recency_score AS STRING), CAST(frequency_score AS STRING), CAST(monetary_score AS STRING))"
+        " AS rfm_segment",
+        f"{customer_segment_sql()} AS customer_segment",
         "total_purchases",
         "days_since_purchase",
         "lifetime_value",
@@ -113,21 +104,20 @@ def cohort_retention(silver: DataFrame, limit: int | None = None) -> DataFrame:
     """
     per_month = (
         silver.filter(F.col("customer_id").isNotNull())
-        .groupBy("customer_id", month_start("order_date").alias("order_month"))
+        .groupBy("customer_id", F.trunc("order_date", "month").alias("order_month"))
         .agg(F.count(F.lit(1)).alias("__orders"))
     )
-    cohort = F.min("order_month").over(Window.partitionBy("customer_id"))
-    tagged = per_month.withColumn("cohort_month", cohort).withColumn(
-        "months_since_cohort", whole_months_between("cohort_month", "order_month")
-    )
-    grid = tagged.groupBy("cohort_month", "months_since_cohort").agg(
-        F.count(F.lit(1)).alias("cohort_size"),
-        F.sum("__orders").alias("repeat_purchases"),
-    )
+    tagged = per_month.withColumn("cohort_month", F.min("order_month").over(Window.partitionBy("customer_id")))
+    grid = tagged.groupBy(
+        "cohort_month",
+        F.expr(
+            "(year(order_month) - year(cohort_month)) * 12 + month(order_month) - month(cohort_month)"
+        ).alias("months_since_cohort"),
+    ).agg(*exprs("count(1) AS cohort_size", "sum(__orders) AS repeat_purchases"))
     # Offset 0 exists for every cohort (the first purchase is in it); the window
     # holds one row per month offset of one cohort.
-    w = Window.partitionBy("cohort_month").orderBy(F.col("months_since_cohort").asc_nulls_last())
-    out = grid.withColumn("retention_rate_pct", pct(F.col("cohort_size"), F.first("cohort_size").over(w)))
+    first = "first(cohort_size) OVER (PARTITION BY cohort_month ORDER BY months_since_cohort ASC NULLS LAST)"
+    out = grid.withColumn("retention_rate_pct", F.expr(pct_sql("cohort_size", first)))
     if limit is not None:
         out = out.orderBy(F.col("cohort_month").desc(), F.col("months_since_cohort").asc()).limit(limit)
     return out

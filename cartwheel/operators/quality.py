@@ -2,20 +2,22 @@
 
 The reference issues one Spark job per check (17 for the report, 6 more for
 the history row).  Here each operator is **one aggregate over one scan**; the
-per-check rows are produced by unpivoting that single aggregate row.
+per-check rows come from unpivoting that single aggregate row (``stack``),
+and per-check arithmetic (percentages, pass flags) is applied once to the
+unpivoted rows.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.functions.money import half_up_ratio, money, money_avg, money_sum, pct, sample_stddev_money, to_double
-from cartwheel.operators.cleaning import as_of_date
+from cartwheel.functions.money import half_up_ratio_sql, money_avg_sql, money_sql, pct_sql, sample_stddev_money_sql
+from cartwheel.operators.cleaning import as_of_sql
 
 # Domains of the reference data (fixed values).
 REFERENCE_REGIONS = ("North", "South", "East", "West", "Central")
@@ -36,45 +38,56 @@ class QualityRules:
     columns: tuple[str, ...] | None = field(default=None)  # null checks: all when None
 
 
-def distinct_with_null(c: str, approx: bool = False) -> Column:
+def _q(name: str) -> str:
+    return f"`{name}`"
+
+
+def _lit(v) -> str:
+    if v is None:
+        return "NULL"
+    if isinstance(v, str):
+        return "'" + v.replace("'", "''") + "'"
+    return repr(v)
+
+
+def distinct_with_null_sql(c: str, approx: bool = False) -> str:
     """``select(c).distinct().count()``: NULL counts as one value."""
-    base = F.approx_count_distinct(c) if approx else F.count_distinct(c)
-    return base + F.coalesce(F.max(F.col(c).isNull().cast("int")), F.lit(0))
+    base = f"approx_count_distinct({_q(c)})" if approx else f"count(DISTINCT {_q(c)})"
+    return f"({base} + coalesce(max(CAST({_q(c)} IS NULL AS INT)), 0))"
+
 
+def _nulls(c: str) -> str:
+    return f"count_if({_q(c)} IS NULL)"
 
-def null_counts(df: DataFrame, columns: Iterable[str] | None = None) -> list[Column]:
-    return [F.count_if(F.col(c).isNull()).alias(f"nulls__{c}") for c in (columns or df.columns)]
+
+def _unpivot(df: DataFrame, rows: list[tuple], names: Sequence[str], types: Sequence[str]) -> DataFrame:
+    """One output row per tuple of SQL expressions (``stack``), with fixed types."""
+    width = len(names)
+    args = ", ".join(
+        ", ".join(f"CAST({e} AS {t})" for e, t in zip(row, types)) for row in rows
+    )
+    return df.selectExpr(f"stack({len(rows)}, {args}) AS ({', '.join(names)})")
+    # (width is implied by ``names``)
 
 
 def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Per-column NULL count over *all* rows (one scan), one row per column:
     ``column_name, null_count, total_records, null_pct``."""
     cols = list(columns or df.columns)
-    wide = df.agg(F.count(F.lit(1)).alias("__total"), *null_counts(df, cols))
-    rows = F.explode(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(c).alias("column_name"),
-                    F.col(f"nulls__{c}").alias("null_count"),
-                    F.col("__total").alias("total_records"),
-                    pct(F.col(f"nulls__{c}"), F.col("__total")).alias("null_pct"),
-                )
-                for c in cols
-            ]
-        )
+    wide = df.selectExpr("count(1) AS __total", *[f"{_nulls(c)} AS `nulls__{c}`" for c in cols])
+    long = _unpivot(
+        wide,
+        [(_lit(c), f"`nulls__{c}`", "__total") for c in cols],
+        ["column_name", "null_count", "total_records"],
+        ["STRING", "BIGINT", "BIGINT"],
     )
-    return wide.select(rows.alias("r")).select("r.*")
+    return long.withColumn("null_pct", F.expr(pct_sql("null_count", "total_records")))
 
 
 def duplicate_count(df: DataFrame, key: str = "order_id", approx: bool = False) -> DataFrame:
     """``total_rows, distinct_keys, duplicate_count`` (NULL counted as a key value)."""
-    distinct = distinct_with_null(key, approx)
-    return df.agg(
-        F.count(F.lit(1)).alias("total_rows"),
-        distinct.alias("distinct_keys"),
-        (F.count(F.lit(1)) - distinct).alias("duplicate_count"),
-    )
+    d = distinct_with_null_sql(key, approx)
+    return df.selectExpr("count(1) AS total_rows", f"{d} AS distinct_keys", f"count(1) - {d} AS duplicate_count")
 
 
 def profile(
@@ -89,36 +102,25 @@ def profile(
     """Layer profile in one row (raw and cleaned checks of the reference):
     record count, distinct counts, NULLs per column and in total, price
     min/max/mean, date range, negatives, out-of-range counts, duplicates."""
-    nulls = null_counts(df)
-    total_nulls = sum((F.count_if(F.col(c).isNull()) for c in df.columns), F.lit(0))
-    cols: list[Column] = [F.count(F.lit(1)).alias("record_count")]
-    cols += [distinct_with_null(c).alias(f"distinct_{c}") for c in distinct_columns]
-    cols += [total_nulls.cast("long").alias("null_total"), *nulls]
-    cols += [
-        F.min(price).alias(f"min_{price}"),
-        F.max(price).alias(f"max_{price}"),
-        money_avg(price).alias(f"avg_{price}"),
-        F.min(F.col(date).cast("date")).alias(f"min_{date}"),
-        F.max(F.col(date).cast("date")).alias(f"max_{date}"),
+    sql = ["count(1) AS record_count"]
+    sql += [f"{distinct_with_null_sql(c)} AS distinct_{c}" for c in distinct_columns]
+    sql.append(f"CAST({' + '.join(_nulls(c) for c in df.columns)} AS BIGINT) AS null_total")
+    sql += [f"{_nulls(c)} AS `nulls__{c}`" for c in df.columns]
+    sql += [
+        f"min({price}) AS min_{price}",
+        f"max({price}) AS max_{price}",
+        f"{money_avg_sql(price)} AS avg_{price}",
+        f"min(CAST({date} AS DATE)) AS min_{date}",
+        f"max(CAST({date} AS DATE)) AS max_{date}",
     ]
-    cols += [F.count_if(F.col(c) < 0).alias(f"negative_{c}") for c in non_negative]
+    sql += [f"count_if({c} < 0) AS negative_{c}" for c in non_negative]
     for c, (lo, hi) in (ranges or {}).items():
-        cols.append(F.count_if((F.col(c) < lo) | (F.col(c) > hi)).alias(f"out_of_range_{c}"))
-    cols.append((F.count(F.lit(1)) - distinct_with_null(key)).alias(f"duplicate_{key}"))
-    return df.agg(*cols)
-
-
-def _check(dim: str, name: str, column: str | None, metric, violations=None, total=None, passed=None) -> Column:
-    lit_or = lambda v: v if isinstance(v, Column) else F.lit(v)
-    return F.struct(
-        F.lit(dim).alias("dimension"),
-        F.lit(name).alias("check_name"),
-        F.lit(column).cast("string").alias("column_name"),
-        lit_or(metric).cast("double").alias("metric_value"),
-        lit_or(violations).cast("long").alias("violations"),
-        lit_or(total).cast("long").alias("total"),
-        lit_or(passed).cast("boolean").alias("passed"),
-    )
+        sql.append(f"count_if({c} < {lo} OR {c} > {hi}) AS out_of_range_{c}")
+    sql.append(f"count(1) - {distinct_with_null_sql(key)} AS duplicate_{key}")
+    return df.selectExpr(*sql)
+
+
+REPORT_COLUMNS = ["dimension", "check_name", "column_name", "metric_value", "violations", "total", "passed"]
 
 
 def quality_report(
@@ -133,98 +135,104 @@ def quality_report(
     range, amount vs quantity x price), consistency (duplicate keys, region and
     payment domains), timeliness (date span, freshness against ``as_of``),
     validity (price and delivery bounds) and summary statistics.  ``passed`` is
-    NULL for informational rows.  The amount check allows the rounding the
+    NULL for informational rows.  For counted checks ``metric_value`` is the
+    violating share in percent.  The amount check allows the rounding the
     cleaning step applies: ``|amount - quantity*price| <= 0.005*quantity +
     0.005`` in exact decimals (the reference compared doubles with ``!=``).
     """
     r = rules
     cols = list(r.columns or silver.columns)
-    q, p, a, d = F.col("quantity"), F.col("unit_price"), F.col("order_amount"), F.col("delivery_days")
     qlo, qhi = r.quantity_range
     plo, phi = r.price_range
     dlo, dhi = r.delivery_range
-    diff = F.abs(money(a) - q.cast("decimal(20,0)") * money(p))
-    tol = q.cast("decimal(20,0)") * F.lit(0.005).cast("decimal(4,3)") + F.lit(0.005).cast("decimal(4,3)")
-    one = silver.agg(
-        F.count(F.lit(1)).alias("total"),
-        distinct_with_null(r.key, r.approx_distinct).alias("keys"),
-        distinct_with_null("customer_id", r.approx_distinct).alias("customers"),
-        *null_counts(silver, cols),
-        F.count_if(a < 0).alias("neg_amount"),
-        F.count_if((q < qlo) | (q > qhi)).alias("bad_qty"),
-        F.count_if(diff > tol).alias("mismatch"),
-        F.count_if(~F.col("region").isin(list(r.valid_regions))).alias("bad_region"),
-        F.count_if(~F.col("payment_method").isin(list(r.valid_payment_methods))).alias("bad_payment"),
-        F.min("order_date").alias("min_date"),
-        F.max("order_date").alias("max_date"),
-        F.min(p).alias("min_price"),
-        F.max(p).alias("max_price"),
-        F.count_if(p < plo).alias("low_price"),
-        F.count_if(p > phi).alias("high_price"),
-        F.min(d).alias("min_delivery"),
-        F.max(d).alias("max_delivery"),
-        F.count_if(d < dlo).alias("low_delivery"),
-        F.count_if(d > dhi).alias("high_delivery"),
-        F.min(a).alias("min_amount"),
-        F.max(a).alias("max_amount"),
-        money_avg(a).alias("avg_amount"),
-        sample_stddev_money(a).alias("stddev_amount"),
-        to_double(money_sum(a)).alias("sum_amount"),
-        F.min(q).alias("min_qty"),
-        F.max(q).alias("max_qty"),
-        half_up_ratio(F.sum(q), F.count(q), 2).alias("avg_qty"),
-        half_up_ratio(F.sum(d), F.count(d), 2).alias("avg_delivery"),
+    regions = ", ".join(_lit(v) for v in r.valid_regions)
+    payments = ", ".join(_lit(v) for v in r.valid_payment_methods)
+    q_dec = "CAST(quantity AS DECIMAL(20,0))"
+    mismatch = (
+        f"abs({money_sql('order_amount')} - {q_dec} * {money_sql('unit_price')})"
+        f" > {q_dec} * 0.005BD + 0.005BD"
     )
-    c = F.col
-    total = c("total")
-
-    def counted(dim, name, column, viol):
-        return _check(dim, name, column, pct(viol, total), viol, total, viol == 0)
-
-    dup = total - c("keys")
-    checks = [
-        _check("volume", "total_records", None, total, None, total, total > 0),
-        _check("volume", "unique_orders", r.key, c("keys"), None, total),
-        _check("volume", "unique_customers", "customer_id", c("customers"), None, total),
-        *[counted("completeness", "null_count", col, c(f"nulls__{col}")) for col in cols],
-        counted("accuracy", "negative_amount", "order_amount", c("neg_amount")),
-        counted("accuracy", "quantity_out_of_range", "quantity", c("bad_qty")),
-        counted("accuracy", "amount_mismatch", "order_amount", c("mismatch")),
-        counted("consistency", "duplicate_key", r.key, dup),
-        counted("consistency", "invalid_region", "region", c("bad_region")),
-        counted("consistency", "invalid_payment_method", "payment_method", c("bad_payment")),
-        _check("timeliness", "date_span_days", "order_date", F.datediff(c("max_date"), c("min_date")), None, total),
-        _check(
-            "timeliness", "data_freshness_days", "order_date", F.datediff(as_of_date(as_of), c("max_date")), None, total
-        ),
-        _check("validity", "min_unit_price", "unit_price", c("min_price"), c("low_price"), total, c("low_price") == 0),
-        _check("validity", "max_unit_price", "unit_price", c("max_price"), c("high_price"), total, c("high_price") == 0),
-        _check(
-            "validity", "min_delivery_days", "delivery_days", c("min_delivery"), c("low_delivery"), total,
-            c("low_delivery") == 0,
-        ),
-        _check(
-            "validity", "max_delivery_days", "delivery_days", c("max_delivery"), c("high_delivery"), total,
-            c("high_delivery") == 0,
-        ),
-        *[
-            _check("statistics", name, column, c(src), None, total)
-            for name, column, src in (
-                ("min_amount", "order_amount", "min_amount"),
-                ("max_amount", "order_amount", "max_amount"),
-                ("avg_amount", "order_amount", "avg_amount"),
-                ("stddev_amount", "order_amount", "stddev_amount"),
-                ("total_revenue", "order_amount", "sum_amount"),
-                ("min_quantity", "quantity", "min_qty"),
-                ("max_quantity", "quantity", "max_qty"),
-                ("avg_quantity", "quantity", "avg_qty"),
-                ("min_delivery", "delivery_days", "min_delivery"),
-                ("max_delivery", "delivery_days", "max_delivery"),
-                ("avg_delivery", "delivery_days", "avg_delivery"),
-            )
-        ],
+    one = silver.selectExpr(
+        "count(1) AS total",
+        f"{distinct_with_null_sql(r.key, r.approx_distinct)} AS keys",
+        f"{distinct_with_null_sql('customer_id', r.approx_distinct)} AS customers",
+        *[f"{_nulls(c)} AS `nulls__{c}`" for c in cols],
+        "count_if(order_amount < 0) AS neg_amount",
+        f"count_if(quantity < {qlo} OR quantity > {qhi}) AS bad_qty",
+        f"count_if({mismatch}) AS mismatch",
+        f"count_if(NOT region IN ({regions})) AS bad_region",
+        f"count_if(NOT payment_method IN ({payments})) AS bad_payment",
+        "min(order_date) AS min_date",
+        "max(order_date) AS max_date",
+        "min(unit_price) AS min_price",
+        "max(unit_price) AS max_price",
+        f"count_if(unit_price < {plo}) AS low_price",
+        f"count_if(unit_price > {phi}) AS high_price",
+        "min(delivery_days) AS min_delivery",
+        "max(delivery_days) AS max_delivery",
+        f"count_if(delivery_days < {dlo}) AS low_delivery",
+        f"count_if(delivery_days > {dhi}) AS high_delivery",
+        "min(order_amount) AS min_amount",
+        "max(order_amount) AS max_amount",
+        f"{money_avg_sql('order_amount')} AS avg_amount",
+        f"{sample_stddev_money_sql('order_amount')} AS stddev_amount",
+        f"CAST(sum({money_sql('order_amount')}) AS DOUBLE) AS sum_amount",
+        "min(quantity) AS min_qty",
+        "max(quantity) AS max_qty",
+        f"{half_up_ratio_sql('sum(quantity)', 'count(quantity)', 2)} AS avg_qty",
+        f"{half_up_ratio_sql('sum(delivery_days)', 'count(delivery_days)', 2)} AS avg_delivery",
+    )
+    # Each row: dimension, check, column, metric (NULL: share of violations),
+    # violations, passed rule ('count': violations = 0, else an expression).
+    N = "NULL"
+    rows = [
+        ("volume", "total_records", None, "total", N, "total > 0"),
+        ("volume", "unique_orders", r.key, "keys", N, N),
+        ("volume", "unique_customers", "customer_id", "customers", N, N),
+        *[("completeness", "null_count", c, N, f"`nulls__{c}`", "count") for c in cols],
+        ("accuracy", "negative_amount", "order_amount", N, "neg_amount", "count"),
+        ("accuracy", "quantity_out_of_range", "quantity", N, "bad_qty", "count"),
+        ("accuracy", "amount_mismatch", "order_amount", N, "mismatch", "count"),
+        ("consistency", "duplicate_key", r.key, N, "total - keys", "count"),
+        ("consistency", "invalid_region", "region", N, "bad_region", "count"),
+        ("consistency", "invalid_payment_method", "payment_method", N, "bad_payment", "count"),
+        ("timeliness", "date_span_days", "order_date", "datediff(max_date, min_date)", N, N),
+        ("timeliness", "data_freshness_days", "order_date", f"datediff({as_of_sql(as_of)}, max_date)", N, N),
+        ("validity", "min_unit_price", "unit_price", "min_price", "low_price", "count"),
+        ("validity", "max_unit_price", "unit_price", "max_price", "high_price", "count"),
+        ("validity", "min_delivery_days", "delivery_days", "min_delivery", "low_delivery", "count"),
+        ("validity", "max_delivery_days", "delivery_days", "max_delivery", "high_delivery", "count"),
+        ("statistics", "min_amount", "order_amount", "min_amount", N, N),
+        ("statistics", "max_amount", "order_amount", "max_amount", N, N),
+        ("statistics", "avg_amount", "order_amount", "avg_amount", N, N),
+        ("statistics", "stddev_amount", "order_amount", "stddev_amount", N, N),
+        ("statistics", "total_revenue", "order_amount", "sum_amount", N, N),
+        ("statistics", "min_quantity", "quantity", "min_qty", N, N),
+        ("statistics", "max_quantity", "quantity", "max_qty", N, N),
+        ("statistics", "avg_quantity", "quantity", "avg_qty", N, N),
+        ("statistics", "min_delivery", "delivery_days", "min_delivery", N, N),
+        ("statistics", "max_delivery", "delivery_days", "max_delivery", N, N),
+        ("statistics", "avg_delivery", "delivery_days", "avg_delivery", N, N),
     ]
-    return one.select(F.explode(F.array(*checks)).alias("r")).select("r.*")
+    stacked = _unpivot(
+        one,
+        [
+            (_lit(d), _lit(n), _lit(c), m, v, "total", "NULL" if p == "count" else p, _lit(p == "count"))
+            for d, n, c, m, v, p in rows
+        ],
+        ["dimension", "check_name", "column_name", "__metric", "violations", "total", "__passed", "__counted"],
+        ["STRING", "STRING", "STRING", "DOUBLE", "BIGINT", "BIGINT", "BOOLEAN", "BOOLEAN"],
+    )
+    return stacked.selectExpr(
+        "dimension",
+        "check_name",
+        "column_name",
+        f"CASE WHEN __counted AND __metric IS NULL THEN {pct_sql('violations', 'total')} ELSE __metric END"
+        " AS metric_value",
+        "violations",
+        "total",
+        "CASE WHEN __counted THEN violations = 0 ELSE __passed END AS passed",
+    )
 
 
 def quality_metrics_row(
@@ -242,25 +250,23 @@ def quality_metrics_row(
     ``check_date`` is ``check_time`` (default: midnight of ``as_of``; the
     current timestamp when neither is given)."""
     report = quality_report(silver, rules, as_of)
-
-    def pick(name: str, column: str | None, field: str = "metric_value") -> Column:
-        cond = F.col("check_name") == name
-        if column is not None:
-            cond = cond & (F.col("column_name") == column)
-        return F.max(F.when(cond, F.col(field)))
-
     if check_time is not None:
-        stamp = F.lit(check_time).cast("timestamp_ntz")
+        stamp = f"TIMESTAMP_NTZ '{check_time.isoformat(sep=' ')}'"
     elif as_of is not None:
-        stamp = as_of_date(as_of).cast("timestamp_ntz")
+        stamp = f"CAST({as_of_sql(as_of)} AS TIMESTAMP_NTZ)"
     else:
-        stamp = F.current_timestamp().cast("timestamp_ntz")
-    return report.agg(
-        stamp.alias("check_date"),
-        pick("total_records", None).cast("long").alias("total_records"),
-        pick("unique_customers", "customer_id").cast("long").alias("unique_customers"),
-        pick("null_count", rules.key, "violations").alias("null_count"),
-        pick("duplicate_key", rules.key, "violations").alias("duplicate_count"),
-        pick("data_freshness_days", "order_date").cast("long").alias("data_freshness_days"),
-        pct(F.count_if(F.col("passed")), F.count("passed")).alias("quality_score_pct"),
+        stamp = "CAST(current_timestamp() AS TIMESTAMP_NTZ)"
+
+    def pick(name: str, column: str | None, fld: str = "metric_value") -> str:
+        cond = f"check_name = {_lit(name)}" + (f" AND column_name = {_lit(column)}" if column else "")
+        return f"max(CASE WHEN {cond} THEN {fld} END)"
+
+    return report.selectExpr(
+        f"{stamp} AS check_date",
+        f"CAST({pick('total_records', None)} AS BIGINT) AS total_records",
+        f"CAST({pick('unique_customers', 'customer_id')} AS BIGINT) AS unique_customers",
+        f"{pick('null_count', rules.key, 'violations')} AS null_count",
+        f"{pick('duplicate_key', rules.key, 'violations')} AS duplicate_count",
+        f"CAST({pick('data_freshness_days', 'order_date')} AS BIGINT) AS data_freshness_days",
+        f"{pct_sql('count_if(passed)', 'count(passed)')} AS quality_score_pct",
     )

@@ -1,9 +1,10 @@
 """Gold sales tables over the silver order table.
 
 Every money total is an exact decimal sum; every rounded figure is an exact
-half-up quotient (``cartwheel.functions.money``).  No operator sorts its
-output: ``ORDER BY`` inside a table creation fixes no stored order, so callers
-sort on read.
+half-up quotient (``cartwheel.functions.money``).  Aggregates are written as
+Spark SQL expressions (one JVM call each).  No operator sorts its output:
+``ORDER BY`` inside a table creation fixes no stored order, so callers sort
+on read.
 """
 
 from __future__ import annotations
@@ -11,39 +12,38 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartwheel.functions.money import cents, half_up_ratio, money, money_avg, money_sum, pct, to_double
+from cartwheel.functions.money import half_up_ratio_sql, money_avg_sql, money_sql, pct_sql
 from cartwheel.operators.ranking import global_row_number
 from cartwheel.operators.stats import percentile_columns
 
+ORDERS = "count(1)"
+RETURNED = "count_if(is_returned = 1)"
+RATE = pct_sql(RETURNED, ORDERS)
+REVENUE_DEC = f"sum({money_sql('order_amount')})"
+REVENUE = f"CAST({REVENUE_DEC} AS DOUBLE)"
+AVG_AMOUNT = money_avg_sql("order_amount")
 
 
-def _returned() -> Column:
-    return F.col("is_returned") == 1
-
-
-def _orders() -> Column:
-    return F.count(F.lit(1))
-
-
-def return_rate_pct() -> Column:
-    """Share of returned orders in percent, 2 dp."""
-    return pct(F.count_if(_returned()), _orders())
+def exprs(*sql: str) -> list[Column]:
+    """SQL expression strings (``expr AS name``) as Columns."""
+    return [F.expr(s) for s in sql]
 
 
 def daily_sales_summary(silver: DataFrame) -> DataFrame:
     """One row per (order_date, region, category)."""
     return silver.groupBy("order_date", "region", "category").agg(
-        _orders().alias("total_orders"),
-        F.count_distinct("customer_id").alias("unique_customers"),
-        to_double(money_sum("order_amount")).alias("total_revenue"),
-        money_avg("order_amount").alias("avg_order_value"),
-        F.min("order_amount").alias("min_order_value"),
-        F.max("order_amount").alias("max_order_value"),
-        F.sum("quantity").alias("total_units_sold"),
-        to_double(F.sum(F.when(_returned(), money("order_amount")).otherwise(money(F.lit(0))))).alias(
-            "returned_amount"
-        ),
-        return_rate_pct().alias("return_rate_pct"),
+        *exprs(
+            f"{ORDERS} AS total_orders",
+            "count(DISTINCT customer_id) AS unique_customers",
+            f"{REVENUE} AS total_revenue",
+            f"{AVG_AMOUNT} AS avg_order_value",
+            "min(order_amount) AS min_order_value",
+            "max(order_amount) AS max_order_value",
+            "sum(quantity) AS total_units_sold",
+            f"CAST(sum(CASE WHEN is_returned = 1 THEN {money_sql('order_amount')} ELSE {money_sql('0')} END)"
+            " AS DOUBLE) AS returned_amount",
+            f"{RATE} AS return_rate_pct",
+        )
     )
 
 
@@ -54,16 +54,18 @@ def product_performance(silver: DataFrame, num_partitions: int | None = None) ->
     product then category, and is computed without a single-partition window.
     """
     agg = silver.groupBy("product_name", "category").agg(
-        _orders().alias("times_purchased"),
-        F.count_distinct("customer_id").alias("unique_customers"),
-        F.sum("quantity").alias("total_units_sold"),
-        money_sum("order_amount").alias("__revenue"),
-        money_avg("order_amount").alias("avg_order_value"),
-        half_up_ratio(F.sum("quantity"), F.count("quantity"), 2).alias("avg_units_per_order"),
-        F.min("order_amount").alias("min_order_value"),
-        F.max("order_amount").alias("max_order_value"),
-        return_rate_pct().alias("return_rate_pct"),
-        half_up_ratio(money_sum("order_amount"), F.sum("quantity"), 2).alias("revenue_per_unit"),
+        *exprs(
+            f"{ORDERS} AS times_purchased",
+            "count(DISTINCT customer_id) AS unique_customers",
+            "sum(quantity) AS total_units_sold",
+            f"{REVENUE_DEC} AS __revenue",
+            f"{AVG_AMOUNT} AS avg_order_value",
+            f"{half_up_ratio_sql('sum(quantity)', 'count(quantity)', 2)} AS avg_units_per_order",
+            "min(order_amount) AS min_order_value",
+            "max(order_amount) AS max_order_value",
+            f"{RATE} AS return_rate_pct",
+            f"{half_up_ratio_sql(REVENUE_DEC, 'sum(quantity)', 2)} AS revenue_per_unit",
+        )
     )
     ranked = global_row_number(
         agg,
@@ -71,13 +73,13 @@ def product_performance(silver: DataFrame, num_partitions: int | None = None) ->
         "revenue_rank",
         num_partitions=num_partitions,
     )
-    return ranked.select(
+    return ranked.selectExpr(
         "product_name",
         "category",
         "times_purchased",
         "unique_customers",
         "total_units_sold",
-        to_double("__revenue").alias("total_revenue"),
+        "CAST(__revenue AS DOUBLE) AS total_revenue",
         "avg_order_value",
         "avg_units_per_order",
         "min_order_value",
@@ -91,14 +93,16 @@ def product_performance(silver: DataFrame, num_partitions: int | None = None) ->
 def regional_analysis(silver: DataFrame) -> DataFrame:
     """One row per region."""
     return silver.groupBy("region").agg(
-        _orders().alias("total_orders"),
-        F.count_distinct("customer_id").alias("unique_customers"),
-        to_double(money_sum("order_amount")).alias("total_revenue"),
-        money_avg("order_amount").alias("avg_order_value"),
-        half_up_ratio(F.sum("delivery_days"), F.count("delivery_days"), 1).alias("avg_delivery_days"),
-        half_up_ratio(money_sum("order_amount"), F.count_distinct("customer_id"), 2).alias("revenue_per_customer"),
-        return_rate_pct().alias("return_rate_pct"),
-        F.sum("quantity").alias("total_units_sold"),
+        *exprs(
+            f"{ORDERS} AS total_orders",
+            "count(DISTINCT customer_id) AS unique_customers",
+            f"{REVENUE} AS total_revenue",
+            f"{AVG_AMOUNT} AS avg_order_value",
+            f"{half_up_ratio_sql('sum(delivery_days)', 'count(delivery_days)', 1)} AS avg_delivery_days",
+            f"{half_up_ratio_sql(REVENUE_DEC, 'count(DISTINCT customer_id)', 2)} AS revenue_per_customer",
+            f"{RATE} AS return_rate_pct",
+            "sum(quantity) AS total_units_sold",
+        )
     )
 
 
@@ -111,10 +115,12 @@ def category_trends(silver: DataFrame, by_year: bool = False) -> DataFrame:
     """
     keys = (["order_year"] if by_year else []) + ["order_month", "category"]
     agg = silver.groupBy(*keys).agg(
-        _orders().alias("order_count"),
-        F.count_distinct("customer_id").alias("unique_customers"),
-        to_double(money_sum("order_amount")).alias("monthly_revenue"),
-        money_avg("order_amount").alias("avg_order_value"),
+        *exprs(
+            f"{ORDERS} AS order_count",
+            "count(DISTINCT customer_id) AS unique_customers",
+            f"{REVENUE} AS monthly_revenue",
+            f"{AVG_AMOUNT} AS avg_order_value",
+        )
     )
     # One row per month (x year) per category: a bounded window partition.
     order = ([F.col("order_year").desc()] if by_year else []) + [F.col("order_month").desc()]
@@ -122,11 +128,15 @@ def category_trends(silver: DataFrame, by_year: bool = False) -> DataFrame:
 
 
 def delivery_performance(silver: DataFrame) -> DataFrame:
-    """One row per (region, delivery_type) with exact delivery-day percentiles."""
+    """One row per (region, delivery_type) with exact delivery-day percentiles.
+
+    Everything is computed from a (group, delivery_days) histogram, which is
+    partial-aggregated before its shuffle: its size is groups x distinct day
+    values, whatever the row count or skew.
+    """
     group = ["region", "delivery_type"]
     hist = silver.groupBy(*group, "delivery_days").agg(
-        F.count(F.lit(1)).alias("__rows"),
-        money_sum("order_amount").alias("__revenue"),
+        *exprs("count(1) AS __rows", f"{REVENUE_DEC} AS __revenue")
     )
     present = hist.filter(F.col("delivery_days").isNotNull())
     pcts = percentile_columns(
@@ -138,15 +148,14 @@ def delivery_performance(silver: DataFrame) -> DataFrame:
         scale=1,
     )
     totals = hist.groupBy(*group).agg(
-        F.sum("__rows").alias("order_count"),
-        half_up_ratio(
-            F.sum(F.col("delivery_days") * F.col("__rows")),
-            F.sum(F.when(F.col("delivery_days").isNotNull(), F.col("__rows"))),
-            1,
-        ).alias("avg_delivery_days"),
-        F.min("delivery_days").alias("min_delivery_days"),
-        F.max("delivery_days").alias("max_delivery_days"),
-        to_double(F.sum("__revenue")).alias("total_revenue"),
+        *exprs(
+            "sum(__rows) AS order_count",
+            half_up_ratio_sql("sum(delivery_days * __rows)", "sum(CASE WHEN delivery_days IS NOT NULL THEN __rows END)", 1)
+            + " AS avg_delivery_days",
+            "min(delivery_days) AS min_delivery_days",
+            "max(delivery_days) AS max_delivery_days",
+            "CAST(sum(__revenue) AS DOUBLE) AS total_revenue",
+        )
     )
     # Both sides hold one row per (region, delivery_type).
     out = totals.join(pcts, group, "left")
@@ -168,20 +177,21 @@ def share_of_total(grouped: DataFrame, part_cents: str, out_col: str, scale: int
 
     The grand total is a window over the *group rows* — no second scan of the
     detail table as a scalar subquery would do."""
-    total = F.sum(part_cents).over(Window.partitionBy())
-    return grouped.withColumn(out_col, pct(F.col(part_cents), total, scale))
+    return grouped.withColumn(out_col, F.expr(pct_sql(part_cents, f"sum({part_cents}) OVER ()", scale)))
 
 
 def payment_analysis(silver: DataFrame) -> DataFrame:
     """One row per payment method, with its share of total revenue."""
     agg = silver.groupBy("payment_method").agg(
-        _orders().alias("transaction_count"),
-        F.count_distinct("customer_id").alias("unique_users"),
-        to_double(money_sum("order_amount")).alias("total_revenue"),
-        money_avg("order_amount").alias("avg_transaction_value"),
-        return_rate_pct().alias("return_rate_pct"),
-        half_up_ratio(F.sum("delivery_days"), F.count("delivery_days"), 1).alias("avg_delivery_days"),
-        half_up_ratio(money_sum("order_amount"), F.count_distinct("customer_id"), 2).alias("revenue_per_customer"),
-        F.sum(cents("order_amount")).alias("__cents"),
+        *exprs(
+            f"{ORDERS} AS transaction_count",
+            "count(DISTINCT customer_id) AS unique_users",
+            f"{REVENUE} AS total_revenue",
+            f"{AVG_AMOUNT} AS avg_transaction_value",
+            f"{RATE} AS return_rate_pct",
+            f"{half_up_ratio_sql('sum(delivery_days)', 'count(delivery_days)', 1)} AS avg_delivery_days",
+            f"{half_up_ratio_sql(REVENUE_DEC, 'count(DISTINCT customer_id)', 2)} AS revenue_per_customer",
+            "sum(CAST(order_amount * 100 AS DECIMAL(38,0))) AS __cents",
+        )
     )
     return share_of_total(agg, "__cents", "pct_of_total_revenue").drop("__cents")

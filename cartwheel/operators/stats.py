@@ -19,10 +19,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from fractions import Fraction
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.functions.money import half_up_ratio
+from cartwheel.functions.money import half_up_ratio_sql
 
 
 def _frac(p: float) -> Fraction:
@@ -39,34 +39,26 @@ def percentile_columns(
 ) -> DataFrame:
     """Given a histogram ``(group..., value, count)``, return per group the
     exact interpolated percentiles named in ``percentiles`` (rounded half up
-    to ``scale`` places) plus ``__n`` (rows in the group)."""
-    w_cum = Window.partitionBy(*group).orderBy(F.col(value).asc()).rowsBetween(Window.unboundedPreceding, 0)
-    w_all = Window.partitionBy(*group)
-    h = hist.withColumn("__cum", F.sum(count).over(w_cum)).withColumn("__n", F.sum(count).over(w_all))
-    aggs: list[Column] = [F.first("__n").alias("__n")]
+    to ``scale`` places)."""
+    part = ", ".join(f"`{g}`" for g in group)
+    h = hist.selectExpr(
+        *[f"`{g}`" for g in group],
+        f"`{value}` AS __v",
+        f"`{count}` AS __c",
+        f"sum(`{count}`) OVER (PARTITION BY {part} ORDER BY `{value}` ASC"
+        " ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS __cum",
+        f"sum(`{count}`) OVER (PARTITION BY {part}) AS __n",
+    )
+    aggs = []
     for name, p in percentiles.items():
         fr = _frac(p)
         k, d = fr.numerator, fr.denominator
-        pos_num = (F.col("__n") - 1) * k
-        lo = F.call_function("div", pos_num, F.lit(d))
-        rem = pos_num - lo * d
-        hi = F.when(rem > 0, lo + 1).otherwise(lo)
-        holds = lambda i: (F.col("__cum") - F.col(count) <= i) & (i < F.col("__cum"))
-        h = (
-            h.withColumn(f"__{name}_a", F.when(holds(lo), F.col(value)))
-            .withColumn(f"__{name}_b", F.when(holds(hi), F.col(value)))
-            .withColumn(f"__{name}_r", rem)
-        )
-        aggs += [
-            F.max(f"__{name}_a").alias(f"__{name}_a"),
-            F.max(f"__{name}_b").alias(f"__{name}_b"),
-            F.max(f"__{name}_r").alias(f"__{name}_r"),
-        ]
-    out = h.groupBy(*group).agg(*aggs)
-    for name, p in percentiles.items():
-        d = _frac(p).denominator
-        a, b, r = F.col(f"__{name}_a"), F.col(f"__{name}_b"), F.col(f"__{name}_r")
-        out = out.withColumn(name, half_up_ratio(a * d + r * (b - a), F.lit(d), scale)).drop(
-            f"__{name}_a", f"__{name}_b", f"__{name}_r"
-        )
-    return out
+        pos = f"((__n - 1) * {k})"
+        lo = f"({pos} div {d})"
+        rem = f"({pos} - {lo} * {d})"
+        hi = f"({lo} + CASE WHEN {rem} > 0 THEN 1 ELSE 0 END)"
+        a = f"max(CASE WHEN __cum - __c <= {lo} AND {lo} < __cum THEN __v END)"
+        b = f"max(CASE WHEN __cum - __c <= {hi} AND {hi} < __cum THEN __v END)"
+        r = f"max({rem})"
+        aggs.append(F.expr(f"{half_up_ratio_sql(f'{a} * {d} + {r} * ({b} - {a})', str(d), scale)} AS `{name}`"))
+    return h.groupBy(*group).agg(*aggs)

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.functions.money import cents, half_up_ratio, money_sum, pct, to_double
+from cartwheel.functions.money import half_up_ratio_sql, money_sql, pct_sql
 from cartwheel.operators.ranking import top_n_per_group
 
 
@@ -19,24 +19,23 @@ def revenue_trends(silver: DataFrame, window: int = 7, limit: int | None = None)
     the moving average is exact to 6 dp (the scale of a decimal average);
     growth is rounded half-up to 2 dp and NULL on the first row or a zero
     previous day.  The reference's ``LIMIT 100`` truncated the table; here
-    ``limit`` is opt-in.
+    ``limit`` is opt-in.  All frames share one partitioning and ordering, so
+    Spark evaluates them in one Window operator after one sort.
     """
-    daily = silver.groupBy("order_date", "region").agg(money_sum("order_amount").alias("__daily"))
-    # One window spec: Spark evaluates all frames in one Window node after one sort.
-    w = Window.partitionBy("region").orderBy("order_date")
-    run = w.rowsBetween(Window.unboundedPreceding, 0)
-    trail = w.rowsBetween(-(window - 1), 0)
-    prev = F.lag("__daily", 1).over(w)
-    out = daily.select(
+    daily = silver.groupBy("order_date", "region").agg(F.expr(f"sum({money_sql('order_amount')}) AS __daily"))
+    spec = "PARTITION BY region ORDER BY order_date"
+    prev = f"lag(__daily, 1) OVER ({spec})"
+    trail = f"({spec} ROWS BETWEEN {window - 1} PRECEDING AND CURRENT ROW)"
+    out = daily.selectExpr(
         "order_date",
         "region",
-        to_double("__daily").alias("daily_revenue"),
-        to_double(F.sum("__daily").over(run)).alias("cumulative_revenue"),
-        to_double(prev).alias("prev_day_revenue"),
-        pct(cents("__daily") - cents(prev), cents(prev)).alias("revenue_growth_pct"),
-        half_up_ratio(F.sum("__daily").over(trail), F.count("__daily").over(trail), 6).alias(
-            f"moving_avg_{window}day"
-        ),
+        "CAST(__daily AS DOUBLE) AS daily_revenue",
+        f"CAST(sum(__daily) OVER ({spec} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE)"
+        " AS cumulative_revenue",
+        f"CAST({prev} AS DOUBLE) AS prev_day_revenue",
+        f"{pct_sql(f'(__daily - {prev}) * 100', f'{prev} * 100')} AS revenue_growth_pct",
+        f"{half_up_ratio_sql(f'sum(__daily) OVER {trail}', f'count(__daily) OVER {trail}', 6)}"
+        f" AS moving_avg_{window}day",
     )
     if limit is not None:
         out = out.orderBy(F.col("region").asc(), F.col("order_date").desc()).limit(limit)
@@ -50,9 +49,9 @@ def top_products_by_group(silver: DataFrame, group: str = "region", n: int = 5)
     each group yields exactly ``min(n, products)`` rows.
     """
     agg = silver.groupBy(group, "product_name", "category").agg(
-        money_sum("order_amount").alias("__revenue"),
-        F.sum("quantity").alias("total_units"),
-        F.count(F.lit(1)).alias("order_count"),
+        F.expr(f"sum({money_sql('order_amount')}) AS __revenue"),
+        F.expr("sum(quantity) AS total_units"),
+        F.expr("count(1) AS order_count"),
     )
     ranked = top_n_per_group(
         agg,
@@ -61,11 +60,11 @@ def top_products_by_group(silver: DataFrame, group: str = "region", n: int = 5)
         n,
         out_col=f"rank_in_{group}",
     )
-    return ranked.select(
+    return ranked.selectExpr(
         group,
         "product_name",
         "category",
-        to_double("__revenue").alias("total_revenue"),
+        "CAST(__revenue AS DOUBLE) AS total_revenue",
         "total_units",
         "order_count",
         f"rank_in_{group}",

@@ -13,7 +13,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cartwheel.operators import quality as Q
-from cartwheel.operators.cleaning import clean_transactions
 from cartwheel.operators.customers import cohort_retention, customer_metrics, rfm_segmentation
 from cartwheel.operators.sales import (
     category_trends,
@@ -25,8 +24,9 @@ from cartwheel.operators.sales import (
 )
 from cartwheel.operators.trends import revenue_trends, top_products_by_group
 from cartwheel.plans import dashboard as D
+from cartwheel.plans.pipeline import silver_from_star, silver_layer
 from cartwheel.plans.validate import acceptance_suite
-from cartwheel.sources.star import SOURCE_KEYS, load_star, transactions_from_star
+from cartwheel.sources.star import load_star, transactions_from_star
 
 AS_OF = _dt.date(2002, 1, 1)
 
@@ -41,11 +41,17 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transactions_from_star(load_star(spark, sf_dir))
 
 
+def silver_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver computed from the star tables: typed, filtered, de-duplicated on
+    the source line key (equivalent to ``order_id`` and already the
+    partitioning of the last join)."""
+    return silver_from_star(spark, sf_dir, AS_OF)
+
+
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silver from the star: de-duplicated on the source line key, which is
-    equivalent to ``order_id`` and already the partitioning of the last join."""
-    raw = transactions_from_star(load_star(spark, sf_dir), keep_source_keys=True)
-    return clean_transactions(raw, as_of=AS_OF, dedup_keys=SOURCE_KEYS)
+    """The written silver layer (built once per input and code version), which
+    the gold queries scan — as the reference's gold SQL reads its silver table."""
+    return silver_layer(spark, sf_dir, AS_OF)
 
 
 def _on_silver(fn: Callable[[DataFrame], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -57,7 +63,7 @@ def _segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "silver_orders": silver,
+    "silver_orders": silver_build,
     "daily_sales_summary": _on_silver(daily_sales_summary),
     "customer_metrics": _on_silver(lambda s: customer_metrics(s, AS_OF)),
     "product_performance": _on_silver(product_performance),

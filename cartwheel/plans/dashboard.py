@@ -5,18 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.functions.money import cents, money_avg, money_sum, pct, to_double
-from cartwheel.operators.sales import product_performance, regional_analysis, share_of_total
+from cartwheel.functions.money import money_sql
+from cartwheel.operators.sales import AVG_AMOUNT, RATE, REVENUE, exprs, product_performance, regional_analysis, share_of_total
 
 
 def kpi_summary(silver: DataFrame) -> DataFrame:
     """One row: customers, orders, revenue, average order value, return rate."""
     return silver.agg(
-        F.count_distinct("customer_id").alias("total_customers"),
-        F.count(F.lit(1)).alias("total_orders"),
-        to_double(money_sum("order_amount")).alias("total_revenue"),
-        money_avg("order_amount").alias("avg_order_value"),
-        pct(F.count_if(F.col("is_returned") == 1), F.count(F.lit(1))).alias("return_rate_pct"),
+        *exprs(
+            "count(DISTINCT customer_id) AS total_customers",
+            "count(1) AS total_orders",
+            f"{REVENUE} AS total_revenue",
+            f"{AVG_AMOUNT} AS avg_order_value",
+            f"{RATE} AS return_rate_pct",
+        )
     )
 
 
@@ -25,7 +27,7 @@ def revenue_by_region(silver: DataFrame) -> DataFrame:
 
 
 def daily_revenue_trend(silver: DataFrame) -> DataFrame:
-    return silver.groupBy("order_date").agg(to_double(money_sum("order_amount")).alias("revenue"))
+    return silver.groupBy("order_date").agg(F.expr(f"{REVENUE} AS revenue"))
 
 
 def top_products(silver: DataFrame, n: int = 10) -> DataFrame:
@@ -39,9 +41,11 @@ def top_products(silver: DataFrame, n: int = 10) -> DataFrame:
 
 def category_distribution(silver: DataFrame) -> DataFrame:
     grouped = silver.groupBy("category").agg(
-        F.count(F.lit(1)).alias("orders"),
-        to_double(money_sum("order_amount")).alias("revenue"),
-        F.sum(cents("order_amount")).alias("__cents"),
+        *exprs(
+            "count(1) AS orders",
+            f"{REVENUE} AS revenue",
+            "sum(CAST(order_amount * 100 AS DECIMAL(38,0))) AS __cents",
+        )
     )
     return share_of_total(grouped, "__cents", "pct_of_total_revenue").drop("__cents")
 
@@ -49,6 +53,5 @@ def category_distribution(silver: DataFrame) -> DataFrame:
 def customer_segments(segmentation: DataFrame) -> DataFrame:
     """Customers and revenue per RFM segment."""
     return segmentation.groupBy("customer_segment").agg(
-        F.count(F.lit(1)).alias("customers"),
-        to_double(money_sum("lifetime_value")).alias("revenue"),
+        *exprs("count(1) AS customers", f"CAST(sum({money_sql('lifetime_value')}) AS DOUBLE) AS revenue")
     )

@@ -17,18 +17,27 @@ delivery_days      ``1 + pmod(datediff(l_shipdate, o_orderdate), 30)``
 is_returned        ``l_returnflag = 'R'`` as 0/1
 =================  ====================================================
 
-Join plan (all inner equi-joins).  The customer dimension is enriched on the
-order side (orders are ~1/4 of line items), then line items meet parts and
-finally orders on ``orderkey``.  Ending on the orderkey join leaves the rows
-hash-partitioned by ``l_orderkey``, so the silver de-duplication on the line
-key (``l_orderkey, l_linenumber``, kept as ``source_keys``) needs no further
-shuffle.  Strategies are Spark's: dimension sides whose estimated size is
-under ``spark.sql.autoBroadcastJoinThreshold`` are broadcast, others
-sort-merge, and AQE re-plans on the measured sizes.
+Join plan (all inner equi-joins).  The customer dimension (customer ->
+nation -> region) is resolved on the order side, which is ~1/4 of the line
+items.  The fact then meets orders on ``orderkey`` *last* whenever possible,
+so that the rows leave the join hash-partitioned by ``l_orderkey`` and the
+silver de-duplication on the line key (``SOURCE_KEYS``) adds no shuffle:
+
+* part fits the broadcast threshold (checked on Catalyst's size estimate of
+  the pruned part scan): ``(lineitem ⋈ orders) ⋈ broadcast part`` — the part
+  columns join on the reduce side, the partitioning survives;
+* otherwise: ``(lineitem ⋈ part) ⋈ orders`` — two shuffles of the fact, the
+  second on ``orderkey``.
+
+Spark picks every strategy itself (broadcast below
+``spark.sql.autoBroadcastJoinThreshold``, else sort-merge) and AQE re-plans on
+measured sizes; skewed join keys are split by AQE's skew-join handling.
 """
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,9 +45,42 @@ STAR_TABLES = ("region", "nation", "customer", "part", "orders", "lineitem")
 
 SOURCE_KEYS = ("l_orderkey", "l_linenumber")
 
+_CACHE: dict[tuple[str, str, tuple], dict[str, DataFrame]] = {}
+
+
+def _fingerprint(sf_dir: str, names) -> tuple:
+    out = []
+    for n in names:
+        try:
+            st = os.stat(f"{sf_dir}/{n}.parquet")
+            out.append((n, st.st_size, int(st.st_mtime)))
+        except OSError:  # remote storage: no local stat, rely on the path
+            out.append((n, None, None))
+    return tuple(out)
+
 
 def load_star(spark: SparkSession, sf_dir: str, names=STAR_TABLES) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in names}
+    """Scan DataFrames of the star tables, reused within a session (file
+    listing and footer reads happen once per directory)."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), _fingerprint(sf_dir, names))
+    cached = _CACHE.get(key)
+    if cached is None:
+        cached = {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in names}
+        _CACHE[key] = cached
+    return cached
+
+
+def broadcast_threshold(spark: SparkSession) -> int:
+    raw = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB")).strip().lower()
+    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
+    for suffix in sorted(units, key=len, reverse=True):
+        if raw.endswith(suffix):
+            return int(float(raw[: -len(suffix)]) * units[suffix])
+    return int(raw)
+
+
+def _estimated_bytes(df: DataFrame) -> int:
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def transactions_from_star(tables: dict[str, DataFrame], keep_source_keys: bool = False) -> DataFrame:
@@ -57,8 +99,13 @@ def transactions_from_star(tables: dict[str, DataFrame], keep_source_keys: bool
     orders_x = orders.join(cust, orders.o_custkey == cust.c_custkey).select(
         "o_orderkey", "c_custkey", "o_orderdate", "o_orderpriority", "r_name"
     )
-    lines = lineitem.join(part, lineitem.l_partkey == part.p_partkey)
-    joined = lines.join(orders_x, lines.l_orderkey == orders_x.o_orderkey)
+    threshold = broadcast_threshold(part.sparkSession)
+    if 0 <= _estimated_bytes(part) <= threshold:
+        with_orders = lineitem.join(orders_x, lineitem.l_orderkey == orders_x.o_orderkey)
+        joined = with_orders.join(part, with_orders.l_partkey == part.p_partkey)
+    else:
+        lines = lineitem.join(part, lineitem.l_partkey == part.p_partkey)
+        joined = lines.join(orders_x, lines.l_orderkey == orders_x.o_orderkey)
 
     cols = [
         F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string")).alias(
