@@ -13,7 +13,7 @@ import datetime as _dt
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartwheel.functions.money import half_up_ratio_sql, money_avg_sql, money_sql, pct_sql, sample_stddev_money_sql
@@ -56,6 +56,13 @@ def distinct_with_null_sql(c: str, approx: bool = False) -> str:
     return f"({base} + coalesce(max(CAST({_q(c)} IS NULL AS INT)), 0))"
 
 
+def distinct_count(df: DataFrame, c: str) -> Column:
+    """Exact ``select(c).distinct().count()`` (NULL is one value) as a scalar
+    subquery Column: a partial-aggregated ``groupBy(c)`` (a hot value collapses
+    map-side) instead of an Expand next to unrelated aggregates."""
+    return df.select(c).distinct().selectExpr("count(1)").scalar()
+
+
 def _nulls(c: str) -> str:
     return f"count_if({_q(c)} IS NULL)"
 
@@ -86,8 +93,15 @@ def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
 
 def duplicate_count(df: DataFrame, key: str = "order_id", approx: bool = False) -> DataFrame:
     """``total_rows, distinct_keys, duplicate_count`` (NULL counted as a key value)."""
-    d = distinct_with_null_sql(key, approx)
-    return df.selectExpr("count(1) AS total_rows", f"{d} AS distinct_keys", f"count(1) - {d} AS duplicate_count")
+    if approx:
+        d = distinct_with_null_sql(key, approx)
+        return df.selectExpr("count(1) AS total_rows", f"{d} AS distinct_keys", f"count(1) - {d} AS duplicate_count")
+    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("__c"))
+    return per_key.selectExpr(
+        "coalesce(sum(__c), 0) AS total_rows",
+        "count(1) AS distinct_keys",
+        "coalesce(sum(__c), 0) - count(1) AS duplicate_count",
+    )
 
 
 def profile(
@@ -103,7 +117,6 @@ def profile(
     record count, distinct counts, NULLs per column and in total, price
     min/max/mean, date range, negatives, out-of-range counts, duplicates."""
     sql = ["count(1) AS record_count"]
-    sql += [f"{distinct_with_null_sql(c)} AS distinct_{c}" for c in distinct_columns]
     sql.append(f"CAST({' + '.join(_nulls(c) for c in df.columns)} AS BIGINT) AS null_total")
     sql += [f"{_nulls(c)} AS `nulls__{c}`" for c in df.columns]
     sql += [
@@ -116,8 +129,14 @@ def profile(
     sql += [f"count_if({c} < 0) AS negative_{c}" for c in non_negative]
     for c, (lo, hi) in (ranges or {}).items():
         sql.append(f"count_if({c} < {lo} OR {c} > {hi}) AS out_of_range_{c}")
-    sql.append(f"count(1) - {distinct_with_null_sql(key)} AS duplicate_{key}")
-    return df.selectExpr(*sql)
+    main = df.selectExpr(*sql)
+    distinct = {c: distinct_count(df, c) for c in dict.fromkeys([*distinct_columns, key])}
+    return main.select(
+        "record_count",
+        *[distinct[c].alias(f"distinct_{c}") for c in distinct_columns],
+        *[c for c in main.columns if c != "record_count"],
+        (F.col("record_count") - distinct[key]).alias(f"duplicate_{key}"),
+    )
 
 
 REPORT_COLUMNS = ["dimension", "check_name", "column_name", "metric_value", "violations", "total", "passed"]
@@ -152,10 +171,8 @@ def quality_report(
         f"abs({money_sql('order_amount')} - {q_dec} * {money_sql('unit_price')})"
         f" > {q_dec} * 0.005BD + 0.005BD"
     )
-    one = silver.selectExpr(
+    main_sql = [
         "count(1) AS total",
-        f"{distinct_with_null_sql(r.key, r.approx_distinct)} AS keys",
-        f"{distinct_with_null_sql('customer_id', r.approx_distinct)} AS customers",
         *[f"{_nulls(c)} AS `nulls__{c}`" for c in cols],
         "count_if(order_amount < 0) AS neg_amount",
         f"count_if(quantity < {qlo} OR quantity > {qhi}) AS bad_qty",
@@ -181,7 +198,19 @@ def quality_report(
         "max(quantity) AS max_qty",
         f"{half_up_ratio_sql('sum(quantity)', 'count(quantity)', 2)} AS avg_qty",
         f"{half_up_ratio_sql('sum(delivery_days)', 'count(delivery_days)', 2)} AS avg_delivery",
-    )
+    ]
+    if r.approx_distinct:  # HyperLogLog sketches: ordinary aggregates in the same pass
+        one = silver.selectExpr(
+            *main_sql,
+            f"{distinct_with_null_sql(r.key, True)} AS keys",
+            f"{distinct_with_null_sql('customer_id', True)} AS customers",
+        )
+    else:  # exact: partial-aggregated group-bys, attached as scalar subqueries
+        one = silver.selectExpr(*main_sql).select(
+            "*",
+            distinct_count(silver, r.key).alias("keys"),
+            distinct_count(silver, "customer_id").alias("customers"),
+        )
     # Each row: dimension, check, column, metric (NULL: share of violations),
     # violations, passed rule ('count': violations = 0, else an expression).
     N = "NULL"

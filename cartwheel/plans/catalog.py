@@ -24,9 +24,8 @@ from cartwheel.operators.sales import (
 )
 from cartwheel.operators.trends import revenue_trends, top_products_by_group
 from cartwheel.plans import dashboard as D
-from cartwheel.plans.pipeline import silver_from_star, silver_layer
+from cartwheel.plans.pipeline import bronze_layer, silver_from_star, silver_layer
 from cartwheel.plans.validate import acceptance_suite
-from cartwheel.sources.star import load_star, transactions_from_star
 
 AS_OF = _dt.date(2002, 1, 1)
 
@@ -38,7 +37,8 @@ STAR_RULES = Q.QualityRules(valid_regions=STAR_REGIONS, valid_payment_methods=ST
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return transactions_from_star(load_star(spark, sf_dir))
+    """The written bronze layer (the star mapped to the raw transaction layout)."""
+    return bronze_layer(spark, sf_dir)
 
 
 def silver_build(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -91,6 +91,19 @@ def silver_from_star(spark: SparkSession, sf_dir: str, as_of: _dt.date) -> DataF
     return clean_transactions(raw, as_of=as_of, dedup_keys=star_source.SOURCE_KEYS)
 
 
+def bronze_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The written bronze layer of ``sf_dir`` (built on first use)."""
+    import cartwheel.schemas as schemas_mod
+
+    files = star_source._fingerprint(sf_dir, star_source.STAR_TABLES)
+    key = hashlib.sha256(
+        repr((os.path.abspath(sf_dir), files)).encode() + code_fingerprint(star_source, schemas_mod).encode()
+    ).hexdigest()[:20]
+    return materialize(
+        spark, "bronze", key, lambda: star_source.transactions_from_star(star_source.load_star(spark, sf_dir))
+    )
+
+
 def silver_layer(spark: SparkSession, sf_dir: str, as_of: _dt.date) -> DataFrame:
     """The written silver layer of ``sf_dir`` (built on first use)."""
     import cartwheel.functions.money as money_mod

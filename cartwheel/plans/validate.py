@@ -12,6 +12,9 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from cartwheel.operators.quality import distinct_count
 
 REQUIRED_TABLES = (
     "ecommerce_bronze",
@@ -110,18 +113,16 @@ def acceptance_suite(tables: Mapping[str, DataFrame], exp: Expectations = Expect
     silver = tables.get("ecommerce_silver")
     if silver is not None:
         nulls = " + ".join(f"count_if(`{c}` IS NULL)" for c in silver.columns)
-        distinct = "(count(DISTINCT order_id) + coalesce(max(CAST(order_id IS NULL AS INT)), 0))"
         one = silver.selectExpr(
             "count(1) AS n",
             f"{nulls} AS nulls",
-            f"count(1) - {distinct} AS dups",
             "min(unit_price) AS pmin",
             "max(unit_price) AS pmax",
             "min(quantity) AS qmin",
             "max(quantity) AS qmax",
             "min(delivery_days) AS dmin",
             "max(delivery_days) AS dmax",
-        )
+        ).select("*", (F.col("n") - distinct_count(silver, "order_id")).alias("dups"))
         plo, phi = exp.price_range
         qlo, qhi = exp.quantity_range
         dlo, dhi = exp.delivery_range
