@@ -29,9 +29,11 @@ silver de-duplication on the line key (``SOURCE_KEYS``) adds no shuffle:
 * otherwise: ``(lineitem ⋈ part) ⋈ orders`` — two shuffles of the fact, the
   second on ``orderkey``.
 
-Spark picks every strategy itself (broadcast below
-``spark.sql.autoBroadcastJoinThreshold``, else sort-merge) and AQE re-plans on
-measured sizes; skewed join keys are split by AQE's skew-join handling.
+The fact-to-orders join is pinned to sort-merge (both sides grow with the
+data; a column-pruned fact scan must never be broadcast).  The dimension joins
+are Spark's choice (broadcast below ``spark.sql.autoBroadcastJoinThreshold``,
+else sort-merge) and AQE re-plans on measured sizes; skewed join keys are
+split by AQE's skew-join handling.
 """
 
 from __future__ import annotations
@@ -99,6 +101,10 @@ def transactions_from_star(tables: dict[str, DataFrame], keep_source_keys: bool
     orders_x = orders.join(cust, orders.o_custkey == cust.c_custkey).select(
         "o_orderkey", "c_custkey", "o_orderdate", "o_orderpriority", "r_name"
     )
+    # Fact x orders: both grow with the data, so always a sort-merge join on
+    # orderkey (a pruned fact scan can look small enough to broadcast; it must
+    # not be).  Its output stays hash-partitioned by l_orderkey.
+    orders_x = orders_x.hint("merge")
     threshold = broadcast_threshold(part.sparkSession)
     if 0 <= _estimated_bytes(part) <= threshold:
         with_orders = lineitem.join(orders_x, lineitem.l_orderkey == orders_x.o_orderkey)
