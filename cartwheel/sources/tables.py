@@ -44,8 +44,18 @@ def _fs(spark: SparkSession, target: str):
 
 
 def _reads_target(df: DataFrame, target: str) -> bool:
-    plan = df._jdf.queryExecution().analyzed().toString()
-    return target.rstrip("/") in plan
+    """Does ``df`` scan files of ``target`` (path or catalog table)?"""
+    spark = df.sparkSession
+    if _is_path(target):
+        fs, path = _fs(spark, target)
+        prefix = fs.makeQualified(path).toString().rstrip("/") + "/"
+    else:
+        loc = spark.sql(f"DESCRIBE TABLE EXTENDED {target}").filter("col_name = 'Location'").collect()
+        if not loc:
+            return False
+        prefix = loc[0].data_type.rstrip("/") + "/"
+    norm = lambda f: f.replace("file:///", "file:/")
+    return any(norm(f).startswith(norm(prefix)) for f in df.inputFiles())
 
 
 def write_table(
