@@ -86,9 +86,15 @@ def materialize(spark: SparkSession, name: str, fingerprint: str, build: Callabl
 
 
 def silver_from_star(spark: SparkSession, sf_dir: str, as_of: _dt.date) -> DataFrame:
-    """Silver computed from the star tables (no materialisation)."""
-    raw = star_source.transactions_from_star(star_source.load_star(spark, sf_dir), keep_source_keys=True)
-    return clean_transactions(raw, as_of=as_of, dedup_keys=star_source.SOURCE_KEYS)
+    """Silver computed from the star tables (no materialisation).
+
+    De-duplication runs on ``order_id`` with its own exchange rather than
+    reusing the orderkey join's partitioning: the exchange is preceded by a
+    partial WindowGroupLimit, so copies of a line collapse in each map task
+    (a line copied into a third of all rows ships one row per task), and AQE
+    stays free to split a skewed orderkey partition of the join."""
+    raw = star_source.transactions_from_star(star_source.load_star(spark, sf_dir))
+    return clean_transactions(raw, as_of=as_of)
 
 
 def bronze_layer(spark: SparkSession, sf_dir: str) -> DataFrame:

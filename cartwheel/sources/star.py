@@ -19,15 +19,15 @@ is_returned        ``l_returnflag = 'R'`` as 0/1
 
 Join plan (all inner equi-joins).  The customer dimension (customer ->
 nation -> region) is resolved on the order side, which is ~1/4 of the line
-items.  The fact then meets orders on ``orderkey`` *last* whenever possible,
-so that the rows leave the join hash-partitioned by ``l_orderkey`` and the
-silver de-duplication on the line key (``SOURCE_KEYS``) adds no shuffle:
+items.  Part joins the fact on whichever side keeps the fact's shuffles
+fewest:
 
 * part fits the broadcast threshold (checked on Catalyst's size estimate of
-  the pruned part scan): ``(lineitem ⋈ orders) ⋈ broadcast part`` — the part
-  columns join on the reduce side, the partitioning survives;
-* otherwise: ``(lineitem ⋈ part) ⋈ orders`` — two shuffles of the fact, the
-  second on ``orderkey``.
+  the pruned part scan): ``(lineitem ⋈ orders) ⋈ broadcast part`` — one
+  shuffle of the fact, and the part columns are added on the reduce side
+  instead of travelling through it;
+* otherwise: ``(lineitem ⋈ part) ⋈ orders`` — a sort-merge join on partkey,
+  then on orderkey.
 
 The fact-to-orders join is pinned to sort-merge (both sides grow with the
 data; a column-pruned fact scan must never be broadcast).  The dimension joins
