@@ -24,17 +24,24 @@ REVENUE = f"CAST({REVENUE_DEC} AS DOUBLE)"
 AVG_AMOUNT = money_avg_sql("order_amount")
 
 
+def distinct_customers(approx: bool = False, rsd: float = 0.01) -> str:
+    """Distinct customers of a group: exact by default; HyperLogLog (relative
+    standard deviation ``rsd``) when ``approx`` — one fixed-size sketch per
+    group instead of a (group, customer) shuffle."""
+    return f"approx_count_distinct(customer_id, {rsd})" if approx else "count(DISTINCT customer_id)"
+
+
 def exprs(*sql: str) -> list[Column]:
     """SQL expression strings (``expr AS name``) as Columns."""
     return [F.expr(s) for s in sql]
 
 
-def daily_sales_summary(silver: DataFrame) -> DataFrame:
+def daily_sales_summary(silver: DataFrame, approx_distinct: bool = False) -> DataFrame:
     """One row per (order_date, region, category)."""
     return silver.groupBy("order_date", "region", "category").agg(
         *exprs(
             f"{ORDERS} AS total_orders",
-            "count(DISTINCT customer_id) AS unique_customers",
+            f"{distinct_customers(approx_distinct)} AS unique_customers",
             f"{REVENUE} AS total_revenue",
             f"{AVG_AMOUNT} AS avg_order_value",
             "min(order_amount) AS min_order_value",
@@ -47,7 +54,9 @@ def daily_sales_summary(silver: DataFrame) -> DataFrame:
     )
 
 
-def product_performance(silver: DataFrame, num_partitions: int | None = None) -> DataFrame:
+def product_performance(
+    silver: DataFrame, num_partitions: int | None = None, approx_distinct: bool = False
+) -> DataFrame:
     """One row per (product_name, category) with a global revenue rank.
 
     ``revenue_rank`` orders by the exact (unrounded) revenue, ties broken by
@@ -56,7 +65,7 @@ def product_performance(silver: DataFrame, num_partitions: int | None = None) ->
     agg = silver.groupBy("product_name", "category").agg(
         *exprs(
             f"{ORDERS} AS times_purchased",
-            "count(DISTINCT customer_id) AS unique_customers",
+            f"{distinct_customers(approx_distinct)} AS unique_customers",
             "sum(quantity) AS total_units_sold",
             f"{REVENUE_DEC} AS __revenue",
             f"{AVG_AMOUNT} AS avg_order_value",
@@ -90,23 +99,23 @@ def product_performance(silver: DataFrame, num_partitions: int | None = None) ->
     )
 
 
-def regional_analysis(silver: DataFrame) -> DataFrame:
+def regional_analysis(silver: DataFrame, approx_distinct: bool = False) -> DataFrame:
     """One row per region."""
     return silver.groupBy("region").agg(
         *exprs(
             f"{ORDERS} AS total_orders",
-            "count(DISTINCT customer_id) AS unique_customers",
+            f"{distinct_customers(approx_distinct)} AS unique_customers",
             f"{REVENUE} AS total_revenue",
             f"{AVG_AMOUNT} AS avg_order_value",
             f"{half_up_ratio_sql('sum(delivery_days)', 'count(delivery_days)', 1)} AS avg_delivery_days",
-            f"{half_up_ratio_sql(REVENUE_DEC, 'count(DISTINCT customer_id)', 2)} AS revenue_per_customer",
+            f"{half_up_ratio_sql(REVENUE_DEC, distinct_customers(approx_distinct), 2)} AS revenue_per_customer",
             f"{RATE} AS return_rate_pct",
             "sum(quantity) AS total_units_sold",
         )
     )
 
 
-def category_trends(silver: DataFrame, by_year: bool = False) -> DataFrame:
+def category_trends(silver: DataFrame, by_year: bool = False, approx_distinct: bool = False) -> DataFrame:
     """One row per (order_month, category); ``month_rank`` 1 = latest month.
 
     As in the reference, ``order_month`` carries no year, so the same month of
@@ -117,7 +126,7 @@ def category_trends(silver: DataFrame, by_year: bool = False) -> DataFrame:
     agg = silver.groupBy(*keys).agg(
         *exprs(
             f"{ORDERS} AS order_count",
-            "count(DISTINCT customer_id) AS unique_customers",
+            f"{distinct_customers(approx_distinct)} AS unique_customers",
             f"{REVENUE} AS monthly_revenue",
             f"{AVG_AMOUNT} AS avg_order_value",
         )
@@ -180,17 +189,17 @@ def share_of_total(grouped: DataFrame, part_cents: str, out_col: str, scale: int
     return grouped.withColumn(out_col, F.expr(pct_sql(part_cents, f"sum({part_cents}) OVER ()", scale)))
 
 
-def payment_analysis(silver: DataFrame) -> DataFrame:
+def payment_analysis(silver: DataFrame, approx_distinct: bool = False) -> DataFrame:
     """One row per payment method, with its share of total revenue."""
     agg = silver.groupBy("payment_method").agg(
         *exprs(
             f"{ORDERS} AS transaction_count",
-            "count(DISTINCT customer_id) AS unique_users",
+            f"{distinct_customers(approx_distinct)} AS unique_users",
             f"{REVENUE} AS total_revenue",
             f"{AVG_AMOUNT} AS avg_transaction_value",
             f"{RATE} AS return_rate_pct",
             f"{half_up_ratio_sql('sum(delivery_days)', 'count(delivery_days)', 1)} AS avg_delivery_days",
-            f"{half_up_ratio_sql(REVENUE_DEC, 'count(DISTINCT customer_id)', 2)} AS revenue_per_customer",
+            f"{half_up_ratio_sql(REVENUE_DEC, distinct_customers(approx_distinct), 2)} AS revenue_per_customer",
             "sum(CAST(order_amount * 100 AS DECIMAL(38,0))) AS __cents",
         )
     )

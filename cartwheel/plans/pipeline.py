@@ -125,19 +125,22 @@ def silver_layer(spark: SparkSession, sf_dir: str, as_of: _dt.date) -> DataFrame
     return materialize(spark, "silver", key, lambda: silver_from_star(spark, sf_dir, as_of))
 
 
-def gold_tables(silver: DataFrame, as_of: _dt.date | str | None = None) -> dict[str, Callable[[], DataFrame]]:
+def gold_tables(
+    silver: DataFrame, as_of: _dt.date | str | None = None, approx_distinct: bool = False
+) -> dict[str, Callable[[], DataFrame]]:
     """Builders of the gold tables, by the reference's table names."""
+    a = approx_distinct
     return {
-        "daily_sales_summary": lambda: daily_sales_summary(silver),
+        "daily_sales_summary": lambda: daily_sales_summary(silver, approx_distinct=a),
         "customer_metrics": lambda: customer_metrics(silver, as_of),
-        "product_performance": lambda: product_performance(silver),
-        "regional_analysis": lambda: regional_analysis(silver),
-        "category_trends": lambda: category_trends(silver),
+        "product_performance": lambda: product_performance(silver, approx_distinct=a),
+        "regional_analysis": lambda: regional_analysis(silver, approx_distinct=a),
+        "category_trends": lambda: category_trends(silver, approx_distinct=a),
         "delivery_performance": lambda: delivery_performance(silver),
         "revenue_trends": lambda: revenue_trends(silver),
         "top_products_by_region": lambda: top_products_by_group(silver),
         "customer_cohorts": lambda: cohort_retention(silver),
-        "payment_analysis": lambda: payment_analysis(silver),
+        "payment_analysis": lambda: payment_analysis(silver, approx_distinct=a),
     }
 
 
@@ -148,24 +151,32 @@ def run_pipeline(
     fmt: str = "parquet",
     rules: Q.QualityRules = Q.QualityRules(),
     dedup_keys=("order_id",),
+    silver_partition_by: tuple[str, ...] | None = None,
+    approx_distinct: bool = False,
 ) -> dict[str, str]:
     """Write bronze, silver, every gold table and append one quality-history row.
 
     Each table is written once and later tables read it back (silver from its
     files, segmentation from customer_metrics' files), so no stage recomputes
-    its upstream.  Returns table name -> location.
+    its upstream.  ``silver_partition_by`` (e.g. ``("order_year",
+    "order_month")``) lays silver out for partition pruning of date filters.
+    Returns table name -> location.
     """
     spark = bronze.sparkSession
     root = root.rstrip("/")
     out: dict[str, str] = {}
 
-    def put(name: str, df: DataFrame) -> DataFrame:
-        out[name] = write_table(df, f"{root}/{name}", "overwrite", fmt)
+    def put(name: str, df: DataFrame, partition_by=None) -> DataFrame:
+        out[name] = write_table(df, f"{root}/{name}", "overwrite", fmt, partition_by)
         return read_table(spark, out[name], fmt)
 
     written_bronze = put("ecommerce_bronze", bronze)
-    silver = put("ecommerce_silver", clean_transactions(written_bronze, as_of=as_of, dedup_keys=dedup_keys))
-    gold = gold_tables(silver, as_of)
+    silver = put(
+        "ecommerce_silver",
+        clean_transactions(written_bronze, as_of=as_of, dedup_keys=dedup_keys),
+        silver_partition_by,
+    )
+    gold = gold_tables(silver, as_of, approx_distinct)
     metrics = put("customer_metrics", gold.pop("customer_metrics")())
     put("customer_segmentation", rfm_segmentation(metrics))
     for name, build in gold.items():
