@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartwheel.functions.money import money_avg_sql, money_sql, pct_sql, sample_stddev_money_sql
+from cartwheel.functions.money import money_avg_sql, money_total_sql, pct_sql, sample_stddev_money_sql
 from cartwheel.operators.cleaning import as_of_sql
 from cartwheel.operators.ranking import exact_ntile
 from cartwheel.operators.sales import exprs
@@ -26,7 +26,7 @@ def customer_metrics(silver: DataFrame, as_of: _dt.date | str | None = None) ->
             "count(1) AS total_purchases",
             "max(order_date) AS last_purchase_date",
             f"datediff({as_of_sql(as_of)}, max(order_date)) AS days_since_purchase",
-            f"CAST(sum({money_sql('order_amount')}) AS DOUBLE) AS lifetime_value",
+            f"{money_total_sql('order_amount')} AS lifetime_value",
             f"{money_avg_sql('order_amount')} AS avg_order_value",
             f"{sample_stddev_money_sql('order_amount')} AS order_value_stddev",
             "sum(quantity) AS total_items",

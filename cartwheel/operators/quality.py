@@ -16,7 +16,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.functions.money import half_up_ratio_sql, money_avg_sql, money_sql, pct_sql, sample_stddev_money_sql
+from cartwheel.functions.money import cents_sql, half_up_ratio_sql, money_avg_sql, money_total_sql, pct_sql, sample_stddev_money_sql
 from cartwheel.operators.cleaning import as_of_sql
 
 # Domains of the reference data (fixed values).
@@ -166,10 +166,10 @@ def quality_report(
     dlo, dhi = r.delivery_range
     regions = ", ".join(_lit(v) for v in r.valid_regions)
     payments = ", ".join(_lit(v) for v in r.valid_payment_methods)
-    q_dec = "CAST(quantity AS DECIMAL(20,0))"
+    # |amount - q*price| > 0.005*q + 0.005, in exact integer half-cents
+    q_long = "CAST(quantity AS BIGINT)"
     mismatch = (
-        f"abs({money_sql('order_amount')} - {q_dec} * {money_sql('unit_price')})"
-        f" > {q_dec} * 0.005BD + 0.005BD"
+        f"2 * abs({cents_sql('order_amount')} - {q_long} * {cents_sql('unit_price')}) > {q_long} + 1"
     )
     main_sql = [
         "count(1) AS total",
@@ -193,7 +193,7 @@ def quality_report(
         "max(order_amount) AS max_amount",
         f"{money_avg_sql('order_amount')} AS avg_amount",
         f"{sample_stddev_money_sql('order_amount')} AS stddev_amount",
-        f"CAST(sum({money_sql('order_amount')}) AS DOUBLE) AS sum_amount",
+        f"{money_total_sql('order_amount')} AS sum_amount",
         "min(quantity) AS min_qty",
         "max(quantity) AS max_qty",
         f"{half_up_ratio_sql('sum(quantity)', 'count(quantity)', 2)} AS avg_qty",

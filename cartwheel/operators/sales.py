@@ -12,22 +12,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartwheel.functions.money import half_up_ratio_sql, money_avg_sql, money_sql, pct_sql
+from cartwheel.functions.money import cents_sql, dollars_sql, half_up_ratio_sql, money_avg_sql, pct_sql, sum_cents_sql
 from cartwheel.operators.ranking import global_row_number
 from cartwheel.operators.stats import percentile_columns
 
 ORDERS = "count(1)"
 RETURNED = "count_if(is_returned = 1)"
 RATE = pct_sql(RETURNED, ORDERS)
-REVENUE_DEC = f"sum({money_sql('order_amount')})"
-REVENUE = f"CAST({REVENUE_DEC} AS DOUBLE)"
+AMOUNT_CENTS = cents_sql("order_amount")
+REVENUE_CENTS = sum_cents_sql("order_amount")
+RETURNED_CENTS = f"sum(CASE WHEN is_returned = 1 THEN {AMOUNT_CENTS} ELSE 0 END)"
+REVENUE = dollars_sql(REVENUE_CENTS)
 AVG_AMOUNT = money_avg_sql("order_amount")
 
 
-def distinct_customers(approx: bool = False, rsd: float = 0.01) -> str:
+def distinct_customers(approx: bool = False, rsd: float = 0.05) -> str:
     """Distinct customers of a group: exact by default; HyperLogLog (relative
     standard deviation ``rsd``) when ``approx`` — one fixed-size sketch per
-    group instead of a (group, customer) shuffle."""
+    group instead of a (group, customer) shuffle.  Worth it for few groups
+    with very many customers each (regions, payment methods); with many small
+    groups the per-group sketch costs more than the exact plan."""
     return f"approx_count_distinct(customer_id, {rsd})" if approx else "count(DISTINCT customer_id)"
 
 
@@ -47,8 +51,7 @@ def daily_sales_summary(silver: DataFrame, approx_distinct: bool = False) -> Dat
             "min(order_amount) AS min_order_value",
             "max(order_amount) AS max_order_value",
             "sum(quantity) AS total_units_sold",
-            f"CAST(sum(CASE WHEN is_returned = 1 THEN {money_sql('order_amount')} ELSE {money_sql('0')} END)"
-            " AS DOUBLE) AS returned_amount",
+            f"{dollars_sql(RETURNED_CENTS)} AS returned_amount",
             f"{RATE} AS return_rate_pct",
         )
     )
@@ -67,13 +70,13 @@ def product_performance(
             f"{ORDERS} AS times_purchased",
             f"{distinct_customers(approx_distinct)} AS unique_customers",
             "sum(quantity) AS total_units_sold",
-            f"{REVENUE_DEC} AS __revenue",
+            f"{REVENUE_CENTS} AS __revenue",
             f"{AVG_AMOUNT} AS avg_order_value",
             f"{half_up_ratio_sql('sum(quantity)', 'count(quantity)', 2)} AS avg_units_per_order",
             "min(order_amount) AS min_order_value",
             "max(order_amount) AS max_order_value",
             f"{RATE} AS return_rate_pct",
-            f"{half_up_ratio_sql(REVENUE_DEC, 'sum(quantity)', 2)} AS revenue_per_unit",
+            f"{half_up_ratio_sql(REVENUE_CENTS, 'sum(quantity)', 2, num_scale=2)} AS revenue_per_unit",
         )
     )
     ranked = global_row_number(
@@ -88,7 +91,7 @@ def product_performance(
         "times_purchased",
         "unique_customers",
         "total_units_sold",
-        "CAST(__revenue AS DOUBLE) AS total_revenue",
+        f"{dollars_sql('__revenue')} AS total_revenue",
         "avg_order_value",
         "avg_units_per_order",
         "min_order_value",
@@ -108,7 +111,7 @@ def regional_analysis(silver: DataFrame, approx_distinct: bool = False) -> DataF
             f"{REVENUE} AS total_revenue",
             f"{AVG_AMOUNT} AS avg_order_value",
             f"{half_up_ratio_sql('sum(delivery_days)', 'count(delivery_days)', 1)} AS avg_delivery_days",
-            f"{half_up_ratio_sql(REVENUE_DEC, distinct_customers(approx_distinct), 2)} AS revenue_per_customer",
+            f"{half_up_ratio_sql(REVENUE_CENTS, distinct_customers(approx_distinct), 2, num_scale=2)} AS revenue_per_customer",
             f"{RATE} AS return_rate_pct",
             "sum(quantity) AS total_units_sold",
         )
@@ -145,7 +148,7 @@ def delivery_performance(silver: DataFrame) -> DataFrame:
     """
     group = ["region", "delivery_type"]
     hist = silver.groupBy(*group, "delivery_days").agg(
-        *exprs("count(1) AS __rows", f"{REVENUE_DEC} AS __revenue")
+        *exprs("count(1) AS __rows", f"{REVENUE_CENTS} AS __revenue")
     )
     present = hist.filter(F.col("delivery_days").isNotNull())
     pcts = percentile_columns(
@@ -163,7 +166,7 @@ def delivery_performance(silver: DataFrame) -> DataFrame:
             + " AS avg_delivery_days",
             "min(delivery_days) AS min_delivery_days",
             "max(delivery_days) AS max_delivery_days",
-            "CAST(sum(__revenue) AS DOUBLE) AS total_revenue",
+            f"{dollars_sql('sum(__revenue)')} AS total_revenue",
         )
     )
     # Both sides hold one row per (region, delivery_type).
@@ -199,8 +202,8 @@ def payment_analysis(silver: DataFrame, approx_distinct: bool = False) -> DataFr
             f"{AVG_AMOUNT} AS avg_transaction_value",
             f"{RATE} AS return_rate_pct",
             f"{half_up_ratio_sql('sum(delivery_days)', 'count(delivery_days)', 1)} AS avg_delivery_days",
-            f"{half_up_ratio_sql(REVENUE_DEC, distinct_customers(approx_distinct), 2)} AS revenue_per_customer",
-            "sum(CAST(order_amount * 100 AS DECIMAL(38,0))) AS __cents",
+            f"{half_up_ratio_sql(REVENUE_CENTS, distinct_customers(approx_distinct), 2, num_scale=2)} AS revenue_per_customer",
+            f"{REVENUE_CENTS} AS __cents",
         )
     )
     return share_of_total(agg, "__cents", "pct_of_total_revenue").drop("__cents")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.functions.money import half_up_ratio_sql, money_sql, pct_sql
+from cartwheel.functions.money import dollars_sql, half_up_ratio_sql, pct_sql, sum_cents_sql
 from cartwheel.operators.ranking import top_n_per_group
 
 
@@ -22,19 +22,19 @@ def revenue_trends(silver: DataFrame, window: int = 7, limit: int | None = None)
     ``limit`` is opt-in.  All frames share one partitioning and ordering, so
     Spark evaluates them in one Window operator after one sort.
     """
-    daily = silver.groupBy("order_date", "region").agg(F.expr(f"sum({money_sql('order_amount')}) AS __daily"))
+    daily = silver.groupBy("order_date", "region").agg(F.expr(f"{sum_cents_sql('order_amount')} AS __daily"))
     spec = "PARTITION BY region ORDER BY order_date"
     prev = f"lag(__daily, 1) OVER ({spec})"
     trail = f"({spec} ROWS BETWEEN {window - 1} PRECEDING AND CURRENT ROW)"
     out = daily.selectExpr(
         "order_date",
         "region",
-        "CAST(__daily AS DOUBLE) AS daily_revenue",
-        f"CAST(sum(__daily) OVER ({spec} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE)"
+        f"{dollars_sql('__daily')} AS daily_revenue",
+        f"{dollars_sql(f'sum(__daily) OVER ({spec} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)')}"
         " AS cumulative_revenue",
-        f"CAST({prev} AS DOUBLE) AS prev_day_revenue",
-        f"{pct_sql(f'(__daily - {prev}) * 100', f'{prev} * 100')} AS revenue_growth_pct",
-        f"{half_up_ratio_sql(f'sum(__daily) OVER {trail}', f'count(__daily) OVER {trail}', 6)}"
+        f"{dollars_sql(prev)} AS prev_day_revenue",
+        f"{pct_sql(f'__daily - {prev}', prev)} AS revenue_growth_pct",
+        f"{half_up_ratio_sql(f'sum(__daily) OVER {trail}', f'count(__daily) OVER {trail}', 6, num_scale=2)}"
         f" AS moving_avg_{window}day",
     )
     if limit is not None:
@@ -49,7 +49,7 @@ def top_products_by_group(silver: DataFrame, group: str = "region", n: int = 5)
     each group yields exactly ``min(n, products)`` rows.
     """
     agg = silver.groupBy(group, "product_name", "category").agg(
-        F.expr(f"sum({money_sql('order_amount')}) AS __revenue"),
+        F.expr(f"{sum_cents_sql('order_amount')} AS __revenue"),
         F.expr("sum(quantity) AS total_units"),
         F.expr("count(1) AS order_count"),
     )
@@ -64,7 +64,7 @@ def top_products_by_group(silver: DataFrame, group: str = "region", n: int = 5)
         group,
         "product_name",
         "category",
-        "CAST(__revenue AS DOUBLE) AS total_revenue",
+        f"{dollars_sql('__revenue')} AS total_revenue",
         "total_units",
         "order_count",
         f"rank_in_{group}",

