@@ -150,27 +150,22 @@ def delivery_performance(silver: DataFrame) -> DataFrame:
     hist = silver.groupBy(*group, "delivery_days").agg(
         *exprs("count(1) AS __rows", f"{REVENUE_CENTS} AS __revenue")
     )
-    present = hist.filter(F.col("delivery_days").isNotNull())
-    pcts = percentile_columns(
-        present,
+    out = percentile_columns(
+        hist,
         group,
         "delivery_days",
         "__rows",
         {"median_delivery_days": 0.5, "p75_delivery_days": 0.75, "p95_delivery_days": 0.95},
         scale=1,
-    )
-    totals = hist.groupBy(*group).agg(
-        *exprs(
+        extra=[
             "sum(__rows) AS order_count",
             half_up_ratio_sql("sum(delivery_days * __rows)", "sum(CASE WHEN delivery_days IS NOT NULL THEN __rows END)", 1)
             + " AS avg_delivery_days",
             "min(delivery_days) AS min_delivery_days",
             "max(delivery_days) AS max_delivery_days",
             f"{dollars_sql('sum(__revenue)')} AS total_revenue",
-        )
+        ],
     )
-    # Both sides hold one row per (region, delivery_type).
-    out = totals.join(pcts, group, "left")
     return out.select(
         *group,
         "order_count",

@@ -36,20 +36,24 @@ def percentile_columns(
     count: str,
     percentiles: dict[str, float],
     scale: int = 1,
+    extra: Sequence[str] = (),
 ) -> DataFrame:
-    """Given a histogram ``(group..., value, count)``, return per group the
+    """Given a histogram ``(group..., value, count, ...)``, return per group the
     exact interpolated percentiles named in ``percentiles`` (rounded half up
-    to ``scale`` places)."""
+    to ``scale`` places; NULL values are not ranked) plus any ``extra``
+    aggregate expressions over the histogram's columns — all from one window
+    pass and one aggregate that reuses the window's partitioning."""
     part = ", ".join(f"`{g}`" for g in group)
+    present = f"CASE WHEN `{value}` IS NOT NULL THEN `{count}` ELSE 0 END"
     h = hist.selectExpr(
-        *[f"`{g}`" for g in group],
+        "*",
         f"`{value}` AS __v",
         f"`{count}` AS __c",
-        f"sum(`{count}`) OVER (PARTITION BY {part} ORDER BY `{value}` ASC"
+        f"sum({present}) OVER (PARTITION BY {part} ORDER BY `{value}` ASC NULLS LAST"
         " ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS __cum",
-        f"sum(`{count}`) OVER (PARTITION BY {part}) AS __n",
+        f"sum({present}) OVER (PARTITION BY {part}) AS __n",
     )
-    aggs = []
+    aggs = [F.expr(e) for e in extra]
     for name, p in percentiles.items():
         fr = _frac(p)
         k, d = fr.numerator, fr.denominator
@@ -57,8 +61,8 @@ def percentile_columns(
         lo = f"({pos} div {d})"
         rem = f"({pos} - {lo} * {d})"
         hi = f"({lo} + CASE WHEN {rem} > 0 THEN 1 ELSE 0 END)"
-        a = f"max(CASE WHEN __cum - __c <= {lo} AND {lo} < __cum THEN __v END)"
-        b = f"max(CASE WHEN __cum - __c <= {hi} AND {hi} < __cum THEN __v END)"
-        r = f"max({rem})"
+        a = f"max(CASE WHEN __v IS NOT NULL AND __cum - __c <= {lo} AND {lo} < __cum THEN __v END)"
+        b = f"max(CASE WHEN __v IS NOT NULL AND __cum - __c <= {hi} AND {hi} < __cum THEN __v END)"
+        r = f"max(CASE WHEN __n > 0 THEN {rem} END)"
         aggs.append(F.expr(f"{half_up_ratio_sql(f'{a} * {d} + {r} * ({b} - {a})', str(d), scale)} AS `{name}`"))
     return h.groupBy(*group).agg(*aggs)

@@ -149,3 +149,11 @@ def test_product_rank_and_payment_share(spark):
     assert all(a.total_revenue >= b.total_revenue for a, b in zip(ranks, ranks[1:]))
     share = sum(r.pct_of_total_revenue for r in payment_analysis(s).collect())
     assert abs(share - 100.0) <= 0.01
+
+
+def test_percentiles_ignore_null_days(spark):
+    rows = [{"delivery_days": d} for d in (8, 9, 10, 11, None)]
+    out = {r.delivery_type: r for r in delivery_performance(silver_rows(spark, rows)).collect()}
+    r = out["Standard"]  # NULL days classify as Standard
+    assert r.order_count == 5 and r.median_delivery_days == 9.5 and r.avg_delivery_days == 9.5
+    assert (r.min_delivery_days, r.max_delivery_days) == (8, 11)
