@@ -2,10 +2,14 @@
 
 The reference appends one quality-metrics row per manual run.  Here the same
 operator (``quality_metrics_row``) runs on every micro-batch of new silver
-files: Spark's file source tracks which files were processed in the stream's
-checkpoint, and ``foreachBatch`` appends the batch's row to the history
-table, so a restarted stream neither skips nor repeats a batch.  Each row
-describes the orders that arrived in that batch.
+files.  Spark's file source records in the stream's checkpoint which files
+each batch read, and a batch that failed (a lost executor, a killed driver)
+is replayed with the same files and the same id.  ``foreachBatch`` writes the
+batch's row into its own ``stream_batch=<id>`` folder of the history table
+with overwrite, so a replay rewrites that folder instead of appending a
+second row: no batch is skipped or counted twice.  Each row describes the
+orders that arrived in that batch; reading ``history`` returns the rows with
+their ``stream_batch`` id.
 
 With ``available_now=True`` the stream processes everything present and
 stops (a scheduled incremental job); otherwise it keeps running with the
@@ -20,7 +24,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cartwheel.operators.quality import QualityRules, quality_metrics_row
 from cartwheel.plans.pipeline import layer_root
-from cartwheel.sources.tables import append_table
 
 
 def start_quality_monitor(
@@ -46,7 +49,7 @@ def start_quality_monitor(
 
     def append_batch(batch: DataFrame, batch_id: int) -> None:
         row = quality_metrics_row(batch, as_of=as_of, rules=rules)
-        append_table(row, history)
+        row.coalesce(1).write.mode("overwrite").parquet(f"{history.rstrip('/')}/stream_batch={batch_id}")
 
     writer = stream.writeStream.foreachBatch(append_batch).option("checkpointLocation", checkpoint_location)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime=interval)

@@ -108,8 +108,8 @@ def test_quality_monitor_stream(spark, tmp_root):
     silver_rows(spark, [{}, {}, {}]).write.mode("append").parquet(src)
     q = start_quality_monitor(spark, src, hist, ckpt, as_of="2024-03-01")
     q.awaitTermination(120)
-    rows = sorted(r.total_records for r in read_table(spark, hist).collect())
-    assert rows == [2, 3]
+    rows = sorted((r.stream_batch, r.total_records) for r in read_table(spark, hist).collect())
+    assert rows == [(0, 2), (1, 3)]
 
 
 def test_bronze_helper(spark):
