@@ -144,6 +144,14 @@ def gold_tables(
     }
 
 
+def register_views(spark: SparkSession, tables: dict[str, str], fmt: str = "parquet") -> list[str]:
+    """Expose written tables to Spark SQL under their names (temporary views),
+    so ``spark.sql("SELECT * FROM daily_sales_summary ORDER BY ...")`` works."""
+    for name, location in tables.items():
+        read_table(spark, location, fmt).createOrReplaceTempView(name)
+    return sorted(tables)
+
+
 def run_pipeline(
     bronze: DataFrame,
     root: str,

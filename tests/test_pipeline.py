@@ -150,3 +150,26 @@ def test_approx_distinct_close_to_exact(spark):
     exact = {r.region: r.unique_customers for r in regional_analysis(s).collect()}
     approx = {r.region: r.unique_customers for r in regional_analysis(s, approx_distinct=True).collect()}
     assert all(abs(approx[k] - exact[k]) <= 0.15 * exact[k] for k in exact)  # 3 x rsd
+
+
+def test_views_and_cli(spark, tmp_root):
+    from cartwheel.__main__ import main
+    from cartwheel.plans.pipeline import register_views
+
+    assert main(["pipeline", "--generate", "500", "--target", tmp_root, "--as-of", "2024-06-01"]) == 0
+    names = register_views(spark, {"regional_analysis": f"{tmp_root}/regional_analysis"})
+    assert names == ["regional_analysis"]
+    assert spark.sql("SELECT count(*) AS n FROM regional_analysis").collect()[0].n == 5
+
+
+def test_column_and_sql_helpers_agree(spark):
+    from cartwheel.functions.money import half_up_ratio, money_avg, pct
+
+    df = spark.createDataFrame([(1.005, 7, 3), (2.675, -7, 3), (0.125, 5, 8)], "amt double, a int, b int")
+    sql = df.selectExpr("a", "b").select(
+        pct("a", "b").alias("p"), half_up_ratio("a", "b", 3).alias("h")
+    ).collect()
+    col = df.select(pct(F.col("a"), F.col("b")).alias("p"), half_up_ratio(F.col("a"), F.col("b"), 3).alias("h")).collect()
+    assert sql == col
+    assert [r.p for r in sql] == [233.33, -233.33, 62.5]
+    assert df.agg(money_avg("amt").alias("m")).collect()[0].m == df.agg(money_avg(F.col("amt")).alias("m")).collect()[0].m
