@@ -104,6 +104,15 @@ def duplicate_count(df: DataFrame, key: str = "order_id", approx: bool = False)
     )
 
 
+def cleaning_summary(bronze: DataFrame, silver: DataFrame) -> DataFrame:
+    """Rows in, rows out and rows removed by cleaning (one row), from one scan
+    of each layer; the silver count is a scalar subquery."""
+    return bronze.selectExpr("count(1) AS bronze_rows").select(
+        "bronze_rows",
+        silver.selectExpr("count(1)").scalar().alias("silver_rows"),
+    ).selectExpr("bronze_rows", "silver_rows", "bronze_rows - silver_rows AS rows_removed")
+
+
 def profile(
     df: DataFrame,
     distinct_columns: Sequence[str] = ("order_id", "customer_id", "product_name", "category", "region"),

@@ -81,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "null_profile": _on_silver(Q.null_profile),
     "bronze_null_profile": lambda spark, d: Q.null_profile(bronze(spark, d)),
     "duplicate_count": lambda spark, d: Q.duplicate_count(bronze(spark, d), "order_id"),
+    "cleaning_summary": lambda spark, d: Q.cleaning_summary(bronze(spark, d), silver(spark, d)),
     "raw_profile": lambda spark, d: Q.profile(bronze(spark, d)),
     "clean_profile": _on_silver(
         lambda s: Q.profile(

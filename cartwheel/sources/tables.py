@@ -15,6 +15,18 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 
+def records_to_frame(spark: SparkSession, records, schema=None) -> DataFrame:
+    """Small driver-side records (dicts or tuples) as a DataFrame with a declared
+    schema (default: the bronze schema) — for fixtures and hand-made rows only;
+    data that grows belongs in files or ``spark.range``-based generators."""
+    from cartwheel.schemas import BRONZE
+
+    schema = schema or BRONZE
+    names = [f.name for f in schema.fields]
+    rows = [tuple(r.get(n) for n in names) if isinstance(r, dict) else tuple(r) for r in records]
+    return spark.createDataFrame(rows, schema)
+
+
 def _is_path(target: str) -> bool:
     return "/" in target or ":" in target
 

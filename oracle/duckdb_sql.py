@@ -499,6 +499,12 @@ SELECT COUNT(*) AS total_rows, {distinct_null('order_id')} AS distinct_keys,
 FROM bronze"""
 
 
+Q["cleaning_summary"] = with_silver(
+    "SELECT (SELECT COUNT(*) FROM bronze) AS bronze_rows, (SELECT COUNT(*) FROM silver) AS silver_rows, "
+    "(SELECT COUNT(*) FROM bronze) - (SELECT COUNT(*) FROM silver) AS rows_removed"
+)
+
+
 def _profile(source: str, cols: list[str], negatives=(), ranges=()) -> str:
     total_nulls = " + ".join(_nulls(c) for c in cols)
     sel = [

@@ -83,3 +83,17 @@ def test_profile_one_row(spark):
     r = profile(b).collect()[0]
     assert r.record_count == 2 and r.null_total == 1 and r.avg_unit_price == 2.0
     assert r.distinct_region == 2  # NULL counts as a value, as distinct().count() does
+
+
+def test_cleaning_summary(spark):
+    from cartwheel.operators.cleaning import clean_transactions
+    from cartwheel.operators.quality import cleaning_summary
+    from cartwheel.sources.tables import records_to_frame
+
+    b = records_to_frame(spark, [
+        {"order_id": "A", "quantity": 1, "unit_price": 5.0},
+        {"order_id": "A", "quantity": 2, "unit_price": 5.0},
+        {"order_id": "B", "quantity": 0, "unit_price": 5.0},
+    ])
+    r = cleaning_summary(b, clean_transactions(b)).collect()[0]
+    assert (r.bronze_rows, r.silver_rows, r.rows_removed) == (3, 1, 2)
