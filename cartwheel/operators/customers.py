@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cartwheel.functions.dates import month_start, whole_months_between
 from cartwheel.functions.money import money_avg_sql, money_total_sql, pct_sql, sample_stddev_money_sql
 from cartwheel.operators.cleaning import as_of_sql
 from cartwheel.operators.ranking import exact_ntile
@@ -104,15 +105,12 @@ def cohort_retention(silver: DataFrame, limit: int | None = None) -> DataFrame:
     """
     per_month = (
         silver.filter(F.col("customer_id").isNotNull())
-        .groupBy("customer_id", F.trunc("order_date", "month").alias("order_month"))
+        .groupBy("customer_id", month_start("order_date").alias("order_month"))
         .agg(F.count(F.lit(1)).alias("__orders"))
     )
     tagged = per_month.withColumn("cohort_month", F.min("order_month").over(Window.partitionBy("customer_id")))
     grid = tagged.groupBy(
-        "cohort_month",
-        F.expr(
-            "(year(order_month) - year(cohort_month)) * 12 + month(order_month) - month(cohort_month)"
-        ).alias("months_since_cohort"),
+        "cohort_month", whole_months_between("cohort_month", "order_month").alias("months_since_cohort")
     ).agg(*exprs("count(1) AS cohort_size", "sum(__orders) AS repeat_purchases"))
     # Offset 0 exists for every cohort (the first purchase is in it); the window
     # holds one row per month offset of one cohort.

@@ -69,12 +69,8 @@ def _nulls(c: str) -> str:
 
 def _unpivot(df: DataFrame, rows: list[tuple], names: Sequence[str], types: Sequence[str]) -> DataFrame:
     """One output row per tuple of SQL expressions (``stack``), with fixed types."""
-    width = len(names)
-    args = ", ".join(
-        ", ".join(f"CAST({e} AS {t})" for e, t in zip(row, types)) for row in rows
-    )
+    args = ", ".join(", ".join(f"CAST({e} AS {t})" for e, t in zip(row, types)) for row in rows)
     return df.selectExpr(f"stack({len(rows)}, {args}) AS ({', '.join(names)})")
-    # (width is implied by ``names``)
 
 
 def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
