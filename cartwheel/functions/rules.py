@@ -49,3 +49,21 @@ def delivery_type(days: Column, rule: DeliveryRule = DeliveryRule()) -> Column:
         .when(days <= rule.fast_max, "Fast")
         .otherwise("Standard")
     )
+
+
+def order_size_sql(quantity: str, rule: SizeRule = SizeRule()) -> str:
+    return f"CASE WHEN {quantity} > {rule.high_above} THEN 'High' ELSE 'Normal' END"
+
+
+def order_value_segment_sql(amount: str, rule: ValueRule = ValueRule()) -> str:
+    return (
+        f"CASE WHEN {amount} > {rule.premium_above!r} THEN 'Premium' "
+        f"WHEN {amount} > {rule.standard_above!r} THEN 'Standard' ELSE 'Budget' END"
+    )
+
+
+def delivery_type_sql(days: str, rule: DeliveryRule = DeliveryRule()) -> str:
+    return (
+        f"CASE WHEN {days} <= {rule.express_max} THEN 'Express' "
+        f"WHEN {days} <= {rule.fast_max} THEN 'Fast' ELSE 'Standard' END"
+    )

@@ -12,9 +12,9 @@ from cartwheel.functions.rules import (
     DeliveryRule,
     SizeRule,
     ValueRule,
-    delivery_type,
-    order_size,
-    order_value_segment,
+    delivery_type_sql,
+    order_size_sql,
+    order_value_segment_sql,
 )
 from cartwheel.schemas import SILVER_COLUMNS, SURVIVOR_ORDER
 
@@ -46,10 +46,15 @@ def dedup_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colum
     When the input is already hash-partitioned on (a prefix of) the keys, no
     shuffle is added at all.
     """
-    order_cols = [F.col(c).asc_nulls_first() if isinstance(c, str) else c for c in order]
-    w = Window.partitionBy(*keys).orderBy(*order_cols)
     rn = "__cartwheel_rn"
-    return df.withColumn(rn, F.row_number().over(w)).filter(F.col(rn) == 1).drop(rn)
+    if all(isinstance(c, str) for c in order):
+        by = ", ".join(f"`{k}`" for k in keys)
+        ob = ", ".join(f"`{c}` ASC NULLS FIRST" for c in order)
+        ranked = df.selectExpr("*", f"row_number() OVER (PARTITION BY {by} ORDER BY {ob}) AS {rn}")
+    else:
+        order_cols = [F.col(c).asc_nulls_first() if isinstance(c, str) else c for c in order]
+        ranked = df.withColumn(rn, F.row_number().over(Window.partitionBy(*keys).orderBy(*order_cols)))
+    return ranked.filter(f"{rn} = 1").drop(rn)
 
 
 def clean_transactions(
@@ -77,33 +82,32 @@ def clean_transactions(
     the source line key), which are dropped from the output.
     """
     extra = [k for k in dedup_keys if k not in SILVER_COLUMNS]
-    b = bronze
-    typed = b.select(
-        b.order_id,
-        b.customer_id,
-        b.product_name,
-        b.category,
-        b.quantity.cast("int").alias("quantity"),
-        F.round(b.unit_price, 2).alias("unit_price"),
-        b.order_date.cast("date").alias("order_date"),
-        b.region,
-        b.payment_method,
-        b.delivery_days.cast("int").alias("delivery_days"),
-        b.is_returned.cast("int").alias("is_returned"),
-        F.round(b.quantity * b.unit_price, 2).alias("order_amount"),
-        *[b[k] for k in extra],
+    # One SQL projection per step: the expression trees are built JVM-side.
+    typed = bronze.selectExpr(
+        "order_id",
+        "customer_id",
+        "product_name",
+        "category",
+        "CAST(quantity AS INT) AS quantity",
+        "round(unit_price, 2) AS unit_price",
+        "CAST(order_date AS DATE) AS order_date",
+        "region",
+        "payment_method",
+        "CAST(delivery_days AS INT) AS delivery_days",
+        "CAST(is_returned AS INT) AS is_returned",
+        "round(quantity * unit_price, 2) AS order_amount",  # bronze quantity x raw price
+        *extra,
     )
-    valid = typed.filter((F.col("unit_price") > 0) & (F.col("quantity") > 0) & (F.col("order_amount") > 0))
+    valid = typed.filter("unit_price > 0 AND quantity > 0 AND order_amount > 0")
     survivors = dedup_by_key(valid, list(dedup_keys), SURVIVOR_ORDER)
-    d = F.col("order_date")
-    return survivors.select(
+    return survivors.selectExpr(
         *SILVER_COLUMNS[:12],
-        F.year(d).alias("order_year"),
-        F.month(d).alias("order_month"),
-        F.dayofweek(d).alias("day_of_week"),
-        F.weekofyear(d).alias("week_of_year"),
-        order_size(F.col("quantity"), size_rule).alias("order_size"),
-        order_value_segment(F.col("order_amount"), value_rule).alias("order_value_segment"),
-        delivery_type(F.col("delivery_days"), delivery_rule).alias("delivery_type"),
-        as_of_date(as_of).alias("processing_date"),
+        "year(order_date) AS order_year",
+        "month(order_date) AS order_month",
+        "dayofweek(order_date) AS day_of_week",
+        "weekofyear(order_date) AS week_of_year",
+        f"{order_size_sql('quantity', size_rule)} AS order_size",
+        f"{order_value_segment_sql('order_amount', value_rule)} AS order_value_segment",
+        f"{delivery_type_sql('delivery_days', delivery_rule)} AS delivery_type",
+        f"{as_of_sql(as_of)} AS processing_date",
     )

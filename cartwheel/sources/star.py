@@ -41,7 +41,6 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 STAR_TABLES = ("region", "nation", "customer", "part", "orders", "lineitem")
 
@@ -87,26 +86,21 @@ def _estimated_bytes(df: DataFrame) -> int:
 
 def transactions_from_star(tables: dict[str, DataFrame], keep_source_keys: bool = False) -> DataFrame:
     """Map the star schema to the bronze transaction layout (see module doc)."""
-    region = tables["region"].select("r_regionkey", "r_name")
-    nation = tables["nation"].select("n_nationkey", "n_regionkey")
-    customer = tables["customer"].select("c_custkey", "c_nationkey")
-    part = tables["part"].select("p_partkey", "p_name", "p_type", "p_retailprice")
-    orders = tables["orders"].select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
-    lineitem = tables["lineitem"].select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_returnflag", "l_shipdate"
-    )
-
-    geo = nation.join(region, nation.n_regionkey == region.r_regionkey).select("n_nationkey", "r_name")
-    cust = customer.join(geo, customer.c_nationkey == geo.n_nationkey).select("c_custkey", "r_name")
-    orders_x = orders.join(cust, orders.o_custkey == cust.c_custkey).select(
-        "o_orderkey", "c_custkey", "o_orderdate", "o_orderpriority", "r_name"
-    )
+    # No manual projections: Catalyst prunes every scan to the columns used
+    # (ReadSchema of lineitem: orderkey, partkey, linenumber, quantity,
+    # returnflag, shipdate).
+    region, nation, customer = tables["region"], tables["nation"], tables["customer"]
+    part, orders, lineitem = tables["part"], tables["orders"], tables["lineitem"]
+
+    geo = nation.join(region, nation.n_regionkey == region.r_regionkey)
+    cust = customer.join(geo, customer.c_nationkey == geo.n_nationkey)
     # Fact x orders: both grow with the data, so always a sort-merge join on
     # orderkey (a pruned fact scan can look small enough to broadcast; it must
     # not be).  Its output stays hash-partitioned by l_orderkey.
-    orders_x = orders_x.hint("merge")
+    orders_x = orders.join(cust, orders.o_custkey == cust.c_custkey).hint("merge")
     threshold = broadcast_threshold(part.sparkSession)
-    if 0 <= _estimated_bytes(part) <= threshold:
+    part_bytes = _estimated_bytes(part.select("p_partkey", "p_name", "p_type", "p_retailprice"))
+    if 0 <= part_bytes <= threshold:
         with_orders = lineitem.join(orders_x, lineitem.l_orderkey == orders_x.o_orderkey)
         joined = with_orders.join(part, with_orders.l_partkey == part.p_partkey)
     else:
@@ -114,22 +108,18 @@ def transactions_from_star(tables: dict[str, DataFrame], keep_source_keys: bool
         joined = lines.join(orders_x, lines.l_orderkey == orders_x.o_orderkey)
 
     cols = [
-        F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string")).alias(
-            "order_id"
-        ),
-        F.col("c_custkey").cast("string").alias("customer_id"),
-        F.col("p_name").alias("product_name"),
-        F.col("p_type").alias("category"),
-        F.col("l_quantity").cast("bigint").alias("quantity"),
-        F.col("p_retailprice").alias("unit_price"),
-        F.col("o_orderdate").alias("order_date"),
-        F.col("r_name").alias("region"),
-        F.col("o_orderpriority").alias("payment_method"),
-        (F.pmod(F.datediff(F.col("l_shipdate").cast("date"), F.col("o_orderdate").cast("date")), F.lit(30)) + 1)
-        .cast("bigint")
-        .alias("delivery_days"),
-        F.when(F.col("l_returnflag") == "R", 1).otherwise(0).cast("bigint").alias("is_returned"),
+        "concat(CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING)) AS order_id",
+        "CAST(c_custkey AS STRING) AS customer_id",
+        "p_name AS product_name",
+        "p_type AS category",
+        "CAST(l_quantity AS BIGINT) AS quantity",
+        "p_retailprice AS unit_price",
+        "o_orderdate AS order_date",
+        "r_name AS region",
+        "o_orderpriority AS payment_method",
+        "CAST(pmod(datediff(CAST(l_shipdate AS DATE), CAST(o_orderdate AS DATE)), 30) + 1 AS BIGINT) AS delivery_days",
+        "CAST(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS BIGINT) AS is_returned",
     ]
     if keep_source_keys:
-        cols += [F.col(k) for k in SOURCE_KEYS]
-    return joined.select(*cols)
+        cols += list(SOURCE_KEYS)
+    return joined.selectExpr(*cols)
