@@ -66,11 +66,21 @@ def _fs_path(spark: SparkSession, path: str):
     return jpath.getFileSystem(spark._jsc.hadoopConfiguration()), jpath
 
 
+_LAYERS: dict[tuple[str, str], DataFrame] = {}
+
+
 def materialize(spark: SparkSession, name: str, fingerprint: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """Read layer ``name``/``fingerprint`` if written, else build, write, read."""
+    """Read layer ``name``/``fingerprint`` if written, else build, write, read.
+
+    A written layer never changes (its name is its content fingerprint), so its
+    scan DataFrame is kept per session: later queries skip the file listing
+    and footer reads."""
     target = f"{layer_root(spark)}/{name}-{fingerprint}"
+    key = (spark.sparkContext.applicationId, target)
     fs, tpath = _fs_path(spark, target)
     done = spark._jvm.org.apache.hadoop.fs.Path(target + "/_SUCCESS")
+    if key in _LAYERS and fs.exists(done):
+        return _LAYERS[key]
     if not fs.exists(done):
         stage = f"{target}.stage-{uuid.uuid4().hex[:12]}"
         build().write.mode("overwrite").parquet(stage)
@@ -82,7 +92,8 @@ def materialize(spark: SparkSession, name: str, fingerprint: str, build: Callabl
                 fs.delete(spath, True)
         else:
             fs.delete(spath, True)
-    return spark.read.parquet(target)
+    _LAYERS[key] = spark.read.parquet(target)
+    return _LAYERS[key]
 
 
 def silver_from_star(spark: SparkSession, sf_dir: str, as_of: _dt.date) -> DataFrame:
