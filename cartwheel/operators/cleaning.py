@@ -64,6 +64,7 @@ def clean_transactions(
     value_rule: ValueRule = ValueRule(),
     delivery_rule: DeliveryRule = DeliveryRule(),
     dedup_keys: Sequence[str] = ("order_id",),
+    strict: bool = True,
 ) -> DataFrame:
     """The silver order table (20 columns, see ``schemas.SILVER_COLUMNS``).
 
@@ -79,22 +80,26 @@ def clean_transactions(
     4. calendar parts, size / value / delivery classes and the processing date.
 
     ``dedup_keys`` may name other key columns equivalent to ``order_id`` (e.g.
-    the source line key), which are dropped from the output.
+    the source line key), which are dropped from the output.  With
+    ``strict=False`` casts are ``try_cast``: a value that does not fit becomes
+    NULL (and the row is then dropped by step 2 if it is a quantity) instead of
+    failing the job.
     """
     extra = [k for k in dedup_keys if k not in SILVER_COLUMNS]
     # One SQL projection per step: the expression trees are built JVM-side.
+    cast = "CAST" if strict else "try_cast"
     typed = bronze.selectExpr(
         "order_id",
         "customer_id",
         "product_name",
         "category",
-        "CAST(quantity AS INT) AS quantity",
+        f"{cast}(quantity AS INT) AS quantity",
         "round(unit_price, 2) AS unit_price",
-        "CAST(order_date AS DATE) AS order_date",
+        f"{cast}(order_date AS DATE) AS order_date",
         "region",
         "payment_method",
-        "CAST(delivery_days AS INT) AS delivery_days",
-        "CAST(is_returned AS INT) AS is_returned",
+        f"{cast}(delivery_days AS INT) AS delivery_days",
+        f"{cast}(is_returned AS INT) AS is_returned",
         "round(quantity * unit_price, 2) AS order_amount",  # bronze quantity x raw price
         *extra,
     )

@@ -90,3 +90,13 @@ def test_null_customer_kept_in_silver(spark):
 def test_bronze_helper_types(spark):
     b = bronze_rows(spark, [{}])
     assert dict(b.dtypes)["quantity"] == "bigint"
+
+
+def test_lenient_casts(spark):
+    import pytest
+
+    b = bronze_rows(spark, [{"quantity": 2**40}, {"quantity": 2}])
+    with pytest.raises(Exception):
+        clean_transactions(b).collect()
+    s = clean_transactions(b, strict=False)
+    assert [r.quantity for r in s.collect()] == [2]
