@@ -157,3 +157,20 @@ def test_percentiles_ignore_null_days(spark):
     r = out["Standard"]  # NULL days classify as Standard
     assert r.order_count == 5 and r.median_delivery_days == 9.5 and r.avg_delivery_days == 9.5
     assert (r.min_delivery_days, r.max_delivery_days) == (8, 11)
+
+
+def test_presentation_order_and_limit(spark):
+    from cartwheel.plans.presentation import REFERENCE_ORDER, present
+    from cartwheel.operators.sales import daily_sales_summary
+
+    rows = [{"order_date": D(2024, 1, d % 28 + 1), "region": r, "unit_price": 5.0 + d}
+            for d in range(40) for r in ("North", "South")]
+    daily = daily_sales_summary(silver_rows(spark, rows))
+    shown = present("daily_sales_summary", daily).collect()
+    assert len(shown) == 20
+    keys = [(r.order_date, r.region) for r in shown]
+    assert keys == sorted(keys, key=lambda k: (-k[0].toordinal(), k[1]))
+    assert len(present("daily_sales_summary", daily, limit=None).collect()) == daily.count()
+    plan = present("daily_sales_summary", daily)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan
+    assert set(REFERENCE_ORDER) >= {"payment_analysis", "customer_cohorts", "revenue_trends"}
