@@ -18,9 +18,12 @@ tie-breaker, and each partition is numbered locally:
 
 Only P rows ever meet in one place, and P is ours to choose (default: the
 session's shuffle partitions).  When Catalyst's size estimate of the input is
-below ``local_limit_bytes`` the plain single-partition window is used
-instead: the estimate is an upper bound for scans and aggregates, so the bound
-is checked, not assumed.
+below ``local_limit_bytes`` (16 MB) the plain single-partition window is used
+instead.  The estimate starts from the scanned files' size scaled to the
+projected columns, and aggregates and filters never raise it, so an input
+passing the check is at most a few million rows — a sort one task handles
+(and spills if it must).  Joins without statistics estimate far above the
+limit, so they always take the distributed path.
 """
 
 from __future__ import annotations
@@ -64,7 +67,8 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
 
 
 def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of ``df`` (an upper bound for scans/aggregates)."""
+    """Catalyst's size estimate of ``df`` (file bytes scaled to the projected
+    columns; aggregates and filters do not raise it)."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
