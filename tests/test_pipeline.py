@@ -173,3 +173,12 @@ def test_column_and_sql_helpers_agree(spark):
     assert sql == col
     assert [r.p for r in sql] == [233.33, -233.33, 62.5]
     assert df.agg(money_avg("amt").alias("m")).collect()[0].m == df.agg(money_avg(F.col("amt")).alias("m")).collect()[0].m
+
+
+def test_pipeline_in_orc(spark, tmp_root):
+    bronze = generate_transactions(spark, n=800, seed=4)
+    out = run_pipeline(bronze, tmp_root, as_of="2024-06-01", fmt="orc")
+    assert read_table(spark, out["regional_analysis"], "orc").count() == 5
+    assert read_table(spark, out["quality_metrics_history"], "orc").count() == 1
+    files = os.listdir(out["ecommerce_silver"])
+    assert any(f.endswith(".orc") for f in files)
