@@ -1,8 +1,11 @@
 """Registered queries over the TPC-H-style test tables.
 
-Every query reads the star tables of a scale-factor directory, maps them to
-bronze, cleans them to silver and runs one operator — so its work grows with
-the tables.  The clock is fixed (``AS_OF``) for reproducible recency.
+Every query reads the star tables of a scale-factor directory: the star is
+mapped to bronze and cleaned to silver, each written once as a layer (see
+``plans.pipeline.materialize``), and the query runs its operator on them — so
+its work grows with the tables.  ``silver_orders`` itself always rebuilds
+silver from the raw tables.  The clock is fixed (``AS_OF``) for reproducible
+recency.
 """
 
 from __future__ import annotations
@@ -42,9 +45,8 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_build(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silver computed from the star tables: typed, filtered, de-duplicated on
-    the source line key (equivalent to ``order_id`` and already the
-    partitioning of the last join)."""
+    """Silver computed from the raw star tables: joined, typed, filtered and
+    de-duplicated on ``order_id`` (no written layer involved)."""
     return silver_from_star(spark, sf_dir, AS_OF)
 
 
