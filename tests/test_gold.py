@@ -174,3 +174,16 @@ def test_presentation_order_and_limit(spark):
     plan = present("daily_sales_summary", daily)._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan
     assert set(REFERENCE_ORDER) >= {"payment_analysis", "customer_cohorts", "revenue_trends"}
+
+
+def test_optional_limits(spark):
+    rows = [{"order_date": D(2024, 1 + m % 3, 1 + d), "region": r, "customer_id": f"C{d % 5}"}
+            for m in range(3) for d in range(20) for r in ("North", "East")]
+    s = silver_rows(spark, rows)
+    full = revenue_trends(s).count()
+    lim = revenue_trends(s, limit=7).collect()
+    assert len(lim) == 7 < full
+    assert all(r.region == "East" for r in lim)  # region ascending first
+    assert [r.order_date for r in lim] == sorted((r.order_date for r in lim), reverse=True)
+    coh = cohort_retention(s, limit=2).collect()
+    assert len(coh) == 2 and coh[0].cohort_month == max(r.cohort_month for r in cohort_retention(s).collect())
