@@ -24,3 +24,17 @@ def test_results_independent_of_partitioning(spark):
     base = _run(spark, 1)
     for parts in (4, 16):
         assert _run(spark, parts) == base
+
+
+def test_join_order_branches_agree(spark):
+    """Part small enough to broadcast vs not (broadcasts disabled): same silver."""
+    base = sorted(silver_from_star(spark, SF001, AS_OF).collect())
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = silver_from_star(spark, SF001, AS_OF)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan
+        assert sorted(df.collect()) == base
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
