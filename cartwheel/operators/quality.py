@@ -63,6 +63,26 @@ def distinct_count(df: DataFrame, c: str) -> Column:
     return df.select(c).distinct().selectExpr("count(1)").scalar()
 
 
+def distinct_counts(df: DataFrame, cols: Sequence[str]) -> dict[str, Column]:
+    """Exact distinct counts of several columns (NULL is one value each), from
+    one job: ``GROUPING SETS ((c1), (c2), ...)`` over just those columns (an
+    Expand of narrow rows, partial-aggregated map-side, so a hot value
+    collapses before the shuffle), then the number of groups per grouping
+    set.  The counts travel as one map with an entry per column — attached
+    as a single scalar subquery, not a join."""
+    cols = list(dict.fromkeys(cols))
+    if len(cols) == 1:
+        return {cols[0]: distinct_count(df, cols[0])}
+    n = len(cols)
+    sets = df.groupingSets([[F.col(c)] for c in cols], *[F.col(c) for c in cols]).agg(
+        F.grouping_id().alias("__gid")
+    )
+    per_set = sets.groupBy("__gid").agg(F.count(F.lit(1)).alias("__n"))
+    counts = per_set.select(F.map_from_entries(F.collect_list(F.struct("__gid", "__n")))).scalar()
+    full = (1 << n) - 1
+    return {c: F.coalesce(counts[F.lit(full - (1 << (n - 1 - i)))], F.lit(0)) for i, c in enumerate(cols)}
+
+
 def _nulls(c: str) -> str:
     return f"count_if({_q(c)} IS NULL)"
 
@@ -135,7 +155,7 @@ def profile(
     for c, (lo, hi) in (ranges or {}).items():
         sql.append(f"count_if({c} < {lo} OR {c} > {hi}) AS out_of_range_{c}")
     main = df.selectExpr(*sql)
-    distinct = {c: distinct_count(df, c) for c in dict.fromkeys([*distinct_columns, key])}
+    distinct = distinct_counts(df, [*distinct_columns, key])
     return main.select(
         "record_count",
         *[distinct[c].alias(f"distinct_{c}") for c in distinct_columns],
@@ -210,11 +230,10 @@ def quality_report(
             f"{distinct_with_null_sql(r.key, True)} AS keys",
             f"{distinct_with_null_sql('customer_id', True)} AS customers",
         )
-    else:  # exact: partial-aggregated group-bys, attached as scalar subqueries
+    else:  # exact: one grouping-sets job, attached as a scalar subquery
+        d = distinct_counts(silver, [r.key, "customer_id"])
         one = silver.selectExpr(*main_sql).select(
-            "*",
-            distinct_count(silver, r.key).alias("keys"),
-            distinct_count(silver, "customer_id").alias("customers"),
+            "*", d[r.key].alias("keys"), d["customer_id"].alias("customers")
         )
     # Each row: dimension, check, column, metric (NULL: share of violations),
     # violations, passed rule ('count': violations = 0, else an expression).
