@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from cartwheel.functions.dates import month_start, whole_months_between
 from cartwheel.functions.money import money_avg_sql, money_total_sql, pct_sql, sample_stddev_money_sql
 from cartwheel.operators.cleaning import as_of_sql
-from cartwheel.operators.ranking import exact_ntile
+from cartwheel.operators.ranking import exact_ntile, resolve_path
 from cartwheel.operators.sales import exprs
 
 
@@ -69,7 +69,7 @@ def rfm_segmentation(
     """
     base = metrics.select("customer_id", "total_purchases", "days_since_purchase", "lifetime_value")
     cid = F.col("customer_id").asc_nulls_first()
-    kw = dict(num_partitions=num_partitions, local_limit_bytes=local_limit_bytes)
+    kw = dict(num_partitions=num_partitions, local_limit_bytes=resolve_path(base, local_limit_bytes))
     scored = exact_ntile(base, n, [F.col("days_since_purchase").desc_nulls_last(), cid], "recency_score", **kw)
     scored = exact_ntile(scored, n, [F.col("total_purchases").asc_nulls_first(), cid], "frequency_score", **kw)
     scored = exact_ntile(scored, n, [F.col("lifetime_value").asc_nulls_first(), cid], "monetary_score", **kw)

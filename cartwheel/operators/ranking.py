@@ -109,11 +109,20 @@ def global_rank(
     return out.drop(_PID, _LOCAL, _OFF, _N)
 
 
-def _is_small(df: DataFrame, local_limit_bytes: int | None) -> bool:
+def _is_small(df: DataFrame, local_limit_bytes: int | float | None) -> bool:
     limit = DEFAULT_LOCAL_LIMIT_BYTES if local_limit_bytes is None else local_limit_bytes
+    if limit == float("inf"):  # decided by the caller
+        return True
     return limit > 0 and estimated_bytes(df) <= limit
 
 
+def resolve_path(df: DataFrame, local_limit_bytes: int | None = None) -> float:
+    """Decide once, for several rankings of the same frame, between the local
+    and the distributed path; returns a ``local_limit_bytes`` that repeats the
+    decision without estimating again (inf: local, 0: distributed)."""
+    return float("inf") if _is_small(df, local_limit_bytes) else 0
+
+
 def global_row_number(
     df: DataFrame,
     order: Sequence[str | Column],
