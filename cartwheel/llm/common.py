@@ -2,19 +2,32 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _LOCAL_DIR: list[str] = []
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver did (an installed package needs nothing)."""
+    root = str(Path(__file__).resolve().parents[2])
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -43,7 +56,7 @@ def written(df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
 def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that the texts in each hold about ``max_bytes`` (a longer text stands alone)."""
     for b in batches:
-        sizes = pa.compute.fill_null(pa.compute.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False)
+        sizes = pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy(zero_copy_only=False)
         total = np.cumsum(sizes.astype(np.int64))
         start = 0
         while start < b.num_rows:

@@ -5,17 +5,53 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cartwheel.llm import simhash
-from cartwheel.llm.common import table
+import public_tokenizers
+
+from cartwheel.llm import mixing, simhash, substrings, tokenfile, winnow
+from cartwheel.llm.common import shared_dir, table, written
+
+
+END_ID = 2
+
+
+def op1_simple8b(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_dir(spark)
+    tokenfile.write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"), END_ID)
+    return tokenfile.read_tokens(spark, path, digest=True)
+
+
+def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substrings.drop_repeated_substrings(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
 
 
+def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = winnow.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    n_hit = F.expr("aggregate(spans, 0L, (n, s) -> n + s.end - s.start)")
+    return found.select(
+        "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"),
+    )
+
+
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    sized = written(mixing.with_size(docs, "text", "size").drop("text"))
+    return mixing.taken_words(mixing.mix(sized)).select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_simple8b": op1_simple8b,
+    "op2_mixing": op2_mixing,
     "op5_simhash": op5_simhash,
+    "op6_substrings": op6_substrings,
+    "op9_winnowing": op9_winnowing,
 }
 
 ORACLE_SQL: dict[str, str] = {}
