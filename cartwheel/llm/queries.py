@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from cartwheel.llm import mixing, simhash, substrings, tokenfile, winnow
+from cartwheel.llm import chat, mixing, personal, quality, simhash, substrings, tokenfile, winnow
 from cartwheel.llm.common import shared_dir, table, written
 
 
@@ -31,8 +31,29 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
 
 
+def op4_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.rendered_turns(table(spark, sf_dir, "conversations"))
+
+
+def op7_decision_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    d = quality.judged(docs, table(spark, sf_dir, "labels"))
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return d.select("doc_id", *(F.col(quality.P + n).alias(n) for n in names))
+
+
+def op10_skip_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal.find_personal_data(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    joined = lambda c: F.expr(f"array_join(transform({c}, s -> concat_ws(':', s.kind, s.start, s.end)), ',')")
+    return found.select("doc_id", *map(count, personal.KINDS), F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"))
+
+
 def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = winnow.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return contamination_digest(winnow.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+
+
+def contamination_digest(found: DataFrame) -> DataFrame:
     n_hit = F.expr("aggregate(spans, 0L, (n, s) -> n + s.end - s.start)")
     return found.select(
         "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
@@ -49,9 +70,12 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simple8b": op1_simple8b,
     "op2_mixing": op2_mixing,
+    "op4_snapshots": op4_snapshots,
     "op5_simhash": op5_simhash,
     "op6_substrings": op6_substrings,
+    "op7_decision_list": op7_decision_list,
     "op9_winnowing": op9_winnowing,
+    "op10_skip_chain": op10_skip_chain,
 }
 
 ORACLE_SQL: dict[str, str] = {}

@@ -22,7 +22,6 @@ from __future__ import annotations
 from collections import defaultdict
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -37,6 +36,8 @@ _FOLD = bytes(
 )
 _HASH = WordHashes(lambda w: xxhash.xxh64_intdigest(w, 7))
 FOUND = "n_words long, spans array<struct<start:int,end:int>>, items array<string>"
+SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+FOUND_SCHEMA = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("n_words", pa.int64()), ("spans", SPANS), ("items", pa.list_(pa.string()))])
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -165,18 +166,18 @@ def _found_by_text(docs: DataFrame, benchmark: DataFrame, span: int, gram: int)
     spots = keyed.mapInArrow(prints(False), "k1 long, k2 long, len int, hash long, at long")
     matches = spots.join(items, ["len", "hash"]).select("k1", "k2", "at", "item_id", "item", "j")
 
-    def extend(text: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
-        if found.empty or text.empty:
-            return pd.DataFrame({"k1": [], "k2": [], "n_words": [], "spans": [], "items": []})
-        split = {t: words_of(t.encode()) for t in found["item"].unique()}
-        doc = words_of((text["text"].iat[0] or "").encode())
-        cols = zip(found["at"], found["item"], found["item_id"], found["j"], strict=True)
-        spans, items_ = hits(doc, [(int(i), split[t], None if pd.isna(x) else x, int(j)) for i, t, x, j in cols], span)
-        row = {"k1": text["k1"].iat[0], "k2": text["k2"].iat[0], "n_words": len(doc)}
-        return pd.DataFrame([row | {"spans": [{"start": a, "end": b} for a, b in spans], "items": items_}])
+    def extend(text: pa.Table, found: pa.Table) -> pa.Table:
+        if not len(found) or not len(text):
+            return FOUND_SCHEMA.empty_table()
+        at, item, item_id, j = (found.column(c).to_pylist() for c in ("at", "item", "item_id", "j"))
+        split = {t: words_of(t.encode()) for t in set(item)}
+        doc = words_of((text.column("text")[0].as_py() or "").encode())
+        spans, items_ = hits(doc, zip(at, (split[t] for t in item), item_id, j, strict=True), span)
+        row = {"k1": text.column("k1")[0].as_py(), "k2": text.column("k2")[0].as_py(), "n_words": len(doc)}
+        return pa.Table.from_pylist([row | {"spans": [{"start": x, "end": z} for x, z in spans], "items": items_}], FOUND_SCHEMA)
 
     out = keyed.groupBy("k1", "k2").cogroup(matches.groupBy("k1", "k2"))
-    return out.applyInPandas(extend, f"k1 long, k2 long, {FOUND}")
+    return out.applyInArrow(extend, f"k1 long, k2 long, {FOUND}")
 
 
 def _plain(df: DataFrame, id_col: str, text: str, name: str) -> DataFrame:
@@ -194,7 +195,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
         def run(batches):
             for b in slices(batches, "text", 16 << 20):
                 n, spans, found = zip(*map(index.scan, texts(b, "text")), strict=True)
-                spans = pa.array([[{"start": x, "end": y} for x, y in s] for s in spans], pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))
+                spans = pa.array([[{"start": x, "end": y} for x, y in s] for s in spans], SPANS)
                 cols = [b.column("doc_id"), pa.array(n, pa.int64()), spans, pa.array(found, pa.list_(pa.string()))]
                 yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_words", "spans", "items"])
 
