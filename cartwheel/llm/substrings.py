@@ -41,8 +41,8 @@ from cartwheel.llm.common import WordHashes, mix64, slices, texts
 WINDOW = 13
 MAX_CELL_BITS = 28
 BLOCK_BITS = 20
-CHUNK_BYTES = 16 << 20
-_HASH = WordHashes(lambda w: xxhash.xxh3_64_intdigest(w))
+CHUNK_BYTES = 6 << 20
+_HASH = WordHashes(lambda w: xxhash.xxh3_64_intdigest(w), 150_000)
 
 
 class Chunk:
