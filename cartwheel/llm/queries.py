@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from cartwheel.llm import chat, mixing, personal, quality, simhash, substrings, tokenfile, winnow
+from cartwheel.llm import chat, katz, mixing, personal, quality, simhash, substrings, tokenfile, winnow
 from cartwheel.llm.common import shared_dir, table, written
 
 
@@ -31,6 +31,10 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
 
 
+def op3_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return katz.score(table(spark, sf_dir, "documents"))
+
+
 def op4_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rendered_turns(table(spark, sf_dir, "conversations"))
 
@@ -70,6 +74,7 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simple8b": op1_simple8b,
     "op2_mixing": op2_mixing,
+    "op3_katz": op3_katz,
     "op4_snapshots": op4_snapshots,
     "op5_simhash": op5_simhash,
     "op6_substrings": op6_substrings,

@@ -114,3 +114,49 @@ def op10_base(text):
             if ok:
                 out.append((m.start(), k, f"{name}:{m.start()}:{m.end()}"))
     return [x[2] for x in sorted(out)]
+
+
+def op3(rows, k=5):
+    """(id, held_out, n_tokens, n_known, N, base_score, score) by the formulas, token by token."""
+    import math
+    import zlib
+
+    docs = [(i, zlib.crc32(str("" if i is None else i).encode()) % 10 == 0, [*words(lower(t)), None]) for i, t in rows]
+    uni, bi, hist = Counter(), Counter(), Counter()
+    for _, held, w in docs:
+        if not held:
+            uni.update(w)
+            for a, b in zip(["<start>", *w], w, strict=False):
+                bi[a, b] += 1
+                hist[a] += 1
+    n, v = sum(uni.values()), len(uni)
+
+    def discount(counts):
+        m = Counter(counts.values())
+        flat = {r: (r - 0.5) / r for r in range(1, k + 1)}
+        if any(m[r] == 0 for r in range(1, k + 2)):
+            return flat
+        a = (k + 1) * m[k + 1] / m[1]
+        d = {r: ((r + 1) * m[r + 1] / (r * m[r]) - a) / (1 - a) for r in range(1, k + 1)} if a < 1 else flat
+        return d if all(0 < x < 1 for x in d.values()) else flat
+
+    d1, d2 = discount(uni), discount(bi)
+    kept = lambda r, d: r * d[r] if r <= k else r - 0.5
+    unknown = 1 - sum(kept(c, d1) for c in uni.values()) / n if n else 1.0
+    p1 = lambda w: kept(uni[w], d1) / n if uni[w] else unknown
+    mass, cover = Counter(), Counter()
+    for (a, b), c in bi.items():
+        mass[a] += kept(c, d2) / hist[a]
+        cover[a] += p1(b)
+    out = []
+    for i, held, w in docs:
+        score = 0.0
+        for a, b in zip(["<start>", *w], w, strict=False):
+            if bi[a, b]:
+                p = kept(bi[a, b], d2) / hist[a]
+            else:
+                p = p1(b) * ((1 - mass[a]) / (1 - cover[a]) if hist[a] else 1.0)
+            score += math.log10(p)
+        base = sum(math.log10((uni[x] + 0.1) / (n + 0.1 * (v + 1))) for x in w)
+        out.append((i, held, len(w), sum(uni[x] > 0 for x in w), n, base, score))
+    return out
