@@ -95,7 +95,7 @@ def to_blob(first: np.ndarray, second: np.ndarray, doc: np.ndarray) -> bytes:
     return b"".join((head, seconds.tobytes(), firsts.tobytes(), _bytes(per), _bytes(index), _bytes(np.diff(at, append=len(doc))), _bytes(doc)))
 
 
-def from_blob(data: bytes):
+def from_blob(data: pa.Buffer):
     """(first, second, occurrences) by pair and the document of each occurrence."""
     s, f, p, n = struct.unpack_from("<IIII", data)
     view, at = memoryview(data), 16
@@ -206,25 +206,31 @@ def score(docs: DataFrame, id_col: str = "doc_id", text: str = "text", bucket_by
                 yield pa.RecordBatch.from_arrays([pa.array([x]) for x in row], ["bucket", "base", "docs", "held", "pairs", "meta"])
 
     def reduce(parts: pa.Table) -> pa.Table:
-        out, first, second, occurs, key, train = [], [], [], [], [], []
-        for base, docs_, held, data, meta in zip(*(parts.column(c).to_pylist() for c in ("base", "docs", "held", "pairs", "meta")), strict=True):
-            f, s, o, d = from_blob(data)
-            first.append(f)
-            second.append(s)
-            occurs.append(o)
-            key.append(d + base)
-            train.append(np.unpackbits(np.frombuffer(held, np.uint8), count=docs_)[d] == 0)
-            if meta:
-                ids, known, held_, n = np.frombuffer(meta, np.int64).reshape(4, docs_)
+        out: list[pa.Table] = []
+        blobs = [x for c in parts.column("pairs").chunks for x in c]
+        bases, sizes = (parts.column(c).to_numpy() for c in ("base", "docs"))
+        heads = np.array([struct.unpack_from("<IIII", x.as_buffer()) for x in blobs], np.int64)
+        pairs_at, occurs_at, slots_at = (np.concatenate(([0], np.cumsum(x))) for x in (heads[:, 2], heads[:, 3], sizes))
+        first, second = (np.empty(pairs_at[-1], np.uint64) for _ in range(2))
+        occurs, slot = np.empty(pairs_at[-1], np.int32), np.empty(occurs_at[-1], np.int64 if slots_at[-1] >> 31 else np.int32)
+        train = np.empty(occurs_at[-1], bool)
+        for i, (base, docs_, held, meta) in enumerate(zip(bases.tolist(), sizes.tolist(), parts.column("held"), parts.column("meta"), strict=True)):
+            p, o = slice(*pairs_at[i : i + 2]), slice(*occurs_at[i : i + 2])
+            first[p], second[p], occurs[p], d = from_blob(blobs[i].as_buffer())
+            slot[o] = d + slots_at[i]
+            train[o] = np.unpackbits(np.frombuffer(held.as_buffer(), np.uint8), count=docs_)[d] == 0
+            if len(meta.as_buffer()):
+                ids, known, held_, n = np.frombuffer(meta.as_buffer(), np.int64).reshape(4, docs_)
                 out.append(_rows(META, base + np.arange(docs_), ids, [known, held_, n], []))
-        first, second, occurs, key, train = map(np.concatenate, (first, second, occurs, key, train))
+        del blobs
         order = np.lexsort((first, second))
+        first, second = first[order], second[order]
         new = np.ones(len(order), bool)
-        new[1:] = (first[order][1:] != first[order][:-1]) | (second[order][1:] != second[order][:-1])
+        new[1:] = (first[1:] != first[:-1]) | (second[1:] != second[:-1])
         number = np.empty(len(order), np.int32)
         number[order] = np.cumsum(new) - 1
         pair = np.repeat(number, occurs)
-        first, second = first[order][new], second[order][new]
+        first, second = first[new], second[new]
         del order, number, occurs
         c12 = np.bincount(pair, weights=train, minlength=len(first)).astype(np.int64)
         start = np.ones(len(second), bool)
@@ -243,17 +249,20 @@ def score(docs: DataFrame, id_col: str = "doc_id", text: str = "text", bucket_by
         h, group = np.unique(first[seen], return_inverse=True)
         sums = _classes(c12[seen], group, len(h)) + _classes(c2[word[seen]], group, len(h))
         out.append(_rows(HISTORY, h.view(np.int64), np.zeros(len(h), np.int64), sums, []))
+        key_of = lambda x: x - slots_at[(c := np.searchsorted(slots_at, x, side="right") - 1)] + bases[c]
         unseen = np.flatnonzero(~seen[pair])
-        out.append(_rows(UNSEEN, key[unseen], first[pair[unseen]].view(np.int64), [c2[word[pair[unseen]]]], []))
+        out.append(_rows(UNSEEN, key_of(slot[unseen].astype(np.int64)), first[pair[unseen]].view(np.int64), [c2[word[pair[unseen]]]], []))
         # by document
         count, known = c2[word], c2[word] > 0
         safe = np.where(known, count, 1)
         base_term, history_term = np.log10(count + 0.1), np.where(known & (second != END), np.log10(safe), 0.0)
         big_term = np.where(c12 > K, np.log10(np.maximum(c12, 1) - 0.5), 0.0)
-        docs_, at = np.unique(key, return_inverse=True)
+        del first, second, word, seen, train
+        docs_, at = np.unique(slot, return_inverse=True)
+        at = at.astype(np.int32)
         add = lambda x: np.bincount(at, weights=x[pair], minlength=len(docs_))
         ints = [add(known).astype(np.int64), *(add(c12 == r).astype(np.int64) for r in range(1, K + 1))]
-        out.append(_rows(DOC, docs_, np.zeros(len(docs_), np.int64), ints, [add(base_term), add(big_term - history_term)]))
+        out.append(_rows(DOC, key_of(docs_.astype(np.int64)), np.zeros(len(docs_), np.int64), ints, [add(base_term), add(big_term - history_term)]))
         return pa.concat_tables(out)
 
     sent = plain.mapInArrow(send, "bucket long, base long, docs long, held binary, pairs binary, meta binary")
