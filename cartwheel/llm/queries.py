@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from cartwheel.llm import chat, katz, mixing, personal, quality, simhash, substrings, tokenfile, winnow
+from cartwheel.llm import chat, katz, lines, mixing, personal, quality, simhash, substrings, tokenfile, winnow
 from cartwheel.llm.common import shared_dir, table, written
 
 
@@ -53,6 +53,12 @@ def op10_skip_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *map(count, personal.KINDS), F.sha2(joined("base"), 256).alias("base_sha256"), joined("spans").alias("spans"))
 
 
+def op8_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.find_repeated_lines(table(spark, sf_dir, "documents"))
+    removed = F.sha2(F.array_join("removed", ","), 256).alias("removed_sha256")
+    return found.select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), removed, "n_links", "class_id")
+
+
 def op9_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination_digest(winnow.find_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
@@ -79,8 +85,26 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_simhash": op5_simhash,
     "op6_substrings": op6_substrings,
     "op7_decision_list": op7_decision_list,
+    "op8_segments": op8_segments,
     "op9_winnowing": op9_winnowing,
     "op10_skip_chain": op10_skip_chain,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+# Conversations compared turn by turn as lists: the prefix definition itself.
+OP4_SQL = """
+WITH turns AS (
+    SELECT conv_id, turn, role, text, count(*) AS copies FROM conversations WHERE conv_id IS NOT NULL GROUP BY ALL),
+convs AS (
+    SELECT conv_id, count(*) AS n, max(turn) AS last, list({'t': turn, 'r': role, 'x': text, 'c': copies} ORDER BY turn, role, text) AS log
+    FROM turns GROUP BY conv_id),
+kept AS (
+    SELECT a.conv_id FROM convs a WHERE NOT EXISTS (
+        SELECT 1 FROM convs b WHERE b.conv_id <> a.conv_id AND b.n >= a.n AND b.log[1:a.n] = a.log
+        AND (CASE WHEN b.n = a.n THEN b.conv_id < a.conv_id ELSE b.log[a.n + 1].t > a.last END)))
+SELECT conv_id, turn, copies,
+       repeat('<|im_start|>' || coalesce(role, '') || chr(10) || coalesce(text, '') || '<|im_end|>' || chr(10), CAST(copies AS INT)) AS rendered
+FROM turns WHERE conv_id IN (SELECT conv_id FROM kept)
+"""
+
+# Unsigned crc32, quality verdicts, hashes and tokens are beyond DuckDB's SQL: see tests/llm.
+ORACLE_SQL: dict[str, str] = {"op4_snapshots": OP4_SQL}
