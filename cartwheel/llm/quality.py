@@ -163,9 +163,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
     known = known.dropDuplicates(["_quality_id"]).orderBy(F.xxhash64("_quality_id"), "_quality_id").limit(sample_rows)
     rows = docs.select(F.col(id_col).alias("_quality_doc"), F.col(text).alias("text"))
     rows = rows.join(F.broadcast(known), F.col("_quality_doc") == F.col("_quality_id")).limit(sample_rows)
-    stats = with_statistics(rows).where(f"NOT {P}base_failed")
-    found = stats.select(*(P + "f_" + f for f in FEATURES), (F.col("_quality_label") > 0).alias("good")).collect()
-    return learn([tuple(r) for r in found], min_precision)
+    stats = with_statistics(rows)
+    found = stats.select(*(P + "f_" + f for f in FEATURES), (F.col("_quality_label") > 0).alias("good"), P + "base_failed").collect()
+    return learn([tuple(r)[:-1] for r in found if not r[-1]], min_precision)
 
 
 def judged(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", **options) -> DataFrame:
@@ -173,3 +173,11 @@ def judged(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
     rules = fit(docs, labels, id_col, text, **options)
     d = with_statistics(docs, text).withColumn(P + "rule", reject_rule(rules))
     return d.withColumn(P + "kept", ~F.col(P + "base_failed") & F.col(P + "rule").isNull())
+
+
+def kept_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """``docs`` without the documents that the base rule or the list rejects."""
+    d = judged(docs, labels, id_col, text, **options)
+    # As a filter the verdict would be pushed below the statistics, which are then computed again at every mention.
+    one = F.explode(F.when(F.col(P + "kept"), F.array(F.lit(1))).otherwise(F.array().cast("array<int>")))
+    return d.select(*docs.columns, one.alias(P + "one")).select(docs.columns)

@@ -16,8 +16,7 @@ from cartwheel.llm.queries import END_ID
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    judged = quality.judged(docs, table(spark, sf_dir, "labels"))
-    return judged.where(quality.P + "kept").select(docs.columns)
+    return quality.kept_documents(docs, table(spark, sf_dir, "labels"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
