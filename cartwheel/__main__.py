@@ -27,18 +27,22 @@ def main(argv: list[str] | None = None) -> int:
     pq = sub.add_parser("query", help="run one registered query and print rows as JSON lines")
     pq.add_argument("name")
     pq.add_argument("--star", required=True)
-    pq.add_argument("--limit", type=int, default=20)
+    pq.add_argument("--limit", type=int, default=None, help="print only so many rows (default: all)")
     args = p.parse_args(argv)
 
     from cartwheel.session import get_session
 
     spark = get_session()
     if args.cmd == "pipeline":
+        from cartwheel.operators.quality import QualityRules
+        from cartwheel.plans.catalog import STAR_RULES
         from cartwheel.plans.pipeline import run_pipeline
         from cartwheel.sources import generate_transactions, load_star, transactions_from_star
 
         as_of = _dt.date.fromisoformat(args.as_of) if args.as_of else None
+        rules = QualityRules()
         if args.star:
+            rules = STAR_RULES
             bronze = transactions_from_star(load_star(spark, args.star))
         else:
             bronze = generate_transactions(spark, n=args.generate)
@@ -47,6 +51,7 @@ def main(argv: list[str] | None = None) -> int:
             args.target,
             as_of=as_of,
             fmt=args.format,
+            rules=rules,
             silver_partition_by=("order_year", "order_month") if args.partition_silver else None,
         )
         print(json.dumps(out, indent=2))
@@ -54,7 +59,7 @@ def main(argv: list[str] | None = None) -> int:
         from cartwheel.plans.catalog import QUERIES
 
         df = QUERIES[args.name](spark, args.star)
-        for row in df.limit(args.limit).collect():
+        for row in (df if args.limit is None else df.limit(args.limit)).toLocalIterator():
             print(json.dumps(row.asDict(), default=str))
     return 0
 

@@ -84,13 +84,13 @@ def sample_stddev_money_sql(c: str, scale: int = 2) -> str:
     depend on partial-aggregate merge order; only the final square root is
     floating point.  NULL for fewer than two values (as ``stddev_samp``)."""
     x = cents_sql(c)
-    x2 = f"CAST({x} AS DECIMAL(38,0)) * {x}"
+    x2 = f"sum(CAST({x} AS DECIMAL(38,0)) * {x})"
     n = f"CAST(count({c}) AS DECIMAL(38,0))"
     s1 = f"CAST(sum({x}) AS DECIMAL(38,0))"
-    return (
-        f"(CASE WHEN count({c}) > 1 THEN round(sqrt(CAST({n} * sum({x2}) - {s1} * {s1} AS DOUBLE)"
-        f" / CAST({n} * ({n} - 1) AS DOUBLE)) / 100.0D, {scale}) END)"
-    )
+    exact = f"CAST(try_subtract(try_multiply({n}, {x2}), try_multiply({s1}, {s1})) AS DOUBLE) / CAST({n} * ({n} - 1) AS DOUBLE)"
+    # Beyond 38 digits: divide before multiplying.
+    wide = f"(CAST({x2} AS DOUBLE) - CAST({s1} AS DOUBLE) / count({c}) * CAST({s1} AS DOUBLE)) / (count({c}) - 1)"
+    return f"(CASE WHEN count({c}) > 1 THEN round(sqrt(greatest(coalesce({exact}, {wide}), 0.0D)) / 100.0D, {scale}) END)"
 
 
 # Column forms ---------------------------------------------------------------

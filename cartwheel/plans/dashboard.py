@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwheel.functions.money import money_total_sql
@@ -40,12 +40,12 @@ def daily_revenue_trend(silver: DataFrame) -> DataFrame:
 
 
 def top_products(silver: DataFrame, n: int = 10) -> DataFrame:
-    """The first ``n`` products of the revenue ranking."""
-    return (
-        product_performance(silver)
-        .filter(F.col("revenue_rank") <= n)
-        .select("revenue_rank", "product_name", "category", "total_revenue")
-    )
+    """The first ``n`` products of the revenue ranking: a top-k, then numbered."""
+    revenue = silver.groupBy("product_name", "category").agg(*exprs(f"{REVENUE_CENTS} AS __revenue", f"{REVENUE} AS total_revenue"))
+    order = [F.col("__revenue").desc(), F.col("product_name").asc_nulls_first(), F.col("category").asc_nulls_first()]
+    top = revenue.orderBy(*order).limit(n)
+    rank = F.row_number().over(Window.orderBy(*order)).alias("revenue_rank")  # n rows
+    return top.select(rank, "product_name", "category", "total_revenue")
 
 
 def category_distribution(silver: DataFrame) -> DataFrame:

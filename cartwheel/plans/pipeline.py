@@ -2,7 +2,7 @@
 
 ``materialize`` writes a derived layer once into the cluster's shared
 checkpoint folder (``spark.checkpoint.dir``; when unset, a folder under the
-SQL warehouse) and reads it back.  A written layer cuts the lineage: gold
+warehouse in local mode and an error elsewhere) and reads it back.  A written layer cuts the lineage: gold
 queries scan silver's files instead of recomputing the star joins and the
 de-duplication, and a lost executor re-reads files instead of re-running the
 upstream.  The layer's name carries a fingerprint of its inputs and of the
@@ -50,6 +50,8 @@ def layer_root(spark: SparkSession) -> str:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
         base = os.path.dirname(current.get().rstrip("/")) if current.isDefined() else None
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_cartwheel_checkpoints"
     return base.rstrip("/") + "/cartwheel_layers"
 
@@ -112,7 +114,7 @@ def bronze_layer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The written bronze layer of ``sf_dir`` (built on first use)."""
     import cartwheel.schemas as schemas_mod
 
-    files = star_source._fingerprint(sf_dir, star_source.STAR_TABLES)
+    files = star_source._fingerprint(spark, sf_dir, star_source.STAR_TABLES)
     key = hashlib.sha256(
         repr((os.path.abspath(sf_dir), files)).encode() + code_fingerprint(star_source, schemas_mod).encode()
     ).hexdigest()[:20]
@@ -128,7 +130,7 @@ def silver_layer(spark: SparkSession, sf_dir: str, as_of: _dt.date) -> DataFrame
     import cartwheel.operators.cleaning as cleaning_mod
     import cartwheel.schemas as schemas_mod
 
-    files = star_source._fingerprint(sf_dir, star_source.STAR_TABLES)
+    files = star_source._fingerprint(spark, sf_dir, star_source.STAR_TABLES)
     key = hashlib.sha256(
         repr((os.path.abspath(sf_dir), files, as_of.isoformat())).encode()
         + code_fingerprint(star_source, cleaning_mod, rules_mod, schemas_mod, money_mod).encode()
@@ -159,7 +161,7 @@ def register_views(spark: SparkSession, tables: dict[str, str], fmt: str = "parq
     """Expose written tables to Spark SQL under their names (temporary views),
     so ``spark.sql("SELECT * FROM daily_sales_summary ORDER BY ...")`` works."""
     for name, location in tables.items():
-        read_table(spark, location, fmt).createOrReplaceTempView(name)
+        read_table(spark, location, fmt, name == "quality_metrics_history").createOrReplaceTempView(name)
     return sorted(tables)
 
 

@@ -49,10 +49,9 @@ def ordered(df: DataFrame, order: list[str]) -> DataFrame:
     return df.orderBy(*[_sort_col(s) for s in order], *[F.col(c).asc_nulls_first() for c in rest])
 
 
-def present(name: str, df: DataFrame, limit: int | None | bool = True) -> DataFrame:
-    """Gold table ``name`` in the reference's display order.  ``limit=True``
-    applies the reference's display limit (if it had one), an int overrides
-    it, ``None``/``False`` shows all rows."""
+def present(name: str, df: DataFrame, limit: int | str | None = None) -> DataFrame:
+    """Gold table ``name`` in the reference's display order: all rows, the first
+    ``limit`` (0: none), or with ``"display"`` as many as the reference shows."""
     out = ordered(df, REFERENCE_ORDER[name])
-    n = DISPLAY_LIMIT.get(name) if limit is True else (limit or None)
-    return out.limit(n) if n else out
+    n = DISPLAY_LIMIT.get(name) if limit == "display" else limit
+    return out if n is None else out.limit(n)

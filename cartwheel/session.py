@@ -45,7 +45,7 @@ def get_session(
     spark = builder.getOrCreate()
     # Session-level SQL settings also apply when the session already existed.
     for key, value in settings.items():
-        if key.startswith("spark.sql."):
+        if key.startswith("spark.sql.") and spark.conf.isModifiable(key):
             spark.conf.set(key, value)
     return spark
 

@@ -3,8 +3,9 @@
 One bronze row per ``lineitem`` row:
 
 =================  ====================================================
-order_id           ``l_orderkey || '-' || l_linenumber`` (repeats: the
-                   source holds duplicate line keys, removed in silver)
+order_id           ``l_orderkey-l_linenumber-l_partkey-l_suppkey-l_quantity-
+                   l_shipdate``: identifies a line item (order and line
+                   number alone repeat with different content)
 customer_id        ``c_custkey`` as string (the bronze schema's type)
 product_name       ``p_name``
 category           ``p_type``
@@ -19,51 +20,44 @@ is_returned        ``l_returnflag = 'R'`` as 0/1
 
 Join plan (all inner equi-joins).  The customer dimension (customer ->
 nation -> region) is resolved on the order side, which is ~1/4 of the line
-items.  Part joins the fact on whichever side keeps the fact's shuffles
-fewest:
-
-* part fits the broadcast threshold (checked on Catalyst's size estimate of
-  the pruned part scan): ``(lineitem ⋈ orders) ⋈ broadcast part`` — one
-  shuffle of the fact, and the part columns are added on the reduce side
-  instead of travelling through it;
-* otherwise: ``(lineitem ⋈ part) ⋈ orders`` — a sort-merge join on partkey,
-  then on orderkey.
-
-The fact-to-orders join is pinned to sort-merge (both sides grow with the
-data; a column-pruned fact scan must never be broadcast).  The dimension joins
-are Spark's choice (broadcast below ``spark.sql.autoBroadcastJoinThreshold``,
-else sort-merge) and AQE re-plans on measured sizes; skewed join keys are
-split by AQE's skew-join handling.
+items; the line items join it on orderkey and then part on partkey.  The
+fact-to-orders join is pinned to sort-merge (both sides grow with the data; a
+column-pruned fact scan must never be broadcast).  All other joins are
+Spark's choice (broadcast below ``spark.sql.autoBroadcastJoinThreshold``, else
+sort-merge); AQE re-plans on measured sizes and splits skewed join keys.
 """
 
 from __future__ import annotations
 
-import os
+import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 
 STAR_TABLES = ("region", "nation", "customer", "part", "orders", "lineitem")
 
-SOURCE_KEYS = ("l_orderkey", "l_linenumber")
-
 _CACHE: dict[tuple[str, str, tuple], dict[str, DataFrame]] = {}
 
 
-def _fingerprint(sf_dir: str, names) -> tuple:
+def _fingerprint(spark: SparkSession, sf_dir: str, names) -> tuple:
+    """Path, length and modification time of every input file, by the Hadoop file system."""
     out = []
     for n in names:
-        try:
-            st = os.stat(f"{sf_dir}/{n}.parquet")
-            out.append((n, st.st_size, int(st.st_mtime)))
-        except OSError:  # remote storage: no local stat, rely on the path
-            out.append((n, None, None))
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{n}.parquet")
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True)
+        digest, seen = hashlib.sha256(), []
+        while files.hasNext():
+            f = files.next()
+            seen.append(f"{f.getPath()} {f.getLen()} {f.getModificationTime()}")
+        for line in sorted(seen):
+            digest.update(line.encode())
+        out.append((n, digest.hexdigest()[:16]))
     return tuple(out)
 
 
 def load_star(spark: SparkSession, sf_dir: str, names=STAR_TABLES) -> dict[str, DataFrame]:
     """Scan DataFrames of the star tables, reused within a session (file
     listing and footer reads happen once per directory)."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), _fingerprint(sf_dir, names))
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), _fingerprint(spark, sf_dir, names))
     cached = _CACHE.get(key)
     if cached is None:
         cached = {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in names}
@@ -71,24 +65,11 @@ def load_star(spark: SparkSession, sf_dir: str, names=STAR_TABLES) -> dict[str,
     return cached
 
 
-def broadcast_threshold(spark: SparkSession) -> int:
-    raw = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB")).strip().lower()
-    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
-    for suffix in sorted(units, key=len, reverse=True):
-        if raw.endswith(suffix):
-            return int(float(raw[: -len(suffix)]) * units[suffix])
-    return int(raw)
-
-
-def _estimated_bytes(df: DataFrame) -> int:
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def transactions_from_star(tables: dict[str, DataFrame], keep_source_keys: bool = False) -> DataFrame:
+def transactions_from_star(tables: dict[str, DataFrame]) -> DataFrame:
     """Map the star schema to the bronze transaction layout (see module doc)."""
     # No manual projections: Catalyst prunes every scan to the columns used
-    # (ReadSchema of lineitem: orderkey, partkey, linenumber, quantity,
-    # returnflag, shipdate).
+    # (ReadSchema of lineitem: orderkey, partkey, suppkey, linenumber,
+    # quantity, returnflag, shipdate).
     region, nation, customer = tables["region"], tables["nation"], tables["customer"]
     part, orders, lineitem = tables["part"], tables["orders"], tables["lineitem"]
 
@@ -98,17 +79,12 @@ def transactions_from_star(tables: dict[str, DataFrame], keep_source_keys: bool
     # orderkey (a pruned fact scan can look small enough to broadcast; it must
     # not be).  Its output stays hash-partitioned by l_orderkey.
     orders_x = orders.join(cust, orders.o_custkey == cust.c_custkey).hint("merge")
-    threshold = broadcast_threshold(part.sparkSession)
-    part_bytes = _estimated_bytes(part.select("p_partkey", "p_name", "p_type", "p_retailprice"))
-    if 0 <= part_bytes <= threshold:
-        with_orders = lineitem.join(orders_x, lineitem.l_orderkey == orders_x.o_orderkey)
-        joined = with_orders.join(part, with_orders.l_partkey == part.p_partkey)
-    else:
-        lines = lineitem.join(part, lineitem.l_partkey == part.p_partkey)
-        joined = lines.join(orders_x, lines.l_orderkey == orders_x.o_orderkey)
+    with_orders = lineitem.join(orders_x, lineitem.l_orderkey == orders_x.o_orderkey)
+    joined = with_orders.join(part, with_orders.l_partkey == part.p_partkey)
 
     cols = [
-        "concat(CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING)) AS order_id",
+        "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_quantity AS BIGINT), "
+        "date_format(l_shipdate, 'yyyyMMdd')) AS order_id",
         "CAST(c_custkey AS STRING) AS customer_id",
         "p_name AS product_name",
         "p_type AS category",
@@ -120,6 +96,4 @@ def transactions_from_star(tables: dict[str, DataFrame], keep_source_keys: bool
         "CAST(pmod(datediff(CAST(l_shipdate AS DATE), CAST(o_orderdate AS DATE)), 30) + 1 AS BIGINT) AS delivery_days",
         "CAST(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS BIGINT) AS is_returned",
     ]
-    if keep_source_keys:
-        cols += list(SOURCE_KEYS)
     return joined.selectExpr(*cols)

@@ -13,6 +13,7 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def records_to_frame(spark: SparkSession, records, schema=None) -> DataFrame:
@@ -31,10 +32,12 @@ def _is_path(target: str) -> bool:
     return "/" in target or ":" in target
 
 
-def read_table(spark: SparkSession, target: str, fmt: str = "parquet") -> DataFrame:
+def read_table(spark: SparkSession, target: str, fmt: str = "parquet", merge_schema: bool = False) -> DataFrame:
+    """Scan a path or catalog table.  ``merge_schema`` reads every file's
+    footer: only for append-only tables whose columns may have grown."""
     if _is_path(target):
         reader = spark.read.format(fmt)
-        if fmt == "parquet":
+        if merge_schema and fmt in ("parquet", "orc"):
             reader = reader.option("mergeSchema", "true")
         return reader.load(target)
     return spark.read.table(target)
@@ -100,8 +103,13 @@ def _overwrite_via_staging(df: DataFrame, target: str, fmt: str, partition_by) -
     if _is_path(target):
         fs, dst = _fs(spark, target)
         _, src = _fs(spark, stage)
-        fs.delete(dst, True)
-        fs.rename(src, dst)
+        _, old = _fs(spark, f"{target.rstrip('/')}__old_{uuid.uuid4().hex[:8]}")
+        if not fs.rename(dst, old):
+            raise OSError(f"{target} could not be set aside; the new rows are in {stage}")
+        if not fs.rename(src, dst):
+            fs.rename(old, dst)
+            raise OSError(f"{stage} could not be moved to {target}")
+        fs.delete(old, True)
     else:
         staged = spark.read.table(stage)
         staged.write.format(fmt).mode("overwrite").saveAsTable(target)
@@ -114,15 +122,18 @@ def append_table(df: DataFrame, target: str, fmt: str = "parquet") -> str:
     spark = df.sparkSession
     if not table_exists(spark, target):
         return write_table(df, target, "overwrite", fmt)
-    existing = read_table(spark, target, fmt)
-    new_cols = [c for c in df.columns if c not in existing.columns]
-    missing = [c for c in existing.columns if c not in df.columns]
-    if _is_path(target) and fmt == "parquet":
-        # Parquet files may differ in columns; readers merge schemas.
+    existing = read_table(spark, target, fmt, merge_schema=True)
+    types = {f.name: f.dataType for f in existing.schema.fields}
+    for f in df.schema.fields:
+        if f.name in types and types[f.name] != f.dataType:
+            raise ValueError(f"{target}: column {f.name} is {types[f.name].simpleString()}, not {f.dataType.simpleString()}")
+    if _is_path(target):  # files may differ in columns; readers merge schemas
         df.write.format(fmt).mode("append").save(target)
         return target
-    if not new_cols and not missing:
-        df.select(*existing.columns).write.format(fmt).mode("append").saveAsTable(target)
-        return target
-    evolved = existing.unionByName(df, allowMissingColumns=True)
-    return _overwrite_via_staging(evolved, target, fmt, None)
+    new = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields if f.name not in types]
+    if new:
+        spark.sql(f"ALTER TABLE {target} ADD COLUMNS ({', '.join(new)})")
+    stored = spark.read.table(target).schema.fields
+    rows = df.select(*(f.name if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in stored))
+    rows.write.format(fmt).mode("append").saveAsTable(target)
+    return target

@@ -43,7 +43,8 @@ def stddev_cents(c: str) -> str:
 BRONZE = """
 bronze AS (
   SELECT
-    CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR) AS order_id,
+    concat_ws('-', l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, CAST(l.l_quantity AS BIGINT),
+      strftime(l.l_shipdate, '%Y%m%d')) AS order_id,
     CAST(c.c_custkey AS VARCHAR) AS customer_id,
     p.p_name AS product_name,
     p.p_type AS category,

@@ -166,12 +166,13 @@ def test_presentation_order_and_limit(spark):
     rows = [{"order_date": D(2024, 1, d % 28 + 1), "region": r, "unit_price": 5.0 + d}
             for d in range(40) for r in ("North", "South")]
     daily = daily_sales_summary(silver_rows(spark, rows))
-    shown = present("daily_sales_summary", daily).collect()
+    shown = present("daily_sales_summary", daily, "display").collect()
     assert len(shown) == 20
     keys = [(r.order_date, r.region) for r in shown]
     assert keys == sorted(keys, key=lambda k: (-k[0].toordinal(), k[1]))
-    assert len(present("daily_sales_summary", daily, limit=None).collect()) == daily.count()
-    plan = present("daily_sales_summary", daily)._jdf.queryExecution().executedPlan().toString()
+    assert present("daily_sales_summary", daily).count() == daily.count()
+    assert present("daily_sales_summary", daily, 0).count() == 0
+    plan = present("daily_sales_summary", daily, "display")._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan
     assert set(REFERENCE_ORDER) >= {"payment_analysis", "customer_cohorts", "revenue_trends"}
 

@@ -52,7 +52,7 @@ def test_append_evolves_schema(spark, tmp_root):
     b = spark.createDataFrame([(2, "y", 3.5)], "id int, s string, extra double")
     append_table(a, path)
     append_table(b, path)
-    rows = sorted(read_table(spark, path).collect())
+    rows = sorted(read_table(spark, path, merge_schema=True).collect())
     assert [tuple(r) for r in rows] == [(1, "x", None), (2, "y", 3.5)]
 
 
