@@ -20,6 +20,7 @@ leaves every document clean.
 from __future__ import annotations
 
 from collections import defaultdict
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -57,11 +58,25 @@ def gram_hashes(h: np.ndarray, k: int) -> np.ndarray:
 
 def winnowed(g: np.ndarray, w: int) -> np.ndarray:
     """Positions of the rightmost minimum of every w neighbours."""
-    if len(g) < w:
+    return distinct(smallest(g, w))
+
+
+def smallest(g: np.ndarray, w: int) -> np.ndarray:
+    """Position of the rightmost minimum of the w neighbours from each place on; it never falls."""
+    m = len(g) - w + 1
+    if m <= 0:
         return np.empty(0, np.int64)
-    views = np.lib.stride_tricks.sliding_window_view(g[::-1], w)
-    at = len(g) - 1 - (np.arange(len(views)) + views.argmin(axis=1))
-    return np.unique(at)
+    best, after = g[w - 1 :], np.full(m, w - 1, np.int64)
+    for j in range(w - 2, -1, -1):
+        less = g[j : j + m] < best
+        after[less] = j
+        best = np.minimum(best, g[j : j + m])
+    return after + np.arange(m)
+
+
+def distinct(at: np.ndarray) -> np.ndarray:
+    """``at``, which never falls, without repeats."""
+    return at[np.concatenate(([True], at[1:] != at[:-1]))] if len(at) else at
 
 
 def fingerprints(words: list[bytes], short: tuple[int, ...] | None, span: int, gram: int):
@@ -127,13 +142,29 @@ class Index:
         self.short = tuple(sorted({k for k, _ in self.at} - {0}))
         self.hashes = {k: np.unique(np.array([x for n, x in self.at if n == k], np.uint64)) for k in (0, *self.short)}
 
-    def scan(self, text: bytes):
-        doc = words_of(text)
-        found = []
-        for length, g, at in fingerprints(doc, self.short, self.span, self.gram):
-            near = np.flatnonzero(np.isin(g, self.hashes[length]))
-            found += [(int(at[p]), *self.items[n][::-1], j) for p in near for n, j in self.at[length, int(g[p])]]
-        return (len(doc), *hits(doc, found, self.span))
+    def scan(self, batch: list[bytes]) -> list[tuple[int, list, list]]:
+        """(n_words, merged spans, item ids) of each text; the words of a batch are hashed as one array."""
+        docs = [words_of(t) for t in batch]
+        sizes = np.fromiter(map(len, docs), np.int64, len(docs))
+        ends = np.cumsum(sizes)
+        h = np.fromiter(map(_HASH.__getitem__, chain.from_iterable(docs)), np.uint64, int(sizes.sum()))
+        left = np.repeat(ends, sizes) - np.arange(len(h))  # words from each place to the end of its text
+        found: dict[int, list] = defaultdict(list)
+        for length, known in self.hashes.items():
+            if not len(known):
+                continue
+            g = gram_hashes(h, length or self.gram)
+            if length:
+                at = np.flatnonzero(left[: len(g)] >= length)
+            else:
+                at = smallest(g, self.span - self.gram + 1)
+                at = distinct(at[left[: len(at)] >= self.span])
+            place = np.minimum(np.searchsorted(known, g[at]), len(known) - 1)
+            at = at[known[place] == g[at]]
+            owner = np.searchsorted(ends, at, side="right")
+            for d, i, x in zip(owner.tolist(), (at - (ends - sizes)[owner]).tolist(), g[at].tolist(), strict=True):
+                found[d] += [(i, *self.items[n][::-1], j) for n, j in self.at[length, x]]
+        return [(len(doc), *(hits(doc, found[d], self.span) if d in found else ([], []))) for d, doc in enumerate(docs)]
 
 
 def _bounded(benchmark: DataFrame, item_text: str, limit: int) -> bool:
@@ -193,8 +224,8 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc
         index = Index([tuple(r) for r in items.collect()], span, gram)
 
         def run(batches):
-            for b in slices(batches, "text", 16 << 20):
-                n, spans, found = zip(*map(index.scan, texts(b, "text")), strict=True)
+            for b in slices(batches, "text", 4 << 20):
+                n, spans, found = zip(*index.scan(texts(b, "text")), strict=True)
                 spans = pa.array([[{"start": x, "end": y} for x, y in s] for s in spans], SPANS)
                 cols = [b.column("doc_id"), pa.array(n, pa.int64()), spans, pa.array(found, pa.list_(pa.string()))]
                 yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_words", "spans", "items"])
@@ -225,8 +256,8 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text",
         index = Index([tuple(r) for r in items.collect()], span, gram)
 
         def run(batches):
-            for b in slices(batches, text, 16 << 20):
-                yield b.filter(pa.array([not index.scan(t)[1] for t in texts(b, text)]))
+            for b in slices(batches, text, 4 << 20):
+                yield b.filter(pa.array([not spans for _, spans, _ in index.scan(texts(b, text))]))
 
         return docs.mapInArrow(run, docs.schema)
     plain = docs.select(F.col(text).cast("string").alias("text"))
