@@ -10,7 +10,7 @@ from cartwheel.operators.quality import (  # noqa: F401
     quality_metrics_row,
     quality_report,
 )
-from cartwheel.operators.ranking import exact_ntile, global_rank, global_row_number, top_n_per_group  # noqa: F401
+from cartwheel.operators.ranking import exact_ntile, exact_ntiles, global_rank, global_ranks, global_row_number, top_n_per_group  # noqa: F401
 from cartwheel.operators.sales import (  # noqa: F401
     category_trends,
     daily_sales_summary,

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from cartwheel.functions.dates import month_start, whole_months_between
 from cartwheel.functions.money import money_avg_sql, money_total_sql, pct_sql, sample_stddev_money_sql
 from cartwheel.operators.cleaning import as_of_sql
-from cartwheel.operators.ranking import exact_ntile, resolve_path
+from cartwheel.operators.ranking import exact_ntiles
 from cartwheel.operators.sales import exprs
 
 
@@ -58,7 +58,6 @@ def rfm_segmentation(
     metrics: DataFrame,
     n: int = 5,
     num_partitions: int | None = None,
-    local_limit_bytes: int | None = None,
 ) -> DataFrame:
     """RFM scores (NTILE ``n``) and segments from :func:`customer_metrics`.
 
@@ -68,11 +67,12 @@ def rfm_segmentation(
     distributed scheme of :mod:`cartwheel.operators.ranking`.
     """
     base = metrics.select("customer_id", "total_purchases", "days_since_purchase", "lifetime_value")
-    cid = F.col("customer_id").asc_nulls_first()
-    kw = dict(num_partitions=num_partitions, local_limit_bytes=resolve_path(base, local_limit_bytes))
-    scored = exact_ntile(base, n, [F.col("days_since_purchase").desc_nulls_last(), cid], "recency_score", **kw)
-    scored = exact_ntile(scored, n, [F.col("total_purchases").asc_nulls_first(), cid], "frequency_score", **kw)
-    scored = exact_ntile(scored, n, [F.col("lifetime_value").asc_nulls_first(), cid], "monetary_score", **kw)
+    orders = {
+        "recency_score": ["-days_since_purchase", "customer_id"],
+        "frequency_score": ["total_purchases", "customer_id"],
+        "monetary_score": ["lifetime_value", "customer_id"],
+    }
+    scored = exact_ntiles(base, n, orders, num_partitions)
     return scored.selectExpr(
         "customer_id",
         "recency_score",

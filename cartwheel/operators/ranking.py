@@ -1,138 +1,125 @@
 """Distributed ranking: global row numbers and NTILE without a single-partition window.
 
 ``F.row_number().over(Window.orderBy(...))`` and ``F.ntile`` over an
-unpartitioned window move every row into one task.  Here the frame is instead
-range-partitioned on a *total* order (the caller's keys plus tie-breakers), so
-a value shared by a third of all rows is still split across partitions by the
-tie-breaker, and each partition is numbered locally:
-
-1. ``repartitionByRange(P, order)`` + ``sortWithinPartitions(order)``;
-2. tag each row with its partition id and its position inside the partition
-   (``monotonically_increasing_id`` minus the partition base);
-3. freeze that frame with a reliable ``checkpoint()`` in the cluster's
-   checkpoint directory — range bounds come from sampling, so the counts and
-   the positions must be read from one materialisation, and a lost executor
-   must not be able to re-derive different bounds;
-4. count rows per partition (P rows), prefix-sum them (a window over P rows),
-   broadcast the P offsets and add them to the local positions.
-
-Only P rows ever meet in one place, and P is ours to choose (default: the
-session's shuffle partitions).  When Catalyst's size estimate of the input is
-below ``local_limit_bytes`` (16 MB) the plain single-partition window is used
-instead.  The estimate starts from the scanned files' size scaled to the
-projected columns, and aggregates and filters never raise it, so an input
-passing the check is at most a few million rows — a sort one task handles
-(and spills if it must).  Joins without statistics estimate far above the
-limit, so they always take the distributed path.
+unpartitioned window move every row into one task.  Here the total order
+(the caller's keys plus tie-breakers) is cut into ranges, and each range is
+numbered on its own; one plan for every input size, and no job before the action:
+
+1. the order becomes one comparable struct per row (``order_key``);
+2. split points are the quantiles of a bounded sample of keys, those of
+   smallest hash — the same for any partitioning and after any retry, so
+   nothing has to be frozen in a checkpoint;
+3. each row finds its range by binary search among the split points;
+4. rows per range are counted (partial aggregation, one row per range) and
+   summed up (a window over these rows, a scalar subquery); ``row_number``
+   inside each range plus the rows of all earlier ranges is the position.
+
+A value shared by a third of all rows is still split by the tie-breaker.
+Split points only lay out the work; positions are exact for any choice of them.
+The sample and the counts come from the caller's frame once more each: rank an
+aggregate or a stored table, whose exchanges Spark reuses.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwheel.session import shuffle_partitions
 
-_PID = "__cw_pid"
-_LOCAL = "__cw_local"
-_CNT = "__cw_cnt"
+_KEY = "__cw_key"
+_RANGE = "__cw_range"
+_POINTS = "__cw_points"
 _OFF = "__cw_off"
-_N = "__cw_n"
 
-DEFAULT_LOCAL_LIMIT_BYTES = 16 * 1024 * 1024
+SAMPLE_PER_RANGE = 20  # sampled keys for each range
+MAX_RANGES = 1024  # at most 20,480 sampled keys
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The reliable checkpoint directory: ``spark.checkpoint.dir`` when the
-    cluster names one; otherwise a folder under the SQL warehouse (a shared
-    location on a cluster)."""
-    sc = spark.sparkContext
-    current = sc._jsc.sc().getCheckpointDir()
-    if current.isDefined():
-        return current.get()
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if not configured:
-        warehouse = spark.conf.get("spark.sql.warehouse.dir")
-        configured = warehouse.rstrip("/") + "/_cartwheel_checkpoints"
-    sc.setCheckpointDir(configured)
-    return sc._jsc.sc().getCheckpointDir().get()
+def order_key(order: Sequence[str]) -> Column:
+    """The order as one comparable struct.  ``"c"`` sorts ascending, NULL first;
+    ``"-c"`` (numbers without NaN) descending, NULL last."""
+    parts = []
+    for i, c in enumerate(order):
+        if c.startswith("-"):
+            v = F.col(c[1:])
+            parts += [v.isNull().alias(f"n{i}"), (-v).alias(f"k{i}")]
+        else:
+            parts.append(F.col(c).alias(f"k{i}"))
+    return F.struct(*parts)
 
 
-def reliable_checkpoint(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the reliable checkpoint directory (eager)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def _split_points(keys: DataFrame, m: int, ranges: int) -> DataFrame:
+    """One row, one struct of ``m`` arrays: at most ``ranges - 1`` ascending keys of each order."""
+    rows, names = ranges * SAMPLE_PER_RANGE, [f"{_KEY}{i}" for i in range(m)]
+    sample = keys.select(*names).orderBy(F.xxhash64(*names), *names).limit(rows)
+    lists = sample.agg(*(F.sort_array(F.collect_list(k)).alias(k) for k in names))  # at most ``rows`` keys
+    each = "greatest(1, CAST(ceil(size({k}) / {n}) AS INT))"
+    cut = "filter({k}, (x, i) -> i > 0 AND i % {each} = 0)"
+    return lists.select(F.struct(*(F.expr(cut.format(k=k, each=each.format(k=k, n=ranges))).alias(k) for k in names)))
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of ``df`` (file bytes scaled to the projected
-    columns; aggregates and filters do not raise it)."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def _range_of(key: str, points: Column, ranges: int) -> Column:
+    """How many split points are at or below ``key``: a binary search."""
+    steps = [1 << b for b in range(max(1, ranges - 1).bit_length() - 1, -1, -1)]
+    size = F.size(points)
 
+    def step(at: Column, by: Column) -> Column:
+        there = F.get(points, at + by - 1)
+        return F.when((at + by <= size) & (there <= F.col(key)), at + by).otherwise(at)
 
-def _sort_cols(order: Sequence[str | Column]) -> list[Column]:
-    return [F.col(c).asc_nulls_first() if isinstance(c, str) else c for c in order]
+    return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), step)
 
 
-def global_rank(
+def _offsets(placed: DataFrame, m: int, ranges: int) -> DataFrame:
+    """One row, one struct: for each order an array (range -> rows in all earlier ranges), and the row total."""
+    each = F.explode(F.array(*(F.struct(F.lit(i).alias("w"), F.col(f"{_RANGE}{i}").alias("r")) for i in range(m))))
+    counts = placed.select(each.alias("at")).groupBy("at.w", "at.r").agg(F.count("*").alias("n"))
+    order = Window.partitionBy("w").orderBy("r")  # one row per range: at most ``ranges``
+    before = F.coalesce(F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    sums = counts.select("w", "r", before.alias("before"), F.sum("n").over(Window.partitionBy("w")).alias("n"))
+    pairs = "map_from_entries(collect_list(CASE WHEN w = {i} THEN struct(r, before) END)) AS m{i}"
+    maps = sums.agg(*(F.expr(pairs.format(i=i)) for i in range(m)), F.max("n").alias("n"))
+    dense = f"transform(sequence(0, {ranges - 1}), r -> try_element_at(m{{i}}, r)) AS a{{i}}"
+    return maps.select(F.struct(*(F.expr(dense.format(i=i)) for i in range(m)), "n"))
+
+
+def global_ranks(
     df: DataFrame,
-    order: Sequence[str | Column],
-    rank_col: str = "global_rank",
+    orders: dict[str, Sequence[str]],
     total_col: str | None = None,
     num_partitions: int | None = None,
 ) -> DataFrame:
-    """Add the 0-based position of each row in the total order ``order``
-    (and optionally the row total) with the range-partition scheme above.
-    ``order`` must be total (end with a unique key) for a deterministic result."""
-    sort = _sort_cols(order)
-    parts = num_partitions or shuffle_partitions(df.sparkSession)
-    tagged = (
-        df.repartitionByRange(parts, *sort)
-        .sortWithinPartitions(*sort)
-        .withColumn(_PID, F.spark_partition_id())
-        .withColumn(_LOCAL, F.monotonically_increasing_id() - F.shiftleft(F.col(_PID).cast("long"), 33))
-    )
-    frozen = reliable_checkpoint(tagged)
-    counts = frozen.groupBy(_PID).agg(F.count(F.lit(1)).alias(_CNT))
-    before = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        _PID,
-        F.coalesce(F.sum(_CNT).over(before), F.lit(0)).alias(_OFF),
-        F.sum(_CNT).over(Window.partitionBy()).alias(_N),
-    )
-    # ``offsets`` holds one row per range partition: at most ``parts`` rows.
-    out = frozen.join(F.broadcast(offsets), _PID).withColumn(rank_col, F.col(_OFF) + F.col(_LOCAL))
+    """Add, for each ``name: order``, the 0-based position of each row in that
+    total order (and optionally the row total) with the scheme above.  Each
+    order must be total (end with a unique key) for a deterministic result.
+    ``df`` is read three times, however many orders there are: for the sample,
+    the counts and the rows."""
+    m, ranges = len(orders), max(1, min(MAX_RANGES, num_partitions or shuffle_partitions(df.sparkSession)))
+    keyed = df.withColumns({f"{_KEY}{i}": order_key(o) for i, o in enumerate(orders.values())})
+    placed = keyed.withColumn(_POINTS, _split_points(keyed, m, ranges).scalar())
+    found = {f"{_RANGE}{i}": _range_of(f"{_KEY}{i}", F.col(_POINTS)[f"{_KEY}{i}"], ranges) for i in range(m)}
+    placed = placed.withColumns(found).drop(_POINTS)
+    out = placed
+    for i, name in enumerate(orders):
+        local = Window.partitionBy(f"{_RANGE}{i}").orderBy(f"{_KEY}{i}")
+        out = out.withColumn(name, F.row_number().over(local))
+    out = out.withColumn(_OFF, _offsets(placed, m, ranges).scalar())
+    out = out.withColumns({name: F.get(F.col(_OFF)[f"a{i}"], F.col(f"{_RANGE}{i}")) + F.col(name) - 1 for i, name in enumerate(orders)})
     if total_col:
-        out = out.withColumnRenamed(_N, total_col)
-    return out.drop(_PID, _LOCAL, _OFF, _N)
+        out = out.withColumn(total_col, F.col(_OFF)["n"])
+    return out.drop(_OFF, *(f"{c}{i}" for c in (_KEY, _RANGE) for i in range(m)))
 
 
-def _is_small(df: DataFrame, local_limit_bytes: int | float | None) -> bool:
-    limit = DEFAULT_LOCAL_LIMIT_BYTES if local_limit_bytes is None else local_limit_bytes
-    if limit == float("inf"):  # decided by the caller
-        return True
-    return limit > 0 and estimated_bytes(df) <= limit
+def global_rank(df: DataFrame, order: Sequence[str], rank_col: str = "global_rank", total_col: str | None = None, num_partitions: int | None = None) -> DataFrame:
+    """:func:`global_ranks` of one order."""
+    return global_ranks(df, {rank_col: order}, total_col, num_partitions)
 
 
-def resolve_path(df: DataFrame, local_limit_bytes: int | None = None) -> float:
-    """Decide once, for several rankings of the same frame, between the local
-    and the distributed path; returns a ``local_limit_bytes`` that repeats the
-    decision without estimating again (inf: local, 0: distributed)."""
-    return float("inf") if _is_small(df, local_limit_bytes) else 0
-
-
-def global_row_number(
-    df: DataFrame,
-    order: Sequence[str | Column],
-    out_col: str = "row_number",
-    num_partitions: int | None = None,
-    local_limit_bytes: int | None = None,
-) -> DataFrame:
-    """``row_number() OVER (ORDER BY order)`` (1-based, int) at any size."""
-    if _is_small(df, local_limit_bytes):
-        return df.withColumn(out_col, F.row_number().over(Window.orderBy(*_sort_cols(order))))
+def global_row_number(df: DataFrame, order: Sequence[str], out_col: str = "row_number", num_partitions: int | None = None) -> DataFrame:
+    """``row_number() OVER (ORDER BY order)`` (1-based, int)."""
     ranked = global_rank(df, order, "__cw_rank", num_partitions=num_partitions)
     return ranked.withColumn(out_col, (F.col("__cw_rank") + 1).cast("int")).drop("__cw_rank")
 
@@ -150,21 +137,15 @@ def ntile_of_rank(rank: Column, total: Column, n: int) -> Column:
     )
 
 
-def exact_ntile(
-    df: DataFrame,
-    n: int,
-    order: Sequence[str | Column],
-    out_col: str = "ntile",
-    num_partitions: int | None = None,
-    local_limit_bytes: int | None = None,
-) -> DataFrame:
-    """``NTILE(n) OVER (ORDER BY order)`` with the same bucket sizes as Spark's."""
-    if _is_small(df, local_limit_bytes):
-        return df.withColumn(out_col, F.ntile(n).over(Window.orderBy(*_sort_cols(order))))
-    ranked = global_rank(df, order, "__cw_rank", total_col="__cw_total", num_partitions=num_partitions)
-    return ranked.withColumn(out_col, ntile_of_rank(F.col("__cw_rank"), F.col("__cw_total"), n)).drop(
-        "__cw_rank", "__cw_total"
-    )
+def exact_ntiles(df: DataFrame, n: int, orders: dict[str, Sequence[str]], num_partitions: int | None = None) -> DataFrame:
+    """``NTILE(n) OVER (ORDER BY order)`` for each ``name: order``, with the same bucket sizes as Spark's."""
+    ranked = global_ranks(df, orders, "__cw_total", num_partitions)
+    return ranked.withColumns({name: ntile_of_rank(F.col(name), F.col("__cw_total"), n) for name in orders}).drop("__cw_total")
+
+
+def exact_ntile(df: DataFrame, n: int, order: Sequence[str], out_col: str = "ntile", num_partitions: int | None = None) -> DataFrame:
+    """:func:`exact_ntiles` of one order."""
+    return exact_ntiles(df, n, {out_col: order}, num_partitions)
 
 
 def top_n_per_group(
@@ -178,5 +159,6 @@ def top_n_per_group(
     ``min(n, group size)`` rows per group).  Spark plans the ``rank <= n``
     filter as a partial WindowGroupLimit before the shuffle: each map task
     forwards at most n rows per group, so a huge group is cut down map-side."""
-    w = Window.partitionBy(*group).orderBy(*_sort_cols(order))
+    sort = [F.col(c).asc_nulls_first() if isinstance(c, str) else c for c in order]
+    w = Window.partitionBy(*group).orderBy(*sort)
     return df.withColumn(out_col, F.row_number().over(w)).filter(F.col(out_col) <= n)

@@ -81,7 +81,7 @@ def product_performance(
     )
     ranked = global_row_number(
         agg,
-        [F.col("__revenue").desc(), F.col("product_name").asc_nulls_first(), F.col("category").asc_nulls_first()],
+        ["-__revenue", "product_name", "category"],
         "revenue_rank",
         num_partitions=num_partitions,
     )

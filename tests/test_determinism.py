@@ -13,7 +13,7 @@ def _run(spark, parts):
     spark.conf.set("spark.sql.shuffle.partitions", str(parts))
     try:
         silver = silver_from_star(spark, SF001, AS_OF)
-        seg = rfm_segmentation(customer_metrics(silver, AS_OF), local_limit_bytes=0)
+        seg = rfm_segmentation(customer_metrics(silver, AS_OF))
         prod = product_performance(silver)
         return sorted(silver.collect()), sorted(seg.collect()), sorted(prod.collect())
     finally:

@@ -50,7 +50,7 @@ def test_segment_rules_first_match(spark):
 def test_rfm_partitions_customers(spark):
     rows = [{"customer_id": f"C{i % 13}", "unit_price": 10.0 + i, "order_date": D(2024, 1, 1 + i % 28)} for i in range(60)]
     metrics = customer_metrics(silver_rows(spark, rows), as_of="2024-03-01")
-    seg = rfm_segmentation(metrics, local_limit_bytes=0, num_partitions=3)
+    seg = rfm_segmentation(metrics, num_partitions=3)
     out = seg.collect()
     assert len(out) == 13 and len({r.customer_id for r in out}) == 13
     assert all(r.rfm_segment == f"{r.recency_score}{r.frequency_score}{r.monetary_score}" for r in out)

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 from cartwheel.operators.ranking import exact_ntile, global_row_number, ntile_of_rank, top_n_per_group
 
 
+KEYS = ["-v", "cid"]
+
+
 def frame(spark, n, distinct_values, seed=7):
     rnd = random.Random(seed)
     rows = [(f"c{i:05d}", rnd.randrange(distinct_values)) for i in range(n)]
@@ -18,7 +21,7 @@ def frame(spark, n, distinct_values, seed=7):
 def test_exact_ntile_matches_spark_ntile(spark, n, parts):
     df = frame(spark, n, distinct_values=5)  # heavy ties: one value holds ~1/5 of rows
     order = [F.col("v").desc(), F.col("cid").asc()]
-    ours = exact_ntile(df, 5, order, "b", num_partitions=parts, local_limit_bytes=0)
+    ours = exact_ntile(df, 5, KEYS, "b", num_partitions=parts)
     ref = df.withColumn("b", F.ntile(5).over(Window.orderBy(*order)))
     assert sorted(ours.collect()) == sorted(ref.collect())
 
@@ -26,7 +29,7 @@ def test_exact_ntile_matches_spark_ntile(spark, n, parts):
 def test_ntile_uneven_bucket_sizes(spark):
     # ntile_uneven: 7 rows, n=5 -> 2,2,1,1,1
     df = frame(spark, 7, distinct_values=2)
-    out = exact_ntile(df, 5, ["v", "cid"], "b", num_partitions=3, local_limit_bytes=0)
+    out = exact_ntile(df, 5, ["v", "cid"], "b", num_partitions=3)
     sizes = sorted(out.groupBy("b").count().collect())
     assert [r["count"] for r in sizes] == [2, 2, 1, 1, 1]
 
@@ -36,7 +39,7 @@ def test_ntile_hot_value(spark):
     rows = [(f"c{i:05d}", 0 if i % 3 == 0 else i) for i in range(3000)]
     df = spark.createDataFrame(rows, "cid string, v int")
     order = [F.col("v").asc(), F.col("cid").asc()]
-    ours = exact_ntile(df, 5, order, "b", num_partitions=8, local_limit_bytes=0)
+    ours = exact_ntile(df, 5, ["v", "cid"], "b", num_partitions=8)
     ref = df.withColumn("b", F.ntile(5).over(Window.orderBy(*order)))
     assert sorted(ours.collect()) == sorted(ref.collect())
 
@@ -50,17 +53,27 @@ def test_ntile_of_rank_formula(spark):
 def test_global_row_number(spark):
     df = frame(spark, 500, distinct_values=20)
     order = [F.col("v").desc(), F.col("cid").asc()]
-    ours = global_row_number(df, order, "rn", num_partitions=5, local_limit_bytes=0)
+    ours = global_row_number(df, KEYS, "rn", num_partitions=5)
     ref = df.withColumn("rn", F.row_number().over(Window.orderBy(*order)))
     assert sorted(ours.collect()) == sorted(ref.collect())
 
 
-def test_small_path_equals_distributed(spark):
+def test_nulls_strings_and_any_layout(spark):
+    rows = [(f"c{i:03d}" if i else None, None if i % 4 == 0 else i % 3) for i in range(90)]
+    df = spark.createDataFrame(rows, "cid string, v int")
+    down = Window.orderBy(F.col("v").desc_nulls_last(), F.col("cid").asc_nulls_first())
+    up = Window.orderBy(F.col("v").asc_nulls_first(), F.col("cid").asc_nulls_first())
+    for keys, w in ((KEYS, down), (["v", "cid"], up)):
+        ref = {r.cid: r.rn for r in df.withColumn("rn", F.row_number().over(w)).collect()}
+        for layout, parts in ((df.repartition(7), 5), (df.coalesce(1), 300)):
+            assert {r.cid: r.rn for r in global_row_number(layout, keys, "rn", num_partitions=parts).collect()} == ref
+
+
+def test_ranking_starts_no_job(spark):
     df = frame(spark, 200, distinct_values=3)
-    order = [F.col("v").asc(), F.col("cid").asc()]
-    a = exact_ntile(df, 4, order, "b", local_limit_bytes=10**12)
-    b = exact_ntile(df, 4, order, "b", num_partitions=6, local_limit_bytes=0)
-    assert sorted(a.collect()) == sorted(b.collect())
+    spark.sparkContext.setJobGroup("ranking", "")
+    exact_ntile(exact_ntile(df, 4, KEYS, "a"), 4, ["v", "cid"], "b")
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("ranking")
 
 
 def test_top_n_per_group(spark):
