@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import components, slices, written
+from cartwheel.llm.common import components, mix64, slices, written
 
 MAX_EDITS, MIN_CHARS = 2, 20
 
@@ -37,33 +37,51 @@ def line_id(line: str) -> int:
     return xxhash.xxh3_64_intdigest(line.encode()) - (1 << 63)
 
 
-def segments(length: int, t: int) -> list[tuple[int, int]]:
-    """(start, size) of t + 1 even segments."""
-    size, more = divmod(length, t + 1)
-    out, at = [], 0
-    for i in range(t + 1):
-        n = size + (i > t - more)
-        out.append((at, n))
-        at += n
-    return out
-
-
-def _key(length: int, number: int, content: str) -> int:
-    return xxhash.xxh3_64_intdigest(content.encode(), length * 64 + number) - (1 << 63)
+_BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2 ** 64
+
+
+def _segment(size: np.ndarray, number: int, t: int) -> tuple[np.ndarray, np.ndarray]:
+    """(start, size) of one of the t + 1 even segments of lines of these sizes."""
+    least, longer = np.divmod(size, t + 1)
+    return number * least + np.maximum(number - (t + 1 - longer), 0), least + (number > t - longer)
+
+
+def segment_keys(lines: list[str], t: int, probe: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Keys, and the line each belongs to: of a line's own segments, or with ``probe`` of its substrings
+    that may be a segment of a line at most t shorter.  Contents are polynomial hashes modulo 2 ** 64, taken
+    from running sums over all lines at once; two contents of one hash only make a pair to verify."""
+    size = np.fromiter(map(len, lines), np.int64, len(lines))
+    start = np.cumsum(size) - size
+    codes = np.frombuffer("".join(lines).encode("utf-32-le"), "<u4").astype(np.uint64)
+    power, back = (np.cumprod(np.append(np.uint64(1), np.full(len(codes), b, np.uint64))) for b in (_BASE, pow(_BASE, -1, 1 << 64)))
+    total = np.append(np.uint64(0), np.cumsum(mix64(codes + np.uint64(1)) * power[:-1]))
+    keys, rows = [], []
+    for gap in range(t + 1 if probe else 1):
+        length = size - gap
+        for i in range(t + 1):
+            a, n = _segment(np.maximum(length, 0), i, t)
+            salt = mix64((length * 64 + i).astype(np.uint64))
+            low = np.maximum(np.maximum(a - i, a + gap - (t - i)), 0) if probe else a
+            high = np.minimum(np.minimum(a + i, a + gap + (t - i)), size - n) if probe else a
+            row, at = np.flatnonzero((low <= high) & (length >= 0)), 0
+            while len(row):
+                p = start[row] + low[row] + at
+                content = (total[p + n[row]] - total[p]) * back[p]
+                keys.append(mix64(content ^ salt[row]))
+                rows.append(row)
+                at += 1
+                row = row[low[row] + at <= high[row]]
+    if not keys:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    return np.concatenate(keys).view(np.int64), np.concatenate(rows)
 
 
 def index_keys(line: str, t: int) -> list[int]:
-    return [_key(len(line), i, line[a : a + n]) for i, (a, n) in enumerate(segments(len(line), t))]
+    return segment_keys([line], t, False)[0].tolist()
 
 
 def probe_keys(line: str, t: int) -> set[int]:
-    out = set()
-    for gap in range(t + 1):
-        length = len(line) - gap
-        for i, (a, n) in enumerate(segments(length, t)):
-            low, high = max(a - i, a + gap - (t - i), 0), min(a + i, a + gap + (t - i), len(line) - n)
-            out.update(_key(length, i, line[p : p + n]) for p in range(low, high + 1))
-    return out
+    return set(segment_keys([line], t, True)[0].tolist())
 
 
 def within(left: list[str], right: list[str], t: int) -> np.ndarray:
@@ -78,9 +96,11 @@ def within(left: list[str], right: list[str], t: int) -> np.ndarray:
             end += 1
         rows = order[start:end]
         a, b = (np.full((len(rows), longest + 2 * t + 1), pad, np.int32) for pad in (-1, -2))
-        for r, i in enumerate(rows.tolist()):
-            a[r, t : t + len(left[i])] = np.frombuffer(left[i].encode("utf-32-le"), "<i4")
-            b[r, : len(right[i])] = np.frombuffer(right[i].encode("utf-32-le"), "<i4")
+        for grid, side, first in ((a, left, t), (b, right, 0)):
+            part = [side[i] for i in rows.tolist()]
+            n = np.fromiter(map(len, part), np.int64, len(part))
+            r = np.repeat(np.arange(len(part)), n)
+            grid[r, first + np.arange(len(r)) - np.repeat(np.cumsum(n) - n, n)] = np.frombuffer("".join(part).encode("utf-32-le"), "<i4")
         la, lb = (np.array([len(x[i]) for i in rows], np.int64) for x in (left, right))
         band = np.uint32((1 << (2 * t + 1)) - 1)
         # bit k of state e: a prefix of ``left`` that is k - t longer than that of ``right`` is e edits away at most
@@ -106,13 +126,10 @@ def within(left: list[str], right: list[str], t: int) -> np.ndarray:
 def _keys(docs: DataFrame, t: int, min_chars: int, probe: bool) -> DataFrame:
     def run(batches):
         for b in slices(batches, "text", 4 << 20):
-            lines = {x for text in b.column("text").to_pylist() for _, x in lines_of(text) if len(x) >= min_chars}
-            keys, ids = [], []
-            for x in lines:
-                k = probe_keys(x, t) if probe else index_keys(x, t)
-                keys += k
-                ids += [line_id(x)] * len(k)
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(ids, pa.int64())], ["k", "line"])
+            lines = list({x for text in b.column("text").to_pylist() for _, x in lines_of(text) if len(x) >= min_chars})
+            ids = np.fromiter(map(line_id, lines), np.int64, len(lines))
+            keys, rows = segment_keys(lines, t, probe)
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(ids[rows])], ["k", "line"])
 
     dealt = docs.mapInArrow(run, "k long, line long").repartition(F.col("k"))
     return dealt.dropDuplicates(["k", "line"])  # the same dealing serves this and the join
