@@ -5,7 +5,8 @@ at least ``min_chars`` characters and their edit distance is at most ``max_edits
 cut into t + 1 even segments; t edits leave one of them whole, so any linked line holds that
 segment at a place that its length allows.  Segments are indexed by (length, number, content), every
 line probes the indexes of its own and the t shorter lengths with the substrings that can match,
-and the pairs that meet are verified by a banded bit-parallel edit distance: of each pair, one bit
+and the pairs that meet, less those whose letter-pair signatures are too far apart for t edits, are
+verified by a banded bit-parallel edit distance: of each pair, one bit
 per diagonal of the band and number of edits, all pairs of a batch at once.
 
 An occurrence of a line stays if it is the first, by (id, line number), of its line and of all lines
@@ -76,6 +77,18 @@ def segment_keys(lines: list[str], t: int, probe: bool) -> tuple[np.ndarray, np.
     return np.concatenate(keys).view(np.int64), np.concatenate(rows)
 
 
+def signatures(lines: list[str]) -> np.ndarray:
+    """64 bits per line: the parities of its numbers of letter pairs, dealt to 64 places by hash.  An edit takes
+    away and adds four pairs at most, so t edits leave the signatures of two lines 4 * t or fewer bits apart."""
+    size = np.fromiter(map(len, lines), np.int64, len(lines))
+    start = np.cumsum(size) - size
+    codes = np.frombuffer("".join(lines).encode("utf-32-le"), "<u4").astype(np.uint64)
+    pairs = mix64((codes << np.uint64(32)) | np.append(codes[1:], np.uint64(0)))
+    bits = np.uint64(1) << (pairs & np.uint64(63))
+    bits[start + size - 1] = 0  # the last letter's pair would reach into the next line
+    return np.bitwise_xor.reduceat(bits, start).view(np.int64) if len(lines) else np.empty(0, np.int64)
+
+
 def index_keys(line: str, t: int) -> list[int]:
     return segment_keys([line], t, False)[0].tolist()
 
@@ -129,16 +142,17 @@ def _keys(docs: DataFrame, t: int, min_chars: int, probe: bool) -> DataFrame:
             lines = list({x for text in b.column("text").to_pylist() for _, x in lines_of(text) if len(x) >= min_chars})
             ids = np.fromiter(map(line_id, lines), np.int64, len(lines))
             keys, rows = segment_keys(lines, t, probe)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(ids[rows])], ["k", "line"])
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(ids[rows]), pa.array(signatures(lines)[rows])], ["k", "line", "sign"])
 
-    dealt = docs.mapInArrow(run, "k long, line long").repartition(F.col("k"))
+    dealt = docs.mapInArrow(run, "k long, line long, sign long").repartition(F.col("k"))
     return dealt.dropDuplicates(["k", "line"])  # the same dealing serves this and the join
 
 
 def linked_lines(docs: DataFrame, t: int, min_chars: int) -> DataFrame:
     """Links (a, b), a < b, between line hashes.  ``docs`` has id and text."""
     index, probe = _keys(docs, t, min_chars, False), _keys(docs, t, min_chars, True)
-    met = index.join(probe.withColumnRenamed("line", "other"), "k").where("line != other")
+    met = index.join(probe.withColumnsRenamed({"line": "other", "sign": "other_sign"}), "k")
+    met = met.where(f"line != other AND bit_count(sign ^ other_sign) <= {4 * t}")
     pairs = written(met.select(F.least("line", "other").alias("a"), F.greatest("line", "other").alias("b")).distinct())
 
     def contents(batches):
