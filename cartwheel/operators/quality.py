@@ -137,10 +137,12 @@ def profile(
     non_negative: Sequence[str] = (),
     ranges: dict[str, tuple[float, float]] | None = None,
     key: str = "order_id",
+    amount: str | None = None,
 ) -> DataFrame:
     """Layer profile in one row (raw and cleaned checks of the reference):
     record count, distinct counts, NULLs per column and in total, price
-    min/max/mean, date range, negatives, out-of-range counts, duplicates."""
+    min/max/mean, date range, negatives, out-of-range counts, duplicates, the type
+    of each column and, with ``amount``, revenue and average order value."""
     sql = ["count(1) AS record_count"]
     sql.append(f"CAST({' + '.join(_nulls(c) for c in df.columns)} AS BIGINT) AS null_total")
     sql += [f"{_nulls(c)} AS `nulls__{c}`" for c in df.columns]
@@ -151,6 +153,9 @@ def profile(
         f"min(CAST({date} AS DATE)) AS min_{date}",
         f"max(CAST({date} AS DATE)) AS max_{date}",
     ]
+    sql += [f"'{f.dataType.simpleString()}' AS `type__{f.name}`" for f in df.schema.fields]
+    if amount:
+        sql += [f"{money_total_sql(amount)} AS total_revenue", f"{money_avg_sql(amount)} AS avg_order_value"]
     sql += [f"count_if({c} < 0) AS negative_{c}" for c in non_negative]
     for c, (lo, hi) in (ranges or {}).items():
         sql.append(f"count_if({c} < {lo} OR {c} > {hi}) AS out_of_range_{c}")

@@ -90,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
             s,
             non_negative=("order_amount", "unit_price", "quantity"),
             ranges={"delivery_days": (0, 90), "quantity": (1, 10)},
+            amount="order_amount",
         )
     ),
     "kpi_summary": _on_silver(D.kpi_summary),

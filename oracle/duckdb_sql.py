@@ -506,7 +506,18 @@ Q["cleaning_summary"] = with_silver(
 )
 
 
-def _profile(source: str, cols: list[str], negatives=(), ranges=()) -> str:
+# Spark's names of DuckDB's types (fixed values).
+_SPARK_TYPES = {"VARCHAR": "string", "INTEGER": "int", "BIGINT": "bigint", "DOUBLE": "double", "DATE": "date",
+                "TIMESTAMP": "timestamp_ntz", "TIMESTAMP WITH TIME ZONE": "timestamp"}
+
+
+def type_name(c: str) -> str:
+    """The stored type of column ``c``, by Spark's name."""
+    cases = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in _SPARK_TYPES.items())
+    return f"CASE ANY_VALUE(typeof({c})) {cases} ELSE ANY_VALUE(typeof({c})) END"
+
+
+def _profile(source: str, cols: list[str], negatives=(), ranges=(), amount=None) -> str:
     total_nulls = " + ".join(_nulls(c) for c in cols)
     sel = [
         "COUNT(*) AS record_count",
@@ -518,6 +529,8 @@ def _profile(source: str, cols: list[str], negatives=(), ranges=()) -> str:
         f"{hu('SUM(CAST(ROUND(unit_price * 100) AS BIGINT))', 'COUNT(unit_price)', 2, 1, 2)} AS avg_unit_price",
         "MIN(CAST(order_date AS DATE)) AS min_order_date",
         "MAX(CAST(order_date AS DATE)) AS max_order_date",
+        *[f"{type_name(c)} AS type__{c}" for c in cols],
+        *([f"{dollars(f'SUM({amount})')} AS total_revenue", f"{AVG_AMOUNT} AS avg_order_value"] if amount else []),
         *[f"COUNT(*) FILTER (WHERE {c} < 0) AS negative_{c}" for c in negatives],
         *[f"COUNT(*) FILTER (WHERE {c} < {lo} OR {c} > {hi}) AS out_of_range_{c}" for c, lo, hi in ranges],
         f"COUNT(*) - {distinct_null('order_id')} AS duplicate_order_id",
@@ -532,6 +545,7 @@ Q["clean_profile"] = with_silver(
         SILVER_COLUMN_LIST,
         negatives=("order_amount", "unit_price", "quantity"),
         ranges=(("delivery_days", 0, 90), ("quantity", 1, 10)),
+        amount="cents",
     )
 )
 
@@ -571,7 +585,7 @@ Q["customer_segments"] = (
 def _arow(test, check, actual, lower=None, upper=None, detail=None, source="") -> str:
     lo = "NULL" if lower is None else str(lower)
     hi = "NULL" if upper is None else str(upper)
-    det = "CAST(NULL AS VARCHAR)" if detail is None else f"'{detail}'"
+    det = "CAST(NULL AS VARCHAR)" if detail is None else detail
     a = f"CAST({actual} AS DOUBLE)"
     cond = [f"{a} IS NOT NULL"]
     if lower is not None:
@@ -616,6 +630,6 @@ _AROWS = [
     _arow("value_range", "quantity_max", "MAX(quantity)", None, 10, source="FROM silver"),
     _arow("value_range", "delivery_days_min", "MIN(delivery_days)", 1, source="FROM silver"),
     _arow("value_range", "delivery_days_max", "MAX(delivery_days)", None, 90, source="FROM silver"),
-    *[_arow("column_type", c, "1.0", 1, 1, detail=t) for c, t in _TYPES],
+    *[_arow("column_type", c, f"{type_name(c)} = '{t}'", 1, 1, detail=type_name(c), source="FROM silver") for c, t in _TYPES],
 ]
 Q["acceptance_suite"] = with_silver("\nUNION ALL\n".join(_AROWS))

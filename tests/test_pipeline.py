@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from cartwheel.plans.catalog import AS_OF
 from cartwheel.plans.pipeline import materialize, run_pipeline
-from cartwheel.plans.validate import REQUIRED_TABLES, acceptance_suite
+from cartwheel.plans.validate import REQUIRED_TABLES, acceptance_suite, stored_tables
 from cartwheel.sources.generator import CATEGORY_OF, PRICE_RANGE, generate_transactions
 from cartwheel.sources.star import load_star, transactions_from_star
 from cartwheel.sources.tables import append_table, read_table, table_exists, write_table
@@ -24,6 +24,11 @@ def test_run_pipeline_writes_every_table(spark, tmp_root):
     assert suite[("no_duplicates", "order_id")].passed and suite[("no_nulls", "ecommerce_silver")].passed
     assert suite[("gold_row_count", "regional_analysis")].passed
     assert not suite[("value_range", "quantity_max")].passed  # TPC-H quantities reach 50
+    # the same suite over the stored tables; one that is not there fails
+    there = {n: out[n] for n in REQUIRED_TABLES} | {"customer_metrics": f"{tmp_root}/nowhere"}
+    suite = {(r.test, r.check_name): r for r in acceptance_suite(stored_tables(spark, there)).collect()}
+    assert not suite[("table_exists", "customer_metrics")].passed
+    assert suite[("table_exists", "ecommerce_silver")].passed and suite[("column_type", "quantity")].passed
     # a second run appends a second history row
     run_pipeline(bronze, tmp_root, as_of=AS_OF)
     assert read_table(spark, out["quality_metrics_history"]).count() == 2
