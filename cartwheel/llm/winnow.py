@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from itertools import chain
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -106,10 +107,13 @@ def extended(doc: list[bytes], item: list[bytes], i: int, j: int, span: int) ->
 
 
 def hits(doc: list[bytes], matches, span: int):
-    """Merged word spans and sorted item ids, from (position, item words, item id, item position)."""
+    """Merged word spans and sorted item ids, from (position, item words, item id, item position) in any order.
+
+    A match inside the run of an earlier one on its diagonal is skipped; by position, since a run tells nothing of the
+    places before it."""
     done: dict = {}
     runs, items = [], set()
-    for i, item, item_id, j in matches:
+    for i, item, item_id, j in sorted(matches, key=itemgetter(0)):
         key = (id(item), i - j)
         if done.get(key, -1) > i:
             continue
