@@ -107,13 +107,13 @@ def extended(doc: list[bytes], item: list[bytes], i: int, j: int, span: int) ->
 
 
 def hits(doc: list[bytes], matches, span: int):
-    """Merged word spans and sorted item ids, from (position, item words, item id, item position) in any order.
+    """Merged word spans and sorted item ids, from (position, item words, item ids, item position) in any order.
 
-    A match inside the run of an earlier one on its diagonal is skipped; by position, since a run tells nothing of the
-    places before it."""
+    ``item words`` is one list per distinct item text, ``item ids`` the ids of that text.  A match inside the run of an
+    earlier one on its diagonal is skipped; by position, since a run tells nothing of the places before it."""
     done: dict = {}
     runs, items = [], set()
-    for i, item, item_id, j in sorted(matches, key=itemgetter(0)):
+    for i, item, ids, j in sorted(matches, key=itemgetter(0)):
         key = (id(item), i - j)
         if done.get(key, -1) > i:
             continue
@@ -121,8 +121,7 @@ def hits(doc: list[bytes], matches, span: int):
         done[key] = max(i + 1, run[1] if run else 0)
         if run:
             runs.append(run)
-            if item_id is not None:
-                items.add(item_id)
+            items.update(ids)
     merged: list[list[int]] = []
     for a, b in sorted(runs):
         if merged and a <= merged[-1][1]:
@@ -137,7 +136,10 @@ class Index:
 
     def __init__(self, rows, span: int, gram: int):
         self.span, self.gram = span, gram
-        self.items = [(None if r[0] is None else str(r[0]), words_of((r[1] or "").encode())) for r in rows]
+        ids: dict[str, set[str]] = defaultdict(set)
+        for item_id, text in rows:
+            ids[text or ""].update(() if item_id is None else (str(item_id),))
+        self.items = [(tuple(x), words_of(t.encode())) for t, x in ids.items()]
         self.at = defaultdict(list)
         for n, (_, words) in enumerate(self.items):
             for length, g, at in fingerprints(words, None, span, gram):
@@ -196,18 +198,19 @@ def _found_by_text(docs: DataFrame, benchmark: DataFrame, span: int, gram: int)
 
         return run
 
-    items = benchmark.mapInArrow(prints(True), "item_id string, text string, len int, hash long, at long")
+    items = benchmark.where("text != ''").groupBy("text").agg(F.collect_set("item_id").alias("ids"))  # null ids left out
+    items = items.select("ids", "text").mapInArrow(prints(True), "ids array<string>, text string, len int, hash long, at long")
     items = items.withColumnsRenamed({"text": "item", "at": "j"})
     spots = keyed.mapInArrow(prints(False), "k1 long, k2 long, len int, hash long, at long")
-    matches = spots.join(items, ["len", "hash"]).select("k1", "k2", "at", "item_id", "item", "j")
+    matches = spots.join(items, ["len", "hash"]).select("k1", "k2", "at", "ids", "item", "j")
 
     def extend(text: pa.Table, found: pa.Table) -> pa.Table:
         if not len(found) or not len(text):
             return FOUND_SCHEMA.empty_table()
-        at, item, item_id, j = (found.column(c).to_pylist() for c in ("at", "item", "item_id", "j"))
+        at, item, ids, j = (found.column(c).to_pylist() for c in ("at", "item", "ids", "j"))
         split = {t: words_of(t.encode()) for t in set(item)}
         doc = words_of((text.column("text")[0].as_py() or "").encode())
-        spans, items_ = hits(doc, zip(at, (split[t] for t in item), item_id, j, strict=True), span)
+        spans, items_ = hits(doc, zip(at, (split[t] for t in item), ids, j, strict=True), span)
         row = {"k1": text.column("k1")[0].as_py(), "k2": text.column("k2")[0].as_py(), "n_words": len(doc)}
         return pa.Table.from_pylist([row | {"spans": [{"start": x, "end": z} for x, z in spans], "items": items_}], FOUND_SCHEMA)
 

@@ -55,3 +55,14 @@ def test_edited_middles(docs_of, spark, sort_merge):
         for cuts in ([40], [30, 36], [12, 20, 50], [5, 11, 33, 60]):
             rows.append((10 * len(rows), " ".join([*say(r, 7), *(f"x{k}" if k in cuts else x for k, x in enumerate(w)), *say(r, i % 5)])))
     both_paths(docs_of(rows), spark.createDataFrame(items, "item_id long, text string"), rows, items)
+
+
+def test_equal_texts_under_other_ids(docs_of, spark):
+    """Also under a null id, in any order, as a short item, and with equal words in another case."""
+    r = random.Random(4)
+    a, b, c = (" ".join(say(r, n)) for n in (40, 25, 4))
+    items = [(None, a), (3, a), (1, a), (3, a), (2, a.upper()), (5, b), (None, b), (8, c), (None, c), (9, c), (None, c.upper()), (11, None), (12, "")]
+    rows = [(0, a), (10, f"x {b} y {c}"), (20, " ".join(a.split()[:15])), (30, c.upper()), (40, "nothing here"), (50, None), (60, a + " " + b + " " + a)]
+    for k in range(3):
+        mixed = r.sample(items, len(items))
+        both_paths(docs_of(rows), spark.createDataFrame(mixed, "item_id long, text string").coalesce(1), rows, items)
