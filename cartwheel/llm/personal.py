@@ -1,8 +1,10 @@
 """Personal data by patterns and a skip-chain conditional random field.
 
 Patterns give the base spans of four kinds (see ``base_spans``).  Per document, the nodes of the field
-are the base spans, fixed to their kind, and loose mentions: number runs and e-mail-like tokens that
-no pattern took.  Neighbouring nodes share a chain potential; nodes with the same or similar content
+are the base spans, fixed to their kind, and loose mentions that no pattern took: number runs of 9 digits
+or more, and every token that is, but for punctuation around it, the mailbox of one of the document's base
+e-mails, however short or plain (its shape is a feature).  A document with loose mentions only has a field
+too.  Not nodes: shorter number runs, and mailboxes inside a longer token.  Neighbouring nodes share a chain potential; nodes with the same or similar content
 anywhere in the document (same trailing digits, same mailbox) share a skip potential.  Loopy belief
 propagation passes messages until they settle, and a loose node whose belief in a kind passes
 ``threshold`` becomes a span of it.
@@ -37,6 +39,7 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _LOOSE = re.compile(r"[0-9(][0-9()./\x20-]{5,}[0-9]")
 _TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
 _DIGIT = re.compile(r"[0-9]")
+_MARK = re.compile(r"[0-9._%+-]")
 
 Span = tuple[int, int, int]  # start, kind, end
 
@@ -83,17 +86,17 @@ def base_spans(text: str) -> list[Span]:
 
 
 class Node:
-    def __init__(self, text: str, start: int, end: int, kind: int):
+    def __init__(self, text: str, start: int, end: int, kind: int, boxed: bool = False):
         self.start, self.end, self.kind = start, end, kind  # kind -1: loose
         s = text[start:end]
         self.digits = re.sub(r"[^0-9]", "", s)
         self.keys = [("digits", self.digits[-9:])] if len(self.digits) >= 9 and "@" not in s else []
-        if "@" in s:
-            self.keys.append(("box", s.split("@")[0].lower()))
-        elif not self.keys:
-            self.keys.append(("box", s.strip("<>()[]{}\"',;:!?.").lower()))
+        box = (s if "@" in s else s.strip("<>()[]{}\"',;:!?.")).split("@")[0].lower()
+        if boxed or not self.keys:
+            self.keys.append(("box", box))
         n = len(self.digits)
         self.looks = (f"digits{min(n, 20) // 3}", f"at{'@' in s}", f"dots{min(s.count('.'), 3)}", f"round{'(' in s}", f"letters{any(c.isalpha() for c in s)}")
+        self.looks += (f"box{min(len(box), 12) // 3}{bool(_MARK.search(box))}",)
 
 
 def nodes_of(text: str, base: list[Span]) -> list[Node]:
@@ -101,23 +104,24 @@ def nodes_of(text: str, base: list[Span]) -> list[Node]:
     nodes = [Node(text, a, z, k) for a, k, z in base]
     taken = sorted((a, z) for a, _, z in base)
     loose: list[tuple[int, int]] = []
+    named: set[tuple[int, int]] = set()
     if _DIGIT.search(text):
         loose += [m.span() for m in _LOOSE.finditer(text) if sum(c.isdigit() for c in m.group()) >= 9]
-    boxes = {k for n in nodes if n.kind == 0 for x, k in n.keys if x == "box" and len(k) >= 5 and re.search(r"[0-9._%+-]", k)}
+    boxes = {k for n in nodes if n.kind == 0 for x, k in n.keys if x == "box"}
     if boxes:
         for m in _TOKEN.finditer(text):
             s = m.group()
             core = s.strip("<>()[]{}\"',;:!?.")
             if core.split("@")[0].lower() in boxes:
                 a = m.start() + s.find(core)
-                loose.append((a, a + len(core)))
+                named.add((a, a + len(core)))
     i, out = 0, []
-    for a, z in sorted(set(loose)):
+    for a, z in sorted(named.union(loose)):
         while i < len(taken) and taken[i][1] <= a:
             i += 1
         if (i == len(taken) or taken[i][0] >= z) and (not out or out[-1][1] <= a):
             out.append((a, z))
-    nodes += [Node(text, a, z, -1) for a, z in out]
+    nodes += [Node(text, a, z, -1, (a, z) in named) for a, z in out]
     return sorted(nodes, key=lambda n: (n.start, n.end))
 
 
@@ -208,8 +212,6 @@ class Field:
     def spans(self, text: str) -> tuple[list[Span], list[Span]]:
         """(base spans, all spans), by start and then kind."""
         base = base_spans(text)
-        if not base:
-            return base, base  # nothing to be consistent with
         nodes = nodes_of(text, base)
         loose = [i for i, x in enumerate(nodes) if x.kind < 0]
         if not loose:
