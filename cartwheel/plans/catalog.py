@@ -27,8 +27,8 @@ from cartwheel.operators.sales import (
 )
 from cartwheel.operators.trends import revenue_trends, top_products_by_group
 from cartwheel.plans import dashboard as D
-from cartwheel.plans.pipeline import bronze_layer, silver_from_star, silver_layer
-from cartwheel.plans.validate import acceptance_suite
+from cartwheel.plans.pipeline import bronze_layer, silver_from_star, silver_layer, stored_pipeline
+from cartwheel.plans.validate import REQUIRED_TABLES, acceptance_suite, stored_tables
 
 AS_OF = _dt.date(2002, 1, 1)
 
@@ -104,16 +104,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 
 def _pipeline_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    s = silver(spark, sf_dir)
-    metrics = customer_metrics(s, AS_OF)
-    return {
-        "ecommerce_bronze": bronze(spark, sf_dir),
-        "ecommerce_silver": s,
-        "daily_sales_summary": daily_sales_summary(s),
-        "customer_metrics": metrics,
-        "customer_segmentation": rfm_segmentation(metrics),
-        "product_performance": product_performance(s),
-        "regional_analysis": regional_analysis(s),
-        "delivery_performance": delivery_performance(s),
-        "category_trends": category_trends(s),
-    }
+    at = stored_pipeline(spark, sf_dir, AS_OF, STAR_RULES)
+    return stored_tables(spark, {name: at[name] for name in REQUIRED_TABLES})

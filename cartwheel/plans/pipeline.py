@@ -19,8 +19,10 @@ from __future__ import annotations
 
 import datetime as _dt
 import hashlib
+import importlib
 import inspect
 import os
+import pkgutil
 import uuid
 from collections.abc import Callable
 
@@ -42,6 +44,25 @@ from cartwheel.sources import star as star_source
 from cartwheel.sources.tables import append_table, read_table, write_table
 
 
+#: What ``run_pipeline`` writes.
+PIPELINE_TABLES = (
+    "ecommerce_bronze",
+    "ecommerce_silver",
+    "daily_sales_summary",
+    "customer_metrics",
+    "customer_segmentation",
+    "product_performance",
+    "regional_analysis",
+    "category_trends",
+    "delivery_performance",
+    "revenue_trends",
+    "top_products_by_region",
+    "customer_cohorts",
+    "payment_analysis",
+    "quality_metrics_history",
+)
+
+
 def layer_root(spark: SparkSession) -> str:
     """Shared folder for written layers: ``spark.checkpoint.dir`` when the
     cluster names one, else ``<warehouse>/_cartwheel_checkpoints``."""
@@ -206,3 +227,29 @@ def run_pipeline(
     append_table(Q.quality_metrics_row(silver, as_of, rules), history, fmt)
     out["quality_metrics_history"] = history
     return out
+
+
+def _modules(*packages) -> list:
+    return [importlib.import_module(f"{p.__name__}.{m.name}") for p in packages for m in pkgutil.iter_modules(p.__path__)]
+
+
+def stored_pipeline(spark: SparkSession, sf_dir: str, as_of: _dt.date, rules: Q.QualityRules) -> dict[str, str]:
+    """Locations of the tables that ``run_pipeline`` wrote for ``sf_dir`` in the shared folder, written on first
+    use.  A table lost or changed after that is not written again, so that a check of the tables sees it."""
+    import cartwheel.functions as functions_mod
+    import cartwheel.operators as operators_mod
+    import cartwheel.schemas as schemas_mod
+    import cartwheel.sources as sources_mod
+
+    files = star_source._fingerprint(spark, sf_dir, star_source.STAR_TABLES)
+    code = code_fingerprint(*_modules(functions_mod, operators_mod, sources_mod), schemas_mod, run_pipeline, gold_tables)
+    key = hashlib.sha256(repr((os.path.abspath(sf_dir), files, as_of.isoformat(), rules, code)).encode()).hexdigest()[:20]
+    target = f"{layer_root(spark)}/pipeline-{key}"
+    fs, tpath = _fs_path(spark, target)
+    if not fs.exists(tpath):
+        stage = f"{target}.stage-{uuid.uuid4().hex[:12]}"
+        run_pipeline(bronze_layer(spark, sf_dir), stage, as_of, rules=rules)
+        _, spath = _fs_path(spark, stage)
+        if fs.exists(tpath) or not fs.rename(spath, tpath):
+            fs.delete(spath, True)
+    return {name: f"{target}/{name}" for name in PIPELINE_TABLES}
