@@ -1,6 +1,6 @@
 import datetime as dt
 
-from conftest import bronze_rows, silver_rows
+from helpers import bronze_rows, silver_rows
 
 from cartwheel.operators.cleaning import clean_transactions
 from cartwheel.schemas import SILVER_COLUMNS

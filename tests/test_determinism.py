@@ -1,6 +1,6 @@
 """Same results under different shuffle parallelism (1, 4, 200 partitions)."""
 
-from conftest import SF001
+from helpers import SF001
 
 from cartwheel.operators.customers import customer_metrics, rfm_segmentation
 from cartwheel.operators.sales import product_performance

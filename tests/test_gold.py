@@ -1,6 +1,6 @@
 import datetime as dt
 
-from conftest import silver_rows
+from helpers import silver_rows
 from pyspark.sql import functions as F
 
 from cartwheel.operators.customers import SEGMENT_RULES, cohort_retention, customer_metrics, customer_segment_sql, rfm_segmentation

@@ -1,7 +1,7 @@
 """Differential test: every registered query against its DuckDB oracle."""
 
 import pytest
-from conftest import SF001, SF01
+from helpers import SF001, SF01
 
 from __spark_entry__ import oracle_sql, queries
 from oracle.compare import compare, duck

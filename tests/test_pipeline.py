@@ -1,6 +1,6 @@
 import os
 
-from conftest import SF001, bronze_rows, silver_rows
+from helpers import SF001, bronze_rows, silver_rows
 from pyspark.sql import functions as F
 
 from cartwheel.plans.catalog import AS_OF

@@ -1,6 +1,6 @@
 import datetime as dt
 
-from conftest import bronze_rows, silver_rows
+from helpers import bronze_rows, silver_rows
 from pyspark.sql import functions as F
 
 from cartwheel.operators.quality import QualityRules, duplicate_count, null_profile, profile, quality_metrics_row, quality_report

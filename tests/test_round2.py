@@ -4,7 +4,7 @@ import os
 import shutil
 
 import pytest
-from conftest import SF001, bronze_rows
+from helpers import SF001, bronze_rows
 from pyspark.sql import functions as F
 
 from cartwheel.functions.money import sample_stddev_money_sql

@@ -5,7 +5,7 @@ computation on the same small fixture."""
 import datetime as dt
 
 import pandas as pd
-from conftest import bronze_rows
+from helpers import bronze_rows
 
 from cartwheel.operators.cleaning import clean_transactions
 from cartwheel.operators.customers import customer_metrics

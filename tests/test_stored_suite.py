@@ -2,7 +2,7 @@
 
 import shutil
 
-from conftest import SF001
+from helpers import SF001
 
 from cartwheel.plans import catalog, pipeline
 from cartwheel.plans.validate import REQUIRED_TABLES
