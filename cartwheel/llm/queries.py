@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from cartwheel.llm import chat, katz, lines, mixing, personal, quality, simhash, substrings, tokenfile, winnow
+from cartwheel.llm import chat, katz, lines, mixing, personal, phrases, quality, simhash, substrings, tokenfile, winnow
 from cartwheel.llm.common import shared_dir, table, written
 
 
@@ -77,6 +77,10 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(mixing.mix(sized)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simple8b": op1_simple8b,
     "op2_mixing": op2_mixing,
@@ -88,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_segments": op8_segments,
     "op9_winnowing": op9_winnowing,
     "op10_skip_chain": op10_skip_chain,
+    "op13_collocations": op13_collocations,
 }
 
 # Conversations compared turn by turn as lists: the prefix definition itself.
@@ -106,5 +111,31 @@ SELECT conv_id, turn, copies,
 FROM turns WHERE conv_id IN (SELECT conv_id FROM kept)
 """
 
+# Every stretch of one to five words, counted.
+OP13_SQL = r"""
+WITH docs AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents WHERE text IS NOT NULL),
+pieces AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS w FROM docs),
+grams AS (SELECT lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: w[i : i + m - 1])) AS p FROM pieces, (SELECT unnest(range(1, 6)) AS m)),
+f AS (SELECT lang, m, p, count(*) AS c FROM grams GROUP BY ALL),
+totals AS (SELECT lang, sum(c) AS n FROM f WHERE m = 1 GROUP BY lang),
+often AS (SELECT * FROM f WHERE c >= 100),
+cuts AS (
+    SELECT s.lang, s.m, s.p, s.c AS a, k, x.c AS l, y.c AS r, CAST(t.n AS BIGINT) AS n,
+           CAST(1000::HUGEINT * s.c * t.n // (x.c::HUGEINT * y.c) AS BIGINT) AS score
+    FROM (SELECT *, unnest(range(1, m)) AS k FROM often WHERE m > 1) s
+    JOIN often x ON x.lang = s.lang AND x.p = s.p[1 : k] JOIN often y ON y.lang = s.lang AND y.p = s.p[k + 1 : s.m] JOIN totals t ON t.lang = s.lang),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
+parts AS (
+    SELECT lang, c, p[i : i + q - 1] AS p FROM (SELECT *, unnest(range(1, m - q + 2)) AS i FROM (SELECT *, unnest(range(2, m)) AS q FROM often WHERE m > 2))),
+inside AS (SELECT lang, p, max(c) AS most FROM parts GROUP BY ALL),
+kept AS (
+    SELECT b.lang, array_to_string(b.p, ' ') AS phrase, a, l, r, n, score FROM best b LEFT JOIN inside i ON i.lang = b.lang AND i.p = b.p
+    WHERE most IS NULL OR 100 * most < 100 * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept QUALIFY rank <= 2000
+"""
+
 # Unsigned crc32, quality verdicts, hashes and tokens are beyond DuckDB's SQL: see tests/llm.
-ORACLE_SQL: dict[str, str] = {"op4_snapshots": OP4_SQL}
+ORACLE_SQL: dict[str, str] = {"op4_snapshots": OP4_SQL, "op13_collocations": OP13_SQL}
