@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from cartwheel.llm import chat, katz, lines, mixing, personal, phrases, quality, simhash, substrings, tokenfile, winnow
+from cartwheel.llm import chat, katz, lines, mixing, personal, phrases, quality, repair, simhash, substrings, tokenfile, winnow
 from cartwheel.llm.common import shared_dir, table, written
 
 
@@ -77,6 +77,15 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(mixing.mix(sized)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op12_hirschberg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conv = table(spark, sf_dir, "conversations")
+    found = repair.repair(repair.damaged(conv)).withColumnRenamed("conv_id", "found_id")
+    ids = conv.select("conv_id").distinct()  # a conversation may lose all its turns
+    d = ids.join(found, F.col("conv_id").eqNullSafe(F.col("found_id")), "left")
+    numbers = (F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost"))
+    return d.select("conv_id", *numbers, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"))
 
@@ -92,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_segments": op8_segments,
     "op9_winnowing": op9_winnowing,
     "op10_skip_chain": op10_skip_chain,
+    "op12_hirschberg": op12_hirschberg,
     "op13_collocations": op13_collocations,
 }
 
