@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from cartwheel.llm import chat, katz, lines, mixing, personal, phrases, quality, repair, simhash, substrings, tokenfile, winnow
+from cartwheel.llm import chat, katz, lines, minhash, mixing, personal, phrases, quality, repair, simhash, substrings, tokenfile, winnow
 from cartwheel.llm.common import shared_dir, table, written
 
 
@@ -77,6 +77,10 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(mixing.mix(sized)).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_tensored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op12_hirschberg(spark: SparkSession, sf_dir: str) -> DataFrame:
     conv = table(spark, sf_dir, "conversations")
     found = repair.repair(repair.damaged(conv)).withColumnRenamed("conv_id", "found_id")
@@ -101,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_segments": op8_segments,
     "op9_winnowing": op9_winnowing,
     "op10_skip_chain": op10_skip_chain,
+    "op11_tensored": op11_tensored,
     "op12_hirschberg": op12_hirschberg,
     "op13_collocations": op13_collocations,
 }
@@ -121,6 +126,22 @@ SELECT conv_id, turn, copies,
 FROM turns WHERE conv_id IN (SELECT conv_id FROM kept)
 """
 
+# All pairs of documents that share a shingle.
+OP11_SQL = r"""
+WITH RECURSIVE d AS (
+    SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+    FROM documents),
+s AS (
+    SELECT r, doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [w] ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i : i + 2])) END AS x FROM d),
+p AS (SELECT r, len(x) AS n, unnest(x) AS g FROM s),
+pairs AS (SELECT a.r AS a, b.r AS b, a.n + b.n AS n, count(*) AS c FROM p a JOIN p b ON a.g = b.g AND a.r < b.r GROUP BY ALL),
+links AS (SELECT a, b FROM pairs WHERE 100 * c >= 85 * (n - c)),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT r, r AS m FROM s UNION SELECT reach.r, b FROM reach JOIN both_ways ON m = a),
+least AS (SELECT reach.r, min(s.doc_id) AS component_id FROM reach JOIN s ON s.r = m GROUP BY reach.r)
+SELECT doc_id, CAST(len(x) AS BIGINT) AS n_shingles, component_id, doc_id IS NOT DISTINCT FROM component_id AS kept FROM s JOIN least USING (r)
+"""
+
 # Every stretch of one to five words, counted.
 OP13_SQL = r"""
 WITH docs AS (
@@ -148,4 +169,4 @@ FROM kept QUALIFY rank <= 2000
 """
 
 # Unsigned crc32, quality verdicts, hashes and tokens are beyond DuckDB's SQL: see tests/llm.
-ORACLE_SQL: dict[str, str] = {"op4_snapshots": OP4_SQL, "op13_collocations": OP13_SQL}
+ORACLE_SQL: dict[str, str] = {"op4_snapshots": OP4_SQL, "op11_tensored": OP11_SQL, "op13_collocations": OP13_SQL}
