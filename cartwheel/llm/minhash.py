@@ -30,7 +30,8 @@ from pyspark.sql import functions as F
 from cartwheel.llm.common import WordHashes, components, mix64, slices, texts, written
 
 GROUPS, WIDTH, PERCENT, SHINGLE = 14, 3, 85, 3
-_ROWS = "id long, n long, d1 long, d2 long, parity array<long>, sig array<long>, hashes binary"
+MAX_FILTER_BITS = 28  # of the broadcast filter: 32 MB
+_ROWS = "id long, key long, n long, d1 long, d2 long, parity array<long>, sig array<long>"
 
 
 def shingle_set(words: np.ndarray, shingle: int) -> np.ndarray:
@@ -71,27 +72,74 @@ class Sketcher:
         return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
-def _sets(docs: DataFrame, id_col: str, text: str, shingle: int, groups: int, width: int) -> DataFrame:
-    """A row per document: row, id, n, d1, d2 (digest of the set), parity, sig (sub-keys), hashes (the set)."""
-    plain = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
+def _plain(docs: DataFrame, id_col: str, text: str) -> DataFrame:
+    d = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
+    return d.withColumn("key", F.xxhash64("text"))
+
+
+def _text_sets(batch: pa.RecordBatch, known: WordHashes, shingle: int):
+    for t in texts(batch, "text"):
+        w = t.lower().split()
+        yield shingle_set(np.fromiter(map(known.__getitem__, w), np.uint64, len(w)), shingle)
+
+
+def _digest(data: bytes) -> np.ndarray:
+    return np.frombuffer(xxhash.xxh3_128_digest(data), np.int64)
+
+
+def _sketches(plain: DataFrame, shingle: int, groups: int, width: int) -> DataFrame:
+    """A row per document: row, id, key (of its text), n, d1, d2 (digest of the set), parity, sig (sub-keys)."""
 
     def run(batches):
-        sketch, known = Sketcher(groups, width), WordHashes(lambda w: xxhash.xxh3_64_intdigest(w))
+        sketch, known = Sketcher(groups, width), WordHashes(xxhash.xxh3_64_intdigest)
         for b in slices(batches, "text", 8 << 20):
-            out: list[list] = [[] for _ in range(6)]
-            for t in texts(b, "text"):
-                w = t.lower().split()
-                h = shingle_set(np.fromiter(map(known.__getitem__, w), np.uint64, len(w)), shingle)
-                data = h.tobytes()
-                digest = np.frombuffer(xxhash.xxh3_128_digest(data), np.int64)
-                for column, x in zip(out, (len(h), digest[0], digest[1], sketch.parity(h).tolist(), sketch.sub_keys(h).tolist() if len(h) else [], data), strict=True):
+            out: list[list] = [[] for _ in range(5)]
+            for h in _text_sets(b, known, shingle):
+                d1, d2 = _digest(h.tobytes())
+                for column, x in zip(out, (len(h), d1, d2, sketch.parity(h).tolist(), sketch.sub_keys(h).tolist() if len(h) else []), strict=True):
                     column.append(x)
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary())
-            yield pa.RecordBatch.from_arrays([b.column("id"), *map(pa.array, out, kinds)], ["id", "n", "d1", "d2", "parity", "sig", "hashes"])
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("key"), *map(pa.array, out, kinds)], ["id", "key", "n", "d1", "d2", "parity", "sig"])
 
     return written(plain.mapInArrow(run, _ROWS).withColumn("row", F.monotonically_increasing_id()))
 
 
+def _sets_of(plain: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
+    """(node, hashes) of the nodes in ``wanted`` (node, key, d1, d2), from a second pass over the texts.
+
+    Only texts whose key is in a bitmap of the wanted keys are cut into shingles and sent on, copies once a
+    task; the bitmap has a fixed largest size, and what it lets through needlessly the join drops."""
+    n = wanted.count()
+    bits = min(MAX_FILTER_BITS, max(15, int(16 * n).bit_length()))
+    cell = wanted.select((F.col("key").bitwiseAND((1 << bits) - 1) + 1).alias("cell"))
+    maps = cell.groupBy(F.expr("bitmap_bucket_number(cell) AS bucket")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(cell)) AS bits"))
+    bitmap = np.zeros(1 << (bits - 3), np.uint8)
+    for r in maps.toLocalIterator():  # 2 ** (bits - 15) rows of 4 KB at most
+        bitmap[(r["bucket"] - 1) * 4096 : r["bucket"] * 4096] = np.frombuffer(r["bits"], np.uint8)
+    shared = plain.sparkSession.sparkContext.broadcast(bitmap)
+
+    def run(batches):
+        known, sent, held = WordHashes(xxhash.xxh3_64_intdigest), set(), shared.value
+        for b in slices(batches, "text", 8 << 20):
+            key = b.column("key").to_numpy().view(np.uint64) & np.uint64((1 << bits) - 1)
+            hit = (held[(key >> np.uint64(3)).astype(np.int64)] >> (key & np.uint64(7)).astype(np.uint8)) & 1
+            new = []
+            for i in np.flatnonzero(hit).tolist():
+                k = b.column("key")[i].as_py()
+                if k not in sent:
+                    sent.add(k)
+                    new.append(i)
+            if len(sent) > 1_000_000:
+                sent.clear()
+            b = b.take(pa.array(new, pa.int64()))
+            data = [h.tobytes() for h in _text_sets(b, known, shingle)]
+            digests = np.array([_digest(x) for x in data], np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(digests[:, 0]), pa.array(digests[:, 1]), pa.array(data, pa.binary())], ["d1", "d2", "hashes"])
+
+    found = plain.where("text IS NOT NULL").mapInArrow(run, "d1 long, d2 long, hashes binary")
+    return written(found.join(wanted.select("node", "d1", "d2"), ["d1", "d2"]).groupBy("node").agg(F.first("hashes").alias("hashes")))
+
+
 def _possible(percent: int, a: str, b: str) -> str:
     """SQL of what must hold of two linked sets' sizes and parities."""
     bits = " + ".join(f"bit_count({a}_parity[{i}] ^ {b}_parity[{i}])" for i in range(4))
@@ -120,9 +168,10 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE, percent: int = PERCENT,
                     groups: int = GROUPS, width: int = WIDTH) -> DataFrame:
     """One row per document: id, n_shingles, component_id and kept (the id is its component's)."""
-    rows = _sets(docs, id_col, text, shingle, groups, width)
+    plain = _plain(docs, id_col, text)
+    rows = _sketches(plain, shingle, groups, width)
     nodes = written(rows.where("n > 0").groupBy("d1", "d2").agg(F.min("row").alias("node"), F.min("id").alias("least")))
-    sketches = written(rows.select(F.col("row").alias("node"), "n", "parity", "sig").join(nodes.select("node"), "node"))
+    sketches = written(rows.drop("id").withColumnRenamed("row", "node").join(nodes.select("node"), "node"))
 
     subs = sketches.select("node", F.posexplode("sig").alias("pos", "val"))
     shared = subs.groupBy("pos", "val").agg(F.count("*").alias("c")).where("c > 1")
@@ -132,24 +181,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     hubs = keyed.groupBy("key").agg(F.count("*").alias("c"), F.max(F.struct("partners", "node")).alias("hub")).where("c > 1")
     members = written(keyed.join(hubs.select("key", F.col("hub.node").alias("hub")), "key").select("key", "node", "hub"))
 
-    known = sketches.select("node", "n", "parity").join(members.select("node").distinct(), "node")
-    known = written(known)
-    sets = written(rows.select(F.col("row").alias("node"), "hashes").join(known.select("node"), "node"))
-    side = lambda c: known.toDF(c, f"{c}_n", f"{c}_parity")
+    known = written(sketches.drop("sig").join(members.select("node").distinct(), "node"))
+    side = lambda c: known.select(F.col("node").alias(c), F.col("n").alias(f"{c}_n"), F.col("parity").alias(f"{c}_parity"))
+
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        return _confirmed(pairs, _sets_of(plain, written(known.select("node", "key", "d1", "d2").join(ends, "node")), shingle), percent)
+
     stars = members.where("node != hub").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
     stars = written(stars.join(side("a"), "a").join(side("b"), "b").where(_possible(percent, "a", "b")).select("a", "b"))
-    links = _confirmed(stars, sets, percent)
+    links = confirmed(stars)
 
     roots = components(links, "a", "b")
     placed = members.select("key", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     open_ = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("key")
-    rest = written(placed.join(open_, "key").join(known, "node").select("key", "node", "root", "n", "parity"))
+    rest = written(placed.join(open_, "key").join(known.drop("key"), "node").select("key", "node", "root", "n", "parity"))
     left, right = rest.toDF("key", "a", "a_root", "a_n", "a_parity"), rest.toDF("key", "b", "b_root", "b_n", "b_parity")
     pairs = left.join(right.hint("merge"), "key").where(f"a < b AND a_root != b_root AND {_possible(percent, 'a', 'b')}").select("a", "b").distinct()
     pairs = written(pairs.join(stars, ["a", "b"], "left_anti"))
-    more = _confirmed(pairs, sets, percent)
-    if not more.isEmpty():
-        roots = components(links.union(more), "a", "b")
+    if not pairs.isEmpty():
+        roots = components(links.union(confirmed(pairs)), "a", "b")
 
     named = nodes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
