@@ -11,7 +11,7 @@ Two sets of similarity s share a table with probability ``(1 - (1 - s ** width)
 
 A table's bucket is tested as a star first: each member against the bucket's hub, the member with the most
 partners, so a group of n near copies costs about n tests.  Members that the stars leave in different
-components are then tested against each other.  Before a test, sizes and 256-bit parities of the sets
+components are then tested against each other.  Before a test, sizes and 1,024 parities of the sets
 bound the symmetric difference and drop pairs that cannot link; neither loses a link.
 
 Shingles are told apart by 64-bit hashes, sets by 128-bit ones.  Defined cases: a null id is never the smallest of a
@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from cartwheel.llm.common import WordHashes, components, mix64, slices, texts, written
 
 GROUPS, WIDTH, PERCENT, SHINGLE = 14, 3, 85, 3
+PARITY_BITS = 10  # 1,024 parities a set
 MAX_FILTER_BITS = 28  # of the broadcast filter: 32 MB
 _ROWS = "id long, key long, n long, d1 long, d2 long, parity array<long>, sig array<long>"
 
@@ -68,7 +69,7 @@ class Sketcher:
 
     @staticmethod
     def parity(h: np.ndarray) -> np.ndarray:
-        odd = np.bincount((h >> np.uint64(56)).astype(np.int64), minlength=256) & 1
+        odd = np.bincount((h >> np.uint64(64 - PARITY_BITS)).astype(np.int64), minlength=1 << PARITY_BITS) & 1
         return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
 
@@ -142,7 +143,7 @@ def _sets_of(plain: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
 
 def _possible(percent: int, a: str, b: str) -> str:
     """SQL of what must hold of two linked sets' sizes and parities."""
-    bits = " + ".join(f"bit_count({a}_parity[{i}] ^ {b}_parity[{i}])" for i in range(4))
+    bits = " + ".join(f"bit_count({a}_parity[{i}] ^ {b}_parity[{i}])" for i in range(1 << (PARITY_BITS - 6)))
     return (f"100 * least({a}_n, {b}_n) >= {percent} * greatest({a}_n, {b}_n)"
             f" AND {100 + percent} * ({bits}) <= {100 - percent} * ({a}_n + {b}_n)")
 
