@@ -11,9 +11,11 @@ recency.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cartwheel.operators import quality as Q
 from cartwheel.operators.customers import cohort_retention, customer_metrics, rfm_segmentation
@@ -27,8 +29,11 @@ from cartwheel.operators.sales import (
 )
 from cartwheel.operators.trends import revenue_trends, top_products_by_group
 from cartwheel.plans import dashboard as D
-from cartwheel.plans.pipeline import bronze_layer, silver_from_star, silver_layer, stored_pipeline
+from cartwheel.plans.pipeline import bronze_layer, layer_root, silver_from_star, silver_layer, stored_pipeline
+from cartwheel.plans.presentation import positioned
 from cartwheel.plans.validate import REQUIRED_TABLES, acceptance_suite, stored_tables
+from cartwheel.sources.tables import append_table, read_table
+from cartwheel.sources.verify import AUDIT, write_verification
 
 AS_OF = _dt.date(2002, 1, 1)
 
@@ -100,9 +105,32 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "category_distribution": _on_silver(D.category_distribution),
     "customer_segments": lambda spark, d: D.customer_segments(_segmentation(spark, d)),
     "acceptance_suite": lambda spark, d: acceptance_suite(_pipeline_tables(spark, d)),
+    "write_verification": lambda spark, d: _verification(spark, d),
+    "quality_history": lambda spark, d: _history(spark, d),
+    "daily_sales_display": _on_silver(lambda s: positioned("daily_sales_summary", daily_sales_summary(s), "display")),
+    "category_trends_display": _on_silver(lambda s: positioned("category_trends", category_trends(s), "display")),
+    "revenue_trends_display": _on_silver(lambda s: positioned("revenue_trends", revenue_trends(s), "display")),
+    "segmentation_display": lambda spark, d: positioned("customer_segmentation", _segmentation(spark, d), "display"),
+    "customer_metrics_ordered": _on_silver(lambda s: positioned("customer_metrics", customer_metrics(s, AS_OF))),
 }
 
 
 def _pipeline_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     at = stored_pipeline(spark, sf_dir, AS_OF, STAR_RULES)
     return stored_tables(spark, {name: at[name] for name in REQUIRED_TABLES})
+
+
+def _verification(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored tables against the counts that were taken while ``run_pipeline`` wrote them."""
+    at = stored_pipeline(spark, sf_dir, AS_OF, STAR_RULES)
+    audit = read_table(spark, at[AUDIT])
+    return write_verification(audit, stored_tables(spark, {name: where for name, where in at.items() if name != AUDIT}))
+
+
+def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality history after two appends to a new table: the first three years of orders, then all of them, the
+    second with one more column."""
+    s, path = silver(spark, sf_dir), f"{layer_root(spark)}/history-{uuid.uuid4().hex}"
+    append_table(Q.quality_metrics_row(s.where("order_year <= 1997"), AS_OF, STAR_RULES), path)
+    append_table(Q.quality_metrics_row(s, AS_OF, STAR_RULES).withColumn("scope", F.lit("all")), path)
+    return read_table(spark, path, merge_schema=True)

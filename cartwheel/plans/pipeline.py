@@ -41,7 +41,9 @@ from cartwheel.operators.sales import (
 )
 from cartwheel.operators.trends import revenue_trends, top_products_by_group
 from cartwheel.sources import star as star_source
-from cartwheel.sources.tables import append_table, read_table, write_table
+from cartwheel.sources.layout import CatalogTables, PathTables, layout_of
+from cartwheel.sources.tables import read_table
+from cartwheel.sources.verify import AUDIT, Report, audit_frame, verified
 
 
 #: What ``run_pipeline`` writes.
@@ -60,6 +62,7 @@ PIPELINE_TABLES = (
     "customer_cohorts",
     "payment_analysis",
     "quality_metrics_history",
+    AUDIT,
 )
 
 
@@ -186,31 +189,40 @@ def register_views(spark: SparkSession, tables: dict[str, str], fmt: str = "parq
     return sorted(tables)
 
 
+class PipelineRun(dict):
+    """Table name -> location (path or catalog name), and ``reports``: what was written and read back."""
+
+    def __init__(self, locations: dict[str, str], reports: list[Report]):
+        super().__init__(locations)
+        self.reports = {r.table_name: r for r in reports}
+
+
 def run_pipeline(
     bronze: DataFrame,
-    root: str,
+    root: str | PathTables | CatalogTables,
     as_of: _dt.date | str | None = None,
     fmt: str = "parquet",
     rules: Q.QualityRules = Q.QualityRules(),
     dedup_keys=("order_id",),
     silver_partition_by: tuple[str, ...] | None = None,
     approx_distinct: bool = False,
-) -> dict[str, str]:
+) -> PipelineRun:
     """Write bronze, silver, every gold table and append one quality-history row.
 
+    ``root`` is a folder, or a layout of named tables (``CatalogTables``), which replaces each name at once.
     Each table is written once and later tables read it back (silver from its
     files, segmentation from customer_metrics' files), so no stage recomputes
-    its upstream.  ``silver_partition_by`` (e.g. ``("order_year",
-    "order_month")``) lays silver out for partition pruning of date filters.
-    Returns table name -> location.
+    its upstream.  Every write is read back: rows and cents stored must be those written, else the
+    run fails; the written counts stay in the table ``write_audit``.  ``silver_partition_by`` (e.g.
+    ``("order_year", "order_month")``) lays silver out for partition pruning of date filters; a later run into
+    the same folder rewrites only the partitions that changed.
     """
-    spark = bronze.sparkSession
-    root = root.rstrip("/")
-    out: dict[str, str] = {}
+    tables = layout_of(bronze.sparkSession, root, fmt)
+    reports: list[Report] = []
 
     def put(name: str, df: DataFrame, partition_by=None) -> DataFrame:
-        out[name] = write_table(df, f"{root}/{name}", "overwrite", fmt, partition_by)
-        return read_table(spark, out[name], fmt)
+        reports.append(verified(tables, name, df, partition_by=partition_by))
+        return tables.read(name)
 
     written_bronze = put("ecommerce_bronze", bronze)
     silver = put(
@@ -223,10 +235,9 @@ def run_pipeline(
     put("customer_segmentation", rfm_segmentation(metrics))
     for name, build in gold.items():
         put(name, build())
-    history = f"{root}/quality_metrics_history"
-    append_table(Q.quality_metrics_row(silver, as_of, rules), history, fmt)
-    out["quality_metrics_history"] = history
-    return out
+    reports.append(verified(tables, "quality_metrics_history", Q.quality_metrics_row(silver, as_of, rules), append=True))
+    tables.replace(AUDIT, audit_frame(bronze.sparkSession, reports))
+    return PipelineRun({name: tables.target(name) for name in (*(r.table_name for r in reports), AUDIT)}, reports)
 
 
 def _modules(*packages) -> list:

