@@ -12,8 +12,9 @@ all words; a target stops at ``max_passes`` times the source's words and the exc
 again by weight among the others.
 
 Defined cases: null, empty and blank texts have size 0 and are never taken; repeated rows are
-separate documents (ordered arbitrarily among equals); null ids come first; an empty table gives
-an empty mix; source null is a source of its own.
+separate documents, ordered by a hash of the whole row where the ids and sizes are equal; null ids come
+first; an empty table gives an empty mix; source null is a source of its own; an extra column named like
+one that the mix adds gives way to it in ``mix`` and stays in ``mixed_documents``.
 """
 
 from __future__ import annotations
@@ -28,6 +29,9 @@ from pyspark.sql import types as T
 
 from cartwheel.llm.common import mix64, slices, texts, written
 
+SHARD_WORDS = BUCKET_WORDS = 1 << 24  # about so many words each, beyond the least numbers of shards and buckets
+LEAST_SHARDS, LEAST_BUCKETS = 256, 1024
+_OWN = ("source_size", "target", "taken")
 MAX_SOURCES = 100_000  # sources are a list of a mixture's parts; more is an error, not a cut
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -103,10 +107,13 @@ class Mix:
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", source: str = "source", size: str = "size", weights: tuple[float, ...] = (5, 2, 1),
-        share: float = 1.5, max_passes: int = 2, block_words: int = 64, shards: int = 256, buckets: int = 1024, seed: int = 17) -> Mix:
+        share: float = 1.5, max_passes: int = 2, block_words: int = 64, shards: int | None = None, buckets: int | None = None, seed: int = 17,
+        tie: str | None = None) -> Mix:
     """``docs`` needs a BIGINT ``size`` (see ``with_size``); other columns stay in ``documents``.
-    Each document's place is (``_mix_source``, ``_mix_at``), its first word in its source's stream."""
+    Each document's place is (``_mix_source``, ``_mix_at``), its first word in its source's stream.
+    ``tie`` orders documents of equal id and size (default: a hash of the row).  Shards and buckets grow with the words."""
     spark = docs.sparkSession
+    docs = docs.drop(*(c for c in docs.columns if c in _OWN and c not in (id_col, source, size)))
     per = docs.groupBy(F.col(source).alias("source")).agg(F.sum(size).alias("n"))
     rows = per.limit(MAX_SOURCES + 1).collect()
     if len(rows) > MAX_SOURCES:
@@ -116,6 +123,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source: str = "source", size: s
     goal = targets(sizes, weights, share, max_passes)
     blocks = [-(-n // block_words) for n in sizes]
     quota = [min(max_passes * b, round(b * t / n)) if n else 0 for b, t, n in zip(blocks, goal, sizes, strict=True)]
+    shards = shards or max(LEAST_SHARDS, -(-round(sum(goal)) // SHARD_WORDS))
+    buckets = buckets or max(LEAST_BUCKETS, -(-max(sizes, default=0) // BUCKET_WORDS))
     kind = docs.schema[source].dataType.simpleString()
     listed = [(r["source"], i, n, t) for i, (r, n, t) in enumerate(zip(rows, sizes, goal, strict=True))]
     known = spark.createDataFrame(listed, f"_mix_name {kind}, _mix_source int, source_size long, target double")
@@ -125,7 +134,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source: str = "source", size: s
     sums = placed.groupBy("_mix_source", "_mix_bucket").agg(F.sum(size).alias("n"))
     before = Window.partitionBy("_mix_source").orderBy("_mix_bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.select("_mix_source", "_mix_bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_mix_start"))
-    order = [F.col(id_col).asc_nulls_first(), F.col(size)]
+    order = [F.col(id_col).asc_nulls_first(), F.col(size), F.col(tie) if tie else F.xxhash64(*docs.columns)]
     inside = Window.partitionBy("_mix_source", "_mix_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     placed = placed.withColumn("_mix_before", F.coalesce(F.sum(size).over(inside), F.lit(0)))
     placed = placed.join(starts, ["_mix_source", "_mix_bucket"])
@@ -147,12 +156,14 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source: str = "source", size: s
                 cols = [np.full(n, s, np.int32), key, np.full(n, i, np.int32), turn.astype(np.int32), out]
                 yield pa.RecordBatch.from_arrays(list(map(pa.array, cols)), ["shard", "slot_key", "source_no", "pass", "block"])
 
-    slot = runs.repartition("shard", "first").mapInArrow(slots, "shard int, slot_key long, source_no int, pass int, block long")
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-sum(quota) // 1_000_000))  # given, or Spark would merge them
+    slot = runs.repartition(tasks, "shard", "first").mapInArrow(slots, "shard int, slot_key long, source_no int, pass int, block long")
     held = placed.where(F.col(size) > 0).select("_mix_source", "_mix_at", F.col(size).alias("words"))
     held = held.withColumn("block", F.expr(f"explode(sequence(_mix_at DIV {block_words}, (_mix_at + words - 1) DIV {block_words}))"))
     low, high = F.expr(f"greatest(_mix_at, block * {block_words})"), F.expr(f"least(_mix_at + words, (block + 1) * {block_words})")
     held = held.select(F.col("_mix_source").alias("source_no"), "block", "_mix_at", (low - F.col("_mix_at")).alias("first_word"), (high - low).alias("n_words"))
-    return Mix(placed, slot.join(held, ["source_no", "block"]))
+    # Both sides grow with the words, and Spark cannot size either: never a broadcast.
+    return Mix(placed, slot.join(held.hint("merge"), ["source_no", "block"]))
 
 
 def taken_words(m: Mix, size: str = "size") -> DataFrame:
@@ -170,15 +181,18 @@ def mixed_documents(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
     """The mixed corpus with the columns of ``docs``: a row per document and pass with the words taken of it
     (a fully taken document keeps its text as it is; else its taken stretches, joined by newlines)."""
     spare = {c: f"_doc_{i}" for i, c in enumerate(docs.columns)}
-    sized = with_size(docs.withColumnsRenamed(spare), spare[text], "_mix_size")
-    m = mix(sized, spare[id_col], spare[source], "_mix_size", **options)
+    own = docs.withColumnsRenamed(spare).schema
+    sized = with_size(docs.withColumnsRenamed(spare), spare[text], "_mix_size").withColumn("_mix_row", F.monotonically_increasing_id())
+    sized = written(sized.withColumn("_mix_tie", F.xxhash64(*own.names)))
+    # Texts are not ordered or numbered: they are met again by row, once what to take of them is known.
+    narrow = sized.select("_mix_row", F.col(spare[id_col]).alias("id"), F.col(spare[source]).alias("source"), "_mix_size", "_mix_tie")
+    m = mix(narrow, "id", "source", "_mix_size", tie="_mix_tie", **options)
     ranges = m.pieces.groupBy("source_no", "_mix_at", "pass").agg(
         F.sort_array(F.collect_list(F.struct("first_word", "n_words"))).alias("_mix_ranges")
     )  # bounded by one document's words
-    d = m.documents.where("_mix_size > 0")
-    got = d.join(ranges.withColumnsRenamed({"source_no": "_mix_source"}), ["_mix_source", "_mix_at"])
-    own = docs.withColumnsRenamed(spare).schema
-    got = got.select(*own.names, "_mix_size", "_mix_ranges")
+    d = m.documents.where("_mix_size > 0").select("_mix_source", "_mix_at", "_mix_row")
+    ranges = d.join(ranges.withColumnsRenamed({"source_no": "_mix_source"}), ["_mix_source", "_mix_at"]).select("_mix_row", "_mix_ranges")
+    got = sized.join(ranges.hint("merge"), "_mix_row").select(*own.names, "_mix_size", "_mix_ranges")
 
     def cut(batches):
         col = own.names.index(spare[text])
