@@ -36,7 +36,7 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_LOOSE = re.compile(r"[0-9(][0-9()./\x20-]{5,}[0-9]")
+_RUN, _OPEN = re.compile(r"[0-9()./\x20-]{7,}"), re.compile(r"[0-9(]")
 _TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
 _DIGIT = re.compile(r"[0-9]")
 _MARK = re.compile(r"[0-9._%+-]")
@@ -66,6 +66,21 @@ def _luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def _byte(digits: str) -> bool:
+    """Without leading zeros, 255 at most; a part may have thousands of digits."""
+    return len(digits) < 3 or len(digits) == 3 and digits <= "255"
+
+
+def _number_runs(text: str):
+    """Spans from a digit or bracket to the last digit of a run of digits, brackets and separators, 7 or more
+    characters and 9 or more digits; each run is looked at once."""
+    for run in _RUN.finditer(text):
+        s = run.group()
+        first, last = _OPEN.search(s), len(s.rstrip("()./ -"))
+        if first and last - first.start() >= 7 and sum(c.isdigit() for c in s) >= 9:
+            yield run.start() + first.start(), run.start() + last
+
+
 def base_spans(text: str) -> list[Span]:
     """Matches of the patterns: leftmost, non-overlapping per kind, failing ones dropped."""
     out: list[Span] = []
@@ -74,7 +89,7 @@ def base_spans(text: str) -> list[Span]:
     if not _DIGIT.search(text):
         return out
     if "." in text:
-        out += [(m.start(), 1, m.end()) for m in _IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m.group().split("."))]
+        out += [(m.start(), 1, m.end()) for m in _IP.finditer(text) if all(_byte(p.lstrip("0")) for p in m.group().split("."))]
     for m in _CARD.finditer(text):
         if m.end() - m.start() >= 12:
             digits = m.group().replace(" ", "").replace("-", "")
@@ -106,7 +121,7 @@ def nodes_of(text: str, base: list[Span]) -> list[Node]:
     loose: list[tuple[int, int]] = []
     named: set[tuple[int, int]] = set()
     if _DIGIT.search(text):
-        loose += [m.span() for m in _LOOSE.finditer(text) if sum(c.isdigit() for c in m.group()) >= 9]
+        loose += _number_runs(text)
     boxes = {k for n in nodes if n.kind == 0 for x, k in n.keys if x == "box"}
     if boxes:
         for m in _TOKEN.finditer(text):
@@ -139,7 +154,7 @@ def links(nodes: list[Node]) -> tuple[list[tuple[int, int]], list[tuple[int, int
 def counted(text: str) -> Counter:
     """What one document adds to the model's counts (label 0: none, 1..: kinds)."""
     base, out = base_spans(text), Counter()
-    if not base and not (_DIGIT.search(text) and any(sum(c.isdigit() for c in m.group()) >= 9 for m in _LOOSE.finditer(text))):
+    if not base and not (_DIGIT.search(text) and any(True for _ in _number_runs(text))):
         return out
     nodes = nodes_of(text, base)
     chain, skip = links(nodes)
