@@ -158,18 +158,22 @@ def reject_rule(rules: list[list[Condition]]) -> Column:
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "quality",
         sample_rows: int = 4000, min_precision: float = 0.97) -> list[list[Condition]]:
-    """Learn from at most ``sample_rows`` labelled ids (those of smallest hash) and as many rows of theirs."""
+    """Learn from at most ``sample_rows`` labelled ids (those of smallest hash) and as many rows of theirs, copies
+    of a row once; the sample is the same for any partitioning."""
     known = labels.select(F.col("doc_id").alias("_quality_id"), F.col(label).alias("_quality_label")).where("_quality_id IS NOT NULL AND _quality_label IS NOT NULL")
     known = known.dropDuplicates(["_quality_id"]).orderBy(F.xxhash64("_quality_id"), "_quality_id").limit(sample_rows)
     rows = docs.select(F.col(id_col).alias("_quality_doc"), F.col(text).alias("text"))
-    rows = rows.join(F.broadcast(known), F.col("_quality_doc") == F.col("_quality_id")).limit(sample_rows)
+    rows = rows.join(F.broadcast(known), F.col("_quality_doc") == F.col("_quality_id")).withColumn("_quality_text", F.xxhash64("text"))
+    rows = rows.dropDuplicates(["_quality_id", "_quality_text"]).orderBy(F.xxhash64("_quality_id"), "_quality_id", "_quality_text").limit(sample_rows)
     stats = with_statistics(rows)
     found = stats.select(*(P + "f_" + f for f in FEATURES), (F.col("_quality_label") > 0).alias("good"), P + "base_failed").collect()
     return learn([tuple(r)[:-1] for r in found if not r[-1]], min_precision)
 
 
 def judged(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """``docs``, the statistics, ``_quality_rule`` (the rule that rejects, if any) and ``_quality_kept``."""
+    """``docs``, the statistics, ``_quality_rule`` (the rule that rejects, if any) and ``_quality_kept``; own columns
+    of ``docs`` whose names start with ``_quality_`` give way (``kept_documents`` keeps them)."""
+    docs = docs.drop(*(c for c in docs.columns if c.startswith(P)))
     rules = fit(docs, labels, id_col, text, **options)
     d = with_statistics(docs, text).withColumn(P + "rule", reject_rule(rules))
     return d.withColumn(P + "kept", ~F.col(P + "base_failed") & F.col(P + "rule").isNull())
@@ -177,7 +181,9 @@ def judged(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str
 
 def kept_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """``docs`` without the documents that the base rule or the list rejects."""
-    d = judged(docs, labels, id_col, text, **options)
+    spare = {c: f"_doc_{i}" for i, c in enumerate(docs.columns)}
+    d = judged(docs.withColumnsRenamed(spare), labels, spare[id_col], spare[text], **options)
     # As a filter the verdict would be pushed below the statistics, which are then computed again at every mention.
     one = F.explode(F.when(F.col(P + "kept"), F.array(F.lit(1))).otherwise(F.array().cast("array<int>")))
-    return d.select(*docs.columns, one.alias(P + "one")).select(docs.columns)
+    d = d.select(*spare.values(), one.alias(P + "one"))
+    return d.select([F.col(v).alias(k) for k, v in spare.items()])
