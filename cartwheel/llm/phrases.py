@@ -8,8 +8,8 @@ words; words that occur ``min_count`` times in their language get a number.  A p
 * candidates of two words are pairs of frequent words whose summed counts reach ``min_count``
   (all pairs of frequent words would be too many for a broadcast); candidates of k + 1 words are the
   stretches met in the texts whose first and last k words are both frequent;
-* the candidates are dealt into groups of at most ``max_nodes`` by hash; each group is a
-  double-array trie, broadcast in turn, so that what is broadcast stays below a fixed size;
+* the candidates are dealt into groups of about ``max_nodes`` by a hash of all words but the last; each group
+  is a double-array trie, broadcast in turn, so that what is broadcast does not grow with the texts;
 * numpy advances the states of all positions of a slice at once, word by word, and bincounts the
   accepting states; the tasks' counts are summed by Spark in hash ranges.
 
@@ -33,7 +33,7 @@ from cartwheel.llm.common import mix64, slices, written
 
 LONGEST = 5
 SLICE_BYTES = 8 << 20
-MAX_NODES = 1 << 20  # of a broadcast trie: under 24 bytes each
+MAX_NODES = 1 << 19  # of a broadcast trie, about; under 40 bytes each
 RANGE_ENTRIES = 2_000_000
 _TABLE = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz " + b"\n" * 9)
 _CODED = "lang string, vocab array<string>, counts array<long>, codes binary"
@@ -98,16 +98,16 @@ class Trie:
         self.length = k
         self.words = np.unique(phrases)
         width = max(1, len(self.words))
-        codes = np.searchsorted(self.words, phrases)
+        codes = np.searchsorted(self.words, phrases).astype(np.int32)
         # Nodes level by level: parent and word of each, in the order of the sorted rows.
-        parents, letters, last = [], [], np.zeros(n, np.int64)
+        parents, letters, last = [], [], np.zeros(n, np.int32)
         nodes = 1
         for i in range(k):
             new = np.ones(n, bool)
             new[1:] = (last[1:] != last[:-1]) | (codes[1:, i] != codes[:-1, i])
             parents.append(last[new])
             letters.append(codes[new, i])
-            last = nodes + np.cumsum(new) - 1
+            last = (nodes - 1 + np.cumsum(new)).astype(np.int32)
             nodes += int(new.sum())
         parent, letter = np.concatenate(parents), np.concatenate(letters)  # of node 1, 2, ...
         fan = np.bincount(parent, minlength=nodes)
@@ -256,21 +256,23 @@ def frequent_phrases(coded: DataFrame, words: DataFrame, total: int, min_count:
     ranges = max(1, math.ceil(total / RANGE_ENTRIES))
     out = words.select(F.array("id").alias("words"), "n")
     candidates = written(pairs_of(coded, ranges, min_count))
+    heads = words.count()
     for k in range(2, longest + 1):
         size = candidates.count()
         if not size:
             break
-        groups = math.ceil(size * k / max_nodes)
-        dealt = candidates.withColumn("grp", F.expr(f"CAST(pmod(xxhash64(words), {groups}) AS INT)"))
+        # Dealt by all words but the last, which are a frequent phrase: a trie's nodes are mostly its last words.
+        groups = math.ceil((size + min(size, heads)) / max_nodes)
+        dealt = candidates.withColumn("grp", F.expr(f"CAST(pmod(xxhash64(slice(words, 1, {k - 1})), {groups}) AS INT)"))
         counted, longer = [], []
         for g in range(groups):
             rows = dealt.where(F.col("grp") == g).select(*(F.col("words")[i].alias(f"w{i}") for i in range(k))).toArrow()
             if not rows.num_rows:
                 continue
-            phrases = np.stack([c.to_numpy() for c in rows.columns], axis=1)
+            phrases = np.stack([c.to_numpy().astype(np.int32) for c in rows.columns], axis=1)
             phrases = phrases[np.lexsort(phrases.T[::-1])]
             found = count_group(coded, phrases, ranges, groups == 1)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, phrases.size + 1, k), pa.int32()), pa.array(phrases.ravel()))
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, phrases.size + 1, k), pa.int32()), pa.array(phrases.ravel(), pa.int64()))
             named = spark.createDataFrame(pa.table([pa.array(np.arange(len(phrases))), lists], ["key", "words"]))  # at most max_nodes / k rows
             sums = found.where("kind = 0").select("key", "n").where(F.col("n") >= min_count)
             kept = written(named.join(sums, "key"))
@@ -280,6 +282,7 @@ def frequent_phrases(coded: DataFrame, words: DataFrame, total: int, min_count:
                 longer.append(more.join(kept.select("key", "words"), "key").select(F.concat("words", F.array("after")).alias("words")))
         frequent = functools.reduce(DataFrame.union, counted)
         out = out.union(frequent)
+        heads = frequent.count()
         if k < longest:
             last = frequent.select(F.col("words").alias("tail"))
             candidates = functools.reduce(DataFrame.union, longer).withColumn("tail", F.expr(f"slice(words, 2, {k})"))
