@@ -22,6 +22,7 @@ from __future__ import annotations
 
 import functools
 import math
+import pickle
 
 import numpy as np
 import pyarrow as pa
@@ -95,7 +96,7 @@ class Trie:
     def __init__(self, phrases: np.ndarray):
         """``phrases``: distinct rows, sorted, each of k word numbers."""
         n, k = phrases.shape
-        self.length = k
+        self.size, self.length = n, k
         self.words = np.unique(phrases)
         width = max(1, len(self.words))
         codes = np.searchsorted(self.words, phrases).astype(np.int32)
@@ -216,14 +217,31 @@ def pairs_of(coded: DataFrame, ranges: int, min_count: int) -> DataFrame:
     return found.select(F.array(F.shiftright("key", 32), F.col("key").bitwiseAND(0xFFFFFFFF)).alias("words"))
 
 
-def count_group(coded: DataFrame, phrases: np.ndarray, ranges: int, both: bool) -> DataFrame:
-    """(kind, key, n): counts of the phrases (kind 0, key their row) and the longer stretches met (kind 1, key
-    row << 32 | next word).  With ``both`` a stretch's last words must be one of ``phrases`` too."""
-    n_phrases, shared = len(phrases), coded.sparkSession.sparkContext.broadcast(Trie(phrases))
+def built_tries(dealt: DataFrame) -> DataFrame:
+    """(grp, key, words, trie): the phrases of every group, numbered, and one row a group with the group's trie.
+    Tries are built in tasks; the driver only passes each on."""
+
+    def build(t: pa.Table) -> pa.Table:
+        lists = t.column("words").combine_chunks()
+        phrases = lists.flatten().to_numpy().astype(np.int32).reshape(t.num_rows, -1)
+        phrases = phrases[np.lexsort(phrases.T[::-1])]
+        n, k = phrases.shape
+        words = pa.ListArray.from_arrays(pa.array(np.append(np.arange(n + 1) * k, n * k), pa.int32()), pa.array(phrases.ravel(), pa.int64()))
+        grp = pa.array(np.full(n + 1, t.column("grp")[0].as_py(), np.int32))
+        trie = pa.array([None] * n + [pickle.dumps(Trie(phrases))], pa.binary())
+        return pa.table([grp, pa.array([*range(n), None], pa.int64()), words, trie], ["grp", "key", "words", "trie"])
+
+    return written(dealt.groupBy("grp").applyInArrow(build, "grp int, key long, words array<long>, trie binary"))
+
+
+def count_group(coded: DataFrame, trie: bytes, ranges: int, both: bool) -> DataFrame:
+    """(kind, key, n): counts of the trie's phrases (kind 0, key their row) and the longer stretches met (kind 1, key
+    row << 32 | next word).  With ``both`` a stretch's last words must be one of the phrases too."""
+    shared = coded.sparkSession.sparkContext.broadcast(trie)
 
     def run(batches):
-        trie = shared.value
-        total = np.zeros(n_phrases, np.int64)
+        trie = pickle.loads(shared.value)
+        total = np.zeros(trie.size, np.int64)
         for b in batches:
             for i in range(b.num_rows):
                 codes, ids = _words(b, i)
@@ -231,7 +249,7 @@ def count_group(coded: DataFrame, phrases: np.ndarray, ranges: int, both: bool)
                 place[place == len(trie.words)] = 0
                 place = np.where(trie.words[place] == ids, place, -1)
                 row = trie.rows(np.where(codes >= 0, place[codes], -1))
-                total += np.bincount(row[row >= 0], minlength=n_phrases)
+                total += np.bincount(row[row >= 0], minlength=trie.size)
                 if trie.length == LONGEST:
                     continue
                 start = np.flatnonzero(row[: len(row) - trie.length] >= 0)
@@ -264,16 +282,15 @@ def frequent_phrases(coded: DataFrame, words: DataFrame, total: int, min_count:
         # Dealt by all words but the last, which are a frequent phrase: a trie's nodes are mostly its last words.
         groups = math.ceil((size + min(size, heads)) / max_nodes)
         dealt = candidates.withColumn("grp", F.expr(f"CAST(pmod(xxhash64(slice(words, 1, {k - 1})), {groups}) AS INT)"))
+        built = built_tries(dealt)
         counted, longer = [], []
         for g in range(groups):
-            rows = dealt.where(F.col("grp") == g).select(*(F.col("words")[i].alias(f"w{i}") for i in range(k))).toArrow()
-            if not rows.num_rows:
+            group = built.where(F.col("grp") == g)
+            data = group.where("trie IS NOT NULL").select("trie").toArrow().column("trie")
+            if not len(data):
                 continue
-            phrases = np.stack([c.to_numpy().astype(np.int32) for c in rows.columns], axis=1)
-            phrases = phrases[np.lexsort(phrases.T[::-1])]
-            found = count_group(coded, phrases, ranges, groups == 1)
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, phrases.size + 1, k), pa.int32()), pa.array(phrases.ravel(), pa.int64()))
-            named = spark.createDataFrame(pa.table([pa.array(np.arange(len(phrases))), lists], ["key", "words"]))  # at most max_nodes / k rows
+            found = count_group(coded, data[0].as_py(), ranges, groups == 1)
+            named = group.where("trie IS NULL").select("key", "words")
             sums = found.where("kind = 0").select("key", "n").where(F.col("n") >= min_count)
             kept = written(named.join(sums, "key"))
             counted.append(kept.select("words", "n"))
