@@ -34,7 +34,7 @@ from cartwheel.llm.common import mix64, slices, written
 
 LONGEST = 5
 SLICE_BYTES = 8 << 20
-MAX_NODES = 1 << 19  # of a broadcast trie, about; under 40 bytes each
+MAX_NODES = 1 << 18  # of a broadcast trie, about; under 40 bytes each
 RANGE_ENTRIES = 2_000_000
 _TABLE = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz " + b"\n" * 9)
 _CODED = "lang string, vocab array<string>, counts array<long>, codes binary"
