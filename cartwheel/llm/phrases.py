@@ -34,7 +34,7 @@ from cartwheel.llm.common import mix64, slices, written
 
 LONGEST = 5
 SLICE_BYTES = 8 << 20
-MAX_NODES = 1 << 18  # of a broadcast trie, about; under 40 bytes each
+MAX_NODES = 1 << 19  # of a broadcast trie, about; under 50 bytes each
 RANGE_ENTRIES = 2_000_000
 _TABLE = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz " + b"\n" * 9)
 _CODED = "lang string, vocab array<string>, counts array<long>, codes binary"
@@ -89,9 +89,10 @@ def numbered(df: DataFrame, name: str) -> DataFrame:
 
 
 class Trie:
-    """Double array over rows of word numbers: from state s, word w leads to ``base[s] + w`` if ``check`` there is s.
-    Words are first mapped to their place in ``words``, the sorted words of the phrases; ``accept`` has the row
-    that ends at a state, else -1."""
+    """Double array over rows of word numbers.  A node of many children has several bases, one for each value of
+    its children's low bits: from state s, word w takes row ``r = block[s] + (w & mask[s])`` and leads to
+    ``base[r] + w`` if ``check`` there is r.  Rows of few children fill the array densely.  Words are first mapped to
+    their place in ``words``, the sorted words of the phrases; at a phrase's last state ``block`` is its row."""
 
     def __init__(self, phrases: np.ndarray):
         """``phrases``: distinct rows, sorted, each of k word numbers."""
@@ -111,13 +112,18 @@ class Trie:
             last = (nodes - 1 + np.cumsum(new)).astype(np.int32)
             nodes += int(new.sum())
         parent, letter = np.concatenate(parents), np.concatenate(letters)  # of node 1, 2, ...
-        fan = np.bincount(parent, minlength=nodes)
+        children = np.bincount(parent, minlength=nodes)
+        mask = (1 << np.ceil(np.log2(np.maximum(children / 4, 1))).astype(np.int64)) - 1
+        rows_of = np.where(children > 0, mask + 1, 0)
+        block = np.cumsum(rows_of) - rows_of
+        row = block[parent] + (letter & mask[parent])
+        fan = np.bincount(row, minlength=int(rows_of.sum()))
         begin = np.cumsum(fan) - fan
-        kids = letter[np.argsort(parent, kind="stable")]
+        kids = letter[np.argsort(row, kind="stable")]
         room, rng = 2 * nodes, np.random.default_rng(7)
-        base, used = np.zeros(nodes, np.int64), np.zeros(room + width + 1, bool)
+        base, used = np.zeros(len(fan), np.int64), np.zeros(room + width + 1, bool)
         used[0] = True  # the root
-        # Parents of many children first.  All waiting parents of a size try a random base at once; of those that
+        # Rows of many children first.  All waiting rows of a size try a random base at once; of those that
         # claim the same free slot the first keeps it.
         for low, high in ((4096, 1 << 62), (256, 4096), (32, 256), (8, 32), (3, 8), (2, 3), (1, 2)):
             waiting, stuck = np.flatnonzero((fan >= low) & (fan < high)), 0
@@ -138,11 +144,12 @@ class Trie:
                 if stuck == 20:
                     used, room, stuck = np.concatenate((used, np.zeros(room, bool))), 2 * room, 0
         state = np.zeros(nodes, np.int64)  # the slot of each node
-        state[1:] = base[parent] + letter
-        self.base, self.check, self.accept = np.zeros(len(used), np.int32), np.full(len(used), -1, np.int32), np.full(len(used), -1, np.int32)
-        self.base[state] = base
-        self.check[state[1:]] = state[parent]
-        self.accept[state[last]] = np.arange(n)
+        state[1:] = base[row] + letter
+        self.base, self.check = base.astype(np.int32), np.full(len(used), -1, np.int32)
+        self.block, self.mask = np.zeros(len(used), np.int32), np.zeros(len(used), np.int32)
+        self.block[state], self.mask[state] = block, mask
+        self.check[state[1:]] = row
+        self.block[state[last]] = np.arange(n)
 
     def rows(self, word: np.ndarray) -> np.ndarray:
         """For every position, the phrase that starts there, else -1.  ``word``: the place of each word in
@@ -153,11 +160,13 @@ class Trie:
         for i in range(self.length):
             w = word[at + i]
             on = w >= 0
-            to = self.base[state] + np.where(on, w, 0)
-            on &= self.check[to] == state
+            w = np.where(on, w, 0)
+            row = self.block[state] + (w & self.mask[state])
+            to = self.base[row] + w
+            on &= self.check[to] == row
             at, state = at[on], to[on]
         out = np.full(len(word), -1, np.int64)
-        out[at] = self.accept[state]
+        out[at] = self.block[state]
         return out
 
 
