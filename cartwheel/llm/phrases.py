@@ -5,9 +5,9 @@ They are encoded once, per slice of texts of one language, as positions in the s
 words; words that occur ``min_count`` times in their language get a number.  A phrase can only reach
 ``min_count`` if all its parts do (Apriori), so phrases of k words are counted as follows:
 
-* candidates of two words are pairs of frequent words whose summed counts reach ``min_count``
-  (all pairs of frequent words would be too many for a broadcast); candidates of k + 1 words are the
-  stretches met in the texts whose first and last k words are both frequent;
+* candidates of two words are pairs of frequent words, those of k + 1 words stretches of the texts whose first
+  and last k words are both frequent, and of these the ones whose counts, summed over all tasks, can
+  reach ``min_count`` (all Apriori joins would be far too many for a broadcast);
 * the candidates are dealt into groups of about ``max_nodes`` by a hash of all words but the last; each group
   is a double-array trie, broadcast in turn, so that what is broadcast does not grow with the texts;
 * numpy advances the states of all positions of a slice at once, word by word, and bincounts the
@@ -243,9 +243,9 @@ def built_tries(dealt: DataFrame) -> DataFrame:
     return written(dealt.groupBy("grp").applyInArrow(build, "grp int, key long, words array<long>, trie binary"))
 
 
-def count_group(coded: DataFrame, trie: bytes, ranges: int, both: bool) -> DataFrame:
-    """(kind, key, n): counts of the trie's phrases (kind 0, key their row) and the longer stretches met (kind 1, key
-    row << 32 | next word).  With ``both`` a stretch's last words must be one of the phrases too."""
+def count_group(coded: DataFrame, trie: bytes, ranges: int, both: bool, min_count: int) -> DataFrame:
+    """(kind, key, n): counts of the trie's phrases (kind 0, key their row) and the longer stretches met ``min_count``
+    times (kind 1, key row << 32 | next word).  With ``both`` a stretch's last words must be one of the phrases too."""
     shared = coded.sparkSession.sparkContext.broadcast(trie)
 
     def run(batches):
@@ -267,12 +267,12 @@ def count_group(coded: DataFrame, trie: bytes, ranges: int, both: bool) -> DataF
                 on = after >= 0
                 if both:
                     on &= row[start + 1] >= 0
-                key = np.unique((row[start[on]] << 32) | after[on])
-                yield from _packed(1, key, np.ones(len(key), np.int64), ranges)
+                key, n = np.unique((row[start[on]] << 32) | after[on], return_counts=True)
+                yield from _packed(1, key, n, ranges)
         key = np.flatnonzero(total)
         yield from _packed(0, key, total[key], ranges)
 
-    found = _summed(coded.mapInArrow(run, _SUMS), 1)
+    found = _summed(coded.mapInArrow(run, _SUMS), min_count)
     shared.destroy()
     return found
 
@@ -298,7 +298,7 @@ def frequent_phrases(coded: DataFrame, words: DataFrame, total: int, min_count:
             data = group.where("trie IS NOT NULL").select("trie").toArrow().column("trie")
             if not len(data):
                 continue
-            found = count_group(coded, data[0].as_py(), ranges, groups == 1)
+            found = count_group(coded, data[0].as_py(), ranges, groups == 1, min_count)
             named = group.where("trie IS NULL").select("key", "words")
             sums = found.where("kind = 0").select("key", "n").where(F.col("n") >= min_count)
             kept = written(named.join(sums, "key"))
