@@ -155,22 +155,52 @@ def tokenizer(path: str):
     return t, spaced
 
 
-def _encoded(t, spaced: np.ndarray, pieces: list[str], leading: bool) -> list[np.ndarray]:
-    """Ids of each piece.  With ``leading`` every piece starts with its only space, which starts a
-    token, so pieces that do not end in white space are encoded together and cut at such tokens."""
-    out: list[np.ndarray | None] = [None] * len(pieces)
-    joint = [i for i, p in enumerate(pieces) if len(p) > 1 and not p[1].isspace() and not p[-1].isspace()] if leading else []
-    for a in range(0, len(joint), 20_000):
-        part = joint[a : a + 20_000]
-        ids = np.array(t.encode_batch_fast(["".join(pieces[i] for i in part)], add_special_tokens=False)[0].ids, np.uint64)
-        at = np.flatnonzero(spaced[ids.astype(np.int64)])
-        if len(at) == len(part) and at[0] == 0:
-            for i, x in zip(part, np.split(ids, at[1:]), strict=True):
-                out[i] = x
-    rest = [i for i, x in enumerate(out) if x is None]
-    for i, e in zip(rest, t.encode_batch_fast([pieces[i] for i in rest], add_special_tokens=False), strict=True):
-        out[i] = np.array(e.ids, np.uint64)
-    return out
+class Pieces:
+    """The ids of pieces of text: one pool, and where each piece's begin and how many they are."""
+
+    def __init__(self, t, spaced: np.ndarray):
+        self.t, self.spaced = t, spaced
+        self.pool, self.begin, self.length = np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def add(self, pieces: list[str], leading: bool) -> None:
+        """Append pieces.  With ``leading`` every piece starts with its only space, which starts a token, so
+        pieces that do not end in white space are encoded together and cut at such tokens."""
+        begin, length, done = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64), np.zeros(len(pieces), bool)
+        joint = [i for i, p in enumerate(pieces) if len(p) > 1 and not p[1].isspace() and not p[-1].isspace()] if leading else []
+        chunks, size = [self.pool], len(self.pool)
+        for a in range(0, len(joint), 20_000):
+            part = joint[a : a + 20_000]
+            ids = np.array(self.t.encode_batch_fast(["".join([pieces[i] for i in part])], add_special_tokens=False)[0].ids, np.uint64)
+            at = np.flatnonzero(self.spaced[ids.astype(np.int64)])
+            if len(at) == len(part) and at[0] == 0:
+                begin[part], length[part], done[part] = size + at, np.diff(np.append(at, len(ids))), True
+                chunks.append(ids)
+                size += len(ids)
+        rest = np.flatnonzero(~done).tolist()
+        for i, e in zip(rest, self.t.encode_batch_fast([pieces[i] for i in rest], add_special_tokens=False), strict=True):
+            begin[i], length[i] = size, len(e.ids)
+            chunks.append(np.array(e.ids, np.uint64))
+            size += length[i]
+        self.pool = np.concatenate(chunks)
+        self.begin, self.length = np.concatenate((self.begin, begin)), np.concatenate((self.length, length))
+
+
+MAX_PIECES = 500_000  # space-led pieces that a worker remembers from slice to slice
+_LED: dict[str, tuple[Pieces, dict[str, int]]] = {}
+
+
+def _led(path: str, names: list[str]) -> tuple[Pieces, np.ndarray]:
+    """The worker's pieces, and which of them each name, led by a space, is."""
+    if path not in _LED or len(_LED[path][1]) > MAX_PIECES:
+        _LED[path] = Pieces(*tokenizer(path)), {}
+    known, at = _LED[path]
+    rows = np.fromiter((at.get(x, -1) for x in names), np.int64, len(names))
+    new = [names[i] for i in np.flatnonzero(rows < 0).tolist()]
+    if new:
+        rows[rows < 0] = np.arange(len(at), len(at) + len(new))
+        at.update(zip(new, range(len(at), len(at) + len(new)), strict=True))
+        known.add([" " + x for x in new], True)
+    return known, rows
 
 
 def encode(column: pa.Array, path: str, end_id: int) -> tuple[np.ndarray, np.ndarray]:
@@ -198,18 +228,20 @@ def encode(column: pa.Array, path: str, end_id: int) -> tuple[np.ndarray, np.nda
     led = kind & ~is_odd
     led_codes = np.unique(table[led])
     bare_codes = np.unique(table[~kind & ~is_odd])
-    pieces = _encoded(t, spaced, [" " + names[i] for i in led_codes.tolist()], True)
-    pieces += _encoded(t, spaced, [names[i] for i in bare_codes.tolist()] + whole, False)
-    pieces.append(np.array([end_id], np.uint64))
+    known, led_rows = _led(path, [names[i] for i in led_codes.tolist()])
+    own = Pieces(t, spaced)
+    own.add([names[i] for i in bare_codes.tolist()] + whole, False)
+    pool = np.concatenate((known.pool, own.pool, np.array([end_id], np.uint64)))
+    begin = np.concatenate((known.begin, own.begin + len(known.pool), [len(pool) - 1]))
+    length = np.concatenate((known.length, own.length, [1]))
+    n_led = len(known.length)
     where = np.full((2, max(1, len(names))), -1, np.int64)
-    where[1, led_codes] = np.arange(len(led_codes))
-    where[0, bare_codes] = len(led_codes) + np.arange(len(bare_codes))
+    where[1, led_codes] = led_rows
+    where[0, bare_codes] = n_led + np.arange(len(bare_codes))
     rows = np.empty(len(kind), np.int64)
     rows[~is_odd] = where[kind[~is_odd].astype(np.int64), table[~is_odd]]
-    rows[is_odd] = len(led_codes) + len(bare_codes) + np.arange(len(whole))
-    rows = np.insert(rows, first + per, len(pieces) - 1)
-    length = np.fromiter(map(len, pieces), np.int64, len(pieces))
-    pool, begin = np.concatenate(pieces), np.cumsum(length) - length
+    rows[is_odd] = n_led + len(bare_codes) + np.arange(len(whole))
+    rows = np.insert(rows, first + per, len(length) - 1)
     n = length[rows]
     ids = pool[np.repeat(begin[rows] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
     return ids, np.add.reduceat(n, first + np.arange(len(column))) if len(column) else per
