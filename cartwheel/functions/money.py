@@ -84,13 +84,16 @@ def sample_stddev_money_sql(c: str, scale: int = 2) -> str:
     depend on partial-aggregate merge order; only the final square root is
     floating point.  NULL for fewer than two values (as ``stddev_samp``)."""
     x = cents_sql(c)
-    x2 = f"sum(CAST({x} AS DECIMAL(38,0)) * {x})"
-    n = f"CAST(count({c}) AS DECIMAL(38,0))"
-    s1 = f"CAST(sum({x}) AS DECIMAL(38,0))"
-    exact = f"CAST(try_subtract(try_multiply({n}, {x2}), try_multiply({s1}, {s1})) AS DOUBLE) / CAST({n} * ({n} - 1) AS DOUBLE)"
+    return stddev_of_sums_sql(f"count({c})", f"sum({x})", f"sum(CAST({x} AS DECIMAL(38,0)) * {x})", scale)
+
+
+def stddev_of_sums_sql(count: str, total: str, squares: str, scale: int = 2) -> str:
+    """:func:`sample_stddev_money_sql` from the number of values, their sum in cents and the sum of their squares."""
+    n, s1 = f"CAST({count} AS DECIMAL(38,0))", f"CAST({total} AS DECIMAL(38,0))"
+    exact = f"CAST(try_subtract(try_multiply({n}, {squares}), try_multiply({s1}, {s1})) AS DOUBLE) / CAST({n} * ({n} - 1) AS DOUBLE)"
     # Beyond 38 digits: divide before multiplying.
-    wide = f"(CAST({x2} AS DOUBLE) - CAST({s1} AS DOUBLE) / count({c}) * CAST({s1} AS DOUBLE)) / (count({c}) - 1)"
-    return f"(CASE WHEN count({c}) > 1 THEN round(sqrt(greatest(coalesce({exact}, {wide}), 0.0D)) / 100.0D, {scale}) END)"
+    wide = f"(CAST({squares} AS DOUBLE) - CAST({s1} AS DOUBLE) / {count} * CAST({s1} AS DOUBLE)) / ({count} - 1)"
+    return f"(CASE WHEN {count} > 1 THEN round(sqrt(greatest(coalesce({exact}, {wide}), 0.0D)) / 100.0D, {scale}) END)"
 
 
 # Column forms ---------------------------------------------------------------

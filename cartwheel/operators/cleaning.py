@@ -57,6 +57,23 @@ def dedup_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colum
     return ranked.filter(f"{rn} = 1").drop(rn)
 
 
+def dedup_rare_copies(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
+    """:func:`dedup_by_key` for a stored table in which few keys have copies.
+
+    A first, narrow pass (key columns only, counted map-side) finds the keys that occur more than once.  Rows of
+    all other keys go straight through an anti-join; only the copies are ranked.  So where the repeated keys
+    are small enough to be broadcast (Spark's threshold on their measured size), no wide row is shuffled or
+    sorted but copies; where they are not, both joins shuffle, and the window alone is the better plan.  ``df``
+    is read three times.  NULL keys are one key."""
+    n, names = "__cartwheel_n", {k: f"__cartwheel_{k}" for k in keys}
+    repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(n)).where(f"{n} > 1").select(*(F.col(k).alias(v) for k, v in names.items()))
+    same = F.lit(True)
+    for k, v in names.items():
+        same = same & F.col(k).eqNullSafe(F.col(v))
+    copies = df.join(repeated, same, "left_semi")
+    return df.join(repeated, same, "left_anti").unionByName(dedup_by_key(copies, keys, order))
+
+
 def clean_transactions(
     bronze: DataFrame,
     as_of: _dt.date | str | None = None,
@@ -65,6 +82,7 @@ def clean_transactions(
     delivery_rule: DeliveryRule = DeliveryRule(),
     dedup_keys: Sequence[str] = ("order_id",),
     strict: bool = True,
+    rare_copies: bool = False,
 ) -> DataFrame:
     """The silver order table (20 columns, see ``schemas.SILVER_COLUMNS``).
 
@@ -83,7 +101,8 @@ def clean_transactions(
     the source line key), which are dropped from the output.  With
     ``strict=False`` casts are ``try_cast``: a value that does not fit becomes
     NULL (and the row is then dropped by step 2 if it is a quantity) instead of
-    failing the job.
+    failing the job.  ``rare_copies`` (for a stored bronze table) ranks only the
+    rows of repeated keys, see :func:`dedup_rare_copies`.
     """
     extra = [k for k in dedup_keys if k not in SILVER_COLUMNS]
     # One SQL projection per step: the expression trees are built JVM-side.
@@ -104,7 +123,8 @@ def clean_transactions(
         *extra,
     )
     valid = typed.filter("unit_price > 0 AND quantity > 0 AND order_amount > 0")
-    survivors = dedup_by_key(valid, list(dedup_keys), SURVIVOR_ORDER)
+    order = SURVIVOR_ORDER if "order_id" in dedup_keys else [*SURVIVOR_ORDER, "order_id"]
+    survivors = (dedup_rare_copies if rare_copies else dedup_by_key)(valid, list(dedup_keys), order)
     return survivors.selectExpr(
         *SILVER_COLUMNS[:12],
         "year(order_date) AS order_year",

@@ -16,7 +16,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.functions.money import cents_sql, half_up_ratio_sql, money_avg_sql, money_total_sql, pct_sql, sample_stddev_money_sql
+from cartwheel.functions.money import cents_sql, dollars_sql, half_up_ratio_sql, money_avg_sql, money_total_sql, pct_sql, stddev_of_sums_sql
 from cartwheel.operators.cleaning import as_of_sql
 
 # Domains of the reference data (fixed values).
@@ -172,6 +172,78 @@ def profile(
 REPORT_COLUMNS = ["dimension", "check_name", "column_name", "metric_value", "violations", "total", "passed"]
 
 
+#: How partial states of a check meet, by the prefix of its column.
+_MERGE = {"min_": "min", "max_": "max"}
+
+
+def _plain_checks(cols: Sequence[str], r: QualityRules) -> dict[str, str]:
+    """Aggregates of one scan that can be merged by sum, minimum or maximum: name -> SQL."""
+    qlo, qhi = r.quantity_range
+    plo, phi = r.price_range
+    dlo, dhi = r.delivery_range
+    regions = ", ".join(_lit(v) for v in r.valid_regions)
+    payments = ", ".join(_lit(v) for v in r.valid_payment_methods)
+    # |amount - q*price| > 0.005*q + 0.005, in exact integer half-cents
+    q_long, cents = "CAST(quantity AS BIGINT)", cents_sql("order_amount")
+    bounds = {"date": "order_date", "price": "unit_price", "delivery": "delivery_days", "amount": "order_amount", "qty": "quantity"}
+    return {
+        "total": "count(1)",
+        **{f"nulls__{c}": _nulls(c) for c in cols},
+        "neg_amount": "count_if(order_amount < 0)",
+        "bad_qty": f"count_if(quantity < {qlo} OR quantity > {qhi})",
+        "mismatch": f"count_if(2 * abs({cents} - {q_long} * {cents_sql('unit_price')}) > {q_long} + 1)",
+        "bad_region": f"count_if(NOT region IN ({regions}))",
+        "bad_payment": f"count_if(NOT payment_method IN ({payments}))",
+        "low_price": f"count_if(unit_price < {plo})",
+        "high_price": f"count_if(unit_price > {phi})",
+        "low_delivery": f"count_if(delivery_days < {dlo})",
+        "high_delivery": f"count_if(delivery_days > {dhi})",
+        **{f"{f}_{name}": f"{f}({c})" for name, c in bounds.items() for f in ("min", "max")},
+        "n_amount": "count(order_amount)",
+        "cents_amount": f"sum({cents})",
+        "squares_amount": f"sum(CAST({cents} AS DECIMAL(38,0)) * {cents})",
+        "n_qty": "count(quantity)",
+        "sum_qty": "sum(quantity)",
+        "n_delivery": "count(delivery_days)",
+        "sum_delivery": "sum(delivery_days)",
+    }
+
+
+def _with_means(checks: DataFrame) -> DataFrame:
+    """The rounded figures that follow from the plain checks."""
+    return checks.selectExpr(
+        "*",
+        f"{half_up_ratio_sql('cents_amount', 'n_amount', 2, num_scale=2)} AS avg_amount",
+        f"{stddev_of_sums_sql('n_amount', 'cents_amount', 'squares_amount')} AS stddev_amount",
+        f"{dollars_sql('cents_amount')} AS sum_amount",
+        f"{half_up_ratio_sql('sum_qty', 'n_qty', 2)} AS avg_qty",
+        f"{half_up_ratio_sql('sum_delivery', 'n_delivery', 2)} AS avg_delivery",
+    )
+
+
+def partial_checks(part: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
+    """The state of one increment of the silver table: a row that merges with those of others."""
+    return part.selectExpr(*(f"{e} AS `{name}`" for name, e in _plain_checks(list(rules.columns or part.columns), rules).items()))
+
+
+def partial_keys(part: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
+    """(column_name, value): the increment's distinct keys and customers, for exact distinct counts (narrow rows)."""
+    both = part.selectExpr(f"stack(2, {_lit(rules.key)}, CAST({_q(rules.key)} AS STRING), 'customer_id', CAST(customer_id AS STRING)) AS (column_name, value)")
+    return both.distinct()
+
+
+def merged_report(states: DataFrame, keys: DataFrame, rules: QualityRules = QualityRules(), as_of: _dt.date | str | None = None) -> DataFrame:
+    """:func:`quality_report` of all increments from their states and keys, without reading the table again."""
+    if rules.approx_distinct:
+        raise ValueError("states hold exact keys")
+    cols = [c.removeprefix("nulls__") for c in states.columns if c.startswith("nulls__")]
+    names = list(_plain_checks(cols, rules))
+    merged = states.selectExpr(*(f"{_MERGE.get(c[:4], 'sum')}(`{c}`) AS `{c}`" for c in names))
+    counts = [keys.where(F.col("column_name") == c).select("value").distinct().selectExpr("count(1)").scalar() for c in (rules.key, "customer_id")]
+    one = _with_means(merged).select("*", counts[0].alias("keys"), counts[1].alias("customers"))
+    return _report_rows(one.fillna(0, ["total", *(c for c in names if c.startswith(("nulls__", "neg_", "bad_", "low_", "high_", "mismatch")))]), cols, rules, as_of)
+
+
 def quality_report(
     silver: DataFrame,
     rules: QualityRules = QualityRules(),
@@ -191,55 +263,17 @@ def quality_report(
     """
     r = rules
     cols = list(r.columns or silver.columns)
-    qlo, qhi = r.quantity_range
-    plo, phi = r.price_range
-    dlo, dhi = r.delivery_range
-    regions = ", ".join(_lit(v) for v in r.valid_regions)
-    payments = ", ".join(_lit(v) for v in r.valid_payment_methods)
-    # |amount - q*price| > 0.005*q + 0.005, in exact integer half-cents
-    q_long = "CAST(quantity AS BIGINT)"
-    mismatch = (
-        f"2 * abs({cents_sql('order_amount')} - {q_long} * {cents_sql('unit_price')}) > {q_long} + 1"
-    )
-    main_sql = [
-        "count(1) AS total",
-        *[f"{_nulls(c)} AS `nulls__{c}`" for c in cols],
-        "count_if(order_amount < 0) AS neg_amount",
-        f"count_if(quantity < {qlo} OR quantity > {qhi}) AS bad_qty",
-        f"count_if({mismatch}) AS mismatch",
-        f"count_if(NOT region IN ({regions})) AS bad_region",
-        f"count_if(NOT payment_method IN ({payments})) AS bad_payment",
-        "min(order_date) AS min_date",
-        "max(order_date) AS max_date",
-        "min(unit_price) AS min_price",
-        "max(unit_price) AS max_price",
-        f"count_if(unit_price < {plo}) AS low_price",
-        f"count_if(unit_price > {phi}) AS high_price",
-        "min(delivery_days) AS min_delivery",
-        "max(delivery_days) AS max_delivery",
-        f"count_if(delivery_days < {dlo}) AS low_delivery",
-        f"count_if(delivery_days > {dhi}) AS high_delivery",
-        "min(order_amount) AS min_amount",
-        "max(order_amount) AS max_amount",
-        f"{money_avg_sql('order_amount')} AS avg_amount",
-        f"{sample_stddev_money_sql('order_amount')} AS stddev_amount",
-        f"{money_total_sql('order_amount')} AS sum_amount",
-        "min(quantity) AS min_qty",
-        "max(quantity) AS max_qty",
-        f"{half_up_ratio_sql('sum(quantity)', 'count(quantity)', 2)} AS avg_qty",
-        f"{half_up_ratio_sql('sum(delivery_days)', 'count(delivery_days)', 2)} AS avg_delivery",
-    ]
     if r.approx_distinct:  # HyperLogLog sketches: ordinary aggregates in the same pass
-        one = silver.selectExpr(
-            *main_sql,
-            f"{distinct_with_null_sql(r.key, True)} AS keys",
-            f"{distinct_with_null_sql('customer_id', True)} AS customers",
-        )
+        sketched = [f"{distinct_with_null_sql(r.key, True)} AS keys", f"{distinct_with_null_sql('customer_id', True)} AS customers"]
+        one = silver.selectExpr(*(f"{e} AS `{name}`" for name, e in _plain_checks(cols, r).items()), *sketched)
     else:  # exact: one grouping-sets job, attached as a scalar subquery
         d = distinct_counts(silver, [r.key, "customer_id"])
-        one = silver.selectExpr(*main_sql).select(
-            "*", d[r.key].alias("keys"), d["customer_id"].alias("customers")
-        )
+        one = partial_checks(silver, r).select("*", d[r.key].alias("keys"), d["customer_id"].alias("customers"))
+    return _report_rows(_with_means(one), cols, r, as_of)
+
+
+def _report_rows(one: DataFrame, cols: Sequence[str], r: QualityRules, as_of: _dt.date | str | None) -> DataFrame:
+    """The report's rows from the single row of its aggregates."""
     # Each row: dimension, check, column, metric (NULL: share of violations),
     # violations, passed rule ('count': violations = 0, else an expression).
     N = "NULL"

@@ -17,8 +17,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cartwheel.functions.money import cents_sql, dollars_sql
 from cartwheel.operators import quality as Q
+from cartwheel.operators.cleaning import clean_transactions
 from cartwheel.operators.customers import cohort_retention, customer_metrics, rfm_segmentation
+from cartwheel.operators.prefix import group_percentiles, running_total
+from cartwheel.operators.reach import daily_sketches, measured_rollup
 from cartwheel.operators.sales import (
     category_trends,
     daily_sales_summary,
@@ -29,6 +33,7 @@ from cartwheel.operators.sales import (
 )
 from cartwheel.operators.trends import revenue_trends, top_products_by_group
 from cartwheel.plans import dashboard as D
+from cartwheel.plans.increments import add_increment, report_of_increments
 from cartwheel.plans.pipeline import bronze_layer, layer_root, silver_from_star, silver_layer, stored_pipeline
 from cartwheel.plans.presentation import positioned
 from cartwheel.plans.validate import REQUIRED_TABLES, acceptance_suite, stored_tables
@@ -111,6 +116,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "category_trends_display": _on_silver(lambda s: positioned("category_trends", category_trends(s), "display")),
     "revenue_trends_display": _on_silver(lambda s: positioned("revenue_trends", revenue_trends(s), "display")),
     "segmentation_display": lambda spark, d: positioned("customer_segmentation", _segmentation(spark, d), "display"),
+    "quality_by_increments": lambda spark, d: _by_increments(spark, d),
+    "silver_rare_copies": lambda spark, d: clean_transactions(bronze(spark, d), AS_OF, rare_copies=True),
+    "one_order_per_line": lambda spark, d: _one_per_line(bronze(spark, d)),
+    "order_running_revenue": _on_silver(lambda s: _order_running_revenue(s)),
+    "order_amount_percentiles": _on_silver(lambda s: _order_amount_percentiles(s)),
+    "customer_reach": lambda spark, d: _customer_reach(spark, d),
     "customer_metrics_ordered": _on_silver(lambda s: positioned("customer_metrics", customer_metrics(s, AS_OF))),
 }
 
@@ -134,3 +145,39 @@ def _history(spark: SparkSession, sf_dir: str) -> DataFrame:
     append_table(Q.quality_metrics_row(s.where("order_year <= 1997"), AS_OF, STAR_RULES), path)
     append_table(Q.quality_metrics_row(s, AS_OF, STAR_RULES).withColumn("scope", F.lit("all")), path)
     return read_table(spark, path, merge_schema=True)
+
+
+def _one_per_line(bronze: DataFrame) -> DataFrame:
+    """Silver with one order per (order key, line number), which repeat in the star with different content."""
+    keyed = bronze.withColumn("line_key", F.expr("substring_index(order_id, '-', 2)"))
+    return clean_transactions(keyed, AS_OF, dedup_keys=("line_key",), rare_copies=True)
+
+
+def _order_running_revenue(silver: DataFrame) -> DataFrame:
+    """Every order with its region's revenue up to it: groups of a fifth of all rows."""
+    total = running_total(silver, ["region"], ["order_date", "order_id"], cents_sql("order_amount"), "__cents")
+    return total.selectExpr("region", "order_date", "order_id", "order_amount", f"{dollars_sql('__cents')} AS running_revenue")
+
+
+def _order_amount_percentiles(silver: DataFrame) -> DataFrame:
+    wanted = {"p25_amount": 0.25, "median_amount": 0.5, "p75_amount": 0.75, "p95_amount": 0.95, "p99_amount": 0.99}
+    return group_percentiles(silver, ["region"], cents_sql("order_amount"), wanted, scale=2, num_scale=2, count_col="order_count")
+
+
+def _customer_reach(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct customers per month and region, month, region and in all: exact, and whether the counts
+    rolled up from stored daily sketches come within 5 %."""
+    s, path = silver(spark, sf_dir), f"{layer_root(spark)}/reach-{uuid.uuid4().hex}"
+    daily_sketches(s).write.parquet(path)
+    month = {"order_year": F.year("order_date"), "order_month": F.month("order_date")}
+    sets = [["order_year", "order_month", "region"], ["order_year", "order_month"], ["region"], []]
+    found = measured_rollup(s, spark.read.parquet(path).withColumns(month), sets)
+    return found.select("order_year", "order_month", "region", F.col("exact").alias("unique_customers"), F.col("within").alias("estimate_within_5_pct"))
+
+
+def _by_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality report merged from the stored states of three spans of years, each checked on its own."""
+    s, root = silver(spark, sf_dir), f"{layer_root(spark)}/increments-{uuid.uuid4().hex}"
+    for name, span in {"a": "order_year <= 1996", "b": "order_year BETWEEN 1997 AND 1999", "c": "order_year >= 2000 OR order_year IS NULL"}.items():
+        add_increment(s.where(span), root, name, STAR_RULES)
+    return report_of_increments(spark, root, STAR_RULES, AS_OF)

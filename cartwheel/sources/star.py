@@ -33,6 +33,8 @@ import hashlib
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cartwheel.sources.layout import write_bucketed
+
 STAR_TABLES = ("region", "nation", "customer", "part", "orders", "lineitem")
 
 _CACHE: dict[tuple[str, str, tuple], dict[str, DataFrame]] = {}
@@ -65,20 +67,37 @@ def load_star(spark: SparkSession, sf_dir: str, names=STAR_TABLES) -> dict[str,
     return cached
 
 
-def transactions_from_star(tables: dict[str, DataFrame]) -> DataFrame:
-    """Map the star schema to the bronze transaction layout (see module doc)."""
-    # No manual projections: Catalyst prunes every scan to the columns used
-    # (ReadSchema of lineitem: orderkey, partkey, suppkey, linenumber,
-    # quantity, returnflag, shipdate).
-    region, nation, customer = tables["region"], tables["nation"], tables["customer"]
-    part, orders, lineitem = tables["part"], tables["orders"], tables["lineitem"]
+def bucketed_fact(tables: dict[str, DataFrame], database: str, buckets: int, location: str | None = None) -> dict[str, DataFrame]:
+    """``tables`` with line items and orders (resolved to customer and region) stored as catalog tables bucketed
+    by order key: the fact join, and a de-duplication keyed on the order key first, then share that
+    layout and need no exchange of the fact."""
+    at = (lambda name: f"{location}/{name}") if location else (lambda name: None)
+    orders = _orders_with_region(tables)
+    return {
+        **tables,
+        "lineitem": write_bucketed(tables["lineitem"], f"{database}.fact_lineitem", ["l_orderkey"], buckets, at("fact_lineitem")),
+        "orders_x": write_bucketed(orders, f"{database}.fact_orders", ["o_orderkey"], buckets, at("fact_orders")),
+    }
+
 
+def _orders_with_region(tables: dict[str, DataFrame]) -> DataFrame:
+    region, nation, customer, orders = (tables[t] for t in ("region", "nation", "customer", "orders"))
     geo = nation.join(region, nation.n_regionkey == region.r_regionkey)
     cust = customer.join(geo, customer.c_nationkey == geo.n_nationkey)
+    return orders.join(cust, orders.o_custkey == cust.c_custkey)
+
+
+def transactions_from_star(tables: dict[str, DataFrame], keep: tuple[str, ...] = ()) -> DataFrame:
+    """Map the star schema to the bronze transaction layout (see module doc), with the source columns ``keep``
+    besides.  ``tables`` may hold the orders already resolved, see :func:`bucketed_fact`."""
+    # No manual projections: Catalyst prunes every scan to the columns used
+    # (ReadSchema of lineitem: orderkey, partkey, suppkey, linenumber,
+    # quantity, returnflag, shipdate).
+    part, lineitem = tables["part"], tables["lineitem"]
     # Fact x orders: both grow with the data, so always a sort-merge join on
     # orderkey (a pruned fact scan can look small enough to broadcast; it must
     # not be).  Its output stays hash-partitioned by l_orderkey.
-    orders_x = orders.join(cust, orders.o_custkey == cust.c_custkey).hint("merge")
+    orders_x = (tables.get("orders_x") or _orders_with_region(tables)).hint("merge")
     with_orders = lineitem.join(orders_x, lineitem.l_orderkey == orders_x.o_orderkey)
     joined = with_orders.join(part, with_orders.l_partkey == part.p_partkey)
 
@@ -96,4 +115,4 @@ def transactions_from_star(tables: dict[str, DataFrame]) -> DataFrame:
         "CAST(pmod(datediff(CAST(l_shipdate AS DATE), CAST(o_orderdate AS DATE)), 30) + 1 AS BIGINT) AS delivery_days",
         "CAST(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS BIGINT) AS is_returned",
     ]
-    return joined.selectExpr(*cols)
+    return joined.selectExpr(*cols, *keep)

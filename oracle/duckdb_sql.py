@@ -681,3 +681,37 @@ Q["category_trends_display"] = _display("category_trends", "order_month DESC, ca
 Q["revenue_trends_display"] = _display("revenue_trends", "region, order_date DESC", 50)
 Q["segmentation_display"] = _display("rfm_segmentation", "lifetime_value DESC, customer_id", 30)
 Q["customer_metrics_ordered"] = _display("customer_metrics", "lifetime_value DESC, customer_id")
+
+# ------------------------- survivors, running totals, percentiles and reach ---
+
+Q["silver_rare_copies"] = Q["silver_orders"]
+Q["one_order_per_line"] = (
+    Q["silver_orders"]
+    .replace("PARTITION BY order_id", "PARTITION BY split_part(order_id, '-', 1), split_part(order_id, '-', 2)")
+    .replace("is_returned ASC NULLS FIRST) AS rn", "is_returned ASC NULLS FIRST, order_id) AS rn")
+)
+Q["order_running_revenue"] = with_silver(
+    f"SELECT region, order_date, order_id, order_amount, "
+    f"{dollars('SUM(cents) OVER (PARTITION BY region ORDER BY order_date, order_id ROWS UNBOUNDED PRECEDING)')} AS running_revenue FROM silver"
+)
+
+
+def _amount_percentile(p: float) -> str:
+    """Interpolated between the sorted cents ``l`` of a group, rounded half up to a cent."""
+    k, d = Fraction(str(p)).numerator, Fraction(str(p)).denominator
+    low, rest = f"((n - 1) * {k}) // {d}", f"((n - 1) * {k}) % {d}"
+    a, b = f"l[{low} + 1]", f"l[{low} + 1 + CASE WHEN {rest} > 0 THEN 1 ELSE 0 END]"
+    return hu(f"({d} * {a} + ({rest}) * ({b} - {a}))", str(d), 2, 1, 2)
+
+
+_AMOUNTS = {"p25_amount": 0.25, "median_amount": 0.5, "p75_amount": 0.75, "p95_amount": 0.95, "p99_amount": 0.99}
+Q["order_amount_percentiles"] = with_silver(
+    "SELECT region, n AS order_count, "
+    + ", ".join(f"{_amount_percentile(p)} AS {name}" for name, p in _AMOUNTS.items())
+    + " FROM (SELECT region, COUNT(*) AS n, list_sort(list(cents)) AS l FROM silver GROUP BY region)"
+)
+Q["customer_reach"] = with_silver(
+    "SELECT order_year, order_month, region, COUNT(DISTINCT customer_id) AS unique_customers, true AS estimate_within_5_pct "
+    "FROM silver GROUP BY GROUPING SETS ((order_year, order_month, region), (order_year, order_month), (region), ())"
+)
+Q["quality_by_increments"] = Q["quality_report"]
