@@ -2,7 +2,8 @@
 
 Texts are lower-cased (A-Z), cut into pieces at ``[.,;:!?\\x0A-\\x0D]`` and into words ``[^\\x20\\x09]+``.
 They are encoded once, per slice of texts of one language, as positions in the slice's own list of
-words; words that occur ``min_count`` times in their language get a number.  A phrase can only reach
+words.  The slices' lists are dealt by a hash of the word; each hash range adds up the counts, numbers the words that
+occur ``min_count`` times in their language and sends the numbers back to the slices: one exchange, no join.  A phrase can only reach
 ``min_count`` if all its parts do (Apriori), so phrases of k words are counted as follows:
 
 * candidates of two words are pairs of frequent words, those of k + 1 words stretches of the texts whose first
@@ -25,20 +26,45 @@ import math
 import pickle
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwheel.llm.common import mix64, slices, written
 
 LONGEST = 5
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 8 << 20  # of texts of one language
+HELD_BYTES = 4 * SLICE_BYTES  # of texts of all languages that wait in a task
 MAX_NODES = 1 << 19  # of a broadcast trie, about; under 50 bytes each
 RANGE_ENTRIES = 2_000_000
 _TABLE = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz " + b"\n" * 9)
 _CODED = "lang string, vocab array<string>, counts array<long>, codes binary"
 _SUMS = "part int, keys binary, counts binary"
+_DEALT = "part int, row long, lang string, words binary, pos binary, counts binary"
+_NUMBERED = "id long, lang string, word string, n long, row long, pos binary, ids binary"
+
+
+def squeezed(x: np.ndarray, ascending: bool = False) -> bytes:
+    """64-bit integers, as differences if ``ascending``, byte plane by byte plane, compressed."""
+    x = np.diff(x, prepend=0) if ascending else x
+    return zstandard.compress(np.ascontiguousarray(x.astype(np.int64).view(np.uint8).reshape(-1, 8).T).tobytes(), 1)
+
+
+def unsqueezed(blob: bytes, ascending: bool = False) -> np.ndarray:
+    planes = np.frombuffer(zstandard.decompress(blob), np.uint8).reshape(8, -1)
+    x = np.ascontiguousarray(planes.T).view(np.int64).ravel()
+    return np.cumsum(x) if ascending else x
+
+
+def ranges_of(hashes: np.ndarray, ranges: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(order of the entries by hash range, ranges that occur, their bounds in that order)."""
+    of = ((mix64(hashes) >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
+    order = np.argsort(of, kind="stable")
+    found, first = np.unique(of[order], return_index=True)
+    return order, found, np.append(first, len(order))
 
 
 # -- texts as codes -----------------------------------------------------------------------------
@@ -61,28 +87,78 @@ def coded_texts(docs: DataFrame, text: str, lang: str) -> DataFrame:
     """A row per slice and language: row, lang, vocab, counts, codes."""
     plain = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).cast("string").alias("text"))
 
+    def coded(name: str, parts: list[bytes]):
+        vocab, counts, codes = encode(b"\n".join(parts))
+        if len(vocab):
+            lists = [pa.array([name]), pa.array([vocab.to_pylist()], pa.list_(pa.string())), pa.array([counts.tolist()], pa.list_(pa.int64())), pa.array([codes.tobytes()], pa.binary())]
+            yield pa.RecordBatch.from_arrays(lists, ["lang", "vocab", "counts", "codes"])
+
     def run(batches):
+        held: dict[str, list[bytes]] = {}
+        sizes: dict[str, int] = {}
         for b in slices(batches, "text", SLICE_BYTES):
-            by: dict[str, list[bytes]] = {}
             for name, t in zip(b.column("lang").to_pylist(), b.column("text").cast(pa.binary()).to_pylist(), strict=True):
                 if t:
-                    by.setdefault(name, []).append(t)
-            for name, parts in by.items():
-                vocab, counts, codes = encode(b"\n".join(parts))
-                if len(vocab):
-                    lists = [pa.array([name]), pa.array([vocab.to_pylist()], pa.list_(pa.string())), pa.array([counts.tolist()], pa.list_(pa.int64())), pa.array([codes.tobytes()], pa.binary())]
-                    yield pa.RecordBatch.from_arrays(lists, ["lang", "vocab", "counts", "codes"])
+                    held.setdefault(name, []).append(t)
+                    sizes[name] = sizes.get(name, 0) + len(t)
+                    if sizes[name] >= SLICE_BYTES:
+                        sizes.pop(name)
+                        yield from coded(name, held.pop(name))
+            while sum(sizes.values()) > HELD_BYTES:
+                name = max(sizes, key=sizes.get)
+                sizes.pop(name)
+                yield from coded(name, held.pop(name))
+        for name, parts in held.items():
+            yield from coded(name, parts)
 
     return written(plain.mapInArrow(run, _CODED).withColumn("row", F.monotonically_increasing_id()))
 
 
-def numbered(df: DataFrame, name: str) -> DataFrame:
-    """``df``, written, with numbers 0, 1, ... (in no particular order)."""
-    df = written(df.withColumn("_part", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)))
-    parts = df.groupBy("_part").agg(F.count("*").alias("n"))  # a row per task
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    first = parts.select("_part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_first"))
-    return df.join(first, "_part").withColumn(name, F.col("_first") + F.col("_at")).drop("_part", "_at", "_first")
+def numbered_words(coded: DataFrame, ranges: int, min_count: int) -> DataFrame:
+    """The words that occur ``min_count`` times in their language (id, lang, word, n) and, in rows of their own, the
+    places of such words in the list of each slice (row, pos, ids)."""
+
+    def deal(batches):
+        for b in batches:
+            for i in range(b.num_rows):
+                words, counts = b.column("vocab")[i].values, b.column("counts")[i].values.to_numpy()
+                order, found, cut = ranges_of(pd.util.hash_array(words.to_numpy(zero_copy_only=False), categorize=False), ranges)
+                texts = pc.binary_join(pa.ListArray.from_arrays(pa.array(cut, pa.int32()), words.take(pa.array(order))), "\n").to_pylist()
+                spans = [order[x:y] for x, y in zip(cut[:-1], cut[1:], strict=True)]
+                columns = [
+                    pa.array(found, pa.int32()), pa.array([b.column("row")[i].as_py()] * len(found), pa.int64()), pa.array([b.column("lang")[i].as_py()] * len(found)),
+                    pa.array([zstandard.compress(t.encode(), 1) for t in texts], pa.binary()), pa.array([squeezed(at, True) for at in spans], pa.binary()),
+                    pa.array([squeezed(counts[at]) for at in spans], pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["part", "row", "lang", "words", "pos", "counts"])
+
+    def merge(t: pa.Table) -> pa.Table:
+        part, first, out = t.column("part")[0].as_py(), 0, []
+        for lang in pc.unique(t.column("lang")).to_pylist():
+            of = t.filter(pc.equal(t.column("lang"), lang))
+            blob = b"\n".join(zstandard.decompress(x) for x in of.column("words").to_pylist())
+            words = pc.split_pattern(pa.array([blob], pa.binary()), b"\n").values.dictionary_encode()
+            codes, names = words.indices.to_numpy(), words.dictionary.cast(pa.string())
+            sums = np.zeros(len(names), np.int64)
+            np.add.at(sums, codes, np.concatenate([unsqueezed(x) for x in of.column("counts").to_pylist()]))
+            keep = np.flatnonzero(sums >= min_count)
+            ids = np.full(len(names), -1, np.int64)
+            ids[keep] = (first + np.arange(len(keep))) * ranges + part
+            first += len(keep)
+            out.append(pa.table([pa.array(ids[keep]), pa.array([lang] * len(keep), pa.string()), names.take(pa.array(keep)), pa.array(sums[keep])], ["id", "lang", "word", "n"]))
+            rows, at, end = [], 0, 0
+            for row, blob in zip(of.column("row").to_pylist(), of.column("pos").to_pylist(), strict=True):
+                pos = unsqueezed(blob, True)
+                at, end = end, end + len(pos)
+                on = ids[codes[at:end]] >= 0
+                if on.any():
+                    rows.append((row, squeezed(pos[on], True), squeezed(ids[codes[at:end]][on])))
+            row, pos, num = zip(*rows, strict=True) if rows else ((), (), ())
+            out.append(pa.table([pa.array(row, pa.int64()), pa.array(pos, pa.binary()), pa.array(num, pa.binary())], ["row", "pos", "ids"]))
+        empty = pa.schema([("id", pa.int64()), ("lang", pa.string()), ("word", pa.string()), ("n", pa.int64()), ("row", pa.int64()), ("pos", pa.binary()), ("ids", pa.binary())])
+        return pa.concat_tables([empty.empty_table(), *out], promote_options="default")
+
+    return written(coded.select("row", "lang", "vocab", "counts").mapInArrow(deal, _DEALT).groupBy("part").applyInArrow(merge, _NUMBERED))
 
 
 # -- double-array tries -------------------------------------------------------------------------
@@ -174,21 +250,19 @@ class Trie:
 
 
 def _packed(part: int, keys: np.ndarray, counts: np.ndarray, ranges: int):
-    """Rows (part, keys, counts) of one kind, dealt by a hash of the key; part = 2 * range + kind."""
-    of = ((mix64(keys.view(np.uint64)) >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
-    order = np.argsort(of, kind="stable")
-    cut = np.searchsorted(of[order], np.arange(ranges + 1))
-    for r in np.flatnonzero(np.diff(cut)).tolist():
-        rows = order[cut[r] : cut[r + 1]]
-        yield pa.RecordBatch.from_arrays([pa.array([2 * r + part], pa.int32()), pa.array([keys[rows].tobytes()], pa.binary()), pa.array([counts[rows].astype(np.int64).tobytes()], pa.binary())], ["part", "keys", "counts"])
+    """Rows (part, keys, counts) of one kind, dealt by a hash of the (ascending) key; part = 2 * range + kind."""
+    order, found, cut = ranges_of(keys.view(np.uint64), ranges)
+    spans = [order[x:y] for x, y in zip(cut[:-1], cut[1:], strict=True)]
+    columns = [pa.array(2 * found + part, pa.int32()), pa.array([squeezed(keys[at], True) for at in spans], pa.binary()), pa.array([squeezed(counts[at]) for at in spans], pa.binary())]
+    yield pa.RecordBatch.from_arrays(columns, ["part", "keys", "counts"])
 
 
 def _summed(parts: DataFrame, least: int) -> DataFrame:
     """(kind, key, n) with n the sum of a key's counts, at least ``least`` for kind 1."""
 
     def merge(t: pa.Table) -> pa.Table:
-        keys = np.concatenate([np.frombuffer(x, np.int64) for x in t.column("keys").to_pylist()])
-        n = np.concatenate([np.frombuffer(x, np.int64) for x in t.column("counts").to_pylist()])
+        keys = np.concatenate([unsqueezed(x, True) for x in t.column("keys").to_pylist()])
+        n = np.concatenate([unsqueezed(x) for x in t.column("counts").to_pylist()])
         order = np.argsort(keys, kind="stable")
         keys, n = keys[order], n[order]
         first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
@@ -205,8 +279,8 @@ def _words(b: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray]:
     """(codes, number of each place of the vocabulary that is frequent, else -1) of a coded row."""
     codes = np.frombuffer(b.column("codes")[i].as_buffer(), np.int32)
     ids = np.full(int(codes.max(initial=0)) + 1, -1, np.int64)
-    pairs = b.column("ids")[i].values
-    ids[pairs.field("pos").to_numpy()] = pairs.field("id").to_numpy()
+    for pair in b.column("ids")[i].as_py():
+        ids[unsqueezed(pair["pos"], True)] = unsqueezed(pair["ids"])
     return codes, ids
 
 
@@ -328,13 +402,11 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", min_co
     if not 2 <= longest <= LONGEST:
         raise ValueError(f"longest: 2 to {LONGEST} words")
     coded = coded_texts(docs, text, lang)
-    counted = coded.select("lang", F.explode(F.arrays_zip("vocab", "counts")).alias("x"))
-    words = counted.groupBy("lang", F.col("x.vocab").alias("word")).agg(F.sum("x.counts").alias("n"))
-    words = written(numbered(words.where(F.col("n") >= min_count), "id"))
     totals = written(coded.select("lang", F.expr("aggregate(counts, 0L, (s, x) -> s + x)").alias("n")).groupBy("lang").agg(F.sum("n").alias("total")))
     total = totals.agg(F.sum("total")).first()[0] or 0
-    held = coded.select("row", "lang", F.posexplode("vocab").alias("pos", "word")).join(words.select("lang", "word", "id"), ["lang", "word"])
-    held = held.groupBy("row").agg(F.collect_list(F.struct("pos", "id")).alias("ids"))  # bounded by the slice
+    found = numbered_words(coded, max(1, math.ceil(total / RANGE_ENTRIES)), min_count)
+    words = found.where("row IS NULL").select("id", "lang", "word", "n")
+    held = found.where("row IS NOT NULL").groupBy("row").agg(F.collect_list(F.struct("pos", "ids")).alias("ids"))  # bounded by the slice
     numbers = written(coded.select("row", "codes").join(held, "row").select("codes", "ids"))
     known = written(frequent_phrases(numbers, words, total, min_count, longest, max_nodes))
 
