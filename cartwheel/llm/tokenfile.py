@@ -18,6 +18,7 @@ import os
 import struct
 import zlib
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -48,33 +49,41 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarra
         none = np.empty(0, np.uint64)
         return none, np.zeros(1, np.uint32), none, np.zeros(1, np.uint32)
     escaped = ids >= np.uint64(ESCAPE)
-    v = np.where(escaped, np.uint64(ESCAPE), ids)
-    at = np.arange(n)
-    rest = np.minimum((at // BLOCK + 1) * BLOCK, n) - at
-    chosen = np.full(n, 15, np.int8)
-    for s in range(14, -1, -1):
-        fits = v < np.uint64(1 << int(BITS[s]))
-        if s == 14 or BITS[s] != BITS[s + 1]:
-            run = np.minimum.accumulate(np.where(fits, n, at)[::-1])[::-1] - at
-        chosen[run >= np.minimum(rest, COUNTS[s])] = s
-    step = at + np.minimum(rest, COUNTS[chosen])
-    first, end = [], np.minimum(starts + BLOCK, n)
-    pos = starts
+    # A row per block, zeros after its ids: what a word would take beyond a block's end fits any selector.
+    width, full = BLOCK + int(COUNTS[0]), n // BLOCK
+    grid = np.zeros((len(starts), width), np.uint64)
+    grid[:full, :BLOCK] = ids[: full * BLOCK].reshape(full, BLOCK)
+    grid[full:, : n - full * BLOCK] = ids[full * BLOCK :]
+    v = np.minimum(grid.ravel(), np.uint64(ESCAPE))
+    largest, need = int(v.max()), np.zeros(len(v), np.uint8)  # the first selector of enough bits, then the largest of a run's
+    for s in range(15):
+        if largest >= 1 << int(BITS[s]):
+            need += v >= np.uint64(1 << int(BITS[s]))
+    chosen, held = np.full(len(v), 15, np.uint8), 1
+    for s in range(15, -1, -1):
+        more = int(COUNTS[s]) - held  # at most ``held``, so two runs cover the longer one
+        if more:
+            need[:-more] = np.maximum(need[:-more], need[more:])
+            held += more
+        np.copyto(chosen, np.uint8(s), where=need <= s)
+    rows = np.arange(len(starts)) * width
+    first, pos, end = [], rows, rows + np.diff(np.append(starts, n))
     while len(pos):
         first.append(pos)
-        pos = step[pos]
+        pos = pos + COUNTS[chosen[pos]]
         open_ = pos < end
         pos, end = pos[open_], end[open_]
     first = np.sort(np.concatenate(first))
     kind = chosen[first]
     words = kind.astype(np.uint64)
     for s in range(2, 16):
-        rows = np.flatnonzero(kind == s)
-        at_, left, bits = first[rows], rest[first[rows]], int(BITS[s])
-        for j in range(int(COUNTS[s])):
-            has = left > j
-            words[rows[has]] |= v[at_[has] + j] << np.uint64(4 + bits * j)
-    word_at = np.searchsorted(first, np.append(starts, n)).astype(np.uint32)
+        at = np.flatnonzero(kind == s)
+        if len(at):
+            part, begin = words[at], first[at]
+            for j in range(int(COUNTS[s])):
+                part |= v[begin + j] << np.uint64(4 + int(BITS[s]) * j)
+            words[at] = part
+    word_at = np.append(np.searchsorted(first, rows), len(first)).astype(np.uint32)
     esc_at = np.concatenate(([0], np.add.reduceat(escaped, starts).cumsum())).astype(np.uint32)
     return words, word_at, ids[escaped], esc_at
 
@@ -155,6 +164,9 @@ def tokenizer(path: str):
     return t, spaced
 
 
+JOINED = 50  # pieces a text: the tokenizer slows down on long ones
+
+
 class Pieces:
     """The ids of pieces of text: one pool, and where each piece's begin and how many they are."""
 
@@ -170,9 +182,12 @@ class Pieces:
         chunks, size = [self.pool], len(self.pool)
         for a in range(0, len(joint), 20_000):
             part = joint[a : a + 20_000]
-            ids = np.array(self.t.encode_batch_fast(["".join([pieces[i] for i in part])], add_special_tokens=False)[0].ids, np.uint64)
+            parts = ["".join([pieces[i] for i in part[k : k + JOINED]]) for k in range(0, len(part), JOINED)]
+            found = [e.ids for e in self.t.encode_batch_fast(parts, add_special_tokens=False)]
+            ids = np.fromiter(chain.from_iterable(found), np.uint64, sum(map(len, found)))
             at = np.flatnonzero(self.spaced[ids.astype(np.int64)])
-            if len(at) == len(part) and at[0] == 0:
+            # one space in every piece, so as many starts as pieces, and one at each text's first id, put every cut right
+            if len(at) == len(part) and all(self.spaced[x[0]] for x in found):
                 begin[part], length[part], done[part] = size + at, np.diff(np.append(at, len(ids))), True
                 chunks.append(ids)
                 size += len(ids)
@@ -185,7 +200,7 @@ class Pieces:
         self.begin, self.length = np.concatenate((self.begin, begin)), np.concatenate((self.length, length))
 
 
-MAX_PIECES = 500_000  # space-led pieces that a worker remembers from slice to slice
+MAX_PIECES = 1_000_000  # space-led pieces that a worker remembers from slice to slice
 _LED: dict[str, tuple[Pieces, dict[str, int]]] = {}
 
 
