@@ -82,6 +82,28 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
+MAX_FILTER_BITS = 28  # of a broadcast bitmap: 32 MB
+
+
+class Bitmap:
+    """Which 64-bit keys may be wanted: one bit a key, by its low bits, in an array of a fixed largest size, so
+    a large set lets more keys through and never loses one.  Made on executors, broadcast to tasks."""
+
+    def __init__(self, wanted: DataFrame, key: str):
+        n = wanted.count()
+        self.bits = min(MAX_FILTER_BITS, max(15, int(16 * n).bit_length()))
+        cell = wanted.select((F.col(key).bitwiseAND((1 << self.bits) - 1) + 1).alias("cell"))
+        maps = cell.groupBy(F.expr("bitmap_bucket_number(cell) AS bucket")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(cell)) AS bits"))
+        held = np.zeros(1 << (self.bits - 3), np.uint8)
+        for r in maps.toLocalIterator():  # 2 ** (bits - 15) rows of 4 KB at most
+            held[(r["bucket"] - 1) * 4096 : r["bucket"] * 4096] = np.frombuffer(r["bits"], np.uint8)
+        self.shared = wanted.sparkSession.sparkContext.broadcast(held)
+
+    def may_hold(self, keys: np.ndarray) -> np.ndarray:
+        at = keys.view(np.uint64) & np.uint64((1 << self.bits) - 1)
+        return (self.shared.value[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+
+
 class WordHashes(dict):
     """word bytes -> 64-bit hash, remembered for at most ``limit`` words."""
 

@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import components, mix64, slices, written
+from cartwheel.llm.common import Bitmap, components, mix64, slices, written
 
 MAX_EDITS, MIN_CHARS = 2, 20
 
@@ -155,14 +155,18 @@ def linked_lines(docs: DataFrame, t: int, min_chars: int) -> DataFrame:
     met = met.where(f"line != other AND bit_count(sign ^ other_sign) <= {4 * t}")
     pairs = written(met.select(F.least("line", "other").alias("a"), F.greatest("line", "other").alias("b")).distinct())
 
+    wanted = written(pairs.select(F.col("a").alias("line")).union(pairs.select("b")).distinct())
+    held = Bitmap(wanted, "line")
+
     def contents(batches):
         for b in slices(batches, "text", 4 << 20):
             lines = list({x for text in b.column("text").to_pylist() for _, x in lines_of(text) if len(x) >= min_chars})
-            yield pa.RecordBatch.from_arrays([pa.array([line_id(x) for x in lines], pa.int64()), pa.array(lines, pa.string())], ["line", "content"])
+            ids = np.fromiter(map(line_id, lines), np.int64, len(lines))
+            hit = np.flatnonzero(held.may_hold(ids))
+            yield pa.RecordBatch.from_arrays([pa.array(ids[hit]), pa.array([lines[i] for i in hit.tolist()], pa.string())], ["line", "content"])
 
-    wanted = pairs.select(F.col("a").alias("line")).union(pairs.select("b")).distinct()
-    known = docs.mapInArrow(contents, "line long, content string").join(wanted, "line", "left_semi").groupBy("line").agg(F.first("content").alias("content"))
-    known = written(known)
+    found = docs.mapInArrow(contents, "line long, content string").join(wanted, "line", "left_semi")
+    known = written(found.groupBy("line").agg(F.first("content").alias("content")))
     both = pairs.join(known.toDF("a", "left"), "a").join(known.toDF("b", "right"), "b")
 
     def verify(batches):

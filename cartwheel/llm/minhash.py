@@ -27,11 +27,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import WordHashes, components, mix64, slices, texts, written
+from cartwheel.llm.common import Bitmap, WordHashes, components, mix64, slices, texts, written
 
 GROUPS, WIDTH, PERCENT, SHINGLE = 14, 3, 85, 3
 PARITY_BITS = 10  # 1,024 parities a set
-MAX_FILTER_BITS = 28  # of the broadcast filter: 32 MB
 _ROWS = "id long, key long, n long, d1 long, d2 long, parity array<long>, sig array<long>"
 
 
@@ -110,20 +109,12 @@ def _sets_of(plain: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
 
     Only texts whose key is in a bitmap of the wanted keys are cut into shingles and sent on, copies once a
     task; the bitmap has a fixed largest size, and what it lets through needlessly the join drops."""
-    n = wanted.count()
-    bits = min(MAX_FILTER_BITS, max(15, int(16 * n).bit_length()))
-    cell = wanted.select((F.col("key").bitwiseAND((1 << bits) - 1) + 1).alias("cell"))
-    maps = cell.groupBy(F.expr("bitmap_bucket_number(cell) AS bucket")).agg(F.expr("bitmap_construct_agg(bitmap_bit_position(cell)) AS bits"))
-    bitmap = np.zeros(1 << (bits - 3), np.uint8)
-    for r in maps.toLocalIterator():  # 2 ** (bits - 15) rows of 4 KB at most
-        bitmap[(r["bucket"] - 1) * 4096 : r["bucket"] * 4096] = np.frombuffer(r["bits"], np.uint8)
-    shared = plain.sparkSession.sparkContext.broadcast(bitmap)
+    held = Bitmap(wanted, "key")
 
     def run(batches):
-        known, sent, held = WordHashes(xxhash.xxh3_64_intdigest), set(), shared.value
+        known, sent = WordHashes(xxhash.xxh3_64_intdigest), set()
         for b in slices(batches, "text", 8 << 20):
-            key = b.column("key").to_numpy().view(np.uint64) & np.uint64((1 << bits) - 1)
-            hit = (held[(key >> np.uint64(3)).astype(np.int64)] >> (key & np.uint64(7)).astype(np.uint8)) & 1
+            hit = held.may_hold(b.column("key").to_numpy())
             new = []
             for i in np.flatnonzero(hit).tolist():
                 k = b.column("key")[i].as_py()
