@@ -18,6 +18,8 @@ nothing; repeated rows of one id are the same document; an empty table gives an
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -47,54 +49,72 @@ def _segment(size: np.ndarray, number: int, t: int) -> tuple[np.ndarray, np.ndar
     return number * least + np.maximum(number - (t + 1 - longer), 0), least + (number > t - longer)
 
 
-def segment_keys(lines: list[str], t: int, probe: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Keys, and the line each belongs to: of a line's own segments, or with ``probe`` of its substrings
-    that may be a segment of a line at most t shorter.  Contents are polynomial hashes modulo 2 ** 64, taken
-    from running sums over all lines at once; two contents of one hash only make a pair to verify."""
+@lru_cache(maxsize=1)
+def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse, 2 ** bits of each."""
+    return tuple(np.cumprod(np.append(np.uint64(1), np.full((1 << bits) - 1, b, np.uint64))) for b in (_BASE, pow(_BASE, -1, 1 << 64)))
+
+
+def _mixed_codes(lines: list[str]) -> np.ndarray:
+    """A 64-bit hash of every character of the lines' concatenation, looked up by character."""
+    codes = np.frombuffer("".join(lines).encode("utf-32-le"), "<u4")
+    return mix64(np.arange(1, int(codes.max(initial=0)) + 2, dtype=np.uint64))[codes]
+
+
+def segment_keys(lines: list[str], t: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys, the line each belongs to, and whether it is an index key, of one of the line's own segments; every
+    key is a probe, of a substring that may be a segment of a line at most t shorter.  Contents are polynomial
+    hashes modulo 2 ** 64, taken from running sums over all lines at once; two contents of one hash only make a
+    pair to verify."""
     size = np.fromiter(map(len, lines), np.int64, len(lines))
     start = np.cumsum(size) - size
-    codes = np.frombuffer("".join(lines).encode("utf-32-le"), "<u4").astype(np.uint64)
-    power, back = (np.cumprod(np.append(np.uint64(1), np.full(len(codes), b, np.uint64))) for b in (_BASE, pow(_BASE, -1, 1 << 64)))
-    total = np.append(np.uint64(0), np.cumsum(mix64(codes + np.uint64(1)) * power[:-1]))
-    keys, rows = [], []
-    for gap in range(t + 1 if probe else 1):
+    mixed = _mixed_codes(lines)
+    power, back = _powers(max(20, len(mixed).bit_length()))
+    total = np.zeros(len(mixed) + 1, np.uint64)
+    np.cumsum(mixed * power[: len(mixed)], out=total[1:])
+    keys, rows, own = [], [], []
+    for gap in range(t + 1):
         length = size - gap
         for i in range(t + 1):
             a, n = _segment(np.maximum(length, 0), i, t)
             salt = mix64((length * 64 + i).astype(np.uint64))
-            low = np.maximum(np.maximum(a - i, a + gap - (t - i)), 0) if probe else a
-            high = np.minimum(np.minimum(a + i, a + gap + (t - i)), size - n) if probe else a
+            low = np.maximum(np.maximum(a - i, a + gap - (t - i)), 0)
+            high = np.minimum(np.minimum(a + i, a + gap + (t - i)), size - n)
             row, at = np.flatnonzero((low <= high) & (length >= 0)), 0
             while len(row):
                 p = start[row] + low[row] + at
                 content = (total[p + n[row]] - total[p]) * back[p]
                 keys.append(mix64(content ^ salt[row]))
                 rows.append(row)
+                own.append((low[row] + at == a[row]) & (gap == 0))
                 at += 1
                 row = row[low[row] + at <= high[row]]
     if not keys:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    return np.concatenate(keys).view(np.int64), np.concatenate(rows)
+        return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool)
+    return np.concatenate(keys).view(np.int64), np.concatenate(rows), np.concatenate(own)
 
 
 def signatures(lines: list[str]) -> np.ndarray:
     """64 bits per line: the parities of its numbers of letter pairs, dealt to 64 places by hash.  An edit takes
     away and adds four pairs at most, so t edits leave the signatures of two lines 4 * t or fewer bits apart."""
+    if not lines:
+        return np.empty(0, np.int64)
     size = np.fromiter(map(len, lines), np.int64, len(lines))
     start = np.cumsum(size) - size
-    codes = np.frombuffer("".join(lines).encode("utf-32-le"), "<u4").astype(np.uint64)
-    pairs = mix64((codes << np.uint64(32)) | np.append(codes[1:], np.uint64(0)))
-    bits = np.uint64(1) << (pairs & np.uint64(63))
+    pairs = _mixed_codes(lines) * np.uint64(_BASE)
+    pairs[:-1] += pairs[1:] >> np.uint64(7)
+    bits = np.uint64(1) << (pairs >> np.uint64(58))
     bits[start + size - 1] = 0  # the last letter's pair would reach into the next line
-    return np.bitwise_xor.reduceat(bits, start).view(np.int64) if len(lines) else np.empty(0, np.int64)
+    return np.bitwise_xor.reduceat(bits, start).view(np.int64)
 
 
 def index_keys(line: str, t: int) -> list[int]:
-    return segment_keys([line], t, False)[0].tolist()
+    keys, _, own = segment_keys([line], t)
+    return keys[own].tolist()
 
 
 def probe_keys(line: str, t: int) -> set[int]:
-    return set(segment_keys([line], t, True)[0].tolist())
+    return set(segment_keys([line], t)[0].tolist())
 
 
 def within(left: list[str], right: list[str], t: int) -> np.ndarray:
@@ -136,25 +156,46 @@ def within(left: list[str], right: list[str], t: int) -> np.ndarray:
     return out
 
 
-def _keys(docs: DataFrame, t: int, min_chars: int, probe: bool) -> DataFrame:
-    def run(batches):
-        for b in slices(batches, "text", 4 << 20):
-            lines = list({x for text in b.column("text").to_pylist() for _, x in lines_of(text) if len(x) >= min_chars})
-            ids = np.fromiter(map(line_id, lines), np.int64, len(lines))
-            keys, rows = segment_keys(lines, t, probe)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(ids[rows]), pa.array(signatures(lines)[rows])], ["k", "line", "sign"])
-
-    dealt = docs.mapInArrow(run, "k long, line long, sign long").repartition(F.col("k"))
-    return dealt.dropDuplicates(["k", "line"])  # the same dealing serves this and the join
+def _several(batches):
+    """Of rows sorted by (k, line), those of keys that different lines share.  Of a key that goes on in the next
+    batch, either two lines are known, and its rows pass, or two rows at most (of one line) wait."""
+    names, wait, passing = ["k", "line", "sign", "own"], None, None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        cols = [b.column(c).to_numpy(zero_copy_only=False) for c in names]
+        if wait is not None:
+            cols = [np.concatenate((x, y)) for x, y in zip(wait, cols, strict=True)]
+        k, line, _, own = cols
+        first = np.append(0, np.flatnonzero(k[1:] != k[:-1]) + 1)
+        ends = np.append(first[1:], len(k))
+        several = line[first] != line[ends - 1]
+        several[0] |= passing is not None and k[0] == passing
+        keep = np.repeat(several, ends - first)
+        wait, passing = None, k[-1] if several[-1] else None
+        if not several[-1]:
+            last = own[first[-1] :]
+            rows = first[-1] + np.array([i for i in {int(last.argmax()), int(last.argmin())}])
+            wait = [x[rows] for x in cols]
+        yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in cols], names)
 
 
 def linked_lines(docs: DataFrame, t: int, min_chars: int) -> DataFrame:
     """Links (a, b), a < b, between line hashes.  ``docs`` has id and text."""
-    index, probe = _keys(docs, t, min_chars, False), _keys(docs, t, min_chars, True)
-    met = index.join(probe.withColumnsRenamed({"line": "other", "sign": "other_sign"}), "k")
-    met = met.where(f"line != other AND bit_count(sign ^ other_sign) <= {4 * t}")
-    pairs = written(met.select(F.least("line", "other").alias("a"), F.greatest("line", "other").alias("b")).distinct())
 
+    def keys(batches):
+        for b in slices(batches, "text", 4 << 20):
+            lines = list({x for text in b.column("text").to_pylist() for _, x in lines_of(text) if len(x) >= min_chars})
+            ids = np.fromiter(map(line_id, lines), np.int64, len(lines))
+            found, rows, own = segment_keys(lines, t)
+            yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(ids[rows]), pa.array(signatures(lines)[rows]), pa.array(own)], ["k", "line", "sign", "own"])
+
+    dealt = docs.mapInArrow(keys, "k long, line long, sign long, own boolean").repartition(F.col("k")).sortWithinPartitions("k", "line")
+    shared = written(dealt.mapInArrow(_several, dealt.schema))
+    index = shared.where("own").select("k", "line", "sign").distinct()
+    probe = shared.select("k", F.col("line").alias("other"), F.col("sign").alias("other_sign")).distinct()
+    met = index.join(probe, "k").where(f"line != other AND bit_count(sign ^ other_sign) <= {4 * t}")
+    pairs = written(met.select(F.least("line", "other").alias("a"), F.greatest("line", "other").alias("b")).distinct())
     wanted = written(pairs.select(F.col("a").alias("line")).union(pairs.select("b")).distinct())
     held = Bitmap(wanted, "line")
 
