@@ -64,23 +64,10 @@ def distinct_count(df: DataFrame, c: str) -> Column:
 
 
 def distinct_counts(df: DataFrame, cols: Sequence[str]) -> dict[str, Column]:
-    """Exact distinct counts of several columns (NULL is one value each), from
-    one job: ``GROUPING SETS ((c1), (c2), ...)`` over just those columns (an
-    Expand of narrow rows, partial-aggregated map-side, so a hot value
-    collapses before the shuffle), then the number of groups per grouping
-    set.  The counts travel as one map with an entry per column — attached
-    as a single scalar subquery, not a join."""
-    cols = list(dict.fromkeys(cols))
-    if len(cols) == 1:
-        return {cols[0]: distinct_count(df, cols[0])}
-    n = len(cols)
-    sets = df.groupingSets([[F.col(c)] for c in cols], *[F.col(c) for c in cols]).agg(
-        F.grouping_id().alias("__gid")
-    )
-    per_set = sets.groupBy("__gid").agg(F.count(F.lit(1)).alias("__n"))
-    counts = per_set.select(F.map_from_entries(F.collect_list(F.struct("__gid", "__n")))).scalar()
-    full = (1 << n) - 1
-    return {c: F.coalesce(counts[F.lit(full - (1 << (n - 1 - i)))], F.lit(0)) for i, c in enumerate(cols)}
+    """Exact distinct counts of several columns (NULL is one value each): a :func:`distinct_count` per column.
+    Each scans, groups and shuffles its own column alone; ``GROUPING SETS`` would hold, shuffle and spill
+    every value next to a place for each of the other columns, and all columns' groups in one hash map."""
+    return {c: distinct_count(df, c) for c in dict.fromkeys(cols)}
 
 
 def _nulls(c: str) -> str:
@@ -266,7 +253,7 @@ def quality_report(
     if r.approx_distinct:  # HyperLogLog sketches: ordinary aggregates in the same pass
         sketched = [f"{distinct_with_null_sql(r.key, True)} AS keys", f"{distinct_with_null_sql('customer_id', True)} AS customers"]
         one = silver.selectExpr(*(f"{e} AS `{name}`" for name, e in _plain_checks(cols, r).items()), *sketched)
-    else:  # exact: one grouping-sets job, attached as a scalar subquery
+    else:  # exact: a narrow job per column, attached as scalar subqueries
         d = distinct_counts(silver, [r.key, "customer_id"])
         one = partial_checks(silver, r).select("*", d[r.key].alias("keys"), d["customer_id"].alias("customers"))
     return _report_rows(_with_means(one), cols, r, as_of)
