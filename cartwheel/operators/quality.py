@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from cartwheel.functions.money import cents_sql, dollars_sql, half_up_ratio_sql, money_avg_sql, money_total_sql, pct_sql, stddev_of_sums_sql
 from cartwheel.operators.cleaning import as_of_sql
+from cartwheel.session import shuffle_partitions
 
 # Domains of the reference data (fixed values).
 REFERENCE_REGIONS = ("North", "South", "East", "West", "Central")
@@ -214,9 +215,11 @@ def partial_checks(part: DataFrame, rules: QualityRules = QualityRules()) -> Dat
 
 
 def partial_keys(part: DataFrame, rules: QualityRules = QualityRules()) -> DataFrame:
-    """(column_name, value): the increment's distinct keys and customers, for exact distinct counts (narrow rows)."""
-    both = part.selectExpr(f"stack(2, {_lit(rules.key)}, CAST({_q(rules.key)} AS STRING), 'customer_id', CAST(customer_id AS STRING)) AS (column_name, value)")
-    return both.distinct()
+    """(column_name, value): the increment's distinct keys and customers, for exact distinct counts (narrow rows:
+    each column is grouped and shuffled on its own)."""
+    own = lambda c: part.selectExpr(f"CAST({_q(c)} AS STRING) AS value").distinct().selectExpr(f"{_lit(c)} AS column_name", "value")
+    keys, *rest = [own(c) for c in dict.fromkeys((rules.key, "customer_id"))]
+    return keys.union(rest[0]) if rest else keys
 
 
 def merged_report(states: DataFrame, keys: DataFrame, rules: QualityRules = QualityRules(), as_of: _dt.date | str | None = None) -> DataFrame:
@@ -226,7 +229,10 @@ def merged_report(states: DataFrame, keys: DataFrame, rules: QualityRules = Qual
     cols = [c.removeprefix("nulls__") for c in states.columns if c.startswith("nulls__")]
     names = list(_plain_checks(cols, rules))
     merged = states.selectExpr(*(f"{_MERGE.get(c[:4], 'sum')}(`{c}`) AS `{c}`" for c in names))
-    counts = [keys.where(F.col("column_name") == c).select("value").distinct().selectExpr("count(1)").scalar() for c in (rules.key, "customer_id")]
+    # A value occurs once per increment at most: no use in collapsing it before the exchange, by a hash map of a whole file split.
+    parts = shuffle_partitions(keys.sparkSession)
+    value = lambda c: keys.where(F.col("column_name") == c).select("value").repartition(parts, "value")
+    counts = [value(c).distinct().selectExpr("count(1)").scalar() for c in (rules.key, "customer_id")]
     one = _with_means(merged).select("*", counts[0].alias("keys"), counts[1].alias("customers"))
     return _report_rows(one.fillna(0, ["total", *(c for c in names if c.startswith(("nulls__", "neg_", "bad_", "low_", "high_", "mismatch")))]), cols, rules, as_of)
 
