@@ -57,6 +57,23 @@ def dedup_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colum
     return ranked.filter(f"{rn} = 1").drop(rn)
 
 
+#: Of how many repeated keys :func:`dedup_measured` still broadcasts the list.
+RARE_KEYS = 100_000
+
+
+def _repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    n = "__cartwheel_n"
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(n)).where(f"{n} > 1").select(*(F.col(k).alias(f"__cartwheel_{k}") for k in keys))
+
+
+def _rank_copies(df: DataFrame, repeated: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__cartwheel_{k}"))
+    copies = df.join(repeated, same, "left_semi")
+    return df.join(repeated, same, "left_anti").unionByName(dedup_by_key(copies, keys, order))
+
+
 def dedup_rare_copies(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
     """:func:`dedup_by_key` for a stored table in which few keys have copies.
 
@@ -65,13 +82,19 @@ def dedup_rare_copies(df: DataFrame, keys: Sequence[str], order: Sequence[str |
     are small enough to be broadcast (Spark's threshold on their measured size), no wide row is shuffled or
     sorted but copies; where they are not, both joins shuffle, and the window alone is the better plan.  ``df``
     is read three times.  NULL keys are one key."""
-    n, names = "__cartwheel_n", {k: f"__cartwheel_{k}" for k in keys}
-    repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(n)).where(f"{n} > 1").select(*(F.col(k).alias(v) for k, v in names.items()))
-    same = F.lit(True)
-    for k, v in names.items():
-        same = same & F.col(k).eqNullSafe(F.col(v))
-    copies = df.join(repeated, same, "left_semi")
-    return df.join(repeated, same, "left_anti").unionByName(dedup_by_key(copies, keys, order))
+    return _rank_copies(df, _repeated_keys(df, keys), keys, order)
+
+
+def dedup_measured(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
+    """:func:`dedup_rare_copies` or :func:`dedup_by_key`, for a stored table of which neither is known to suit.
+
+    The narrow pass runs at once.  With at most ``RARE_KEYS`` repeated keys, their list is broadcast and no wide
+    row but copies is shuffled or sorted; with more, all rows go through the window."""
+    found = _repeated_keys(df, keys).limit(RARE_KEYS + 1).persist()
+    if found.count() <= RARE_KEYS:
+        return _rank_copies(df, F.broadcast(found), keys, order)
+    found.unpersist()
+    return dedup_by_key(df, keys, order)
 
 
 def clean_transactions(
@@ -82,7 +105,7 @@ def clean_transactions(
     delivery_rule: DeliveryRule = DeliveryRule(),
     dedup_keys: Sequence[str] = ("order_id",),
     strict: bool = True,
-    rare_copies: bool = False,
+    rare_copies: bool | None = False,
 ) -> DataFrame:
     """The silver order table (20 columns, see ``schemas.SILVER_COLUMNS``).
 
@@ -102,7 +125,7 @@ def clean_transactions(
     ``strict=False`` casts are ``try_cast``: a value that does not fit becomes
     NULL (and the row is then dropped by step 2 if it is a quantity) instead of
     failing the job.  ``rare_copies`` (for a stored bronze table) ranks only the
-    rows of repeated keys, see :func:`dedup_rare_copies`.
+    rows of repeated keys, see :func:`dedup_rare_copies`; None counts them first, see :func:`dedup_measured`.
     """
     extra = [k for k in dedup_keys if k not in SILVER_COLUMNS]
     # One SQL projection per step: the expression trees are built JVM-side.
@@ -124,7 +147,8 @@ def clean_transactions(
     )
     valid = typed.filter("unit_price > 0 AND quantity > 0 AND order_amount > 0")
     order = SURVIVOR_ORDER if "order_id" in dedup_keys else [*SURVIVOR_ORDER, "order_id"]
-    survivors = (dedup_rare_copies if rare_copies else dedup_by_key)(valid, list(dedup_keys), order)
+    dedup = dedup_measured if rare_copies is None else dedup_rare_copies if rare_copies else dedup_by_key
+    survivors = dedup(valid, list(dedup_keys), order)
     return survivors.selectExpr(
         *SILVER_COLUMNS[:12],
         "year(order_date) AS order_year",
