@@ -10,7 +10,7 @@ training and alpha(h) P(w) if not, with alpha(h) such that the probabilities aft
 
 Work flow.  One exchange: every chunk of documents groups its pairs by hash buckets of the second
 word and sends each distinct pair once per bucket, with the documents it occurs in.  A bucket then
-has all counts of its pairs and of its second words, and writes, in tables partitioned by kind:
+has, in a partition of its own, all counts of its pairs and of its second words, and writes, in tables partitioned by kind:
 partial sums by document, partial sums by history, and the unseen pairs of held-out documents.
 Buckets are as many as the input needs (``bucket_bytes``).  Words with a share above a bucket's
 fair part are spread over buckets by the whole pair; they are at most ``4 * buckets`` words, found on
@@ -27,12 +27,13 @@ from __future__ import annotations
 
 import math
 import struct
+from contextlib import contextmanager
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwheel.llm.common import WordHashes, mix64, slices, texts, written
@@ -43,6 +44,7 @@ CHUNK_BYTES = 8 << 20
 _HASH = WordHashes(lambda w: xxhash.xxh3_64_intdigest(w) | 4, 150_000)  # never START or END
 DOC, HISTORY, UNSEEN, STATS, META = range(5)
 OUT = pa.schema([("kind", pa.int32()), ("k1", pa.int64()), ("k2", pa.int64()), ("v", pa.list_(pa.int64())), ("f", pa.list_(pa.float64()))])
+SENT = pa.schema([("bucket", pa.int32()), ("base", pa.int64()), ("docs", pa.int64()), ("held", pa.binary()), ("pairs", pa.binary()), ("meta", pa.binary())])
 OUT_DDL = "kind int, k1 long, k2 long, v array<long>, f array<double>"
 
 
@@ -54,13 +56,15 @@ class Pairs(NamedTuple):
 
 
 def pairs_of(docs: list[bytes]) -> Pairs:
-    words = [t.lower().split() for t in docs]
-    n = np.fromiter(map(len, words), np.int64, len(words)) + 1
+    parts = []
+    for t in docs:  # words of one text at a time are kept as objects
+        w = t.lower().split()
+        parts.append(np.fromiter(map(_HASH.__getitem__, w), np.uint64, len(w)))
+    n = np.fromiter(map(len, parts), np.int64, len(parts)) + 1
     end = np.cumsum(n)
-    second = np.empty(int(n.sum()), np.uint64)
-    for w, z in zip(words, end.tolist(), strict=True):
-        second[z - len(w) - 1 : z - 1] = np.fromiter(map(_HASH.__getitem__, w), np.uint64, len(w))
-        second[z - 1] = END
+    second = np.full(int(n.sum()), END, np.uint64)
+    for w, z in zip(parts, end.tolist(), strict=True):
+        second[z - len(w) - 1 : z - 1] = w
     first = np.empty_like(second)
     first[1:] = second[:-1]
     first[end - n] = START
@@ -135,6 +139,22 @@ def _rows(kind: int, k1, k2, v: list[np.ndarray], f: list[np.ndarray]) -> pa.Tab
     return pa.Table.from_arrays(cols, schema=OUT)
 
 
+def _sliced(rows: pa.Table) -> list[pa.RecordBatch]:
+    return rows.to_batches(max_chunksize=1 << 15)
+
+
+@contextmanager
+def small_batches(spark: SparkSession, max_bytes: int):
+    """While it lasts, rows go to Python in batches of so many bytes; rows of a megabyte each would else go all at once."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(max_bytes))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 class Model(NamedTuple):
     """Global figures: N, V, training documents, discounts and the unknown word's probability."""
 
@@ -203,26 +223,38 @@ def score(docs: DataFrame, id_col: str = "doc_id", text: str = "text", bucket_by
                 part = slice(cut[k], cut[k + 1])
                 meta = np.concatenate((ids, known, held, p.n)).astype(np.int64).tobytes() if k == home else b""
                 row = [k, base, len(held), np.packbits(held).tobytes(), to_blob(first[part], second[part], doc[part]), meta]
-                yield pa.RecordBatch.from_arrays([pa.array([x]) for x in row], ["bucket", "base", "docs", "held", "pairs", "meta"])
-
-    def reduce(parts: pa.Table) -> pa.Table:
-        out: list[pa.Table] = []
-        blobs = [x for c in parts.column("pairs").chunks for x in c]
-        bases, sizes = (parts.column(c).to_numpy() for c in ("base", "docs"))
-        heads = np.array([struct.unpack_from("<IIII", x.as_buffer()) for x in blobs], np.int64)
-        pairs_at, occurs_at, slots_at = (np.concatenate(([0], np.cumsum(x))) for x in (heads[:, 2], heads[:, 3], sizes))
-        first, second = (np.empty(pairs_at[-1], np.uint64) for _ in range(2))
-        occurs, slot = np.empty(pairs_at[-1], np.int32), np.empty(occurs_at[-1], np.int64 if slots_at[-1] >> 31 else np.int32)
-        train = np.empty(occurs_at[-1], bool)
-        for i, (base, docs_, held, meta) in enumerate(zip(bases.tolist(), sizes.tolist(), parts.column("held"), parts.column("meta"), strict=True)):
-            p, o = slice(*pairs_at[i : i + 2]), slice(*occurs_at[i : i + 2])
-            first[p], second[p], occurs[p], d = from_blob(blobs[i].as_buffer())
-            slot[o] = d + slots_at[i]
-            train[o] = np.unpackbits(np.frombuffer(held.as_buffer(), np.uint8), count=docs_)[d] == 0
-            if len(meta.as_buffer()):
-                ids, known, held_, n = np.frombuffer(meta.as_buffer(), np.int64).reshape(4, docs_)
-                out.append(_rows(META, base + np.arange(docs_), ids, [known, held_, n], []))
-        del blobs
+                yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row, SENT, strict=True)], schema=SENT)
+
+    def decoded(batch: pa.RecordBatch):
+        """Of each chunk: its base, documents, (first, second, occurrences, document, in training) and meta."""
+        for base, size, held, pairs, meta in zip(*(batch.column(c) for c in SENT.names[1:]), strict=True):
+            first, second, occurs, doc = from_blob(pairs.as_buffer())
+            train = np.unpackbits(np.frombuffer(held.as_buffer(), np.uint8), count=size.as_py())[doc] == 0
+            yield base.as_py(), size.as_py(), (first, second, occurs.astype(np.int32), doc.astype(np.int32), train), np.frombuffer(meta.as_buffer(), np.int64).copy()
+
+    def reduce(batches):
+        """Of one bucket: its tables, kind by kind; every array goes as soon as it has been used."""
+        bases, sizes, cols = [], [], [[] for _ in range(5)]
+        for batch in batches:
+            for base, size, arrays, meta in decoded(batch):
+                bases.append(base)
+                sizes.append(size)
+                for c, x in zip(cols, arrays, strict=True):
+                    c.append(x)
+                if len(meta):
+                    ids, known, held, n = meta.reshape(4, size)
+                    yield from _sliced(_rows(META, base + np.arange(size), ids, [known, held, n], []))
+        if not bases:
+            return
+        del batch, arrays, x, meta
+        bases, slots_at = np.array(bases, np.int64), np.cumsum([0, *sizes])
+        slot_type = np.int64 if slots_at[-1] >> 31 else np.int32
+        cols[3] = [x.astype(slot_type) + slot_type(at) for x, at in zip(cols[3], slots_at.tolist(), strict=False)]
+        for i in range(5):
+            cols[i] = np.concatenate(cols[i])
+        first, second, occurs, slot, train = cols
+        del cols
+        pa.default_memory_pool().release_unused()
         order = np.lexsort((first, second))
         first, second = first[order], second[order]
         new = np.ones(len(order), bool)
@@ -232,7 +264,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text: str = "text", bucket_by
         pair = np.repeat(number, occurs)
         first, second = first[new], second[new]
         del order, number, occurs
-        c12 = np.bincount(pair, weights=train, minlength=len(first)).astype(np.int64)
+        c12 = np.bincount(pair[train], minlength=len(first))
+        del train
         start = np.ones(len(second), bool)
         start[1:] = second[1:] != second[:-1]
         word = np.cumsum(start) - 1
@@ -244,29 +277,33 @@ def score(docs: DataFrame, id_col: str = "doc_id", text: str = "text", bucket_by
         own, bi = c2[~is_hot & (c2 > 0)], c12[c12 > 0]
         of = lambda c: [int((c == r).sum()) for r in range(1, K + 2)]
         stats = [*of(own), int((own > K).sum()), int(own.sum()), *of(bi), int(c12[first == START].sum())]
-        out.append(_rows(STATS, np.zeros(1, np.int64), np.zeros(1, np.int64), [np.array([x]) for x in stats], []))
+        yield from _sliced(_rows(STATS, np.zeros(1, np.int64), np.zeros(1, np.int64), [np.array([x]) for x in stats], []))
         seen = c12 > 0
         h, group = np.unique(first[seen], return_inverse=True)
         sums = _classes(c12[seen], group, len(h)) + _classes(c2[word[seen]], group, len(h))
-        out.append(_rows(HISTORY, h.view(np.int64), np.zeros(len(h), np.int64), sums, []))
+        yield from _sliced(_rows(HISTORY, h.view(np.int64), np.zeros(len(h), np.int64), sums, []))
+        del h, group, sums
         key_of = lambda x: x - slots_at[(c := np.searchsorted(slots_at, x, side="right") - 1)] + bases[c]
         unseen = np.flatnonzero(~seen[pair])
-        out.append(_rows(UNSEEN, key_of(slot[unseen].astype(np.int64)), first[pair[unseen]].view(np.int64), [c2[word[pair[unseen]]]], []))
+        yield from _sliced(_rows(UNSEEN, key_of(slot[unseen].astype(np.int64)), first[pair[unseen]].view(np.int64), [c2[word[pair[unseen]]]], []))
+        del unseen
         # by document
         count, known = c2[word], c2[word] > 0
         safe = np.where(known, count, 1)
         base_term, history_term = np.log10(count + 0.1), np.where(known & (second != END), np.log10(safe), 0.0)
         big_term = np.where(c12 > K, np.log10(np.maximum(c12, 1) - 0.5), 0.0)
-        del first, second, word, seen, train
+        del first, second, word, seen
         docs_, at = np.unique(slot, return_inverse=True)
+        del slot
         at = at.astype(np.int32)
         add = lambda x: np.bincount(at, weights=x[pair], minlength=len(docs_))
         ints = [add(known).astype(np.int64), *(add(c12 == r).astype(np.int64) for r in range(1, K + 1))]
-        out.append(_rows(DOC, key_of(docs_.astype(np.int64)), np.zeros(len(docs_), np.int64), ints, [add(base_term), add(big_term - history_term)]))
-        return pa.concat_tables(out)
+        yield from _sliced(_rows(DOC, key_of(docs_.astype(np.int64)), np.zeros(len(docs_), np.int64), ints, [add(base_term), add(big_term - history_term)]))
 
-    sent = plain.mapInArrow(send, "bucket long, base long, docs long, held binary, pairs binary, meta binary")
-    parts = written(sent.groupBy("bucket").applyInArrow(reduce, OUT_DDL), ["kind"])
+    sent = plain.mapInArrow(send, "bucket int, base long, docs long, held binary, pairs binary, meta binary")
+    # a partition is one bucket: neither a sort by bucket nor several buckets' tables in one task
+    with small_batches(docs.sparkSession, CHUNK_BYTES):
+        parts = written(sent.repartitionById(buckets, F.col("bucket")).mapInArrow(reduce, OUT_DDL), ["kind"])
     stats = [sum(x) for x in zip(*(r["v"] for r in parts.where(F.col("kind") == STATS).select("v").collect()), strict=True)] or [0] * (2 * K + 5)
     uni, (uni_big, n), bi, train_docs = [0, *stats[: K + 1]], stats[K + 1 : K + 3], [0, *stats[K + 3 : 2 * K + 4]], stats[2 * K + 4]
     for c in hot_count.tolist():

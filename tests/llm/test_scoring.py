@@ -4,6 +4,7 @@ import pytest
 from brute import op3
 
 from cartwheel.llm import katz
+from cartwheel.llm.common import written
 from cartwheel.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -32,3 +33,15 @@ def test_katz_without_training(docs_of):
 def test_katz_on_the_test_table(spark):
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     same(QUERIES["op3_katz"](spark, SF), rows)
+
+
+def test_a_task_holds_one_bucket(docs_of, small, monkeypatch):
+    """Several buckets' pairs and tables in one task make its memory grow with chance."""
+    from pyspark.sql import functions as F
+
+    plans = []
+    monkeypatch.setattr(katz, "written", lambda df, by=None: (plans.append(df) if by else None, written(df, by))[1])
+    size = sum(len((t or "").encode()) for _, t in small)
+    katz.score(docs_of(small), bucket_bytes=size // 40, layout_every=1)
+    tasks = plans[0].where(F.col("kind") == katz.STATS).groupBy(F.spark_partition_id()).count().collect()
+    assert len(tasks) >= 30 and all(r["count"] == 1 for r in tasks)
