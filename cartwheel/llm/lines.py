@@ -9,6 +9,10 @@ and the pairs that meet, less those whose letter-pair signatures are too far apa
 verified by a banded bit-parallel edit distance: of each pair, one bit
 per diagonal of the band and number of edits, all pairs of a batch at once.
 
+Lines of a key that more than ``crowd`` lines share (templates, near copies) are not paired by it.  They are cut into
+2 t + 1 segments, and meet if they agree on all but t of them, at the places that the edits allow; t edits always leave
+such a rest.  Of these pairs, a longer signature of letter pairs and letters passes those that go on.
+
 An occurrence of a line stays if it is the first, by (id, line number), of its line and of all lines
 that link to it; other occurrences are removed.  Lines are told apart by a 64-bit hash.
 
@@ -19,6 +23,7 @@ nothing; repeated rows of one id are the same document; an empty table gives an
 from __future__ import annotations
 
 from functools import lru_cache
+from itertools import combinations, product
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +34,8 @@ from pyspark.sql import functions as F
 from cartwheel.llm.common import Bitmap, components, mix64, slices, written
 
 MAX_EDITS, MIN_CHARS = 2, 20
+CROWD = 64  # lines of one segment key, beyond which they are paired by the rest of their text instead
+MARKS = ("pairs0", "pairs1", "pairs2", "pairs3", "letters")
 
 
 def lines_of(text: str | None) -> list[tuple[int, str]]:
@@ -108,6 +115,56 @@ def signatures(lines: list[str]) -> np.ndarray:
     return np.bitwise_xor.reduceat(bits, start).view(np.int64)
 
 
+def cut_keys(lines: list[str], t: int, cuts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As ``segment_keys``, but of all that is left when t of ``cuts`` even segments are taken out: t edits lie in t
+    segments at most, and in a line of t linked ones the rest stands whole, moved by the edits before it."""
+    size = np.fromiter(map(len, lines), np.int64, len(lines))
+    start = np.cumsum(size) - size
+    mixed = _mixed_codes(lines)
+    power, back = _powers(max(20, len(mixed).bit_length()))
+    total = np.zeros(len(mixed) + 1, np.uint64)
+    np.cumsum(mixed * power[: len(mixed)], out=total[1:])
+    keys, rows, own = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, bool)]
+    for gap in range(t + 1):
+        length = size - gap
+        ends = [np.zeros_like(size), *(a + n for a, n in (_segment(np.maximum(length, 0), i, cuts - 1) for i in range(cuts)))]
+        for number, out in enumerate(combinations(range(cuts), t)):
+            runs = [(a, b) for a, b in zip((0, *(i + 1 for i in out)), (*out, cuts), strict=True)]
+            moves = {tuple(sum(steps[:r]) if a < b else 0 for r, (a, b) in enumerate(runs)) for steps in product((-1, 0, 1), repeat=t) if sum(steps) == gap}
+            salt = mix64((length * 4096 + number).astype(np.uint64))
+            for by in sorted(moves):
+                fits = length >= 0
+                for (a, b), move in zip(runs, by, strict=True):
+                    fits = fits & (ends[a] + move >= 0) & (ends[b] + move <= size)
+                row = np.flatnonzero(fits)
+                key = salt[row]
+                for (a, b), move in zip(runs, by, strict=True):
+                    if a < b:
+                        x, y = start[row] + ends[a][row] + move, start[row] + ends[b][row] + move
+                        key = mix64(key ^ ((total[y] - total[x]) * back[x]))
+                keys.append(key)
+                rows.append(row)
+                own.append(np.full(len(row), gap == 0 and not any(by)))
+    return np.concatenate(keys).view(np.int64), np.concatenate(rows), np.concatenate(own)
+
+
+def wide_signatures(lines: list[str]) -> np.ndarray:
+    """Five numbers per line: parities of its numbers of letter pairs, dealt to 256 places, and of its letters, dealt
+    to 64.  Of two lines, t edits leave the pairs' 4 * t or fewer bits apart and the letters' 2 * t."""
+    size = np.fromiter(map(len, lines), np.int64, len(lines))
+    if not len(size):
+        return np.empty((0, 5), np.int64)
+    start = np.cumsum(size) - size
+    mixed = _mixed_codes(lines)
+    pairs = mixed * np.uint64(_BASE)
+    pairs[:-1] += pairs[1:] >> np.uint64(7)
+    pairs = mix64(pairs)
+    bits = np.uint64(1) << (pairs >> np.uint64(58))
+    bits[start + size - 1] = 0  # as in ``signatures``
+    words = [np.where(pairs & np.uint64(3) == i, bits, np.uint64(0)) for i in range(4)] + [np.uint64(1) << (mixed >> np.uint64(58))]
+    return np.stack([np.bitwise_xor.reduceat(w, start) for w in words], 1).view(np.int64)
+
+
 def index_keys(line: str, t: int) -> list[int]:
     keys, _, own = segment_keys([line], t)
     return keys[own].tolist()
@@ -157,16 +214,17 @@ def within(left: list[str], right: list[str], t: int) -> np.ndarray:
 
 
 def _several(batches):
-    """Of rows sorted by (k, line), those of keys that different lines share.  Of a key that goes on in the next
+    """Of rows sorted by (k, line), own last, those of keys that different lines share.  Of a key that goes on in the next
     batch, either two lines are known, and its rows pass, or two rows at most (of one line) wait."""
-    names, wait, passing = ["k", "line", "sign", "own"], None, None
+    wait, passing = None, None
     for b in batches:
         if not b.num_rows:
             continue
+        names = b.schema.names
         cols = [b.column(c).to_numpy(zero_copy_only=False) for c in names]
         if wait is not None:
             cols = [np.concatenate((x, y)) for x, y in zip(wait, cols, strict=True)]
-        k, line, _, own = cols
+        k, line, own = cols[0], cols[1], cols[-1]
         first = np.append(0, np.flatnonzero(k[1:] != k[:-1]) + 1)
         ends = np.append(first[1:], len(k))
         several = line[first] != line[ends - 1]
@@ -180,7 +238,7 @@ def _several(batches):
         yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in cols], names)
 
 
-def linked_lines(docs: DataFrame, t: int, min_chars: int) -> DataFrame:
+def linked_lines(docs: DataFrame, t: int, min_chars: int, crowd: int = CROWD) -> DataFrame:
     """Links (a, b), a < b, between line hashes.  ``docs`` has id and text."""
 
     def keys(batches):
@@ -190,13 +248,22 @@ def linked_lines(docs: DataFrame, t: int, min_chars: int) -> DataFrame:
             found, rows, own = segment_keys(lines, t)
             yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(ids[rows]), pa.array(signatures(lines)[rows]), pa.array(own)], ["k", "line", "sign", "own"])
 
-    dealt = docs.mapInArrow(keys, "k long, line long, sign long, own boolean").repartition(F.col("k")).sortWithinPartitions("k", "line")
-    shared = written(dealt.mapInArrow(_several, dealt.schema))
-    index = shared.where("own").select("k", "line", "sign").distinct()
-    probe = shared.select("k", F.col("line").alias("other"), F.col("sign").alias("other_sign")).distinct()
-    met = index.join(probe, "k").where(f"line != other AND bit_count(sign ^ other_sign) <= {4 * t}")
-    pairs = written(met.select(F.least("line", "other").alias("a"), F.greatest("line", "other").alias("b")).distinct())
-    wanted = written(pairs.select(F.col("a").alias("line")).union(pairs.select("b")).distinct())
+    def shared(dealt: DataFrame) -> DataFrame:
+        dealt = dealt.repartition(F.col("k")).sortWithinPartitions("k", "line")
+        rows = dealt.mapInArrow(_several, dealt.schema)
+        marks = [c for c in rows.columns if c not in ("k", "line", "own")]
+        return written(rows.groupBy("k", "line").agg(*(F.first(c).alias(c) for c in marks), F.max("own").alias("own")))
+
+    def met(rows: DataFrame, near: str) -> DataFrame:
+        other = rows.select("k", *(F.col(c).alias(f"other_{c}") for c in rows.columns if c not in ("k", "own")))
+        pairs = rows.where("own").join(other, "k").where(f"line != other_line AND {near}")
+        return pairs.select(F.least("line", "other_line").alias("a"), F.greatest("line", "other_line").alias("b")).distinct()
+
+    rows = shared(docs.mapInArrow(keys, "k long, line long, sign long, own boolean"))
+    crowded = written(rows.groupBy("k").agg(F.count("*").alias("n")).where(F.col("n") > crowd).select("k"))
+    pairs = written(met(rows.join(crowded, "k", "left_anti"), f"bit_count(sign ^ other_sign) <= {4 * t}"))
+    many = written(rows.join(crowded, "k", "left_semi").select("line").distinct())
+    wanted = written(pairs.select(F.col("a").alias("line")).union(pairs.select("b")).union(many).distinct())
     held = Bitmap(wanted, "line")
 
     def contents(batches):
@@ -208,6 +275,19 @@ def linked_lines(docs: DataFrame, t: int, min_chars: int) -> DataFrame:
 
     found = docs.mapInArrow(contents, "line long, content string").join(wanted, "line", "left_semi")
     known = written(found.groupBy("line").agg(F.first("content").alias("content")))
+
+    def cut(batches):
+        for b in slices(batches, "content", 1 << 20):
+            lines, ids = b.column("content").to_pylist(), b.column("line").to_numpy()
+            found, rows, own = cut_keys(lines, t, 2 * t + 1)
+            marks = [pa.array(m[rows]) for m in wide_signatures(lines).T]
+            yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(ids[rows]), *marks, pa.array(own)], ["k", "line", *MARKS, "own"])
+
+    if not many.isEmpty():
+        marks = ", ".join(f"{m} long" for m in MARKS)
+        apart = [f"bit_count({m} ^ other_{m})" for m in MARKS]
+        rows = shared(known.join(many, "line", "left_semi").mapInArrow(cut, f"k long, line long, {marks}, own boolean"))
+        pairs = written(pairs.union(met(rows, f"{' + '.join(apart[:-1])} <= {4 * t} AND {apart[-1]} <= {2 * t}")).distinct())
     both = pairs.join(known.toDF("a", "left"), "a").join(known.toDF("b", "right"), "b")
 
     def verify(batches):
@@ -218,7 +298,7 @@ def linked_lines(docs: DataFrame, t: int, min_chars: int) -> DataFrame:
     return both.mapInArrow(verify, "a long, b long")
 
 
-def find_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
+def find_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS, crowd: int = CROWD) -> DataFrame:
     """One row per document: id, n_lines, removed (line numbers, ascending), n_links (of its lines to
     other lines) and class_id, the smallest id whose lines are in a class with one of its lines."""
     plain = docs.select(F.monotonically_increasing_id().alias("key"), F.col(id_col).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
@@ -231,7 +311,7 @@ def find_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "te
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, (_, k) in enumerate(kinds)], ["key", "id", "n", "line"])
 
     found = written(plain.mapInArrow(occurrences, "key long, id long, n int, line long"))
-    links = written(linked_lines(plain.where("id IS NOT NULL"), max_edits, min_chars))
+    links = written(linked_lines(plain.where("id IS NOT NULL"), max_edits, min_chars, crowd))
     first = found.where("line IS NOT NULL AND id IS NOT NULL").groupBy("line").agg(F.min(F.struct("id", "n")).alias("first"))
     ends = links.union(links.select("b", "a")).toDF("line", "other")
     other = ends.join(first.toDF("other", "there"), "other").groupBy("line").agg(F.min("there").alias("there"), F.count("*").alias("links"))
