@@ -144,15 +144,17 @@ def _sliced(rows: pa.Table) -> list[pa.RecordBatch]:
 
 
 @contextmanager
-def small_batches(spark: SparkSession, max_bytes: int):
-    """While it lasts, rows go to Python in batches of so many bytes; rows of a megabyte each would else go all at once."""
-    name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(max_bytes))
+def settings(spark: SparkSession, **values: int):
+    """Spark SQL settings, with ``__`` for a dot and without ``spark.sql.``, while it lasts."""
+    names = {f"spark.sql.{k.replace('__', '.')}": str(v) for k, v in values.items()}
+    before = {k: spark.conf.get(k) for k in names}
     try:
+        for k, v in names.items():
+            spark.conf.set(k, v)
         yield
     finally:
-        spark.conf.set(name, before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 class Model(NamedTuple):
@@ -302,7 +304,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text: str = "text", bucket_by
 
     sent = plain.mapInArrow(send, "bucket int, base long, docs long, held binary, pairs binary, meta binary")
     # a partition is one bucket: neither a sort by bucket nor several buckets' tables in one task
-    with small_batches(docs.sparkSession, CHUNK_BYTES):
+    # rows of a megabyte each go to Python in small batches; a file for each kind is open at once, so rows are not sorted by kind
+    with settings(docs.sparkSession, execution__arrow__maxBytesPerBatch=CHUNK_BYTES, maxConcurrentOutputFileWriters=META + 1):
         parts = written(sent.repartitionById(buckets, F.col("bucket")).mapInArrow(reduce, OUT_DDL), ["kind"])
     stats = [sum(x) for x in zip(*(r["v"] for r in parts.where(F.col("kind") == STATS).select("v").collect()), strict=True)] or [0] * (2 * K + 5)
     uni, (uni_big, n), bi, train_docs = [0, *stats[: K + 1]], stats[K + 1 : K + 3], [0, *stats[K + 3 : 2 * K + 4]], stats[2 * K + 4]
