@@ -57,7 +57,7 @@ def dedup_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colum
     return ranked.filter(f"{rn} = 1").drop(rn)
 
 
-#: Of how many repeated keys :func:`dedup_measured` still broadcasts the list.
+#: Of how many repeated hashes of keys :func:`dedup_measured` still broadcasts the list.
 RARE_KEYS = 100_000
 
 
@@ -85,16 +85,54 @@ def dedup_rare_copies(df: DataFrame, keys: Sequence[str], order: Sequence[str |
     return _rank_copies(df, _repeated_keys(df, keys), keys, order)
 
 
-def dedup_measured(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
-    """:func:`dedup_rare_copies` or :func:`dedup_by_key`, for a stored table of which neither is known to suit.
+_HASH = "__cartwheel_hash"
+
 
-    The narrow pass runs at once.  With at most ``RARE_KEYS`` repeated keys, their list is broadcast and no wide
-    row but copies is shuffled or sorted; with more, all rows go through the window."""
-    found = _repeated_keys(df, keys).limit(RARE_KEYS + 1).persist()
+def _shared_hashes(df: DataFrame, keys: Sequence[str]) -> DataFrame | None:
+    """The 64-bit hashes of ``keys`` that more than one row has, counted at once and kept; None if they are more than
+    ``RARE_KEYS``.  A key of no such hash occurs once; rows of such a hash must still be told apart by their keys.
+
+    Hashes are a fraction of what wide text keys take in the exchange and in each task's hash map."""
+    if any(getattr(df.schema[k].dataType, "collation", "UTF8_BINARY") != "UTF8_BINARY" for k in keys):
+        return None  # equal keys of other bytes would have other hashes
+    n = "__cartwheel_n"
+    hashes = df.select(F.xxhash64(*keys).alias(_HASH))
+    found = hashes.groupBy(_HASH).agg(F.count(F.lit(1)).alias(n)).where(f"{n} > 1").select(_HASH).limit(RARE_KEYS + 1).persist()
     if found.count() <= RARE_KEYS:
-        return _rank_copies(df, F.broadcast(found), keys, order)
+        return found
     found.unpersist()
-    return dedup_by_key(df, keys, order)
+    return None
+
+
+def surplus_rows(df: DataFrame, keys: Sequence[str]) -> int | None:
+    """Rows less distinct keys (NULL is a key) of a stored table, exact, counted at once; None if too many keys are repeated
+    (see :func:`_shared_hashes`): then a plain distinct count is the better plan."""
+    shared = _shared_hashes(df, keys)
+    if shared is None:
+        return None
+    copies = df.select(*keys).withColumn(_HASH, F.xxhash64(*keys)).join(F.broadcast(shared), _HASH, "left_semi")
+    more = 0
+    if not shared.isEmpty():
+        more = copies.groupBy(*keys).agg((F.count(F.lit(1)) - 1).alias("n")).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    shared.unpersist()
+    return more
+
+
+def dedup_measured(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
+    """:func:`dedup_rare_copies` or :func:`dedup_by_key`, for a stored table of which neither is known to suit.
+
+    A narrow pass over the keys' hashes runs at once.  With at most ``RARE_KEYS`` repeated hashes, their list is broadcast and
+    no wide row but those of such a hash is shuffled or sorted (keys that only share a hash are ranked apart, so both stay); with
+    more, all rows go through the window."""
+    shared = _shared_hashes(df, keys)
+    if shared is None:
+        return dedup_by_key(df, keys, order)
+    if shared.isEmpty():
+        shared.unpersist()
+        return df
+    hashed, among = df.withColumn(_HASH, F.xxhash64(*keys)), F.broadcast(shared)
+    copies = hashed.join(among, _HASH, "left_semi").select(*df.columns)
+    return hashed.join(among, _HASH, "left_anti").select(*df.columns).unionByName(dedup_by_key(copies, keys, order))
 
 
 def clean_transactions(

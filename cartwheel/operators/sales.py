@@ -9,12 +9,15 @@ on read.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwheel.functions.money import cents_sql, dollars_sql, half_up_ratio_sql, money_avg_sql, pct_sql, sum_cents_sql
 from cartwheel.operators.ranking import global_row_number
 from cartwheel.operators.stats import percentile_columns
+from cartwheel.session import shuffle_partitions
 
 ORDERS = "count(1)"
 RETURNED = "count_if(is_returned = 1)"
@@ -40,12 +43,36 @@ def exprs(*sql: str) -> list[Column]:
     return [F.expr(s) for s in sql]
 
 
+def with_customers(silver: DataFrame, group: Sequence[str], sql: Sequence[str], approx: bool = False, crowded: bool = False) -> DataFrame:
+    """One row per ``group``: the aggregates ``sql`` and ``__customers``, its distinct customers.
+
+    Exact counts are taken apart from the other aggregates, which collapse map-side to a row per group: only
+    (group, customer) pairs are shuffled, without a buffer for each of the other aggregates.  ``crowded``: a customer
+    comes many times to a group (few groups), so pairs collapse map-side too; else most pairs are new, and a map-side
+    hash map of a whole file split would only spill.  NULL keys are a group; ``silver`` is read twice."""
+    if approx:
+        return silver.groupBy(*group).agg(*exprs(*sql, f"{distinct_customers(True)} AS __customers"))
+    return _join_customers(silver.groupBy(*group).agg(*exprs(*sql)), silver, group, crowded)
+
+
+def _join_customers(grouped: DataFrame, silver: DataFrame, group: Sequence[str], crowded: bool) -> DataFrame:
+    pairs = silver.where("customer_id IS NOT NULL").select(*group, "customer_id")
+    if not crowded:
+        pairs = pairs.repartition(shuffle_partitions(silver.sparkSession), *group, "customer_id")
+    counts = pairs.distinct().groupBy(*(F.col(g).alias(f"__{g}") for g in group)).agg(F.count(F.lit(1)).alias("__n"))
+    same = [F.col(g).eqNullSafe(F.col(f"__{g}")) for g in group]
+    out = grouped.join(counts, same, "left").withColumn("__customers", F.coalesce("__n", F.lit(0).cast("long")))
+    return out.select(*grouped.columns, "__customers")
+
+
 def daily_sales_summary(silver: DataFrame, approx_distinct: bool = False) -> DataFrame:
     """One row per (order_date, region, category)."""
-    return silver.groupBy("order_date", "region", "category").agg(
-        *exprs(
+    group = ["order_date", "region", "category"]
+    found = with_customers(
+        silver,
+        group,
+        [
             f"{ORDERS} AS total_orders",
-            f"{distinct_customers(approx_distinct)} AS unique_customers",
             f"{REVENUE} AS total_revenue",
             f"{AVG_AMOUNT} AS avg_order_value",
             "min(order_amount) AS min_order_value",
@@ -53,7 +80,20 @@ def daily_sales_summary(silver: DataFrame, approx_distinct: bool = False) -> Dat
             "sum(quantity) AS total_units_sold",
             f"{dollars_sql(RETURNED_CENTS)} AS returned_amount",
             f"{RATE} AS return_rate_pct",
-        )
+        ],
+        approx_distinct,
+    )
+    return found.selectExpr(
+        *group,
+        "total_orders",
+        "__customers AS unique_customers",
+        "total_revenue",
+        "avg_order_value",
+        "min_order_value",
+        "max_order_value",
+        "total_units_sold",
+        "returned_amount",
+        "return_rate_pct",
     )
 
 
@@ -65,31 +105,35 @@ def product_performance(
     ``revenue_rank`` orders by the exact (unrounded) revenue, ties broken by
     product then category, and is computed without a single-partition window.
     """
-    agg = silver.groupBy("product_name", "category").agg(
-        *exprs(
-            f"{ORDERS} AS times_purchased",
-            f"{distinct_customers(approx_distinct)} AS unique_customers",
-            "sum(quantity) AS total_units_sold",
-            f"{REVENUE_CENTS} AS __revenue",
-            f"{AVG_AMOUNT} AS avg_order_value",
-            f"{half_up_ratio_sql('sum(quantity)', 'count(quantity)', 2)} AS avg_units_per_order",
-            "min(order_amount) AS min_order_value",
-            "max(order_amount) AS max_order_value",
-            f"{RATE} AS return_rate_pct",
-            f"{half_up_ratio_sql(REVENUE_CENTS, 'sum(quantity)', 2, num_scale=2)} AS revenue_per_unit",
-        )
-    )
+    group = ["product_name", "category"]
+    sql = [
+        f"{ORDERS} AS times_purchased",
+        "sum(quantity) AS total_units_sold",
+        f"{REVENUE_CENTS} AS __revenue",
+        f"{AVG_AMOUNT} AS avg_order_value",
+        f"{half_up_ratio_sql('sum(quantity)', 'count(quantity)', 2)} AS avg_units_per_order",
+        "min(order_amount) AS min_order_value",
+        "max(order_amount) AS max_order_value",
+        f"{RATE} AS return_rate_pct",
+        f"{half_up_ratio_sql(REVENUE_CENTS, 'sum(quantity)', 2, num_scale=2)} AS revenue_per_unit",
+    ]
+    if approx_distinct:
+        agg = with_customers(silver, group, sql, True)
+    else:
+        agg = silver.groupBy(*group).agg(*exprs(*sql))
     ranked = global_row_number(
         agg,
         ["-__revenue", "product_name", "category"],
         "revenue_rank",
         num_partitions=num_partitions,
     )
+    if not approx_distinct:  # after the ranks, which read their input three times
+        ranked = _join_customers(ranked, silver, group, crowded=False)
     return ranked.selectExpr(
         "product_name",
         "category",
         "times_purchased",
-        "unique_customers",
+        "__customers AS unique_customers",
         "total_units_sold",
         f"{dollars_sql('__revenue')} AS total_revenue",
         "avg_order_value",
@@ -104,17 +148,30 @@ def product_performance(
 
 def regional_analysis(silver: DataFrame, approx_distinct: bool = False) -> DataFrame:
     """One row per region."""
-    return silver.groupBy("region").agg(
-        *exprs(
+    found = with_customers(
+        silver,
+        ["region"],
+        [
             f"{ORDERS} AS total_orders",
-            f"{distinct_customers(approx_distinct)} AS unique_customers",
-            f"{REVENUE} AS total_revenue",
+            f"{REVENUE_CENTS} AS __cents",
             f"{AVG_AMOUNT} AS avg_order_value",
             f"{half_up_ratio_sql('sum(delivery_days)', 'count(delivery_days)', 1)} AS avg_delivery_days",
-            f"{half_up_ratio_sql(REVENUE_CENTS, distinct_customers(approx_distinct), 2, num_scale=2)} AS revenue_per_customer",
             f"{RATE} AS return_rate_pct",
             "sum(quantity) AS total_units_sold",
-        )
+        ],
+        approx_distinct,
+        crowded=True,
+    )
+    return found.selectExpr(
+        "region",
+        "total_orders",
+        "__customers AS unique_customers",
+        f"{dollars_sql('__cents')} AS total_revenue",
+        "avg_order_value",
+        "avg_delivery_days",
+        f"{half_up_ratio_sql('__cents', '__customers', 2, num_scale=2)} AS revenue_per_customer",
+        "return_rate_pct",
+        "total_units_sold",
     )
 
 
@@ -126,14 +183,13 @@ def category_trends(silver: DataFrame, by_year: bool = False, approx_distinct: b
     ``order_year`` and ranks by year, then month).
     """
     keys = (["order_year"] if by_year else []) + ["order_month", "category"]
-    agg = silver.groupBy(*keys).agg(
-        *exprs(
-            f"{ORDERS} AS order_count",
-            f"{distinct_customers(approx_distinct)} AS unique_customers",
-            f"{REVENUE} AS monthly_revenue",
-            f"{AVG_AMOUNT} AS avg_order_value",
-        )
+    found = with_customers(
+        silver,
+        keys,
+        [f"{ORDERS} AS order_count", f"{REVENUE} AS monthly_revenue", f"{AVG_AMOUNT} AS avg_order_value"],
+        approx_distinct,
     )
+    agg = found.selectExpr(*keys, "order_count", "__customers AS unique_customers", "monthly_revenue", "avg_order_value")
     # One row per month (x year) per category: a bounded window partition.
     order = ([F.col("order_year").desc()] if by_year else []) + [F.col("order_month").desc()]
     return agg.withColumn("month_rank", F.row_number().over(Window.partitionBy("category").orderBy(*order)))
@@ -189,16 +245,28 @@ def share_of_total(grouped: DataFrame, part_cents: str, out_col: str, scale: int
 
 def payment_analysis(silver: DataFrame, approx_distinct: bool = False) -> DataFrame:
     """One row per payment method, with its share of total revenue."""
-    agg = silver.groupBy("payment_method").agg(
-        *exprs(
+    found = with_customers(
+        silver,
+        ["payment_method"],
+        [
             f"{ORDERS} AS transaction_count",
-            f"{distinct_customers(approx_distinct)} AS unique_users",
-            f"{REVENUE} AS total_revenue",
             f"{AVG_AMOUNT} AS avg_transaction_value",
             f"{RATE} AS return_rate_pct",
             f"{half_up_ratio_sql('sum(delivery_days)', 'count(delivery_days)', 1)} AS avg_delivery_days",
-            f"{half_up_ratio_sql(REVENUE_CENTS, distinct_customers(approx_distinct), 2, num_scale=2)} AS revenue_per_customer",
             f"{REVENUE_CENTS} AS __cents",
-        )
+        ],
+        approx_distinct,
+        crowded=True,
+    )
+    agg = found.selectExpr(
+        "payment_method",
+        "transaction_count",
+        "__customers AS unique_users",
+        f"{dollars_sql('__cents')} AS total_revenue",
+        "avg_transaction_value",
+        "return_rate_pct",
+        "avg_delivery_days",
+        f"{half_up_ratio_sql('__cents', '__customers', 2, num_scale=2)} AS revenue_per_customer",
+        "__cents",
     )
     return share_of_total(agg, "__cents", "pct_of_total_revenue").drop("__cents")

@@ -242,7 +242,7 @@ def run_pipeline(
         return [metrics, verified(tables, "customer_segmentation", rfm_segmentation(tables.read("customer_metrics")))]
 
     jobs = [customers, *(lambda n=name: [verified(tables, n, gold[n]())] for name in gold if name != "customer_metrics")]
-    jobs.append(lambda: [verified(tables, "quality_metrics_history", Q.quality_metrics_row(silver, as_of, rules), append=True)])
+    jobs.append(lambda: [verified(tables, "quality_metrics_history", Q.quality_metrics_row(silver, as_of, rules, measured=True), append=True)])
     with ThreadPoolExecutor(GOLD_AT_ONCE) as pool:
         for found in pool.map(lambda job: job(), jobs):
             reports += found
